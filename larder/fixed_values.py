@@ -95,3 +95,14 @@ REGRESSORS_BY_CATEGORY = {
 
 # --- Fixed values: advice given with a waste risk ---------------------------
 WASTE_ACTIONS = ["adapter_menus", "reduire_commande", "verifier_fifo", "proposer_promotions"]
+
+# --- Fixed values: model configurations -------------------------------------
+# name, multiplicative, yearly order, weekly order, changepoint prior,
+# seasonality prior, holidays prior, with regressors and holidays
+MODEL_CONFIGS = [
+    ("enrichi", True, 20, 5, 0.5, 10.0, 10.0, True),
+    ("contre_sous_apprentissage", True, 20, 5, 0.5, 15.0, 10.0, True),
+    ("contre_sur_apprentissage", True, 5, 5, 0.001, 0.1, 10.0, True),
+    ("base", False, 10, 3, 0.05, 10.0, 10.0, False),
+]
+TREND_PRIOR = 5.0

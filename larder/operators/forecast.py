@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.fixed_values import FALLBACK_BAND, FORECAST_DAYS, RECENT_DAYS, Z_85
-from larder.operators.series import PRODUCT, dense_daily, last_days
+from larder.operators.series import dense_daily, last_days, per_product
 
 FORECAST_COLUMNS = ["nom_produit", "ds", "yhat", "yhat_lower", "yhat_upper"]
 
@@ -21,15 +21,15 @@ def fitted_native(rows: DataFrame, train: Column, z: float = Z_85) -> DataFrame:
     y = F.when(train, F.col("y"))
     t = F.col("_t")
     known_t = F.when(train, t).cast("double")
-    slope = F.regr_slope(y, known_t).over(PRODUCT)
-    intercept = F.regr_intercept(y, known_t).over(PRODUCT)
-    trend = F.coalesce(intercept + slope * t, F.avg(y).over(PRODUCT))
+    slope = F.regr_slope(y, known_t).over(per_product())
+    intercept = F.regr_intercept(y, known_t).over(per_product())
+    trend = F.coalesce(intercept + slope * t, F.avg(y).over(per_product()))
     by_weekday = Window.partitionBy("nom_produit", "_jour")
     by_month = Window.partitionBy("nom_produit", "_mois")
     residual = F.when(train, F.col("y") - F.col("tendance"))
     return (
         rows.withColumns({
-            "_t": F.datediff("ds", F.min("ds").over(PRODUCT)),
+            "_t": F.datediff("ds", F.min("ds").over(per_product())),
             "_jour": F.weekday("ds"),
             "_mois": F.month("ds"),
         })
@@ -37,7 +37,7 @@ def fitted_native(rows: DataFrame, train: Column, z: float = Z_85) -> DataFrame:
         .withColumn("effet_semaine", F.coalesce(F.avg(residual).over(by_weekday), F.lit(0.0)))
         .withColumn("effet_mois", F.coalesce(F.avg(residual - F.col("effet_semaine")).over(by_month), F.lit(0.0)))
         .withColumn("yhat", F.col("tendance") + F.col("effet_semaine") + F.col("effet_mois"))
-        .withColumn("_sigma", F.coalesce(F.stddev_samp(F.when(train, F.col("y") - F.col("yhat"))).over(PRODUCT), F.lit(0.0)))
+        .withColumn("_sigma", F.coalesce(F.stddev_samp(F.when(train, F.col("y") - F.col("yhat"))).over(per_product()), F.lit(0.0)))
         .withColumn("yhat_lower", F.col("yhat") - F.lit(z) * F.col("_sigma"))
         .withColumn("yhat_upper", F.col("yhat") + F.lit(z) * F.col("_sigma"))
         .drop("_t", "_jour", "_mois", "_sigma")
@@ -77,7 +77,7 @@ def backtest_native(split: DataFrame) -> DataFrame:
 def backtest_both(split: DataFrame, window: int = RECENT_DAYS) -> DataFrame:
     """Test days with the forecast of both models, one row per day and model."""
     recent = F.col("apprentissage") & (F.datediff("date_coupure", "ds") < window)
-    with_mean = split.withColumn("_recent", F.avg(F.when(recent, F.col("y"))).over(PRODUCT))
+    with_mean = split.withColumn("_recent", F.avg(F.when(recent, F.col("y"))).over(per_product()))
     both = F.array(
         F.struct(F.lit("natif").alias("modele"), F.col("yhat").alias("yhat")),
         F.struct(F.lit("moyenne_mobile").alias("modele"), F.col("_recent").alias("yhat")),
@@ -90,7 +90,7 @@ def backtest_both(split: DataFrame, window: int = RECENT_DAYS) -> DataFrame:
 
 def history_and_forecast(fitted: DataFrame, days: int = RECENT_DAYS) -> DataFrame:
     """The last days of the history followed by the forecast, one table per product."""
-    last_known = F.max(F.when(~F.col("futur"), F.col("ds"))).over(PRODUCT)
+    last_known = F.max(F.when(~F.col("futur"), F.col("ds"))).over(per_product())
     past = ~F.col("futur")
     return (
         fitted.withColumn("_fin", last_known).where(F.col("futur") | (F.datediff("_fin", "ds") < days))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from larder.fixed_values import (
@@ -29,11 +29,13 @@ from larder.fixed_values import (
     YEARLY_ORDER,
 )
 
-PRODUCT = Window.partitionBy("nom_produit")
-BY_DAY = PRODUCT.orderBy("ds")
 EPOCH = "1970-01-01"
 
 
+def per_product() -> WindowSpec:
+    return Window.partitionBy("nom_produit")
+
+
 def _days(end: str | Column, start: str | Column) -> Column:
     return F.datediff(end, start)
 
@@ -47,7 +49,7 @@ def _calendar(daily: DataFrame, periods: int = 0) -> DataFrame:
     A day with demand also opens the days up to the product's next one, so the
     calendar needs no join: ``_jour`` is the day with demand, ``ds`` the day itself.
     """
-    following = F.lead("date").over(PRODUCT.orderBy("date"))
+    following = F.lead("date").over(per_product().orderBy("date"))
     last = F.when(following.isNull(), F.date_add("date", periods)).otherwise(F.date_sub(following, 1))
     return (
         daily.withColumns({"_fin": last, "_dernier": following.isNull()})
@@ -77,11 +79,11 @@ def dense_daily_regressors(daily: DataFrame, train_days: int | None = None) -> D
     rows = _calendar(daily)
     seen = F.col("_observe")
     if train_days is not None:
-        rows = rows.withColumn("_bord", F.date_sub(F.max("ds").over(PRODUCT), train_days))
+        rows = rows.withColumn("_bord", F.date_sub(F.max("ds").over(per_product()), train_days))
         usable = seen & (F.col("ds") <= F.col("_bord"))
     else:
         usable = seen
-    filled = {c: F.coalesce(F.when(seen, F.col(c)), F.avg(F.when(usable, F.col(c))).over(PRODUCT)) for c in MEAN_REGRESSORS}
+    filled = {c: F.coalesce(F.when(seen, F.col(c)), F.avg(F.when(usable, F.col(c))).over(per_product())) for c in MEAN_REGRESSORS}
     filled |= {c: F.when(seen, F.coalesce(F.col(c), F.lit(0))).otherwise(0) for c in FLAG_REGRESSORS}
     return rows.select(
         "nom_produit", "ds", F.when(seen, F.col("quantite")).otherwise(0.0).alias("y"),
@@ -98,8 +100,8 @@ def active_days(dense: DataFrame) -> DataFrame:
 
 def last_days(dense: DataFrame, n: int = 30) -> DataFrame:
     """The last ``n`` days of each product with their mean."""
-    recent = dense.withColumn("_fin", F.max("ds").over(PRODUCT)).where(_days("_fin", "ds") < n)
-    return recent.select("nom_produit", "ds", "y", F.avg("y").over(PRODUCT).alias("moyenne_recente"))
+    recent = dense.withColumn("_fin", F.max("ds").over(per_product())).where(_days("_fin", "ds") < n)
+    return recent.select("nom_produit", "ds", "y", F.avg("y").over(per_product()).alias("moyenne_recente"))
 
 
 # --- events -------------------------------------------------------------------
@@ -168,8 +170,8 @@ def with_split(dense: DataFrame, share: float | None = None, days: int | None =
     """
     if (share is None) == (days is None):
         raise ValueError("give either share or days")
-    last = F.max("ds").over(PRODUCT)
-    length = F.lit(days) if days is not None else (F.count("ds").over(PRODUCT) * F.lit(share)).cast("int")
+    last = F.max("ds").over(per_product())
+    length = F.lit(days) if days is not None else (F.count("ds").over(per_product()) * F.lit(share)).cast("int")
     return dense.withColumn("date_coupure", F.date_sub(last, length)).withColumn(
         "apprentissage", F.col("ds") <= F.col("date_coupure")
     )
@@ -214,7 +216,7 @@ def future_frame(dense: DataFrame, periods: int = FORECAST_DAYS, fill: str = "me
     mean of the same month of year for the temperature, where there is one. Flu
     is on from January to March; other flags are unknown and stay off.
     """
-    last = F.max("ds").over(PRODUCT)
+    last = F.max("ds").over(per_product())
     ends = F.when(F.col("ds") == last, F.date_add("ds", periods)).otherwise(F.col("ds"))
     rows = (
         dense.withColumn("_fin", ends)
@@ -226,7 +228,7 @@ def future_frame(dense: DataFrame, periods: int = FORECAST_DAYS, fill: str = "me
     columns: dict[str, Column] = {}
     for c in MEAN_REGRESSORS:
         known = F.when(~future, F.col(c))
-        mean = F.avg(known).over(PRODUCT)
+        mean = F.avg(known).over(per_product())
         if fill == "month" and c == "temperature":
             mean = F.coalesce(F.avg(known).over(Window.partitionBy("nom_produit", "_mois")), mean)
         columns[c] = F.coalesce(known, mean)
@@ -265,7 +267,7 @@ def fourier_features(days: DataFrame, day: str = "ds") -> DataFrame:
 
 def trend_features(dense: DataFrame, dates: Sequence[str]) -> DataFrame:
     """Days since the product's start, and since each known change date inside its history."""
-    start, end = F.min("ds").over(PRODUCT), F.max("ds").over(PRODUCT)
+    start, end = F.min("ds").over(per_product()), F.max("ds").over(per_product())
     columns = []
     for i, d in enumerate(dates, 1):
         date = F.lit(d).cast("date")
@@ -281,9 +283,9 @@ def standardized(rows: DataFrame, train: Column) -> dict[str, Column]:
         value = F.col(name).cast("double")
         if scale:
             known = F.when(train, value)
-            spread = F.stddev_samp(known).over(PRODUCT)
+            spread = F.stddev_samp(known).over(per_product())
             spread = F.when(spread > 0, spread).otherwise(1.0)
-            value = (value - F.avg(known).over(PRODUCT)) / spread
+            value = (value - F.avg(known).over(per_product())) / spread
         columns[name] = value
     return columns
 
