@@ -85,42 +85,76 @@ def _padded(values: np.ndarray, length: int) -> list[float]:
     return [*values.tolist(), *[0.0] * (length - len(values))]
 
 
+PARTS = ["tendance", "annuel", "hebdo", "feries", "effet_regresseurs"]
+PART_TYPE = pa.struct([("ds", pa.date32()), ("y", pa.float64()), *[(p, pa.float64()) for p in PARTS]])
+FIT_SCHEMA = pa.schema([
+    ("nom_produit", pa.string()),
+    ("modele", pa.string()),
+    ("multiplicatif", pa.bool_()),
+    ("sigma", pa.float64()),
+    ("tendance", pa.list_(pa.float64())),
+    ("annuel", pa.list_(pa.float64())),
+    ("hebdo", pa.list_(pa.float64())),
+    ("evenements", pa.list_(pa.float64())),
+    ("regresseurs", pa.list_(pa.float64())),
+    ("regresseurs_ecart", pa.list_(pa.float64())),
+    ("jours", pa.list_(PART_TYPE)),
+])
+
+
 def fit_group(configs: Sequence[Config]):
+    """Function of one product's days: fits on rows ``appris``, evaluates rows ``predit``."""
+
     def fit(key: tuple[pa.Scalar, ...], days: pa.Table) -> pa.Table:
+        days = days.sort_by("ds").combine_chunks()
+
+        def column(name):
+            return days[name].to_numpy().astype(float)
+
         def matrix(name):
             return days[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(days.num_rows, -1)
 
-        y, t, day = (days[c].to_numpy().astype(float) for c in ("y", "t", "jour"))
-        order = np.argsort(day)
-        y, t, day = y[order], t[order], day[order]
-        breaks, events, outside = (matrix(c)[order] for c in ("ruptures", "evenements", "regresseurs"))
+        train, shown = (days[c].to_numpy().astype(bool) for c in ("appris", "predit"))
+        t, day, breaks = column("t"), column("jour"), matrix("ruptures")
+        y = column("y")[train]
         scale = float(np.max(np.abs(y))) or 1.0
         trend = np.column_stack([np.ones_like(t), t, breaks])
+        shown_days = days.select(["ds", "y"]).filter(pa.array(shown))
         lines = []
         for c in configs:
-            x_events = events if c.outside else events[:, :0]
-            x_outside = outside if c.outside else outside[:, :0]
-            season = np.hstack([_waves(day, c.yearly, YEAR_PERIOD), _waves(day, c.weekly, WEEK_PERIOD), x_events])
+            events = matrix("evenements") if c.outside else np.empty((len(t), 0))
+            outside = matrix("regresseurs") if c.outside else np.empty((len(t), 0))
+            groups = [_waves(day, c.yearly, YEAR_PERIOD), _waves(day, c.weekly, WEEK_PERIOD), events]
+            season = np.hstack(groups)
             priors = (
                 np.array([TREND_PRIOR] * 2 + [c.changepoint_prior] * breaks.shape[1]),
-                np.array([c.seasonality_prior] * (2 * c.yearly + 2 * c.weekly) + [c.holidays_prior] * x_events.shape[1]),
-                np.array([prior for _, prior, _ in MODEL_REGRESSORS][: x_outside.shape[1]], dtype=float),
+                np.array([c.seasonality_prior] * (2 * c.yearly + 2 * c.weekly) + [c.holidays_prior] * events.shape[1]),
+                np.array([prior for _, prior, _ in MODEL_REGRESSORS][: outside.shape[1]], dtype=float),
+            )
+            b_trend, b_season, b_outside, sigma, spread = solve(
+                y / scale, trend[train], season[train], outside[train], priors, c.multiplicative)
+            b_trend, b_outside, spread = b_trend * scale, b_outside * scale, spread * scale
+            b_season = b_season if c.multiplicative else b_season * scale
+            b_groups = np.split(b_season, np.cumsum([g.shape[1] for g in groups])[:-1])
+            parts = [trend @ b_trend, *[g @ b for g, b in zip(groups, b_groups)], outside @ b_outside]
+            shown_parts = pa.StructArray.from_arrays(
+                [*[col.combine_chunks() for col in shown_days.columns], *[pa.array(p[shown]) for p in parts]],
+                fields=list(PART_TYPE),
             )
-            b_trend, b_season, b_outside, sigma, spread = solve(y / scale, trend, season, x_outside, priors, c.multiplicative)
-            season_scale = 1.0 if c.multiplicative else scale
-            yearly, weekly, event = np.split(b_season * season_scale, [2 * c.yearly, 2 * c.yearly + 2 * c.weekly])
+            yearly, weekly, event = b_groups
             lines.append({
-                "nom_produit": key[0].as_py(),
-                "modele": c.name,
-                "multiplicatif": c.multiplicative,
-                "sigma": sigma * scale,
-                "tendance": (b_trend * scale).tolist(),
-                "annuel": _padded(yearly, 2 * YEARLY_ORDER),
-                "hebdo": _padded(weekly, 2 * WEEKLY_ORDER),
-                "evenements": _padded(event, len(HOLIDAY_FLAGS)),
-                "regresseurs": _padded(b_outside * scale, len(MODEL_REGRESSORS)),
-                "regresseurs_ecart": _padded(spread * scale, len(MODEL_REGRESSORS)),
+                "nom_produit": [key[0].as_py()],
+                "modele": [c.name],
+                "multiplicatif": [c.multiplicative],
+                "sigma": [sigma * scale],
+                "tendance": [b_trend.tolist()],
+                "annuel": [_padded(yearly, 2 * YEARLY_ORDER)],
+                "hebdo": [_padded(weekly, 2 * WEEKLY_ORDER)],
+                "evenements": [_padded(event, len(HOLIDAY_FLAGS))],
+                "regresseurs": [_padded(b_outside, len(MODEL_REGRESSORS))],
+                "regresseurs_ecart": [_padded(spread, len(MODEL_REGRESSORS))],
+                "jours": pa.ListArray.from_arrays(pa.array([0, len(shown_parts)], pa.int32()), shown_parts),
             })
-        return pa.Table.from_pylist(lines)
+        return pa.concat_tables([pa.Table.from_pydict(line, schema=FIT_SCHEMA) for line in lines])
 
     return fit

@@ -3,8 +3,9 @@
     y = trend * (1 + yearly + weekly + events) + regressors      (multiplicative)
     y = trend + yearly + weekly + events + regressors            (additive)
 
-Spark builds the features, keyed by product, and evaluates the fitted model. Only
-solving for one product's coefficients runs in Python, on that product's days.
+Spark builds the features, keyed by product, and turns the fitted parts into
+forecasts, intervals and scores. Only the linear algebra of one product's days
+runs in Python.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Sequence
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from larder.fixed_values import (
     AUTO_CHANGEPOINT_SHARE,
@@ -27,7 +29,7 @@ from larder.fixed_values import (
 )
 from larder.functions import solver
 from larder.functions.solver import Config
-from larder.operators.series import day_number, fourier_terms, future_frame, per_product, standardized, with_split
+from larder.operators.series import day_number, future_frame, per_product, standardized, with_split
 
 # Executors get the solver with the task and need no installed copy of it.
 cloudpickle.register_pickle_by_value(solver)
@@ -105,62 +107,29 @@ def backtest_rows(
 
 # --- fit: one product's days at a time ------------------------------------------
 
-COEFFICIENT_SCHEMA = (
-    "nom_produit string, modele string, multiplicatif boolean, sigma double, tendance array<double>, "
-    "annuel array<double>, hebdo array<double>, evenements array<double>, regresseurs array<double>, "
-    "regresseurs_ecart array<double>"
-)
+FIT_COLUMNS = from_arrow_schema(solver.FIT_SCHEMA)
 
 
-def fit_ridge(rows: DataFrame, *configs: Config) -> DataFrame:
-    """Coefficients per product and configuration, from the rows marked ``appris``.
+def fit_ridge(rows: DataFrame, *configs: Config, predict: Column | None = None) -> DataFrame:
+    """Coefficients per product and configuration, with the evaluated days in ``jours``.
 
-    A group is one product's days, never its movements, so its size is bounded by
-    the length of the calendar.
+    Fitting uses the rows marked ``appris``; the rows meeting ``predict`` are
+    evaluated in the same pass, so the series is built once. A group is one
+    product's days, never its movements: the calendar bounds its size.
     """
-    train = rows.where("appris").select("nom_produit", "y", "t", "jour", "ruptures", "evenements", "regresseurs")
-    return train.groupBy("nom_produit").applyInArrow(solver.fit_group(configs), COEFFICIENT_SCHEMA)
-
-
-# --- evaluation in Spark --------------------------------------------------------
-
-
-def _dot(values: str, coefficients: str) -> Column:
-    products = F.zip_with(values, coefficients, lambda v, c: v * c)
-    return F.aggregate(products, F.lit(0.0), lambda acc, p: acc + p)
-
-
-def _wave_sum(name: str, terms: dict[str, Column]) -> Column:
-    own = [expr for term, expr in terms.items() if term.startswith(f"{name}_")]
-    out = F.lit(0.0)
-    for i, expr in enumerate(own):
-        out = out + F.get(f"c.{name}", F.lit(i)) * expr
-    return out
+    inputs = rows.select(
+        "nom_produit", "ds", "y", "appris", F.coalesce(F.lit(False) if predict is None else predict, F.lit(False)).alias("predit"),
+        "t", "jour", "ruptures", "evenements", "regresseurs",
+    )
+    return inputs.groupBy("nom_produit").applyInArrow(solver.fit_group(configs), FIT_COLUMNS)
 
 
-def components(rows: DataFrame, coefficients: DataFrame, z: float = Z_85) -> DataFrame:
-    """Forecast of every row with its parts: trend, yearly, weekly, events, regressors."""
-    packed = coefficients.select("nom_produit", "modele", F.struct(
-        "multiplicatif", "sigma", "tendance", "annuel", "hebdo", "evenements", "regresseurs").alias("c"))
-    keep = [c for c in ("futur", "appris", "y") if c in rows.columns]
-    # sin and cos depend on the day alone, so they are worked out once per calendar day.
-    terms = fourier_terms("ds")
-    trend = F.get("c.tendance", F.lit(0)) + F.get("c.tendance", F.lit(1)) * F.col("t") + _dot(
-        "ruptures", F.slice("c.tendance", 3, F.size("ruptures")))
+def components(fitted: DataFrame, z: float = Z_85) -> DataFrame:
+    """Forecast of the evaluated days with its parts: trend, yearly, weekly, events, regressors."""
     season = F.col("annuel") + F.col("hebdo") + F.col("feries")
     centre = F.when(F.col("multiplicatif"), F.col("tendance") * (1 + season)).otherwise(F.col("tendance") + season)
     return (
-        rows.join(packed, "nom_produit")
-        .select(
-            "nom_produit", "modele", "ds", *keep,
-            F.col("c.multiplicatif").alias("multiplicatif"),
-            F.col("c.sigma").alias("sigma"),
-            trend.alias("tendance"),
-            _wave_sum("annuel", terms).alias("annuel"),
-            _wave_sum("hebdo", terms).alias("hebdo"),
-            _dot("evenements", "c.evenements").alias("feries"),
-            _dot("regresseurs", "c.regresseurs").alias("effet_regresseurs"),
-        )
+        fitted.select("nom_produit", "modele", "multiplicatif", "sigma", F.inline("jours"))
         .withColumn("yhat", centre + F.col("effet_regresseurs"))
         .withColumn("yhat_lower", F.col("yhat") - F.lit(z) * F.col("sigma"))
         .withColumn("yhat_upper", F.col("yhat") + F.lit(z) * F.col("sigma"))
@@ -173,18 +142,16 @@ def forecast_ridge(
     periods: int = FORECAST_DAYS, fill: str = "mean",
 ) -> DataFrame:
     """Fit on the whole history, forecast of the days after it."""
-    rows = forecast_rows(dense, dates, periods, fill)
-    return components(rows.where("futur"), fit_ridge(rows, config)).select(
-        "nom_produit", "ds", "yhat", "yhat_lower", "yhat_upper")
+    fitted = fit_ridge(forecast_rows(dense, dates, periods, fill), config, predict=F.col("futur"))
+    return components(fitted).select("nom_produit", "ds", "yhat", "yhat_lower", "yhat_upper")
 
 
 def backtest_ridge(
     dense: DataFrame, dates: Sequence[str] | None, *configs: Config, days: int = TEST_DAYS, blind: bool = False
 ) -> DataFrame:
     """Test days with the forecast of a fit on the days before, per configuration."""
-    rows = backtest_rows(dense, dates, days, blind)
-    return components(rows.where(~F.col("appris")), fit_ridge(rows, *configs)).select(
-        "nom_produit", "modele", "ds", "y", "yhat", "yhat_lower", "yhat_upper")
+    fitted = fit_ridge(backtest_rows(dense, dates, days, blind), *configs, predict=~F.col("appris"))
+    return components(fitted).select("nom_produit", "modele", "ds", "y", "yhat", "yhat_lower", "yhat_upper")
 
 
 def regressor_coefficients(coefficients: DataFrame, history: DataFrame, z: float = Z_85) -> DataFrame:
