@@ -91,6 +91,8 @@ FIT_SCHEMA = pa.schema([
     ("nom_produit", pa.string()),
     ("modele", pa.string()),
     ("multiplicatif", pa.bool_()),
+    ("debut", pa.date32()),
+    ("duree", pa.int32()),
     ("sigma", pa.float64()),
     ("tendance", pa.list_(pa.float64())),
     ("annuel", pa.list_(pa.float64())),
@@ -98,6 +100,8 @@ FIT_SCHEMA = pa.schema([
     ("evenements", pa.list_(pa.float64())),
     ("regresseurs", pa.list_(pa.float64())),
     ("regresseurs_ecart", pa.list_(pa.float64())),
+    ("centres", pa.list_(pa.float64())),
+    ("echelles", pa.list_(pa.float64())),
     ("jours", pa.list_(PART_TYPE)),
 ])
 
@@ -115,6 +119,8 @@ def fit_group(configs: Sequence[Config]):
             return days[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(days.num_rows, -1)
 
         train, shown = (days[c].to_numpy().astype(bool) for c in ("appris", "predit"))
+        if not train.any():
+            return FIT_SCHEMA.empty_table()
         t, day, breaks = column("t"), column("jour"), matrix("ruptures")
         y = column("y")[train]
         scale = float(np.max(np.abs(y))) or 1.0
@@ -146,6 +152,8 @@ def fit_group(configs: Sequence[Config]):
                 "nom_produit": [key[0].as_py()],
                 "modele": [c.name],
                 "multiplicatif": [c.multiplicative],
+                "debut": [days["ds"][0].as_py()],
+                "duree": [max(int(day[train].max() - day[0]), 1)],
                 "sigma": [sigma * scale],
                 "tendance": [b_trend.tolist()],
                 "annuel": [_padded(yearly, 2 * YEARLY_ORDER)],
@@ -153,6 +161,8 @@ def fit_group(configs: Sequence[Config]):
                 "evenements": [_padded(event, len(HOLIDAY_FLAGS))],
                 "regresseurs": [_padded(b_outside, len(MODEL_REGRESSORS))],
                 "regresseurs_ecart": [_padded(spread, len(MODEL_REGRESSORS))],
+                "centres": [days["centres"][0].as_py()],
+                "echelles": [days["echelles"][0].as_py()],
                 "jours": pa.ListArray.from_arrays(pa.array([0, len(shown_parts)], pa.int32()), shown_parts),
             })
         return pa.concat_tables([pa.Table.from_pydict(line, schema=FIT_SCHEMA) for line in lines])

@@ -29,7 +29,7 @@ from larder.fixed_values import (
 )
 from larder.functions import solver
 from larder.functions.solver import Config
-from larder.operators.series import day_number, future_frame, per_product, standardized, with_split
+from larder.operators.series import day_number, future_frame, per_product, regressor_scales, with_split
 
 # Executors get the solver with the task and need no installed copy of it.
 cloudpickle.register_pickle_by_value(solver)
@@ -47,7 +47,6 @@ def _hinges(train_end: Column, dates: Sequence[str] | None) -> Column:
     start = F.col("_debut")
     if dates is not None:
         breaks = F.array(*[F.lit(d).cast("date") for d in dates])
-        inside = lambda d: (d > start) & (d < train_end)
     else:
         # Evenly spread over the leading share of the training days.
         head = F.floor((F.datediff(train_end, start) + 1) * F.lit(AUTO_CHANGEPOINT_SHARE))
@@ -56,8 +55,12 @@ def _hinges(train_end: Column, dates: Sequence[str] | None) -> Column:
             F.sequence(F.lit(1), F.lit(AUTO_CHANGEPOINTS)),
             lambda j: F.date_add(start, F.bround(j * (head - 1) / n).cast("int")),
         )
-        inside = lambda d: (d > start) & (d < train_end)
-    return F.transform(breaks, lambda d: F.when(inside(d), F.greatest(F.datediff("ds", d), F.lit(0))).otherwise(0) / F.col("_duree"))
+
+    def hinge(day):
+        since = F.greatest(F.datediff("ds", day), F.lit(0)) / F.col("_duree")
+        return F.when((day > start) & (day < train_end), since).otherwise(0.0)
+
+    return F.transform(breaks, hinge)
 
 
 def model_rows(rows: DataFrame, train: Column, dates: Sequence[str] | None, blind: bool = False) -> DataFrame:
@@ -73,13 +76,20 @@ def model_rows(rows: DataFrame, train: Column, dates: Sequence[str] | None, blin
         "_debut": F.min("ds").over(per_product()),
         "_fin_appris": end,
     }).withColumn("_duree", F.greatest(F.datediff("_fin_appris", "_debut"), F.lit(1)).cast("double"))
-    scaled = standardized(based, F.col("appris"))
+    scales = regressor_scales(F.col("appris"))
+    based = based.withColumns({
+        "centres": F.array(*[centre for centre, _ in scales.values()]),
+        "echelles": F.array(*[scale for _, scale in scales.values()]),
+    })
 
     def known(value: Column) -> Column:
         return F.when(F.col("appris"), value).otherwise(0.0) if blind else value
 
     events = [known(F.col(flag).cast("double")) for _, flag in HOLIDAY_FLAGS]
-    outside = [known(scaled[name]) if spread else scaled[name] for name, _, spread in MODEL_REGRESSORS]
+    outside = []
+    for i, (name, _, scaled) in enumerate(MODEL_REGRESSORS):
+        value = (F.col(name) - F.get("centres", F.lit(i))) / F.get("echelles", F.lit(i))
+        outside.append(known(value) if scaled else value)
     keep = [c for c in ("futur", "y") if c in rows.columns]
     return based.select(
         "nom_produit", "ds", "appris", *keep,
@@ -88,6 +98,7 @@ def model_rows(rows: DataFrame, train: Column, dates: Sequence[str] | None, blin
         _hinges(F.col("_fin_appris"), dates).alias("ruptures"),
         F.array(*[F.coalesce(e, F.lit(0.0)) for e in events]).alias("evenements"),
         F.array(*[F.coalesce(r, F.lit(0.0)) for r in outside]).alias("regresseurs"),
+        "centres", "echelles",
     )
 
 
@@ -119,7 +130,7 @@ def fit_ridge(rows: DataFrame, *configs: Config, predict: Column | None = None)
     """
     inputs = rows.select(
         "nom_produit", "ds", "y", "appris", F.coalesce(F.lit(False) if predict is None else predict, F.lit(False)).alias("predit"),
-        "t", "jour", "ruptures", "evenements", "regresseurs",
+        "t", "jour", "ruptures", "evenements", "regresseurs", "centres", "echelles",
     )
     return inputs.groupBy("nom_produit").applyInArrow(solver.fit_group(configs), FIT_COLUMNS)
 
@@ -154,23 +165,13 @@ def backtest_ridge(
     return components(fitted).select("nom_produit", "modele", "ds", "y", "yhat", "yhat_lower", "yhat_upper")
 
 
-def regressor_coefficients(coefficients: DataFrame, history: DataFrame, z: float = Z_85) -> DataFrame:
-    """Effect of one unit of each regressor, with its interval and direction.
-
-    ``history`` holds the regressors that the fit was trained on; continuous ones
-    were scaled by their deviation there.
-    """
-    spread = history.groupBy("nom_produit").agg(F.array(*[
-        F.when(F.stddev_samp(name) > 0, F.stddev_samp(name)).otherwise(1.0) if scale else F.lit(1.0)
-        for name, _, scale in MODEL_REGRESSORS
-    ]).alias("_echelle"), F.array(*[
-        F.avg(name) if scale else F.lit(0.0) for name, _, scale in MODEL_REGRESSORS
-    ]).alias("_centre"))
+def regressor_coefficients(fitted: DataFrame, z: float = Z_85) -> DataFrame:
+    """Effect of one unit of each regressor, with its interval and direction."""
     lines = F.arrays_zip(
-        F.array(*[F.lit(r) for r in REGRESSORS]).alias("regresseur"), F.col("_centre").alias("centre"),
-        F.col("regresseurs").alias("b"), F.col("regresseurs_ecart").alias("e"), F.col("_echelle").alias("s"),
+        F.array(*[F.lit(r) for r in REGRESSORS]).alias("regresseur"), F.col("centres").alias("centre"),
+        F.col("regresseurs").alias("b"), F.col("regresseurs_ecart").alias("e"), F.col("echelles").alias("s"),
     )
-    per_unit = coefficients.join(spread, "nom_produit").select("nom_produit", "modele", F.inline(lines)).withColumns({
+    per_unit = fitted.select("nom_produit", "modele", F.inline(lines)).withColumns({
         "coef": F.col("b") / F.col("s"), "_demi": F.lit(z) * F.col("e") / F.col("s"),
     })
     return per_unit.select(
@@ -181,16 +182,14 @@ def regressor_coefficients(coefficients: DataFrame, history: DataFrame, z: float
     )
 
 
-def changepoint_effects(coefficients: DataFrame, dense: DataFrame, dates: Sequence[str]) -> DataFrame:
-    """Change of the daily trend slope at each known date inside the history."""
-    span = dense.groupBy("nom_produit").agg(F.min("ds").alias("_debut"), F.max("ds").alias("_fin"))
+def changepoint_effects(fitted: DataFrame, dates: Sequence[str]) -> DataFrame:
+    """Change of the daily trend slope at each known date inside the training days."""
     lines = F.arrays_zip(
         F.array(*[F.lit(d).cast("date") for d in dates]).alias("changepoint"),
         F.slice("tendance", 3, len(dates)).alias("b"),
     )
+    inside = (F.col("changepoint") > F.col("debut")) & (F.col("changepoint") < F.date_add("debut", F.col("duree")))
     return (
-        coefficients.join(span, "nom_produit").select("nom_produit", "modele", "_debut", "_fin", F.inline(lines))
-        .where((F.col("changepoint") > F.col("_debut")) & (F.col("changepoint") < F.col("_fin")))
-        .select("nom_produit", "modele", "changepoint",
-                (F.col("b") / F.greatest(F.datediff("_fin", "_debut"), F.lit(1))).alias("delta"))
+        fitted.select("nom_produit", "modele", "debut", "duree", F.inline(lines)).where(inside)
+        .select("nom_produit", "modele", "changepoint", (F.col("b") / F.col("duree")).alias("delta"))
     )

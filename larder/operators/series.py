@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from larder.fixed_values import (
     AUTO_CHANGEPOINT_SHARE,
     AUTO_CHANGEPOINTS,
+    CLEANING,
     FLAG_REGRESSORS,
     FLU_MONTHS,
     FORECAST_DAYS,
@@ -28,6 +29,7 @@ from larder.fixed_values import (
     YEAR_PERIOD,
     YEARLY_ORDER,
 )
+from larder.functions.columns import perishability, shelf_life, with_keys
 
 EPOCH = "1970-01-01"
 
@@ -276,22 +278,50 @@ def trend_features(dense: DataFrame, dates: Sequence[str]) -> DataFrame:
     return dense.select("nom_produit", "ds", _days(F.col("ds"), start).alias("t"), *columns)
 
 
-def standardized(rows: DataFrame, train: Column) -> dict[str, Column]:
+def regressor_scales(train: Column) -> dict[str, tuple[Column, Column]]:
+    """Centre and scale of each model regressor on its product's training rows."""
+    scales = {}
+    for name, _, scaled in MODEL_REGRESSORS:
+        known = F.when(train, F.col(name).cast("double"))
+        spread = F.stddev_samp(known).over(per_product())
+        scales[name] = (
+            F.avg(known).over(per_product()) if scaled else F.lit(0.0),
+            F.when(spread > 0, spread).otherwise(1.0) if scaled else F.lit(1.0),
+        )
+    return scales
+
+
+def standardized(train: Column) -> dict[str, Column]:
     """Model regressors, continuous ones centred and scaled by the product's training rows."""
-    columns = {}
-    for name, _, scale in MODEL_REGRESSORS:
-        value = F.col(name).cast("double")
-        if scale:
-            known = F.when(train, value)
-            spread = F.stddev_samp(known).over(per_product())
-            spread = F.when(spread > 0, spread).otherwise(1.0)
-            value = (value - F.avg(known).over(per_product())) / spread
-        columns[name] = value
-    return columns
+    return {name: (F.col(name) - centre) / scale for name, (centre, scale) in regressor_scales(train).items()}
 
 
 def standardized_regressors(split: DataFrame) -> DataFrame:
     return split.select(
         "nom_produit", "ds", "apprentissage",
-        *[expr.alias(f"{name}_z") for name, expr in standardized(split, F.col("apprentissage")).items()],
+        *[expr.alias(f"{name}_z") for name, expr in standardized(F.col("apprentissage")).items()],
+    )
+
+
+def regressor_choice(mv: DataFrame, choices: dict[str, list[str]]) -> DataFrame:
+    """Regressors to use per product, from its type and shelf life.
+
+    Products carry no food family, so the shelf life stands for it: under 3 days
+    is ultra-perishable, under 7 days is fresh produce.
+    """
+    life = F.avg(shelf_life())
+    category = (
+        F.when(F.col("type_produit") == CLEANING, "entretien")
+        .when(F.col("_classe") == "critique", "ultra_perissable")
+        .when(F.col("_classe") == "attention", "legumes_fruits")
+        .otherwise("stable")
+    )
+    rules = F.create_map(*[
+        x for name, regressors in choices.items() for x in (F.lit(name), F.array(*[F.lit(r) for r in regressors]))
+    ])
+    return (
+        with_keys(mv, ["nom_produit", "type_produit"]).groupBy("nom_produit", "type_produit")
+        .agg(perishability(life).alias("_classe"))
+        .withColumn("categorie", category)
+        .select("nom_produit", "categorie", F.explode(rules[F.col("categorie")]).alias("regresseur"))
     )

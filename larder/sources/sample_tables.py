@@ -99,6 +99,8 @@ def movements(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     ordering = ["date", "nom_produit", "type_operation", "id_lot", "id_produit", "quantite"]
     if "nom_fournisseur" in needs:
         needs.add("id_fournisseur")
+    if needs & set(REGRESSOR_COLUMNS):
+        needs.add("date")
     keep = [c for c in derived if c in needs or ("stock_theorique" in needs and c in ordering)]
     extra = [F.col("l_extendedprice")] if "stock_theorique" in needs else []
     df = df.select(*[derived[c].alias(c) for c in keep], *extra)
