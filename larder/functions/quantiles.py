@@ -7,80 +7,63 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.session import materialize
+
 SKETCH_ACCURACY = 10_000
 # Ranks looked at on each side of a quantile, as a share of the rows. Ten times
 # the rank error that the sketch guarantees.
 MARGIN = 10 / SKETCH_ACCURACY
-# Columns up to this many values are ranked as a whole.
-WHOLE_UP_TO = 1_000_000
-
+# Where the margin spans fewer ranks than this, the whole column is looked at.
+LEAST_RANKS = 100
 
-def exact_quantiles(
-    values: DataFrame,
-    probs: Sequence[float],
-    margin: float = MARGIN,
-    whole_up_to: int = WHOLE_UP_TO,
-) -> DataFrame:
-    """Quantiles of ``values(colonne, valeur)``, one row per column with ``q0``, ``q1``, ...
 
-    A sketch per column gives a value range around each quantile that surely
-    holds it. Values below the range are only counted; values inside are grouped
-    and ranked. The result is exact, and ordered work is limited to the
-    ``2 * margin`` share of one column around one quantile.
-    """
-    values = values.where(F.col("valeur").isNotNull())
-    n = len(probs)
-    edges = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
-    sketched = F.percentile_approx("valeur", F.array(*[F.lit(e) for e in edges]), F.lit(SKETCH_ACCURACY))
-    everything = F.array(*[F.lit(float(s)) for s in ["-inf"] * n + ["inf"] * n])
-    bounds = values.groupBy("colonne").agg(F.count("valeur").alias("nb"), sketched.alias("_bornes")).select(
-        "colonne", "nb", F.when(F.col("nb") <= whole_up_to, everything).otherwise(F.col("_bornes")).alias("bornes")
-    )
-    # One row per profiled column.
-    bounded = values.join(F.broadcast(bounds), "colonne")
+def quantile_ranges(values: DataFrame, probs: Sequence[float], margin: float = MARGIN) -> DataFrame:
+    """A value range around each quantile of each column that surely holds it, from sketches."""
+    edges = [edge for p in probs for edge in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    sketch = F.percentile_approx("valeur", F.array(*[F.lit(e) for e in edges]), F.lit(SKETCH_ACCURACY))
+    everything = F.array(*[F.lit(float(end)) for _ in probs for end in ("-inf", "inf")])
+    ranges = values.where(F.col("valeur").isNotNull()).groupBy("colonne").agg(
+        F.when(F.count("valeur") * margin >= LEAST_RANKS, sketch).otherwise(everything).alias("bornes"))
+    return materialize(ranges, "quantile_ranges")
 
-    def low(i):
-        return F.element_at("bornes", i + 1)
 
-    def high(i):
-        return F.element_at("bornes", n + i + 1)
+def exact_quantiles(values: DataFrame, probs: Sequence[float], ranges: DataFrame | None = None) -> DataFrame:
+    """Quantiles of ``values(colonne, valeur)``, one row per column with ``q0``, ``q1``, ...
 
-    below = bounded.groupBy("colonne").agg(
-        F.array(*[F.count_if(F.col("valeur") < low(i)) for i in range(n)]).alias("sous"),
-    )
+    Values are counted first and ranked after, so ordered work is on distinct
+    values only. With ``ranges`` it shrinks to those near a quantile: the values
+    between two ranges become one line with their count. The result is the same.
+    """
     value = F.col("valeur")
-    inside = [(value >= low(i)) & (value <= high(i)) for i in range(n)]
-    any_inside = inside[0]
-    for condition in inside[1:]:
-        any_inside = any_inside | condition
-    matches = F.filter(
-        F.array(*[
-            F.when(inside[i], F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("nb") - 1)).alias("place")))
-            for i, p in enumerate(probs)
-        ]),
-        lambda m: m.isNotNull(),
-    )
-    counts = (
-        bounded.where(any_inside).groupBy("colonne", "valeur", "nb", "bornes").agg(F.count("*").alias("nb_valeur"))
-        .select("colonne", "valeur", "nb_valeur", F.explode(matches).alias("c"))
-        .select("colonne", "valeur", "nb_valeur", "c.i", "c.place")
-    )
-    upto = Window.partitionBy("colonne", "i").orderBy("valeur").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        counts.withColumn("_cumul", F.sum("nb_valeur").over(upto))
-        .join(F.broadcast(below), "colonne")
-        .withColumn("fin", F.col("_cumul") + F.element_at("sous", F.col("i") + 1))
-        .withColumn("debut", F.col("fin") - F.col("nb_valeur"))
-    )
+    values = values.where(value.isNotNull())
+    if ranges is None:
+        counts = values.groupBy("colonne", "valeur").agg(F.count("*").alias("nb"))
+    else:
+        # One row per profiled column: a bound set by the schema, safe to broadcast.
+        ranged = values.join(F.broadcast(ranges), "colonne")
+        low = [F.element_at("bornes", 2 * i + 1) for i in range(len(probs))]
+        high = [F.element_at("bornes", 2 * i + 2) for i in range(len(probs))]
+        inside = F.lit(False)
+        for a, b in zip(low, high):
+            inside = inside | value.between(a, b)
+        gap = sum((F.when(value > b, 1).otherwise(0) for b in high), F.lit(0))
+        counts = (
+            ranged.groupBy("colonne", F.when(inside, value).alias("_dedans"), F.when(~inside, gap).alias("_ecart"))
+            .agg(F.count("*").alias("nb"), F.max(value).alias("valeur"))
+        )
+    ordered = Window.partitionBy("colonne").orderBy("valeur").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_fin", F.sum("nb").over(ordered)).withColumn(
+        "_total", F.sum("nb").over(Window.partitionBy("colonne")))
+    found = value if ranges is None else F.col("_dedans")
 
-    def holds(rank):
-        return (rank >= F.col("debut")) & (rank < F.col("fin"))
+    def at(rank):
+        return F.max(F.when((rank >= F.col("_fin") - F.col("nb")) & (rank < F.col("_fin")), found))
 
-    floor, ceil = F.floor("place"), F.ceil("place")
-    ends = ranked.where(holds(floor) | holds(ceil)).groupBy("colonne", "i").agg(
-        F.min("valeur").alias("bas"), F.max("valeur").alias("haut"), F.first("place").alias("place")
+    picks = {}
+    for i, p in enumerate(probs):
+        place = F.lit(p) * (F.col("_total") - 1)
+        picks |= {f"b{i}": at(F.floor(place)), f"h{i}": at(F.ceil(place)), f"f{i}": F.max(place - F.floor(place))}
+    return ranked.groupBy("colonne").agg(*[expr.alias(name) for name, expr in picks.items()]).select(
+        "colonne",
+        *[(F.col(f"b{i}") + (F.col(f"h{i}") - F.col(f"b{i}")) * F.col(f"f{i}")).alias(f"q{i}") for i in range(len(probs))],
     )
-    quantile = F.col("bas") + (F.col("haut") - F.col("bas")) * (F.col("place") - F.floor("place"))
-    return ends.groupBy("colonne").agg(*[
-        F.max(F.when(F.col("i") == i, quantile)).alias(f"q{i}") for i in range(n)
-    ])

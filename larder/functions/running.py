@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.functions.columns import with_keys
+
 
 def running_total(
     df: DataFrame,
@@ -23,14 +25,15 @@ def running_total(
     pre-aggregated sums are ordered over a whole group: one row per day, and per
     day one row per block. The rows themselves are ordered inside a single
     (group, day, block), so a group holding a third of the table still spreads
-    over all its days and blocks.
+    over all its days and blocks. Rows without a group, day or block get null.
     """
     group, block = list(group), list(block)
     per_day = group + [day]
     per_block = per_day + block
     before = (Window.unboundedPreceding, -1)
 
-    blocks = df.groupBy(*per_block).agg(F.sum(value).alias("_bloc"))
+    # Filtered here, so that both uses below share one aggregation of the table.
+    blocks = with_keys(df, per_block).groupBy(*per_block).agg(F.sum(value).alias("_bloc"))
     block_offsets = blocks.select(
         *per_block,
         F.coalesce(

@@ -17,9 +17,12 @@ from larder.fixed_values import (
     MEAN_REGRESSORS,
 )
 from larder.functions.columns import half_even, percent, shelf_life, total, unpivot_aggregates, with_keys
-from larder.functions.quantiles import exact_quantiles
+from larder.functions.quantiles import exact_quantiles, quantile_ranges
+from larder.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
+# Columns up to this many values are ranked as a whole.
+WHOLE_UP_TO = 1_000_000
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -52,25 +55,26 @@ def missing_values(df: DataFrame) -> DataFrame:
     return unpivot_aggregates(df, rows).where(F.col("nb_manquants") > 0)
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, deviation, minimum, exact quartiles and maximum of numeric columns."""
+def describe(df: DataFrame, columns: Sequence[str] | None = None, whole_up_to: int = WHOLE_UP_TO) -> DataFrame:
+    """Count, mean, deviation, minimum, exact quartiles and maximum of numeric columns.
+
+    The counts are taken right away: columns with more than ``whole_up_to`` values
+    are searched for their quartiles near a sketch's estimate only.
+    """
     columns = list(columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)])
-    moments = unpivot_aggregates(df, [
-        {
-            "colonne": F.lit(c),
-            "nb": F.count(c),
-            "moyenne": F.avg(c),
-            "ecart_type": F.stddev_samp(c),
-            "minimum": F.min(c).cast("double"),
-            "maximum": F.max(c).cast("double"),
-        }
-        for c in columns
-    ])
-    long = df.select(F.explode(F.array(*[
+    long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("colonne"), F.col(c).cast("double").alias("valeur")) for c in columns
-    ])).alias("v")).select("v.*")
-    quartiles = exact_quantiles(long, QUARTILES)
-    return moments.join(quartiles, "colonne", "left").select(
+    ])))
+    moments = materialize(long.groupBy("colonne").agg(
+        F.count("valeur").alias("nb"),
+        F.avg("valeur").alias("moyenne"),
+        F.stddev_samp("valeur").alias("ecart_type"),
+        F.min("valeur").alias("minimum"),
+        F.max("valeur").alias("maximum"),
+    ), "moments")
+    most = moments.agg(F.max("nb")).first()[0]
+    ranges = quantile_ranges(long, QUARTILES) if most > whole_up_to else None
+    return moments.join(exact_quantiles(long, QUARTILES, ranges), "colonne", "left").select(
         "colonne", "nb", "moyenne", "ecart_type", "minimum",
         F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"), "maximum",
     )

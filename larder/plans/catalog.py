@@ -16,9 +16,10 @@ from larder.fixed_values import (
 )
 from larder.functions import columns as C
 from larder.operators import demand, evaluate, forecast, quality, replenish, report, ridge, series
-from larder.session import scratch_path
+from larder.session import materialize, scratch_path
 from larder.sources import movements as readers
 from larder.sources import runs, sinks
+from larder.sources.movements import MOVEMENT_SCHEMA
 from larder.sources.sample_tables import CHANGEPOINTS, FOCUS_PRODUCT, movements
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,7 +123,9 @@ def profile_info(spark, d):
 
 @query
 def profile_describe(spark, d):
-    return rounded(quality.describe(movements(spark, d)))
+    # Read several times, so the running stock is worked out once.
+    mv = movements(spark, d).select([f.name for f in MOVEMENT_SCHEMA if isinstance(f.dataType, T.NumericType)])
+    return rounded(quality.describe(materialize(mv, "movements")))
 
 
 @query

@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "larder", master: str | None = None, partitions: int | None = None) -> SparkSession:
@@ -51,3 +51,14 @@ def _local_dir(application_id: str) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Runs ``df`` now, writes it to the shared folder and reads it back.
+
+    For a small result that several later steps need: each step would otherwise
+    compute it again, with whatever columns the optimizer leaves it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
