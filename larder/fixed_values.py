@@ -95,6 +95,7 @@ REGRESSORS_BY_CATEGORY = {
 
 # --- Fixed values: advice given with a waste risk ---------------------------
 WASTE_ACTIONS = ["adapter_menus", "reduire_commande", "verifier_fifo", "proposer_promotions"]
+SEASON_ADVICE = "Tenir compte des variations saisonnières"
 
 # --- Fixed values: model configurations -------------------------------------
 # name, multiplicative, yearly order, weekly order, changepoint prior,

@@ -12,6 +12,7 @@ from larder.fixed_values import (
     FORECAST_DAYS,
     HOLIDAY_FLAGS,
     MODEL_REGRESSORS,
+    SEASON_ADVICE,
     WEEKLY_ORDER,
     YEARLY_ORDER,
 )
@@ -53,8 +54,24 @@ def product_summary(
 
 def nested_summary(
     summary: DataFrame, method: str, analysed_at: Column | None = None, changepoints: Sequence[str] = (),
+    dataset: DataFrame | None = None, events: DataFrame | None = None,
 ) -> DataFrame:
-    """The summary as one document per product, numbers rounded to 2 digits."""
+    """The summary as one document per product, numbers rounded to 2 digits.
+
+    ``dataset`` is the one-row profile ``nb_lignes, debut, fin`` of the table the
+    summary comes from, ``events`` the event days of each product; what is not
+    given stays null.
+    """
+    total, since, until = (
+        (dataset.select(c).scalar() for c in ("nb_lignes", "debut", "fin")) if dataset is not None
+        else (F.lit(None).cast(t) for t in ("long", "date", "date"))
+    )
+    if events is not None:
+        summary = summary.join(
+            events.groupBy("nom_produit").agg(F.count("*").alias("nb_holidays")), "nom_produit", "left"
+        ).fillna(0, ["nb_holidays"])
+    else:
+        summary = summary.withColumn("nb_holidays", F.lit(None).cast("long"))
 
     def two(name):
         return half_even(F.col(name)).alias(name)
@@ -65,6 +82,7 @@ def nested_summary(
     first_day, last_day = F.date_add("fin", 1), F.date_add("fin", FORECAST_DAYS)
     configuration = F.struct(
         F.array(*[F.lit(label) for label, _ in HOLIDAY_FLAGS]).alias("holidays"),
+        "nb_holidays",
         F.array(*[F.lit(d) for d in changepoints]).cast("array<string>").alias("changepoints"),
         F.lit(len(changepoints)).alias("nb_changepoints"),
         F.array(*[F.lit(name) for name, _, _ in MODEL_REGRESSORS]).alias("regresseurs"),
@@ -73,6 +91,9 @@ def nested_summary(
     return summary.select(
         F.col("nom_produit").alias("produit"),
         F.date_format(F.current_timestamp() if analysed_at is None else analysed_at, "yyyy-MM-dd HH:mm:ss").alias("date_analyse"),
+        F.struct(
+            total.alias("nb_lignes_total"), F.concat_ws(" → ", text(since), text(until)).alias("periode_donnees"),
+        ).alias("dataset"),
         F.struct(text("debut").alias("debut"), text("fin").alias("fin"), "nb_jours").alias("periode_historique"),
         F.struct(two("consommation_moyenne_jour"), two("duree_vie_moyenne"), two("ecart_type")).alias("statistiques"),
         F.struct(
@@ -93,5 +114,6 @@ def nested_summary(
             F.coalesce(F.bround("duree_stock_jours", 1), F.lit(0.0)).alias("duree_stock_actuel_jours"),
             half_even(F.col("risque_gaspillage")).alias("risque_gaspillage_kg"),
             two("commande_hebdomadaire"), two("stock_securite"),
+            F.lit(SEASON_ADVICE).alias("attention"),
         ).alias("recommandations"),
     )

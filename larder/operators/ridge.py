@@ -103,10 +103,11 @@ def model_rows(rows: DataFrame, train: Column, dates: Sequence[str] | None, blin
 
 
 def forecast_rows(
-    dense: DataFrame, dates: Sequence[str] | None, periods: int = FORECAST_DAYS, fill: str = "mean"
+    dense: DataFrame, dates: Sequence[str] | None, periods: int = FORECAST_DAYS, fill: str = "mean",
+    events: DataFrame | None = None,
 ) -> DataFrame:
     """All history for training, then the future days."""
-    return model_rows(future_frame(dense, periods, fill), ~F.col("futur"), dates)
+    return model_rows(future_frame(dense, periods, fill, events), ~F.col("futur"), dates)
 
 
 def backtest_rows(
@@ -150,10 +151,10 @@ def components(fitted: DataFrame, z: float = Z_85) -> DataFrame:
 
 def forecast_ridge(
     dense: DataFrame, dates: Sequence[str] | None, config: Config = CONFIGS["enrichi"],
-    periods: int = FORECAST_DAYS, fill: str = "mean",
+    periods: int = FORECAST_DAYS, fill: str = "mean", events: DataFrame | None = None,
 ) -> DataFrame:
     """Fit on the whole history, forecast of the days after it."""
-    fitted = fit_ridge(forecast_rows(dense, dates, periods, fill), config, predict=F.col("futur"))
+    fitted = fit_ridge(forecast_rows(dense, dates, periods, fill, events), config, predict=F.col("futur"))
     return components(fitted).select("nom_produit", "ds", "yhat", "yhat_lower", "yhat_upper")
 
 

@@ -211,12 +211,15 @@ def split_coverage(split: DataFrame) -> DataFrame:
 # --- future days --------------------------------------------------------------
 
 
-def future_frame(dense: DataFrame, periods: int = FORECAST_DAYS, fill: str = "mean") -> DataFrame:
+def future_frame(
+    dense: DataFrame, periods: int = FORECAST_DAYS, fill: str = "mean", events: DataFrame | None = None
+) -> DataFrame:
     """History plus ``periods`` days whose regressors are filled in.
 
     Continuous regressors take the product's mean; ``fill="month"`` takes the
     mean of the same month of year for the temperature, where there is one. Flu
-    is on from January to March; other flags are unknown and stay off.
+    is on from January to March; other flags are unknown and stay off, unless
+    ``events(ds, holiday)`` names the days to come.
     """
     last = F.max("ds").over(per_product())
     ends = F.when(F.col("ds") == last, F.date_add("ds", periods)).otherwise(F.col("ds"))
@@ -226,6 +229,14 @@ def future_frame(dense: DataFrame, periods: int = FORECAST_DAYS, fill: str = "me
         .withColumn("futur", F.col("_jour") > F.col("ds"))
         .withColumn("_mois", F.month("_jour"))
     )
+    ahead = dict.fromkeys(FLAG_REGRESSORS, F.lit(0)) | {"epidemie_grippe": F.col("_mois").isin(FLU_MONTHS).cast("int")}
+    if events is not None:
+        named = events.groupBy(F.col("ds").alias("_jour")).agg(*[
+            F.max((F.col("holiday") == label).cast("int")).alias(f"_{flag}") for label, flag in HOLIDAY_FLAGS
+        ])
+        # One row per calendar day.
+        rows = rows.join(F.broadcast(named), "_jour", "left")
+        ahead |= {flag: F.coalesce(F.col(f"_{flag}"), F.lit(0)) for _, flag in HOLIDAY_FLAGS}
     future = F.col("futur")
     columns: dict[str, Column] = {}
     for c in MEAN_REGRESSORS:
@@ -235,8 +246,7 @@ def future_frame(dense: DataFrame, periods: int = FORECAST_DAYS, fill: str = "me
             mean = F.coalesce(F.avg(known).over(Window.partitionBy("nom_produit", "_mois")), mean)
         columns[c] = F.coalesce(known, mean)
     for c in FLAG_REGRESSORS:
-        off = F.col("_mois").isin(FLU_MONTHS).cast("int") if c == "epidemie_grippe" else F.lit(0)
-        columns[c] = F.when(future, off).otherwise(F.col(c))
+        columns[c] = F.when(future, ahead[c]).otherwise(F.col(c))
     return rows.select(
         "nom_produit", F.col("_jour").alias("ds"), F.when(~future, F.col("y")).alias("y"), "futur",
         *[expr.alias(c) for c, expr in columns.items()],

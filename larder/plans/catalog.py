@@ -18,7 +18,8 @@ from larder.functions import columns as C
 from larder.operators import demand, evaluate, forecast, quality, replenish, report, ridge, series
 from larder.session import materialize, scratch_path
 from larder.sources import movements as readers
-from larder.sources import runs, sinks
+from larder.sources import runs as run_store
+from larder.sources import sinks
 from larder.sources.movements import MOVEMENT_SCHEMA
 from larder.sources.sample_tables import CHANGEPOINTS, FOCUS_PRODUCT, movements
 
@@ -355,11 +356,22 @@ def daily_demand(spark, d):
     return _daily(spark, d)
 
 
+@query
+def daily_demand_outgoing(spark, d):
+    """Demand counted as every outgoing row, destroyed ones included."""
+    return demand.daily_demand(_outgoing(spark, d))
+
+
 @query
 def daily_stats(spark, d):
     return rounded(demand.daily_stats(_daily(spark, d)))
 
 
+@query
+def daily_stats_outgoing(spark, d):
+    return rounded(demand.daily_stats(demand.daily_demand(_outgoing(spark, d))))
+
+
 @query
 def daily_with_regressors(spark, d):
     return rounded(_daily_regressors(spark, d))
@@ -537,6 +549,15 @@ def forecast_28d(spark, d):
     return rounded(ridge.forecast_ridge(_dense_regressors(spark, d), CHANGEPOINTS))
 
 
+@query
+def forecast_28d_known_events(spark, d):
+    """The same with the coming events given, here those of the year before moved on."""
+    dense = _dense_regressors(spark, d)
+    known = series.holiday_calendar(movements(spark, d, "date", *REGRESSOR_COLUMNS))
+    coming = known.select(F.add_months("ds", 12).alias("ds"), "holiday")
+    return rounded(ridge.forecast_ridge(dense, CHANGEPOINTS, events=coming))
+
+
 @query
 def regressor_coefficients(spark, d):
     return rounded(ridge.regressor_coefficients(_fitted(spark, d)))
@@ -625,23 +646,28 @@ def _export(spark, d):
 def forecast_export(spark, d):
     """Published forecast, written as CSV and read back."""
     base = scratch_path(spark, "runs")
-    runs.write_run(_export(spark, d), base, "predictions", FIRST_RUN, "csv")
-    return runs.read_table(spark, base, "predictions", "csv", sinks.FORECAST_CSV_SCHEMA)
+    run_store.write_run(_export(spark, d), base, "predictions", FIRST_RUN, "csv")
+    return run_store.read_table(spark, base, "predictions", "csv", sinks.FORECAST_CSV_SCHEMA)
 
 
 @query
 def summary_export(spark, d):
     """Nested summary documents, written as JSON and read back."""
     base = scratch_path(spark, "runs")
-    documents = report.nested_summary(_summary(spark, d), "natif", changepoints=CHANGEPOINTS)
+    every_row = movements(spark, d, "date").agg(
+        F.count("*").alias("nb_lignes"), F.min("date").alias("debut"), F.max("date").alias("fin"))
+    documents = report.nested_summary(
+        _summary(spark, d), "natif", changepoints=CHANGEPOINTS, dataset=every_row,
+        events=series.holidays(_dense_regressors(spark, d)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
-    runs.write_run(documents, base, "resumes", FIRST_RUN, "json")
-    back = runs.read_table(spark, base, "resumes", "json", schema)
+    run_store.write_run(documents, base, "resumes", FIRST_RUN, "json")
+    back = run_store.read_table(spark, base, "resumes", "json", schema)
     return back.select(
-        "produit", "periode_historique.*", "statistiques.*",
+        "produit", "dataset.*", "periode_historique.*", "statistiques.*",
         "performance_modele.MAE", "performance_modele.MAPE", "performance_modele.RMSE",
         "performance_modele.verdict",
         F.col("configuration_modele.nb_changepoints").alias("nb_changepoints"),
+        F.col("configuration_modele.nb_holidays").alias("nb_holidays"),
         F.col("predictions.periode").alias("periode"), F.col("predictions.total_prevu").alias("total_prevu"),
         F.col("predictions.minimum").alias("minimum"), F.col("predictions.maximum").alias("maximum"),
         "recommandations.*",
@@ -652,20 +678,20 @@ def _two_runs(spark, d):
     base = scratch_path(spark, "runs")
     average = forecast.forecast_moving_average(_dense(spark, d))
     units = sinks.product_units(movements(spark, d, "nom_produit", "unite"))
-    runs.write_run(_export(spark, d), base, "predictions", FIRST_RUN, "csv")
-    runs.write_run(sinks.forecast_export(average, units), base, "predictions", SECOND_RUN, "csv")
+    run_store.write_run(_export(spark, d), base, "predictions", FIRST_RUN, "csv")
+    run_store.write_run(sinks.forecast_export(average, units), base, "predictions", SECOND_RUN, "csv")
     totals = evaluate.forecast_summary(average)
-    runs.write_run(totals, base, "totaux", SECOND_RUN, "json")
-    runs.write_run(runs.as_text(runs.summary_lines(totals)), base, "resume", SECOND_RUN, "text")
+    run_store.write_run(totals, base, "totaux", SECOND_RUN, "json")
+    run_store.write_run(run_store.as_text(run_store.summary_lines(totals)), base, "resume", SECOND_RUN, "text")
     return base
 
 
 def _predictions(spark, base):
-    return runs.read_table(spark, base, "predictions", "csv", sinks.FORECAST_CSV_SCHEMA)
+    return run_store.read_table(spark, base, "predictions", "csv", sinks.FORECAST_CSV_SCHEMA)
 
 
 @query
-def forecast_runs(spark, d):
+def runs(spark, d):
     """Two runs in one table: forecast days and products of each."""
     base = _two_runs(spark, d)
     return _predictions(spark, base).groupBy("run_id").agg(
@@ -676,17 +702,17 @@ def forecast_runs(spark, d):
 def run_summary(spark, d):
     """Key/value lines of a run's forecast totals."""
     average = forecast.forecast_moving_average(_dense(spark, d))
-    return runs.summary_lines(evaluate.forecast_summary(average).drop("ecart_type").transform(rounded))
+    return run_store.summary_lines(evaluate.forecast_summary(average).drop("ecart_type").transform(rounded))
 
 
 @query
 def run_files(spark, d):
     """Tables of each run with the kind of their files."""
-    return runs.run_files(spark, _two_runs(spark, d)).groupBy("run_id", "table", "type").agg(
+    return run_store.run_files(spark, _two_runs(spark, d)).groupBy("run_id", "table", "type").agg(
         F.count("*").alias("nb_fichiers"), F.sum("taille_ko").alias("taille_ko"))
 
 
 @query
 def run_history(spark, d):
     base = _two_runs(spark, d)
-    return runs.run_history(spark, base, _predictions(spark, base))
+    return run_store.run_history(spark, base, _predictions(spark, base))

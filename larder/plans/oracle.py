@@ -16,6 +16,7 @@ from larder.fixed_values import (
     MOVEMENT_COLUMNS,
     REGRESSOR_COLUMNS,
     REGRESSORS_BY_CATEGORY,
+    SEASON_ADVICE,
     WASTE_ACTIONS,
     WEEKDAYS,
     Z_85,
@@ -417,6 +418,10 @@ oracle("daily_demand", "SELECT nom_produit, date, quantite FROM jours")
 oracle("daily_stats", """
   SELECT nom_produit, avg(quantite) AS moyenne, median(quantite) AS mediane, min(quantite) AS minimum,
     max(quantite) AS maximum, stddev_samp(quantite) AS ecart_type FROM jours GROUP BY 1""", "moyenne mediane ecart_type")
+oracle("daily_demand_outgoing", "SELECT nom_produit, date, sum(quantite) AS quantite FROM sorties GROUP BY 1, 2")
+oracle("daily_stats_outgoing", """
+  SELECT nom_produit, avg(q) AS moyenne, median(q) AS mediane, min(q) AS minimum, max(q) AS maximum, stddev_samp(q) AS ecart_type
+  FROM (SELECT nom_produit, date, sum(quantite) AS q FROM sorties GROUP BY 1, 2) GROUP BY 1""", "moyenne mediane ecart_type")
 oracle("daily_with_regressors", f"SELECT nom_produit, date, quantite, {', '.join(REGRESSOR_COLUMNS)} FROM jours", MEANS)
 oracle("moving_avg", """
   SELECT nom_produit, date, quantite,
@@ -566,12 +571,16 @@ oracle("summary_export", f"""
   SELECT nom_produit AS produit, strftime(debut, '%Y-%m-%d') AS debut, strftime(fin, '%Y-%m-%d') AS fin, nb_jours,
     round_even(mae, 2) AS "MAE", round_even(mape, 2) AS "MAPE", round_even(rmse, 2) AS "RMSE", verdict,
     CAST({len(CHANGEPOINTS)} AS INTEGER) AS nb_changepoints,
+    coalesce((SELECT count(*) FROM fetes f WHERE f.nom_produit = resume.nom_produit), 0) AS nb_holidays,
+    (SELECT count(*) FROM mv) AS nb_lignes_total,
+    (SELECT strftime(min(date), '%Y-%m-%d') || ' → ' || strftime(max(date), '%Y-%m-%d') FROM mv) AS periode_donnees,
+    '{SEASON_ADVICE}' AS attention,
     strftime(CAST(fin + 1 AS DATE), '%Y-%m-%d') || ' → ' || strftime(CAST(fin + 28 AS DATE), '%Y-%m-%d') AS periode,
     {_two}, horizon AS horizon_commande_jours,
     coalesce(round_even(duree_stock_jours, 1), 0e0) AS duree_stock_actuel_jours,
     round_even(risque_gaspillage, 2) AS risque_gaspillage_kg
   FROM resume""")
-oracle("forecast_runs", """
+oracle("runs", """
   SELECT run_id, count(*) AS nb_lignes, count(DISTINCT nom_produit) AS nb_produits
   FROM futurs, (VALUES ('20250101_080000'), ('20250102_080000')) AS r(run_id) GROUP BY 1""")
 

@@ -165,3 +165,11 @@ def test_order_horizon_truncates(spark, life, horizon):
 def test_slug(spark):
     df = spark.createDataFrame([("Pain de mie",)], "p string")
     assert rows(df.select(C.slug("p"), C.slug("p", lower=False))) == [("pain_de_mie", "Pain_de_mie")]
+
+
+def test_future_events_are_taken_from_the_given_calendar(spark, make):
+    daily = demand.daily_demand(make({}, {"date": day("2024-01-02")}), regressors=True)
+    events = spark.createDataFrame([(day("2024-01-03"), "jour_ferie"), (day("2024-01-04"), "covid_19")], "ds date, holiday string")
+    future = series.future_frame(series.dense_daily_regressors(daily), 3, events=events).where("futur")
+    found = sorted(rows(future.select("ds", "jour_ferie", "vacances_scolaires", "covid_impact", "epidemie_grippe")))
+    assert [r[1:] for r in found] == [(1, 0, 0, 1), (0, 0, 1, 1), (0, 0, 0, 1)]
