@@ -4,55 +4,59 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.columns import with_keys
 
+# Days with more rows than this are ordered block by block.
+HOT_ROWS = 5_000_000
+
 
 def running_total(
     df: DataFrame,
     group: Sequence[str],
     day: str,
-    block: Sequence[str],
+    block: Column,
     order: Sequence[str],
     value: str,
     out: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Running sum of ``value`` per ``group``, rows ordered by day, block, then ``order``.
+    """Running sum of ``value`` per ``group``, rows ordered by day, then ``order``.
 
-    ``block`` columns must be a prefix of the wanted order within a day. Only
-    pre-aggregated sums are ordered over a whole group: one row per day, and per
-    day one row per block. The rows themselves are ordered inside a single
-    (group, day, block), so a group holding a third of the table still spreads
-    over all its days and blocks. Rows without a group, day or block get null.
+    Only daily sums are ordered over a whole group. Rows are ordered within one
+    (group, day), and those of a hot day within one ``block`` of it, whose sums
+    are ordered in turn. ``block`` is any whole number that never falls along
+    ``order``. Rows without a group or day get null.
     """
-    group, block = list(group), list(block)
-    per_day = group + [day]
-    per_block = per_day + block
+    per_day = [*group, day]
+    per_block = [*per_day, "_bloc"]
     before = (Window.unboundedPreceding, -1)
 
-    # Filtered here, so that both uses below share one aggregation of the table.
-    blocks = with_keys(df, per_block).groupBy(*per_block).agg(F.sum(value).alias("_bloc"))
+    def total_before(value, window):
+        return F.coalesce(F.sum(value).over(window.rowsBetween(*before)), F.lit(0.0))
+
+    days = with_keys(df, per_day).groupBy(*per_day).agg(F.sum(value).alias("_jour"), F.count("*").alias("_nb"))
+    # Both uses below need both columns, so they share one aggregation of the table.
+    day_offsets = days.where(F.col("_nb") > 0).select(
+        *per_day, total_before("_jour", Window.partitionBy(*group).orderBy(day)).alias("_avant_jour"))
+    hot = days.where((F.col("_nb") > hot_rows) & F.col("_jour").isNotNull()).select(*per_day, F.lit(True).alias("_chaud"))
+    # At most one line per `hot_rows` rows of the table: safe to broadcast.
+    marked = df.join(F.broadcast(hot), per_day, "left").withColumn(
+        "_bloc", F.when(F.col("_chaud"), block.cast("long")).otherwise(F.lit(0).cast("long")))
+
+    blocks = marked.where("_chaud").groupBy(*per_block).agg(F.sum(value).alias("_somme"))
     block_offsets = blocks.select(
-        *per_block,
-        F.coalesce(
-            F.sum("_bloc").over(Window.partitionBy(*per_day).orderBy(*block).rowsBetween(*before)), F.lit(0.0)
-        ).alias("_avant_bloc"),
-    )
-    day_offsets = (
-        blocks.groupBy(*per_day).agg(F.sum("_bloc").alias("_jour"))
-        .select(
-            *per_day,
-            F.coalesce(
-                F.sum("_jour").over(Window.partitionBy(*group).orderBy(day).rowsBetween(*before)), F.lit(0.0)
-            ).alias("_avant_jour"),
-        )
+        *per_block, total_before("_somme", Window.partitionBy(*per_day).orderBy("_bloc")).alias("_avant_bloc"))
+    offsets = day_offsets.join(block_offsets, per_day, "left").select(
+        *per_day,
+        F.coalesce("_bloc", F.lit(0).cast("long")).alias("_bloc"),
+        (F.col("_avant_jour") + F.coalesce("_avant_bloc", F.lit(0.0))).alias("_avant"),
     )
-    offsets = block_offsets.join(day_offsets, per_day)
     inside = Window.partitionBy(*per_block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        df.join(offsets, per_block, "left")
-        .withColumn(out, F.sum(value).over(inside) + F.col("_avant_bloc") + F.col("_avant_jour"))
-        .drop("_avant_bloc", "_avant_jour")
+        marked.join(offsets, per_block, "left")
+        .withColumn(out, F.sum(value).over(inside) + F.col("_avant"))
+        .drop("_avant", "_bloc", "_chaud")
     )

@@ -24,8 +24,9 @@ COVID_FROM, COVID_TO = "1998-03-15", "1998-06-15"
 CHANGEPOINTS = ["1996-06-01", "1997-03-15", "1998-03-15", "1999-01-01", "2000-06-01"]
 FOCUS_PRODUCT = "small ring"
 
-# Lots of a day are ordered in blocks of 2^20 numbers, see running_total.
+# Blocks for the running stock of hot days: 2^20 lot numbers each, incoming rows first.
 LOT_BLOCK_BITS = 20
+OUTGOING_BLOCKS = 1 << (63 - LOT_BLOCK_BITS)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -107,10 +108,12 @@ def movements(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
     if "stock_theorique" in needs:
         signed = F.when(F.col("type_operation") == INCOMING, F.col("quantite")).otherwise(-F.col("quantite"))
+        lots = F.shiftright("id_lot", LOT_BLOCK_BITS)
         df = running_total(
-            df.withColumns({"_signe": signed, "_bloc_lot": F.shiftright("id_lot", LOT_BLOCK_BITS)}),
-            group=["nom_produit"], day="date", block=["type_operation", "_bloc_lot"],
-            order=["id_lot", "id_produit", "l_extendedprice", "quantite"],
+            df.withColumn("_signe", signed),
+            group=["nom_produit"], day="date",
+            block=F.when(F.col("type_operation") == INCOMING, lots).otherwise(lots + OUTGOING_BLOCKS),
+            order=["type_operation", "id_lot", "id_produit", "l_extendedprice", "quantite"],
             value="_signe", out="stock_theorique",
         )
     if "nom_fournisseur" in needs:

@@ -1,5 +1,7 @@
 """Hot groups, plans and exactness of the distributed building blocks."""
 
+import functools
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -9,6 +11,7 @@ from larder.functions.quantiles import exact_quantiles, quantile_ranges
 from larder.functions.running import running_total
 from larder.operators import demand, evaluate, forecast, ridge, series
 from larder.plans.catalog import QUERIES
+from larder.sources import sample_tables
 from larder.sources.sample_tables import movements
 
 
@@ -17,23 +20,33 @@ def final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-def test_running_total_of_a_hot_group(spark):
+@pytest.mark.parametrize("hot_rows", [5, 60, 10_000])
+def test_running_total_of_a_hot_group(spark, hot_rows):
     rng = np.random.default_rng(3)
     n = 3000
     pdf = pd.DataFrame({
-        "g": np.where(rng.random(n) < 0.7, "hot", "cold"), "d": rng.integers(0, 20, n), "b": rng.integers(0, 4, n),
+        "g": np.where(rng.random(n) < 0.7, "hot", "cold"), "d": rng.integers(0, 20, n),
         "k": rng.permutation(n), "v": rng.integers(-5, 9, n).astype(float),
     })
-    df = running_total(spark.createDataFrame(pdf), ["g"], "d", ["b"], ["k"], "v", "total").toPandas()
-    pdf = pdf.sort_values(["g", "d", "b", "k"])
+    df = running_total(
+        spark.createDataFrame(pdf), ["g"], "d", F.shiftright("k", 8), ["k"], "v", "total", hot_rows).toPandas()
+    pdf = pdf.sort_values(["g", "d", "k"])
     pdf["expected"] = pdf.groupby("g").v.cumsum()
     both = df.merge(pdf[["k", "expected"]], on="k")
     assert len(both) == n and (both.total == both.expected).all()
 
 
 def test_running_total_keeps_rows_without_a_group(spark):
-    df = spark.createDataFrame([("a", 1, 1, 1, 2.0), (None, 1, 1, 2, 3.0)], "g string, d int, b int, k int, v double")
-    assert sorted(r["total"] or -1 for r in running_total(df, ["g"], "d", ["b"], ["k"], "v", "total").collect()) == [-1, 2.0]
+    df = spark.createDataFrame([("a", 1, 1, 2.0), (None, 1, 2, 3.0)], "g string, d int, k int, v double")
+    assert sorted(r["total"] or -1 for r in running_total(df, ["g"], "d", F.col("k"), ["k"], "v", "total").collect()) == [-1, 2.0]
+
+
+def test_stock_of_hot_days_is_the_same(spark, sf, monkeypatch):
+    columns = ["nom_produit", "date", "type_operation", "id_lot", "id_produit", "quantite", "stock_theorique"]
+    usual = sorted(map(str, movements(spark, sf, *columns).collect()))
+    monkeypatch.setattr(sample_tables, "LOT_BLOCK_BITS", 3)
+    monkeypatch.setattr(sample_tables, "running_total", functools.partial(running_total, hot_rows=1))
+    assert sorted(map(str, movements(spark, sf, *columns).collect())) == usual
 
 
 @pytest.mark.parametrize("with_ranges", [False, True])
