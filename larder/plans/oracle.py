@@ -589,3 +589,8 @@ oracle("run_summary", f"""
     UNPIVOT (SELECT nom_produit AS produit, {", ".join(f"round({c}, 4) + 0e0 AS {c}" for c in _total_columns.split() if c != "ecart_type")}
              FROM ({_totals} FROM moyenne GROUP BY 1))
     ON {", ".join(c for c in _total_columns.split() if c != "ecart_type")} INTO NAME cle VALUE valeur)""")
+
+oracle("run_history", """
+  SELECT run_id, CAST(0 AS BIGINT) AS nb_graphs, CAST(1 AS BIGINT) AS nb_csv, CAST(n AS BIGINT) AS nb_json, CAST(n AS BIGINT) AS nb_txt,
+    count(DISTINCT nom_produit) AS nb_produits
+  FROM futurs, (VALUES ('20250101_080000', 0), ('20250102_080000', 1)) AS r(run_id, n) GROUP BY run_id, n""")

@@ -74,13 +74,17 @@ def as_text(lines: DataFrame) -> DataFrame:
 
 
 def run_history(spark: SparkSession, base: str, products: DataFrame, limit: int = 10) -> DataFrame:
-    """Latest runs first, with their files by kind and the number of products.
+    """Latest runs first, with their tables by kind and the number of products.
 
-    ``products`` is any result table with ``run_id`` and ``produit``.
+    A table counts once, however many part files it has. ``products`` is any
+    result table with ``run_id`` and ``produit``.
     """
     kinds = {"nb_graphs": "png", "nb_csv": "csv", "nb_json": "json", "nb_txt": "txt"}
-    files = run_files(spark, base).groupBy("run_id").agg(
+    tables = run_files(spark, base).groupBy("run_id", "table", "type").agg(
+        F.count("*").alias("nb_fichiers"), F.sum("taille_ko").alias("taille_ko"))
+    files = tables.groupBy("run_id").agg(
         *[F.count_if(F.col("type") == ext).alias(name) for name, ext in kinds.items()],
+        F.sum("nb_fichiers").alias("nb_fichiers"),
         F.sum("taille_ko").alias("taille_ko"),
     )
     covered = products.groupBy("run_id").agg(F.count_distinct("produit").alias("nb_produits"))
