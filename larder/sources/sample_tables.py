@@ -24,6 +24,12 @@ COVID_FROM, COVID_TO = "1998-03-15", "1998-06-15"
 CHANGEPOINTS = ["1996-06-01", "1997-03-15", "1998-03-15", "1999-01-01", "2000-06-01"]
 FOCUS_PRODUCT = "small ring"
 
+# Movement columns that need `part`. Every line has its part and supplier, so a
+# join that gives no column is left out.
+PART_COLUMNS = {
+    "nom_produit", "type_produit", "unite", "date_expiration", "temperature_stockage", "stock_theorique",
+}
+
 # Blocks for the running stock of hot days: 2^20 lot numbers each, incoming rows first.
 LOT_BLOCK_BITS = 20
 OUTGOING_BLOCKS = 1 << (63 - LOT_BLOCK_BITS)
@@ -78,9 +84,9 @@ def movements(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     cleaning = word.isin(CLEANING_WORDS)
     day = F.col("l_shipdate").cast("date")
 
-    df = table(spark, folder, "lineitem").join(
-        table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
+    df = table(spark, folder, "lineitem")
+    if needs & PART_COLUMNS:
+        df = df.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
 
     derived = {
         "date": day,
