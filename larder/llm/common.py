@@ -37,13 +37,25 @@ def map_batches(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], An
     return df.mapInArrow(run, schema)
 
 
-def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
+def strings(column: pa.Array) -> list[str]:
     """A column of strings with null as empty. Bytes that are no UTF-8 become replacement marks."""
-    column = batch.column(name)
     try:
         return [x or "" for x in column.to_pylist()]
     except UnicodeDecodeError:
-        return [(x or b"").decode("utf-8", "replace") for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
+        raw = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+        return [(x or b"").decode("utf-8", "replace") for x in raw.to_pylist()]
+
+
+def text_udf(start: Callable[[], Callable[[list[str]], Any]], returns: str):
+    """Arrow UDF of one text column. ``start`` runs once per task and returns the function of a batch of texts."""
+
+    @F.arrow_udf(returns)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        step = start()
+        for batch in batches:
+            yield step(strings(batch))
+
+    return run
 
 
 def crc_mod(id_col: str, n: int) -> Column:

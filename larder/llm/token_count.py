@@ -17,11 +17,11 @@ from collections import Counter
 from heapq import heappop, heappush
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm.common import map_batches, table, texts
+from larder.llm.common import table, text_udf
 
 #: Fixed value: the pattern of byte-level pre-tokenisation.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -138,17 +138,12 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     def start():
         counts = Counts(model.value)
+        return lambda batch: pa.array([counts.text(t) for t in batch], pa.int64())
 
-        def step(batch: pa.RecordBatch) -> dict:
-            tokens = [counts.text(t) for t in texts(batch)]
-            size = pc.fill_null(pc.binary_length(batch.column("text")), 0)
-            return {id_col: batch.column("id"), "n_bytes": size, "n_tokens": tokens, "over_limit": [n > limit for n in tokens]}
-
-        return step
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text"), start,
-                       f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    counted = docs.select(
+        F.col(id_col), F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long").alias("n_bytes"),
+        text_udf(start, "long")(F.col(text_col)).alias("n_tokens"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
