@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from larder.llm import exact_dedup, language_id, quality_vote, source_mix, token_count
+from larder.llm import exact_dedup, language_id, pieces, quality_vote, source_mix, token_count
 
 QUERIES = {
     "op1_token_counts": token_count.query,
     "op4_language_id": language_id.query,
     "op6_source_mix": source_mix.query,
     "op7_exact_dedup": exact_dedup.query,
+    "op8_pieces": pieces.query,
     "op9_quality_vote": quality_vote.query,
 }
 ORACLE = {

@@ -55,12 +55,12 @@ def source_rates(
     for name, value in weights.items():
         weight = F.when(F.col("mix_source") == name, F.lit(float(value))).otherwise(weight)
     sizes = materialize(sizes.withColumn("weight", weight), "mix_sources")
-    sums = sizes.agg(F.sum("weight").alias("all_weight"), F.sum("bytes").alias("all_bytes"))
-    wanted = F.col("all_bytes") if total_bytes is None else F.lit(total_bytes)
+    # Two numbers reach the driver.
+    sums = sizes.agg(F.sum("weight").alias("weight"), F.sum("bytes").alias("bytes")).first()
+    wanted = (sums["bytes"] or 0) if total_bytes is None else total_bytes
     rate = F.when(F.col("bytes") == 0, F.when(F.col("weight") > 0, 1.0).otherwise(0.0)).otherwise(
-        F.col("weight") * wanted / (F.col("all_weight") * F.col("bytes")))
-    # One line of sums beside each source.
-    return materialize(sizes.join(F.broadcast(sums)).select("mix_source", rate.alias("rate")).withColumn("cdf", poisson_cdf(F.col("rate"))), "mix_rates")
+        F.col("weight") * F.lit(wanted) / (F.lit(sums["weight"] or 0.0) * F.col("bytes")))
+    return materialize(sizes.select("mix_source", rate.alias("rate")).withColumn("cdf", poisson_cdf(F.col("rate"))), "mix_rates")
 
 
 def replicate(
