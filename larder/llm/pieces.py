@@ -16,6 +16,7 @@ table gives an empty result. Texts are encoded whole. The model must not rewrite
 
 from __future__ import annotations
 
+import hashlib
 import re
 import sys
 from array import array
@@ -30,7 +31,7 @@ from larder.llm.common import table, text_udf
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_CUTS, CACHE_CHARS = 400_000, 64
+CACHE_CUTS, CACHE_CHARS = 200_000, 64
 LARGEST_MODEL = 64_000_000
 
 
@@ -115,16 +116,17 @@ class Encoder:
         self.lowest = min(model["scores"], default=0.0) - UNKNOWN_PENALTY
         self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if model["cuts"] else re.compile("(?s).+")
 
-    def best(self, text: str) -> array:
-        """Identifiers of the best path through ``text`` (markers in place)."""
+    def best(self, text: str) -> bytes:
+        """Identifiers of the best path through ``text`` (markers in place), as 32-bit numbers."""
         raw = text.encode("utf-8", "replace")
         n, base, check, value, scores = len(raw), self.base, self.check, self.value, self.m["scores"]
         size = len(check)
-        total, came, piece = [None] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        nowhere = float("-inf")
+        total, came, piece = [nowhere] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         total[0] = 0.0
         for i in range(n):
             so_far = total[i]
-            if so_far is None:
+            if so_far == nowhere:
                 continue
             step = 1 if raw[i] < 0x80 else 2 if raw[i] < 0xE0 else 3 if raw[i] < 0xF0 else 4
             single, node, j = False, 0, i
@@ -137,11 +139,11 @@ class Encoder:
                 if word >= 0:
                     single = single or j == i + step
                     reached = so_far + scores[word]
-                    if total[j] is None or reached > total[j]:
+                    if reached > total[j]:
                         total[j], came[j], piece[j] = reached, i, word
             if not single:
                 j, reached = i + step, so_far + self.lowest
-                if total[j] is None or reached > total[j]:
+                if reached > total[j]:
                     total[j], came[j], piece[j] = reached, i, -1
         back, j = [], n
         while j > 0:
@@ -153,7 +155,7 @@ class Encoder:
             else:
                 back.append(self.m["unknown"])
             j = i
-        return array("i", reversed(back))
+        return array("i", reversed(back)).tobytes()
 
     def text(self, text: str, out: array) -> None:
         """Appends the identifiers of ``text`` to ``out``."""
@@ -169,7 +171,7 @@ class Encoder:
                     if len(known) >= CACHE_CUTS:
                         known.clear()
                     known[cut] = ids
-            out.extend(ids)
+            out.frombytes(ids)
 
 
 class Decoder:
@@ -227,16 +229,35 @@ def decoded(ids: Column, model: dict, spark: SparkSession) -> Column:
     return text_udf(start, "string")(ids)
 
 
+def checked(text: Column, model: dict, spark: SparkSession) -> Column:
+    """Struct of a text column: n_pieces, n_distinct, pieces_sha256 (of the identifiers as 32-bit numbers) and round_trip.
+
+    Encodes and decodes each text at once, for uses that need no identifiers: those of one text are held at a time.
+    """
+    sent = spark.sparkContext.broadcast(model)
+    kind = pa.struct([("n_pieces", pa.int64()), ("n_distinct", pa.int64()), ("pieces_sha256", pa.string()), ("round_trip", pa.bool_())])
+
+    def start():
+        encoder, decoder = Encoder(sent.value), Decoder(sent.value)
+
+        def one(text: str) -> dict:
+            ids = array("i")
+            encoder.text(text, ids)
+            return {"n_pieces": len(ids), "n_distinct": len(set(ids)), "pieces_sha256": hashlib.sha256(ids.tobytes()).hexdigest(),
+                    "round_trip": decoder.ids(ids) == text}
+
+        return lambda batch: pa.array([one(t) for t in batch], kind)
+
+    return text_udf(start, "n_pieces long, n_distinct long, pieces_sha256 string, round_trip boolean")(text)
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    """Per document: n_pieces, n_distinct of them, a hash of their sequence, and whether decoding gives the text back."""
+    """Per document: n_pieces, n_distinct of them, a digest of their sequence, and whether decoding gives the text back."""
     import public_tokenizers
 
     model = read_model(public_tokenizers.path("piece_bpe_32k.model"))
     docs = table(spark, folder, "documents")
-    ids = docs.select("doc_id", "text", encoded(F.col("text"), model, spark).alias("ids"))
-    back = ids.withColumn("back", decoded(F.col("ids"), model, spark))
-    return back.select("doc_id", F.size("ids").alias("n_pieces"), F.size(F.array_distinct("ids")).alias("n_distinct"),
-                       F.xxhash64("ids").alias("pieces_hash"), (F.col("back") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    return docs.select("doc_id", checked(F.col("text"), model, spark).alias("found")).select("doc_id", "found.*")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

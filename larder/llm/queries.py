@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from larder.llm import exact_dedup, language_id, pieces, quality_vote, source_mix, token_count
+from larder.llm import exact_dedup, hamming_search, language_id, pieces, quality_vote, source_mix, token_count, warc
 
 QUERIES = {
     "op1_token_counts": token_count.query,
+    "op2_warc": warc.query,
+    "op3_hamming_search": hamming_search.query,
     "op4_language_id": language_id.query,
     "op6_source_mix": source_mix.query,
     "op7_exact_dedup": exact_dedup.query,
@@ -13,6 +15,8 @@ QUERIES = {
     "op9_quality_vote": quality_vote.query,
 }
 ORACLE = {
+    "op2_warc": warc.SQL,
+    "op3_hamming_search": hamming_search.SQL,
     "op6_source_mix": source_mix.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
 }
