@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from larder.llm import exact_dedup, hamming_search, language_id, pieces, quality_vote, source_mix, token_count, warc
+from larder.llm import exact_dedup, hamming_search, language_id, near_dedup, pieces, quality_vote, source_mix, token_count, warc
 
 QUERIES = {
     "op1_token_counts": token_count.query,
     "op2_warc": warc.query,
     "op3_hamming_search": hamming_search.query,
     "op4_language_id": language_id.query,
+    "op5_near_dedup": near_dedup.query,
     "op6_source_mix": source_mix.query,
     "op7_exact_dedup": exact_dedup.query,
     "op8_pieces": pieces.query,
