@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larder.llm import exact_dedup, hamming_search, language_id, near_dedup, pieces, quality_vote, source_mix, token_count, warc
+from larder.llm import exact_dedup, hamming_search, language_id, line_dedup, near_dedup, pieces, quality_vote, source_mix, token_count, warc
 
 QUERIES = {
     "op1_token_counts": token_count.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_exact_dedup": exact_dedup.query,
     "op8_pieces": pieces.query,
     "op9_quality_vote": quality_vote.query,
+    "op10_line_dedup": line_dedup.query,
 }
 ORACLE = {
     "op2_warc": warc.SQL,
