@@ -148,7 +148,8 @@ def search(
     asked = materialize(coded(queries), "queries")
     wanted = asked.select(F.col("code").alias("query")).distinct()
 
-    segments = _segments(words, width or segment_width(codes.count()))
+    n_codes = codes.count()
+    segments = _segments(words, width or segment_width(n_codes))
     entries = codes.select("code", F.element_at("ids", 1).alias("first_id"))
     index = materialize(_packed(_exploded(entries, "code", segments, 0), F.struct("code", "first_id"), INDEX_BLOCK, "codes"), "buckets")
 
@@ -162,7 +163,8 @@ def search(
             found = best.unionByName(found).distinct()
         best = materialize(_best(found, most), "best")
         kth = best.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("last"))
-        bound = F.when(F.col("n") == most, F.col("last")).otherwise(FAR)
+        # With all codes met, nothing is unseen.
+        bound = F.when(F.col("n") == n_codes, -1).when(F.col("n") == most, F.col("last")).otherwise(FAR)
         # Whatever is still unseen is at least this far away.
         unseen = len(segments) * (radius + 1)
         still = still.select("query").join(kth, "query", "left").select("query", F.coalesce(bound, F.lit(FAR)).alias("bound")).where(F.col("bound") >= unseen)

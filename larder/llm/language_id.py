@@ -139,7 +139,7 @@ def _sample(docs: DataFrame, usable: Column, id_col: str, text_col: str, label_c
     order = F.xxhash64(F.lit(SEED), F.col(id_col))
     sizes = known.groupBy(F.col(label_col).alias("language")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "language").limit(MOST_LANGUAGES).collect()
     if not sizes:
-        return known.select(F.lit("").alias("language"), F.col(text_col).alias("text"), order.alias("order")).limit(0)
+        return known.select(F.lit("").alias("language"), F.col(text_col).alias("text"), order.alias("order"), F.lit(1).alias("place")).limit(0)
     # Twice the rows wanted of each language, by hash, so that the ranking below gets few.
     some = known.where(functools.reduce(operator.or_, (
         (F.col(label_col) == r["language"]) & (F.pmod(order, F.lit(max(1, r["n"] // (2 * SAMPLE)))) == 0) for r in sizes)))
