@@ -7,7 +7,8 @@ falls below ``MISS``. Survivors are confirmed on their full sets. Links are clos
 
 No bucket is ever paired within itself row by row. First every member of a bucket is compared with the bucket's smallest
 and largest one only, which merges true groups of copies, however large. Buckets that still hold several components are
-then compared block by block inside tasks, pairs of one component excepted; only survivors leave the task.
+then compared block by block inside tasks, pairs of one component excepted, first by signatures, then, for members with a
+candidate left, on their sets; what leaves a task is no more than the links that join its components.
 
 Chance of missing a link at the threshold itself: (1 - 0.85^5)^25 < 1e-6 by the bands and ``MISS`` per batch by pruning.
 
@@ -34,7 +35,8 @@ WORDS = 5
 BANDS, PER_BAND, BATCH = 25, 5, 25
 MISS = 1e-6
 SIMILARITY = 85  # per cent
-BLOCK = 512
+# The most members of a block, about, and the most shingles of their sets.
+BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 CACHE_WORDS = 300_000
 SEED = 2024
 
@@ -112,8 +114,8 @@ def least_matches(threshold: float = SIMILARITY / 100, miss: float = MISS) -> li
     return out
 
 
-def survivors(left: np.ndarray, right: np.ndarray, limits: list[tuple[int, int]]) -> np.ndarray:
-    """Which pairs of signature rows are not pruned; a pair's later batches are read only while it lives."""
+def survivors(left: np.ndarray, right: np.ndarray, limits: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of signature rows are not pruned, and their equal hashes; a pair's later batches are read only while it lives."""
     alive = np.arange(len(left))
     matches = np.zeros(len(left), np.int64)
     start = 0
@@ -121,7 +123,15 @@ def survivors(left: np.ndarray, right: np.ndarray, limits: list[tuple[int, int]]
         matches = matches + (left[alive, start:n] == right[alive, start:n]).sum(axis=1)
         keep = matches >= least
         alive, matches, start = alive[keep], matches[keep], n
-    return alive
+    return alive, matches
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if 100 * min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= SIMILARITY * (len(x) + len(y) - both)
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
@@ -173,7 +183,7 @@ def _bayes(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                alive = survivors(_signatures(batch.column("left")), _signatures(batch.column("right")), limits)
+                alive, _ = survivors(_signatures(batch.column("left")), _signatures(batch.column("right")), limits)
                 yield batch.select(["a", "b"]).take(pa.array(alive))
 
     return _with(pairs, signatures, "sig").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
@@ -187,55 +197,95 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for left, right in zip(batch.column("left"), batch.column("right")):
-                x, y = left.values.to_numpy(), right.values.to_numpy()
-                if 100 * min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= SIMILARITY * (len(x) + len(y) - both))
+            keep = [similar(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(batch.column("left"), batch.column("right"))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return _with(pairs, whole, "shingles").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Members (key, id, label, sig) as lists of about ``BLOCK`` entries at most, numbered within their bucket."""
-    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
-    salted = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(2 * F.col("size") / BLOCK)).cast("int"))
-    salted = salted.withColumn("block", F.when(F.col("size") <= BLOCK, 0).otherwise(F.col("block")))
-    return salted.groupBy("key", "block").agg(F.collect_list(F.struct("id", "label", "sig")).alias("members"))
+def _block_pairs(members: DataFrame) -> DataFrame:
+    """Members (key, id, label, sig, bands, n, ...) packed into blocks of bounded size, and all pairs of blocks of a bucket."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("volume"))
+    pieces = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("volume") / BLOCK_SHINGLES))
+    block = F.when(pieces <= 1, 0).otherwise(F.pmod(F.xxhash64("id"), 2 * pieces)).cast("int")
+    fields = [c for c in members.columns if c not in ("key", "n")]
+    blocks = members.join(sizes, "key").groupBy("key", block.alias("block")).agg(F.collect_list(F.struct(*fields)).alias("members"))
+    blocks = materialize(blocks, "blocks")
+    other = blocks.withColumnsRenamed({"members": "right", "block": "other"})
+    pairs = blocks.withColumnRenamed("members", "left").join(other, "key").where("block <= other")
+    return pairs.select("key", (F.col("block") == F.col("other")).alias("same"), "left", "right")
+
+
+def _candidates(batch: pa.RecordBatch, at: int, limits: list[tuple[int, int]]):
+    """Of one pair of blocks: both sides' fields, and the places and equal hashes of surviving pairs of different components.
+
+    Two members can meet in several buckets: they count in that of their first common band only.
+    """
+    key, same = batch.column("key")[at].as_py(), batch.column("same")[at].as_py()
+    sides = [batch.column(c).slice(at, 1).flatten() for c in ("left", "right")]
+    ids, labels = ([s.field(f).to_numpy() for s in sides] for f in ("id", "label"))
+    marks = [_signatures(s.field("sig")) for s in sides]
+    bands = [s.field("bands").flatten().to_numpy().reshape(-1, BANDS) for s in sides]
+    found = []
+    for start in range(0, len(ids[0]), 64):
+        some = slice(start, start + 64)
+        differ = labels[0][some, None] != labels[1][None, :]
+        if same:
+            differ &= ids[0][some, None] < ids[1][None, :]
+        i, j = np.nonzero(differ)
+        alive, matches = survivors(marks[0][some][i], marks[1][j], limits)
+        i, j = i[alive] + start, j[alive]
+        common = bands[0][i] == bands[1][j]
+        here = bands[0][i, common.argmax(axis=1)] == key if len(i) else np.empty(0, bool)
+        found.append((i[here], j[here], matches[here]))
+    return sides, ids, labels, *(np.concatenate(c) for c in zip(*found))
+
+
+def _open_ends(members: DataFrame) -> DataFrame:
+    """Identifiers of members with a surviving candidate in another component of their bucket."""
+    limits = least_matches()
+
+    def run(batches):
+        for batch in batches:
+            out = [np.empty(0, np.int64)]
+            for at in range(batch.num_rows):
+                _, ids, _, i, j, _ = _candidates(batch, at, limits)
+                out += [np.unique(ids[0][i]), np.unique(ids[1][j])]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], ["id"])
+
+    return _block_pairs(members).mapInArrow(run, "id long").distinct()
 
 
 def _across(members: DataFrame) -> DataFrame:
-    """Surviving pairs of different components in one bucket, found block by block."""
+    """Links between different components of a bucket, confirmed inside the task on the members' sets.
+
+    The most similar candidates come first; two components that a link of these blocks has joined need no second one, so
+    a pair of blocks gives no more links than it has members.
+    """
     limits = least_matches()
-    blocks = materialize(_blocks(members), "blocks")
-    pairs = blocks.withColumnRenamed("members", "left").join(
-        blocks.withColumnsRenamed({"members": "right", "block": "other"}), "key").where("block <= other").select((F.col("block") == F.col("other")).alias("same"), "left", "right")
 
     def run(batches):
         for batch in batches:
             out = ([], [])
             for at in range(batch.num_rows):
-                same = batch.column("same")[at].as_py()
-                sides = [batch.column(c).slice(at, 1).flatten() for c in ("left", "right")]
-                ids, labels = ([s.field(f).to_numpy() for s in sides] for f in ("id", "label"))
-                marks = [_signatures(s.field("sig")) for s in sides]
-                for start in range(0, len(ids[0]), 64):
-                    some = slice(start, start + 64)
-                    differ = labels[0][some, None] != labels[1][None, :]
-                    if same:
-                        differ &= ids[0][some, None] < ids[1][None, :]
-                    i, j = np.nonzero(differ)
-                    alive = survivors(marks[0][some][i], marks[1][j], limits)
-                    x, y = ids[0][some][i[alive]], ids[1][j[alive]]
-                    out[0].append(np.minimum(x, y))
-                    out[1].append(np.maximum(x, y))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c or [np.empty(0)]), pa.int64()) for c in out], ["a", "b"])
-
-    return pairs.mapInArrow(run, "a long, b long").distinct()
+                sides, ids, labels, i, j, matches = _candidates(batch, at, limits)
+                sets_of = [s.field("shingles") for s in sides]
+                joined: dict[int, int] = {}
+
+                def root(label):
+                    while label in joined:
+                        label = joined[label]
+                    return label
+
+                for k in np.argsort(-matches, kind="stable"):
+                    p, q = root(labels[0][i[k]]), root(labels[1][j[k]])
+                    if p != q and similar(sets_of[0][i[k]].values.to_numpy(), sets_of[1][j[k]].values.to_numpy()):
+                        joined[p] = q
+                        out[0].append(ids[0][i[k]])
+                        out[1].append(ids[1][j[k]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in out], ["a", "b"])
+
+    return _block_pairs(members).mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,9 +311,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = materialize(labelled, "labelled")
     # A bucket of two was compared by its star already.
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low <> high AND size > 2").select("key")
-    open_members = labelled.join(mixed, "key", "left_semi").join(signatures, "id").select("key", "id", "label", "sig")
-    rest = _across(open_members).join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(materialize(_confirmed(materialize(rest, "pairs"), texts), "links"))
+    marks = reps.select("id", "sig", "bands", "n")
+    open_members = labelled.join(mixed, "key", "left_semi").join(marks, "id").select("key", "id", "label", "sig", "bands", "n")
+    # Sets are needed of those members only that have a candidate left.
+    ends = materialize(_open_ends(open_members), "ends")
+    whole = materialize(texts.join(ends, "id", "left_semi").select("id", sets(F.col("text")).alias("shingles")), "sets")
+    rest = _across(open_members.join(whole, "id"))
+    links = links.unionByName(materialize(rest, "links"))
     groups = components(links)
 
     # Classes first, so that each document meets one line; a class of very many copies is a skewed join, which AQE splits.
