@@ -2,10 +2,11 @@
 
 Writing. A record is one line of a text file whose line separator is the record's end, two line breaks. Payloads are
 sent in chunked transfer framing; HTTP messages longer than ``SEGMENT`` bytes are cut into a first record and
-continuation records. Chunks end before every ``WARC/1.1`` line of a payload, and no continuation begins with one, so
-the text between two records, ``SEPARATOR``, never stands inside a record.
+continuation records. Chunks end in the middle of every ``WARC/1.1`` line of a payload, so that line, ``VERSION``, stands
+at the start of records only.
 
-Reading. Archives are split at ``SEPARATOR``, so one task need not read a whole archive (compressed ones: one task per
+Reading. Archives are split at ``VERSION``, which can't overlap itself (the line reader would miss a separator that does,
+where its buffer ends inside one), so one task need not read a whole archive (compressed ones: one task per
 file). The block's length must be the stated one. Continuation records are grouped by the identifier of their origin,
 ordered by segment number and checked against the stated total length, then the chunk framing is decoded. Unsegmented
 records pass without a shuffle. A record that fails a check stops the job.
@@ -33,7 +34,6 @@ from larder.session import materialize, scratch_path
 
 END = "\r\n\r\n"
 VERSION = "WARC/1.1\r\n"
-SEPARATOR = END + VERSION
 CHUNK, SEGMENT, MIN_REVISIT = 4096, 32768, 100
 DATE = "1970-01-01T00:00:00Z"
 HEADERS = {
@@ -47,8 +47,8 @@ HEADERS = {
 
 
 def chunked(payload: bytes) -> bytes:
-    """Chunked transfer framing. A chunk ends after ``CHUNK`` bytes and before each version line."""
-    cuts = sorted({*range(0, len(payload), CHUNK), *(m.start() for m in re.finditer(VERSION.encode(), payload))})
+    """Chunked transfer framing. A chunk ends after ``CHUNK`` bytes and inside each version line."""
+    cuts = sorted({*range(0, len(payload), CHUNK), *(m.start() + 4 for m in re.finditer(VERSION.encode(), payload))})
     parts = []
     for start, stop in zip(cuts, [*cuts[1:], len(payload)]):
         parts += [b"%x\r\n" % (stop - start), payload[start:stop], b"\r\n"]
@@ -72,15 +72,8 @@ def unchunked(message: bytes) -> bytes:
 
 
 def segments(message: bytes, size: int = SEGMENT) -> list[bytes]:
-    """The message cut after every ``size`` bytes, one byte earlier where the next part would begin with a version line."""
-    parts, start = [], 0
-    while len(message) - start > size:
-        stop = start + size
-        if message.startswith(VERSION.encode(), stop):
-            stop -= 1
-        parts.append(message[start:stop])
-        start = stop
-    return [*parts, message[start:]]
+    """The message cut after every ``size`` bytes."""
+    return [message[at : at + size] for at in range(0, len(message), size)]
 
 
 def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
@@ -150,7 +143,7 @@ def write_pages(pages: DataFrame, path: str, compression: str = "gzip", id_col:
 
 def raw_records(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the archives below ``path``: its fields (null where absent) and its block, of checked length."""
-    text = spark.read.option("lineSep", SEPARATOR).text(path).where(F.octet_length("value") > 0)
+    text = spark.read.option("lineSep", VERSION).text(path).where(F.octet_length("value") > 0)
     head = F.substring_index("value", END, 1)
     fields = {name: F.regexp_extract(F.col("head"), rf"(?im)^{label}:[ \t]*([^\r\n]*)", 1) for name, label in HEADERS.items()}
     parsed = text.select(F.col("value").cast("binary").alias("bytes"), head.alias("head")).select(
@@ -158,7 +151,7 @@ def raw_records(spark: SparkSession, path: str) -> DataFrame:
     numbers = {"segment": "int", "total": "long", "length": "int"}
     parsed = parsed.withColumns({name: F.col(name).cast(kind) for name, kind in numbers.items()})
     rest = F.octet_length("bytes") - F.col("head_length") - len(END)
-    whole = (rest == F.col("length")) | (rest == F.col("length") + len(END))
+    whole = rest == F.col("length") + len(END)
     block = F.expr(f"substring(bytes, head_length + {len(END)} + 1, length)")
     broken = F.raise_error(F.concat(F.lit("the block of a record has another length than stated: "), F.coalesce("record_id", F.lit("?"))))
     return parsed.withColumn("block", F.when(whole, block).otherwise(broken)).drop("bytes", "head_length")
