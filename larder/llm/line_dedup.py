@@ -35,6 +35,8 @@ EDITS = 2
 LEAST_CHARS = 24
 BLOCK = 256
 SEEN = 500_000
+# The largest filter of line hashes that tasks get: 8 MB.
+FILTER_BITS = 1 << 26
 
 
 def partition(length: int, parts: int) -> list[tuple[int, int]]:
@@ -144,13 +146,24 @@ def _keys(docs: DataFrame, keys_of) -> DataFrame:
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, key, line) of the lines with the given hashes, once each."""
+    """(id, key, line) of the lines with the given hashes, once each.
+
+    A bitmap of the hashes, of at most ``FILTER_BITS`` bits, keeps most other lines out of the exchange; those that it
+    lets through the join leaves out.
+    """
+    bits = min(FILTER_BITS, max(1 << 16, 1 << (16 * ids.count()).bit_length()))
+    places = ids.select(F.pmod("id", F.lit(bits)).alias("place"))
+    words = places.selectExpr("shiftright(place, 5) AS word", "shiftleft(1L, CAST(place % 32 AS INT)) AS bit").groupBy("word").agg(F.bit_or("bit").alias("set")).toArrow()
+    bitmap = np.zeros(bits >> 5, np.uint32)
+    bitmap[words["word"].to_numpy()] = words["set"].to_numpy().astype(np.uint32)
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap.tobytes())
 
     def run(batches):
         import hashlib
 
         import xxhash
 
+        wanted = np.frombuffer(sent.value, np.uint32)
         seen: set[int] = set()
         for batch in batches:
             out = ([], [], [])
@@ -160,7 +173,8 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
                         continue
                     raw = line.encode("utf-8", "replace")
                     number = xxhash.xxh3_64_intdigest(raw)
-                    if number in seen:
+                    at = number % bits
+                    if number in seen or not int(wanted[at >> 5]) >> (at & 31) & 1:
                         continue
                     if len(seen) >= SEEN:
                         seen.clear()
