@@ -45,9 +45,6 @@ HOLIDAY_FLAGS = [
     ("covid_19", "covid_impact"),
 ]
 
-# --- Fixed values: known trend change dates ---------------------------------
-KNOWN_CHANGEPOINTS = ["2020-03-15", "2020-11-01", "2021-05-01", "2022-01-01", "2023-09-01"]
-
 # --- Fixed values: thresholds -----------------------------------------------
 CRITICAL_LIFE_DAYS = 3
 PERISHABLE_LIFE_DAYS = 7
@@ -62,10 +59,11 @@ MAPE_GOOD = 25
 COVER_CRITICAL_DAYS = 1
 COVER_LOW_DAYS = 2
 SAFETY_FACTOR = 1.2
+UNKNOWN_STOCK = "inconnu"
 DAYS_PER_YEAR = 365
 DAYS_PER_MONTH = 30
-INTERVAL_WIDTH = 0.85
 CONFIDENCE_LABEL = "85%"
+DATASET_VERSION = "3.0"
 # Two-sided 85 % normal quantile: P(|Z| < Z_85) = 0.85.
 Z_85 = 1.4395314709384563
 

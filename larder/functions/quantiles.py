@@ -1,69 +1,88 @@
-"""Exact interpolated quantiles of columns too large for one task."""
+"""Exact interpolated quantiles by counting: no column is ever sorted and no task holds more than a few counts."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.session import materialize
+BINS = 1024
 
-SKETCH_ACCURACY = 10_000
-# Ranks looked at on each side of a quantile, as a share of the rows. Ten times
-# the rank error that the sketch guarantees.
-MARGIN = 10 / SKETCH_ACCURACY
-# Where the margin spans fewer ranks than this, the whole column is looked at.
-LEAST_RANKS = 100
 
+@dataclass
+class _Range:
+    column: str
+    low: float
+    high: float
+    below: int
+    ranks: list[int]
 
-def quantile_ranges(values: DataFrame, probs: Sequence[float], margin: float = MARGIN) -> DataFrame:
-    """A value range around each quantile of each column that surely holds it, from sketches."""
-    edges = [edge for p in probs for edge in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    sketch = F.percentile_approx("valeur", F.array(*[F.lit(e) for e in edges]), F.lit(SKETCH_ACCURACY))
-    everything = F.array(*[F.lit(float(end)) for _ in probs for end in ("-inf", "inf")])
-    ranges = values.where(F.col("valeur").isNotNull()).groupBy("colonne").agg(
-        F.when(F.count("valeur") * margin >= LEAST_RANKS, sketch).otherwise(everything).alias("bornes"))
-    return materialize(ranges, "quantile_ranges")
+
+def _counts(df: DataFrame, ranges: list[_Range]) -> dict[int, list[tuple[int, float, float]]]:
+    """Per range its bins in order: count, smallest and largest value. One pass; ranges of a column don't overlap."""
+    parts = []
+    for column in dict.fromkeys(r.column for r in ranges):
+        value, number, share = F.col(f"`{column}`").cast("double"), F.lit(None).cast("int"), F.lit(None).cast("double")
+        for i, r in enumerate(ranges):
+            if r.column == column:
+                inside = value.between(r.low, r.high)
+                number = F.when(inside, F.lit(i)).otherwise(number)
+                # In halves where the width of the range would overflow.
+                part = 1.0 if math.isfinite(r.high - r.low) else 0.5
+                share = F.when(inside, (value * part - r.low * part) / (r.high * part - r.low * part)).otherwise(share)
+        case = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+        parts.append(F.struct(number.alias("plage"), case.alias("case"), value.alias("valeur")))
+    counted = (
+        df.select(F.inline(F.filter(F.array(*parts), lambda x: x["plage"].isNotNull())))
+        .groupBy("plage", "case").agg(F.count("*").alias("nb"), F.min("valeur").alias("bas"), F.max("valeur").alias("haut"))
+    )
+    # At most BINS lines per range, and a column has at most two ranges per quantile.
+    out: dict[int, list] = {i: [] for i in range(len(ranges))}
+    for row in sorted(counted.collect(), key=lambda r: (r["plage"], r["case"])):
+        out[row["plage"]].append((row["nb"], row["bas"], row["haut"]))
+    return out
 
 
-def exact_quantiles(values: DataFrame, probs: Sequence[float], ranges: DataFrame | None = None) -> DataFrame:
-    """Quantiles of ``values(colonne, valeur)``, one row per column with ``q0``, ``q1``, ...
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], known: dict[str, tuple[int, float, float]]
+) -> dict[str, list[float | None]]:
+    """Quantiles of each column. ``known``: how many values it has, the smallest and the largest.
 
-    Values are counted first and ranked after, so ordered work is on distinct
-    values only. With ``ranges`` it shrinks to those near a quantile: the values
-    between two ranges become one line with their count. The result is the same.
+    The bin that holds a wanted rank is cut into bins again until it holds one value. Each pass makes bins a thousand times
+    finer, so a handful of passes ends the search for any doubles, at any size.
     """
-    value = F.col("valeur")
-    values = values.where(value.isNotNull())
-    if ranges is None:
-        counts = values.groupBy("colonne", "valeur").agg(F.count("*").alias("nb"))
-    else:
-        # One row per profiled column: a bound set by the schema, safe to broadcast.
-        ranged = values.join(F.broadcast(ranges), "colonne")
-        low = [F.element_at("bornes", 2 * i + 1) for i in range(len(probs))]
-        high = [F.element_at("bornes", 2 * i + 2) for i in range(len(probs))]
-        inside = F.lit(False)
-        for a, b in zip(low, high):
-            inside = inside | value.between(a, b)
-        gap = sum((F.when(value > b, 1).otherwise(0) for b in high), F.lit(0))
-        counts = (
-            ranged.groupBy("colonne", F.when(inside, value).alias("_dedans"), F.when(~inside, gap).alias("_ecart"))
-            .agg(F.count("*").alias("nb"), F.max(value).alias("valeur"))
-        )
-    ordered = Window.partitionBy("colonne").orderBy("valeur").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("_fin", F.sum("nb").over(ordered)).withColumn(
-        "_total", F.sum("nb").over(Window.partitionBy("colonne")))
-    found = value if ranges is None else F.col("_dedans")
+    found: dict[tuple[str, int], float] = {}
+    ranges = []
+    for c in columns:
+        n, low, high = known[c]
+        if n:
+            ranks = sorted({f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)})
+            ranges.append(_Range(c, low, high, 0, ranks))
+    while ranges:
+        for r in (r for r in ranges if r.low == r.high):
+            found |= {(r.column, rank): r.low for rank in r.ranks}
+        ranges = [r for r in ranges if r.low < r.high]
+        if not ranges:
+            break
+        counts, finer = _counts(df, ranges), []
+        for i, r in enumerate(ranges):
+            below = r.below
+            for n, low, high in counts[i]:
+                inside = [rank for rank in r.ranks if below <= rank < below + n]
+                if inside:
+                    finer.append(_Range(r.column, low, high, below, inside))
+                below += n
+        ranges = finer
 
-    def at(rank):
-        return F.max(F.when((rank >= F.col("_fin") - F.col("nb")) & (rank < F.col("_fin")), found))
+    def quantile(c: str, p: float) -> float | None:
+        n = known[c][0]
+        if not n:
+            return None
+        place = p * (n - 1)
+        low, high = found[c, math.floor(place)], found[c, math.ceil(place)]
+        return low + (high - low) * (place - math.floor(place))
 
-    picks = {}
-    for i, p in enumerate(probs):
-        place = F.lit(p) * (F.col("_total") - 1)
-        picks |= {f"b{i}": at(F.floor(place)), f"h{i}": at(F.ceil(place)), f"f{i}": F.max(place - F.floor(place))}
-    return ranked.groupBy("colonne").agg(*[expr.alias(name) for name, expr in picks.items()]).select(
-        "colonne",
-        *[(F.col(f"b{i}") + (F.col(f"h{i}") - F.col(f"b{i}")) * F.col(f"f{i}")).alias(f"q{i}") for i in range(len(probs))],
-    )
+    return {c: [quantile(c, p) for p in probs] for c in columns}

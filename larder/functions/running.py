@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from larder.functions.columns import with_keys
 
-# Days with more rows than this are ordered block by block.
-HOT_ROWS = 5_000_000
-
-
 def running_total(
     df: DataFrame,
     group: Sequence[str],
@@ -21,14 +17,13 @@ def running_total(
     order: Sequence[str],
     value: str,
     out: str,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Running sum of ``value`` per ``group``, rows ordered by day, then ``order``.
 
-    Only daily sums are ordered over a whole group. Rows are ordered within one
-    (group, day), and those of a hot day within one ``block`` of it, whose sums
-    are ordered in turn. ``block`` is any whole number that never falls along
-    ``order``. Rows without a group or day get null.
+    Only daily sums are ordered over a whole group, block sums within a day, and
+    rows within one ``block`` of a day: a day with very many rows is many blocks.
+    ``block`` is any whole number that never falls along ``order``. Rows without a
+    group or day get null.
     """
     per_day = [*group, day]
     per_block = [*per_day, "_bloc"]
@@ -37,26 +32,19 @@ def running_total(
     def total_before(value, window):
         return F.coalesce(F.sum(value).over(window.rowsBetween(*before)), F.lit(0.0))
 
-    days = with_keys(df, per_day).groupBy(*per_day).agg(F.sum(value).alias("_jour"), F.count("*").alias("_nb"))
+    marked = df.withColumn("_bloc", block.cast("long"))
+    blocks = with_keys(marked, per_day).groupBy(*per_block).agg(F.sum(value).alias("_somme"), F.count("*").alias("_nb"))
+    days = blocks.groupBy(*per_day).agg(F.sum("_somme").alias("_jour"), F.sum("_nb").alias("_nb"))
     # Both uses below need both columns, so they share one aggregation of the table.
     day_offsets = days.where(F.col("_nb") > 0).select(
         *per_day, total_before("_jour", Window.partitionBy(*group).orderBy(day)).alias("_avant_jour"))
-    hot = days.where((F.col("_nb") > hot_rows) & F.col("_jour").isNotNull()).select(*per_day, F.lit(True).alias("_chaud"))
-    # At most one line per `hot_rows` rows of the table: safe to broadcast.
-    marked = df.join(F.broadcast(hot), per_day, "left").withColumn(
-        "_bloc", F.when(F.col("_chaud"), block.cast("long")).otherwise(F.lit(0).cast("long")))
-
-    blocks = marked.where("_chaud").groupBy(*per_block).agg(F.sum(value).alias("_somme"))
-    block_offsets = blocks.select(
+    block_offsets = blocks.where(F.col("_nb") > 0).select(
         *per_block, total_before("_somme", Window.partitionBy(*per_day).orderBy("_bloc")).alias("_avant_bloc"))
-    offsets = day_offsets.join(block_offsets, per_day, "left").select(
-        *per_day,
-        F.coalesce("_bloc", F.lit(0).cast("long")).alias("_bloc"),
-        (F.col("_avant_jour") + F.coalesce("_avant_bloc", F.lit(0.0))).alias("_avant"),
-    )
+    offsets = block_offsets.join(day_offsets, per_day).select(
+        *per_block, (F.col("_avant_jour") + F.col("_avant_bloc")).alias("_avant"))
     inside = Window.partitionBy(*per_block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         marked.join(offsets, per_block, "left")
         .withColumn(out, F.sum(value).over(inside) + F.col("_avant"))
-        .drop("_avant", "_bloc", "_chaud")
+        .drop("_avant", "_bloc")
     )

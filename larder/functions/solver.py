@@ -18,8 +18,12 @@ from larder.fixed_values import (
     YEARLY_ORDER,
 )
 
-MAX_ROUNDS = 10
-TOLERANCE = 1e-6
+# Share of the cost that a full step may still gain at the end; that from which on steps are taken unseen; and the share
+# by which the variance may still move. Fits end after some tens of rounds; one that has not ended after the last says
+# so in ``converge``.
+TOLERANCE, CLOSE, STEADY = 1e-18, 1e-9, 1e-10
+MOST_ROUNDS = 2000
+STUCK = 1e12
 SMALLEST_VARIANCE = 1e-10
 
 
@@ -40,45 +44,83 @@ def _waves(day: np.ndarray, order: int, period: float) -> np.ndarray:
     return np.stack([np.sin(angle), np.cos(angle)], axis=2).reshape(len(day), 2 * order)
 
 
-def _ridge(X: np.ndarray, y: np.ndarray, prior: np.ndarray, variance: float) -> tuple[np.ndarray, np.ndarray]:
-    """Coefficients under a normal prior, and the precision matrix they come from."""
-    precision = X.T @ X / variance + np.diag(1.0 / prior**2)
-    return np.linalg.solve(precision, X.T @ y / variance), precision
+def _downhill(curvature: np.ndarray, gradient: np.ndarray) -> np.ndarray | None:
+    """The Newton step, where the curvature is that of a minimum."""
+    try:
+        np.linalg.cholesky(curvature)
+    except np.linalg.LinAlgError:
+        return None
+    return np.linalg.solve(curvature, -gradient)
+
+
+@dataclass(frozen=True)
+class Solution:
+    trend: np.ndarray
+    season: np.ndarray
+    outside: np.ndarray
+    sigma: float
+    variance: float
+    outside_spread: np.ndarray
+    converged: bool
+    rounds: int
 
 
 def solve(y: np.ndarray, trend: np.ndarray, season: np.ndarray, outside: np.ndarray,
-          priors: tuple[np.ndarray, np.ndarray, np.ndarray], multiplicative: bool):
-    """Coefficients of the three feature groups, the residual deviation and the outside deviations.
+          priors: tuple[np.ndarray, np.ndarray, np.ndarray], multiplicative: bool, most_rounds: int = MOST_ROUNDS) -> Solution:
+    """Coefficients and noise variance of greatest penalised likelihood.
 
-    The noise variance is estimated along the way. Additive models are one linear
-    solve per pass. Multiplicative ones alternate: the trend given the seasons,
-    then seasons and outside effects given the trend; both steps are linear.
+    Given the variance, the coefficients minimise the squares over it plus the squares over the prior deviations: one
+    linear solve for additive models, damped Newton steps over all coefficients at once for multiplicative ones. The
+    variance is then that of the residuals, until neither moves. ``converged`` says whether that was reached. The
+    deviations come from the precision of all coefficients, so they count the trend's uncertainty.
     """
-    n_trend, n_season = trend.shape[1], season.shape[1]
-    p_trend, p_season, p_outside = priors
+    sizes = [trend.shape[1], season.shape[1], outside.shape[1]]
+    in_trend, in_season = slice(0, sizes[0]), slice(sizes[0], sizes[0] + sizes[1])
+    penalty = np.concatenate(priors) ** -2.0
+
+    def state(b, variance):
+        b_trend, b_season, b_outside = np.split(b, np.cumsum(sizes)[:-1])
+        g, level = trend @ b_trend, 1.0 + season @ b_season
+        fitted = g * level + outside @ b_outside if multiplicative else g + level - 1.0 + outside @ b_outside
+        residual = y - fitted
+        slopes = np.hstack([trend * level[:, None], season * g[:, None], outside] if multiplicative else [trend, season, outside])
+        return residual, slopes, 0.5 * (residual @ residual / variance + penalty @ b**2)
+
     variance = max(float(np.var(y)), SMALLEST_VARIANCE)
-    b_season, b_outside = np.zeros(n_season), np.zeros(outside.shape[1])
-    fitted = np.zeros(len(y))
-    for _ in range(MAX_ROUNDS):
+    b = np.zeros(sum(sizes))
+    b[in_trend] = np.linalg.solve(trend.T @ trend / variance + np.diag(penalty[in_trend]), trend.T @ y / variance)
+    damping, converged, rounds = 0.0, False, 0
+    while rounds < most_rounds and not converged and damping < STUCK:
+        rounds += 1
+        residual, slopes, cost = state(b, variance)
+        gradient = penalty * b - slopes.T @ residual / variance
+        precision = slopes.T @ slopes / variance + np.diag(penalty)
+        curvature = precision.copy()
         if multiplicative:
-            level = 1.0 + season @ b_season
-            b_trend, _ = _ridge(trend * level[:, None], y - outside @ b_outside, p_trend, variance)
-            g = trend @ b_trend
-            X = np.hstack([season * g[:, None], outside])
-            b, precision = _ridge(X, y - g, np.concatenate([p_season, p_outside]), variance)
-            b_season, b_outside = b[:n_season], b[n_season:]
-            now = g + X @ b
-        else:
-            X = np.hstack([trend, season, outside])
-            b, precision = _ridge(X, y, np.concatenate(priors), variance)
-            b_trend, b_season, b_outside = np.split(b, [n_trend, n_trend + n_season])
-            now = X @ b
-        variance = max(float(np.mean((y - now) ** 2)), SMALLEST_VARIANCE)
-        moved, fitted = np.max(np.abs(now - fitted)), now
-        if moved < TOLERANCE:
-            break
-    spread = np.sqrt(np.diag(np.linalg.inv(precision)))[len(b) - len(b_outside):]
-    return b_trend, b_season, b_outside, float(np.std(y - fitted)), spread
+            cross = trend.T @ (season * residual[:, None]) / variance
+            curvature[in_trend, in_season] -= cross
+            curvature[in_season, in_trend] -= cross.T
+        full = _downhill(curvature, gradient)
+        gain = np.inf if full is None else float(-gradient @ full) / (1.0 + cost)
+        if gain <= CLOSE:
+            # So near that rounding hides whether the cost falls.
+            b, damping = b + full, 0.0
+            noise = max(float(np.mean(state(b, variance)[0] ** 2)), SMALLEST_VARIANCE)
+            converged = gain <= TOLERANCE and abs(noise - variance) <= STEADY * variance
+            variance = variance if converged else noise
+            continue
+        # Away from the optimum a full step may lead uphill; then the damping grows.
+        while damping < STUCK:
+            step = full if damping == 0.0 else _downhill(curvature + damping * np.diag(np.diag(precision)), gradient)
+            if step is not None and state(b + step, variance)[2] < cost:
+                b = b + step
+                damping = damping / 4.0 if damping > 1e-6 else 0.0
+                break
+            damping = max(4.0 * damping, 1e-3)
+    residual, slopes, _ = state(b, variance)
+    spread = np.sqrt(np.diag(np.linalg.inv(slopes.T @ slopes / variance + np.diag(penalty))))[sum(sizes[:2]):]
+    b_trend, b_season, b_outside = np.split(b, np.cumsum(sizes)[:-1])
+    return Solution(b_trend, b_season, b_outside, float(np.std(residual)), variance, spread, converged, rounds)
 
 
 def _padded(values: np.ndarray, length: int) -> list[float]:
@@ -94,6 +136,10 @@ FIT_SCHEMA = pa.schema([
     ("debut", pa.date32()),
     ("duree", pa.int32()),
     ("sigma", pa.float64()),
+    ("converge", pa.bool_()),
+    ("tours", pa.int32()),
+    ("variance", pa.float64()),
+    ("echelle_y", pa.float64()),
     ("tendance", pa.list_(pa.float64())),
     ("annuel", pa.list_(pa.float64())),
     ("hebdo", pa.list_(pa.float64())),
@@ -137,10 +183,9 @@ def fit_group(configs: Sequence[Config]):
                 np.array([c.seasonality_prior] * (2 * c.yearly + 2 * c.weekly) + [c.holidays_prior] * events.shape[1]),
                 np.array([prior for _, prior, _ in MODEL_REGRESSORS][: outside.shape[1]], dtype=float),
             )
-            b_trend, b_season, b_outside, sigma, spread = solve(
-                y / scale, trend[train], season[train], outside[train], priors, c.multiplicative)
-            b_trend, b_outside, spread = b_trend * scale, b_outside * scale, spread * scale
-            b_season = b_season if c.multiplicative else b_season * scale
+            found = solve(y / scale, trend[train], season[train], outside[train], priors, c.multiplicative)
+            b_trend, b_outside, spread = found.trend * scale, found.outside * scale, found.outside_spread * scale
+            b_season = found.season if c.multiplicative else found.season * scale
             b_groups = np.split(b_season, np.cumsum([g.shape[1] for g in groups])[:-1])
             parts = [trend @ b_trend, *[g @ b for g, b in zip(groups, b_groups)], outside @ b_outside]
             shown_parts = pa.StructArray.from_arrays(
@@ -154,7 +199,11 @@ def fit_group(configs: Sequence[Config]):
                 "multiplicatif": [c.multiplicative],
                 "debut": [days["ds"][0].as_py()],
                 "duree": [max(int(day[train].max() - day[0]), 1)],
-                "sigma": [sigma * scale],
+                "sigma": [found.sigma * scale],
+                "converge": [found.converged],
+                "tours": [found.rounds],
+                "variance": [found.variance],
+                "echelle_y": [scale],
                 "tendance": [b_trend.tolist()],
                 "annuel": [_padded(yearly, 2 * YEARLY_ORDER)],
                 "hebdo": [_padded(weekly, 2 * WEEKLY_ORDER)],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.fixed_values import FALLBACK_BAND, FORECAST_DAYS, RECENT_DAYS, Z_85
@@ -15,8 +15,8 @@ def fitted_native(rows: DataFrame, train: Column, z: float = Z_85) -> DataFrame:
     """Additive model of each product, fitted on ``train`` rows and evaluated on all rows.
 
     Linear trend by least squares, then the mean residual of each weekday, then
-    of each month. The interval has the width of the training residuals. All
-    windows use the clustering by product that ``rows`` already has.
+    of each month. The interval has the width of the training residuals, whose
+    deviation is kept in ``ecart_residus``. All windows use the clustering by product that ``rows`` already has.
     """
     y = F.when(train, F.col("y"))
     t = F.col("_t")
@@ -24,9 +24,13 @@ def fitted_native(rows: DataFrame, train: Column, z: float = Z_85) -> DataFrame:
     slope = F.regr_slope(y, known_t).over(per_product())
     intercept = F.regr_intercept(y, known_t).over(per_product())
     trend = F.coalesce(intercept + slope * t, F.avg(y).over(per_product()))
-    by_weekday = Window.partitionBy("nom_produit", "_jour")
-    by_month = Window.partitionBy("nom_produit", "_mois")
     residual = F.when(train, F.col("y") - F.col("tendance"))
+
+    def mean_by(part: str, values: Column, first: int, last: int) -> Column:
+        """Mean of ``values`` over the product's rows of the same weekday or month; the rows are sorted once for all of them."""
+        means = [F.avg(F.when(F.col(part) == k, values)).over(per_product()) for k in range(first, last + 1)]
+        return F.coalesce(F.get(F.array(*means), F.col(part) - first), F.lit(0.0))
+
     return (
         rows.withColumns({
             "_t": F.datediff("ds", F.min("ds").over(per_product())),
@@ -34,8 +38,8 @@ def fitted_native(rows: DataFrame, train: Column, z: float = Z_85) -> DataFrame:
             "_mois": F.month("ds"),
         })
         .withColumn("tendance", trend)
-        .withColumn("effet_semaine", F.coalesce(F.avg(residual).over(by_weekday), F.lit(0.0)))
-        .withColumn("effet_mois", F.coalesce(F.avg(residual - F.col("effet_semaine")).over(by_month), F.lit(0.0)))
+        .withColumn("effet_semaine", mean_by("_jour", residual, 0, 6))
+        .withColumn("effet_mois", mean_by("_mois", residual - F.col("effet_semaine"), 1, 12))
         .withColumn("yhat", F.col("tendance") + F.col("effet_semaine") + F.col("effet_mois"))
         .withColumn("_sigma", F.coalesce(F.stddev_samp(F.when(train, F.col("y") - F.col("yhat"))).over(per_product()), F.lit(0.0)))
         .withColumn("yhat_lower", F.col("yhat") - F.lit(z) * F.col("_sigma"))

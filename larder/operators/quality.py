@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,16 +17,14 @@ from larder.fixed_values import (
     MEAN_REGRESSORS,
 )
 from larder.functions.columns import half_even, percent, shelf_life, total, unpivot_aggregates, with_keys
-from larder.functions.quantiles import exact_quantiles, quantile_ranges
-from larder.session import materialize
+from larder.functions.quantiles import exact_quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
-# Columns up to this many values are ranked as a whole.
-WHOLE_UP_TO = 1_000_000
 
 
-def shape(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("nb_lignes")).withColumn("nb_colonnes", F.lit(len(df.columns)))
+def shape(df: DataFrame, columns: int | None = None) -> DataFrame:
+    """Rows and columns. Counting needs no column, so ``df`` may be narrowed and ``columns`` given from the schema."""
+    return df.agg(F.count("*").alias("nb_lignes")).withColumn("nb_colonnes", F.lit(columns or len(df.columns)))
 
 
 def info(df: DataFrame) -> DataFrame:
@@ -55,29 +53,23 @@ def missing_values(df: DataFrame) -> DataFrame:
     return unpivot_aggregates(df, rows).where(F.col("nb_manquants") > 0)
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, whole_up_to: int = WHOLE_UP_TO) -> DataFrame:
-    """Count, mean, deviation, minimum, exact quartiles and maximum of numeric columns.
+def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Count, mean, deviation, minimum, exact quartiles and maximum of numeric columns, worked out right away.
 
-    The counts are taken right away: columns with more than ``whole_up_to`` values
-    are searched for their quartiles near a sketch's estimate only.
+    Moments are plain aggregates of one pass; the quartiles take a few passes of counting. NaN counts as missing.
     """
     columns = list(columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)])
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("colonne"), F.col(c).cast("double").alias("valeur")) for c in columns
-    ])))
-    moments = materialize(long.groupBy("colonne").agg(
-        F.count("valeur").alias("nb"),
-        F.avg("valeur").alias("moyenne"),
-        F.stddev_samp("valeur").alias("ecart_type"),
-        F.min("valeur").alias("minimum"),
-        F.max("valeur").alias("maximum"),
-    ), "moments")
-    most = moments.agg(F.max("nb")).first()[0]
-    ranges = quantile_ranges(long, QUARTILES) if most > whole_up_to else None
-    return moments.join(exact_quantiles(long, QUARTILES, ranges), "colonne", "left").select(
-        "colonne", "nb", "moyenne", "ecart_type", "minimum",
-        F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"), "maximum",
-    )
+    numbers = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    measures = {"nb": F.count, "moyenne": F.avg, "ecart_type": F.stddev_samp, "minimum": F.min, "maximum": F.max}
+    row = numbers.agg(*[f(f"`{c}`").alias(f"{m}_{i}") for i, c in enumerate(columns) for m, f in measures.items()]).first()
+    moments = {c: {m: row[f"{m}_{i}"] for m in measures} for i, c in enumerate(columns)}
+    quartiles = exact_quantiles(numbers, columns, QUARTILES, {c: (m["nb"], m["minimum"], m["maximum"]) for c, m in moments.items()})
+    lines = [
+        (c, m["nb"], m["moyenne"], m["ecart_type"], m["minimum"], *quartiles[c], m["maximum"])
+        for c, m in moments.items()
+    ]
+    kinds = "colonne string, nb long, moyenne double, ecart_type double, minimum double, q25 double, q50 double, q75 double, maximum double"
+    return df.sparkSession.createDataFrame(lines, kinds)
 
 
 def period_span(df: DataFrame, day: str = "date") -> DataFrame:
@@ -184,21 +176,13 @@ def operation_shares(mv: DataFrame) -> DataFrame:
         with_keys(mv, ["type_operation"]).groupBy("type_operation", "type_sortie")
         .agg(F.count("*").alias("nb_lignes"))
     )
-    # A handful of codes: folded into one row to get both totals without a window.
-    lines = counts.agg(
-        F.sum("nb_lignes").alias("_total"),
-        F.collect_list(F.struct("type_operation", "type_sortie", "nb_lignes")).alias("_lignes"),
-    )
-    of_operation = F.aggregate(
-        F.filter("_lignes", lambda x: x["type_operation"] == F.col("type_operation")),
-        F.lit(0).cast("long"),
-        lambda acc, x: acc + x["nb_lignes"],
-    )
-    return lines.select("_total", "_lignes", F.inline("_lignes")).select(
+    of_operation = F.sum("nb_lignes").over(Window.partitionBy("type_operation"))
+    everything = with_keys(mv, ["type_operation"]).select(F.count("*")).scalar()
+    return counts.select(
         "type_operation",
         "type_sortie",
         "nb_lignes",
-        percent(F.col("nb_lignes"), F.col("_total")).alias("pct_total"),
+        percent(F.col("nb_lignes"), everything).alias("pct_total"),
         percent(F.col("nb_lignes"), of_operation).alias("pct_operation"),
     )
 

@@ -11,6 +11,7 @@ from larder.fixed_values import (
     FALLBACK_BAND,
     PERISHABLE_LIFE_DAYS,
     SAFETY_FACTOR,
+    UNKNOWN_STOCK,
     WASTE_ACTIONS,
 )
 from larder.functions.columns import percent, shelf_life, with_keys
@@ -48,7 +49,10 @@ def _with_horizon(forecast: DataFrame, stock: DataFrame, max_life: int) -> DataF
 
 
 def replenishment(forecast: DataFrame, stock: DataFrame, max_life: int = PERISHABLE_LIFE_DAYS) -> DataFrame:
-    """Everything an order decision needs, one row per product."""
+    """Everything an order decision needs, one row per product.
+
+    Where the stock is unknown, so are the order and the waste risk: ``statut_stock`` is then ``inconnu``.
+    """
     near = F.col("_rang") <= F.col("horizon")
     lower = F.coalesce(F.col("yhat_lower"), F.col("yhat") * (1 - FALLBACK_BAND))
     upper = F.coalesce(F.col("yhat_upper"), F.col("yhat") * (1 + FALLBACK_BAND))
@@ -70,12 +74,16 @@ def replenishment(forecast: DataFrame, stock: DataFrame, max_life: int = PERISHA
     )
     on_hand, daily = F.col("stock_actuel"), F.col("moyenne_jour")
 
+    def at_least_zero(amount):
+        """An unknown stock or life leaves the amount unknown: ``greatest`` alone would make it 0."""
+        return F.when(amount.isNotNull(), F.greatest(F.lit(0.0), amount))
+
     def order(needed):
-        return F.greatest(F.lit(0.0), F.col(needed) - on_hand)
+        return at_least_zero(F.col(needed) - on_hand)
 
     cover = F.when(daily > 0, F.try_divide(on_hand, daily))
     usable = F.col("duree_vie_moyenne") * daily
-    risk = F.greatest(F.lit(0.0), on_hand - usable)
+    risk = at_least_zero(on_hand - usable)
     return (
         per_product.withColumns({
             "commande_suggeree": order("besoin"),
@@ -88,7 +96,8 @@ def replenishment(forecast: DataFrame, stock: DataFrame, max_life: int = PERISHA
             "stock_securite": F.col("_haut") * SAFETY_FACTOR,
         })
         .withColumns({
-            "statut_stock": F.when(F.col("duree_stock_jours") < COVER_CRITICAL_DAYS, "critique")
+            "statut_stock": F.when(on_hand.isNull(), UNKNOWN_STOCK)
+            .when(F.col("duree_stock_jours") < COVER_CRITICAL_DAYS, "critique")
             .when(F.col("duree_stock_jours") < COVER_LOW_DAYS, "faible")
             .when(F.col("duree_stock_jours").isNotNull(), "suffisant"),
             "pct_risque": F.when(F.col("risque_gaspillage") > 0, percent(F.col("risque_gaspillage"), on_hand)),

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from larder.fixed_values import (
     CONFIDENCE_LABEL,
+    DATASET_VERSION,
     FORECAST_DAYS,
     HOLIDAY_FLAGS,
     MODEL_REGRESSORS,
     SEASON_ADVICE,
-    WEEKLY_ORDER,
-    YEARLY_ORDER,
 )
 from larder.functions.columns import half_even
+from larder.functions.solver import Config
 from larder.operators.evaluate import verdict
 from larder.operators.replenish import replenishment
 
@@ -54,10 +54,12 @@ def product_summary(
 
 def nested_summary(
     summary: DataFrame, method: str, analysed_at: Column | None = None, changepoints: Sequence[str] = (),
-    dataset: DataFrame | None = None, events: DataFrame | None = None,
+    dataset: DataFrame | None = None, events: DataFrame | None = None, model: Config | None = None,
 ) -> DataFrame:
     """The summary as one document per product, numbers rounded to 2 digits.
 
+    ``model`` is the configuration of the regression that made the forecast; other
+    methods have none, and their document lists no events, regressors or seasons.
     ``dataset`` is the one-row profile ``nb_lignes, debut, fin`` of the table the
     summary comes from, ``events`` the event days of each product; what is not
     given stays null.
@@ -79,20 +81,26 @@ def nested_summary(
     def text(day):
         return F.date_format(day, "yyyy-MM-dd")
 
+    outside = model is not None and model.outside
     first_day, last_day = F.date_add("fin", 1), F.date_add("fin", FORECAST_DAYS)
     configuration = F.struct(
-        F.array(*[F.lit(label) for label, _ in HOLIDAY_FLAGS]).alias("holidays"),
+        F.array(*[F.lit(label) for label, _ in HOLIDAY_FLAGS if outside]).cast("array<string>").alias("holidays"),
         "nb_holidays",
         F.array(*[F.lit(d) for d in changepoints]).cast("array<string>").alias("changepoints"),
         F.lit(len(changepoints)).alias("nb_changepoints"),
-        F.array(*[F.lit(name) for name, _, _ in MODEL_REGRESSORS]).alias("regresseurs"),
-        F.struct(F.lit(YEARLY_ORDER).alias("yearly"), F.lit(WEEKLY_ORDER).alias("weekly")).alias("seasonality"),
+        F.array(*[F.lit(name) for name, _, _ in MODEL_REGRESSORS if outside]).cast("array<string>").alias("regresseurs"),
+        F.struct(
+            F.lit(model.yearly if model else None).cast("int").alias("yearly"),
+            F.lit(model.weekly if model else None).cast("int").alias("weekly"),
+            F.lit(("multiplicative" if model.multiplicative else "additive") if model else None).cast("string").alias("mode"),
+        ).alias("seasonality"),
     )
+    # --- Fixed values: the keys of the document ---
     return summary.select(
         F.col("nom_produit").alias("produit"),
         F.date_format(F.current_timestamp() if analysed_at is None else analysed_at, "yyyy-MM-dd HH:mm:ss").alias("date_analyse"),
         F.struct(
-            total.alias("nb_lignes_total"), F.concat_ws(" → ", text(since), text(until)).alias("periode_donnees"),
+            F.lit(DATASET_VERSION).alias("version"), total.alias("nb_lignes_total"), F.concat_ws(" → ", text(since), text(until)).alias("periode_donnees"),
         ).alias("dataset"),
         F.struct(text("debut").alias("debut"), text("fin").alias("fin"), "nb_jours").alias("periode_historique"),
         F.struct(two("consommation_moyenne_jour"), two("duree_vie_moyenne"), two("ecart_type")).alias("statistiques"),
@@ -111,7 +119,8 @@ def nested_summary(
             two("stock_actuel"),
             F.col("horizon").alias("horizon_commande_jours"),
             two("commande_suggeree"), two("commande_min"), two("commande_max"),
-            F.coalesce(F.bround("duree_stock_jours", 1), F.lit(0.0)).alias("duree_stock_actuel_jours"),
+            # Without demand the stock lasts 0 days by convention; an unknown stock stays unknown.
+            F.when(F.col("moyenne_jour") <= 0, 0.0).otherwise(F.bround("duree_stock_jours", 1)).alias("duree_stock_actuel_jours"),
             half_even(F.col("risque_gaspillage")).alias("risque_gaspillage_kg"),
             two("commande_hebdomadaire"), two("stock_securite"),
             F.lit(SEASON_ADVICE).alias("attention"),

@@ -20,16 +20,20 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from larder.fixed_values import (
     AUTO_CHANGEPOINT_SHARE,
     AUTO_CHANGEPOINTS,
+    FLU_MONTHS,
     FORECAST_DAYS,
     HOLIDAY_FLAGS,
     MODEL_CONFIGS,
     MODEL_REGRESSORS,
     TEST_DAYS,
+    TREND_PRIOR,
+    WEEK_PERIOD,
+    YEAR_PERIOD,
     Z_85,
 )
 from larder.functions import solver
 from larder.functions.solver import Config
-from larder.operators.series import day_number, future_frame, per_product, regressor_scales, with_split
+from larder.operators.series import auto_changepoint, day_number, future_frame, per_product, regressor_scales, with_split
 
 # Executors get the solver with the task and need no installed copy of it.
 cloudpickle.register_pickle_by_value(solver)
@@ -50,10 +54,11 @@ def _hinges(train_end: Column, dates: Sequence[str] | None) -> Column:
     else:
         # Evenly spread over the leading share of the training days.
         head = F.floor((F.datediff(train_end, start) + 1) * F.lit(AUTO_CHANGEPOINT_SHARE))
-        n = F.least(F.lit(AUTO_CHANGEPOINTS), F.greatest(head - 1, F.lit(1)))
+        n = F.least(F.lit(AUTO_CHANGEPOINTS), head - 1)
         breaks = F.transform(
             F.sequence(F.lit(1), F.lit(AUTO_CHANGEPOINTS)),
-            lambda j: F.date_add(start, F.bround(j * (head - 1) / n).cast("int")),
+            # Short histories have fewer breaks: the rest of the list stays null, which is no break.
+            lambda j: F.when(j <= n, auto_changepoint(start, head, n, j)),
         )
 
     def hinge(day):
@@ -63,12 +68,16 @@ def _hinges(train_end: Column, dates: Sequence[str] | None) -> Column:
     return F.transform(breaks, hinge)
 
 
+def _doubles(values: Sequence[Column]) -> Column:
+    return F.array(*values).cast("array<double>")
+
+
 def model_rows(rows: DataFrame, train: Column, dates: Sequence[str] | None, blind: bool = False) -> DataFrame:
     """Model input for every row of ``rows``: time, breaks, events and scaled regressors.
 
     ``dates`` are the trend breaks, spread evenly when None. With ``blind`` the
     rows outside the training days get what would be known of them in advance:
-    mean regressors and no events.
+    mean regressors, no events, and flu by the months of ``future_frame``.
     """
     end = F.max(F.when(train, F.col("ds"))).over(per_product())
     based = rows.withColumns({
@@ -76,19 +85,22 @@ def model_rows(rows: DataFrame, train: Column, dates: Sequence[str] | None, blin
         "_debut": F.min("ds").over(per_product()),
         "_fin_appris": end,
     }).withColumn("_duree", F.greatest(F.datediff("_fin_appris", "_debut"), F.lit(1)).cast("double"))
-    scales = regressor_scales(F.col("appris"))
+    with_outside = set(REGRESSORS) <= set(rows.columns)
+    scales = regressor_scales(F.col("appris")) if with_outside else {}
     based = based.withColumns({
-        "centres": F.array(*[centre for centre, _ in scales.values()]),
-        "echelles": F.array(*[scale for _, scale in scales.values()]),
+        "centres": _doubles([centre for centre, _ in scales.values()]),
+        "echelles": _doubles([scale for _, scale in scales.values()]),
     })
 
     def known(value: Column) -> Column:
         return F.when(F.col("appris"), value).otherwise(0.0) if blind else value
 
-    events = [known(F.col(flag).cast("double")) for _, flag in HOLIDAY_FLAGS]
+    events = [known(F.col(flag).cast("double")) for _, flag in HOLIDAY_FLAGS if with_outside]
     outside = []
-    for i, (name, _, scaled) in enumerate(MODEL_REGRESSORS):
+    for i, (name, _, scaled) in enumerate(MODEL_REGRESSORS if with_outside else []):
         value = (F.col(name) - F.get("centres", F.lit(i))) / F.get("echelles", F.lit(i))
+        if blind and not scaled:
+            value = F.when(F.col("appris"), value).otherwise(F.month("ds").isin(FLU_MONTHS).cast("double"))
         outside.append(known(value) if scaled else value)
     keep = [c for c in ("futur", "y") if c in rows.columns]
     return based.select(
@@ -96,8 +108,8 @@ def model_rows(rows: DataFrame, train: Column, dates: Sequence[str] | None, blin
         (F.datediff("ds", "_debut") / F.col("_duree")).alias("t"),
         day_number("ds").alias("jour"),
         _hinges(F.col("_fin_appris"), dates).alias("ruptures"),
-        F.array(*[F.coalesce(e, F.lit(0.0)) for e in events]).alias("evenements"),
-        F.array(*[F.coalesce(r, F.lit(0.0)) for r in outside]).alias("regresseurs"),
+        _doubles([F.coalesce(e, F.lit(0.0)) for e in events]).alias("evenements"),
+        _doubles([F.coalesce(r, F.lit(0.0)) for r in outside]).alias("regresseurs"),
         "centres", "echelles",
     )
 
@@ -194,3 +206,59 @@ def changepoint_effects(fitted: DataFrame, dates: Sequence[str]) -> DataFrame:
         fitted.select("nom_produit", "modele", "debut", "duree", F.inline(lines)).where(inside)
         .select("nom_produit", "modele", "changepoint", (F.col("b") / F.col("duree")).alias("delta"))
     )
+
+
+def optimality(rows: DataFrame, fitted: DataFrame, config: Config, tolerance: float = 1e-4) -> DataFrame:
+    """Per product: whether the slope of the penalised squares is 0 in every coefficient, worked out anew from the features.
+
+    A coefficient is at its optimum when its slope, over the square root of its curvature, is below ``tolerance``: it is
+    then within that share of its own standard deviation. The variance must be that of the residuals.
+    """
+    def waves(order: int, period: float) -> list[Column]:
+        angles = [F.lit(2.0 * k) * F.pi() * F.col("jour") / F.lit(period) for k in range(1, order + 1)]
+        return [f(a) for a in angles for f in (F.sin, F.cos)]
+
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+    def leading(name: str, n: int) -> Column:
+        return F.slice(F.col(name), 1, n)
+
+    outside = config.outside
+    model = fitted.where(F.col("modele") == config.name).select(
+        "nom_produit", "variance", "echelle_y", F.col("tendance").alias("b_tendance"),
+        F.concat(leading("annuel", 2 * config.yearly), leading("hebdo", 2 * config.weekly), leading("evenements", len(EVENTS) if outside else 0)).alias("b_saison"),
+        leading("regresseurs", len(REGRESSORS) if outside else 0).alias("b_dehors"))
+    days = rows.where("appris").join(model, "nom_produit")
+    scale = F.col("echelle_y")
+    features = days.select(
+        "nom_produit", "variance", (F.col("y") / scale).alias("y"),
+        F.concat(F.array(F.lit(1.0), F.col("t")), "ruptures").alias("tendance"),
+        F.concat(F.array(*waves(config.yearly, YEAR_PERIOD), *waves(config.weekly, WEEK_PERIOD)), *(["evenements"] if outside else [])).alias("saison"),
+        (F.col("regresseurs") if outside else _doubles([])).alias("dehors"),
+        F.transform("b_tendance", lambda b: b / scale).alias("b_tendance"),
+        (F.col("b_saison") if config.multiplicative else F.transform("b_saison", lambda b: b / scale)).alias("b_saison"),
+        F.transform("b_dehors", lambda b: b / scale).alias("b_dehors"))
+    level, season = dot(F.col("tendance"), F.col("b_tendance")), dot(F.col("saison"), F.col("b_saison"))
+    fit = (level * (1 + season) if config.multiplicative else level + season) + dot(F.col("dehors"), F.col("b_dehors"))
+    valued = features.withColumns({"niveau": level, "saison_jour": season, "reste": F.col("y") - fit})
+    if config.multiplicative:
+        slopes = F.concat(F.transform("tendance", lambda x: x * (1 + F.col("saison_jour"))), F.transform("saison", lambda x: x * F.col("niveau")), "dehors")
+    else:
+        slopes = F.concat("tendance", "saison", "dehors")
+    priors = F.concat(
+        F.transform("tendance", lambda _, i: F.when(i < 2, F.lit(TREND_PRIOR)).otherwise(F.lit(config.changepoint_prior))),
+        F.array_repeat(F.lit(config.seasonality_prior), 2 * (config.yearly + config.weekly)),
+        F.array_repeat(F.lit(config.holidays_prior), len(EVENTS) if outside else 0),
+        _doubles([F.lit(float(prior)) for _, prior, _ in MODEL_REGRESSORS] if outside else []))
+    lines = valued.select("nom_produit", "variance", "reste", F.inline(F.arrays_zip(
+        slopes.alias("pente"), F.concat("b_tendance", "b_saison", "b_dehors").alias("b"), priors.alias("ecart"),
+        F.sequence(F.lit(1), F.size(slopes)).alias("rang"))))
+    per_coefficient = lines.groupBy("nom_produit", "rang").agg(
+        F.first("b").alias("b"), F.first("ecart").alias("ecart"),
+        (F.sum(F.col("pente") * F.col("reste")) / F.first("variance")).alias("poussee"),
+        (F.sum(F.col("pente") * F.col("pente")) / F.first("variance")).alias("courbure"),
+        (F.avg(F.col("reste") * F.col("reste")) / F.first("variance")).alias("bruit"))
+    weight = 1 / (F.col("ecart") * F.col("ecart"))
+    off = F.abs(weight * F.col("b") - F.col("poussee")) / F.sqrt(F.col("courbure") + weight)
+    return per_coefficient.groupBy("nom_produit").agg(((F.max(off) < tolerance) & (F.abs(F.max("bruit") - 1) < tolerance)).alias("optimal")).withColumn("modele", F.lit(config.name))

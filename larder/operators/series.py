@@ -144,6 +144,11 @@ def changepoints(dense: DataFrame, dates: Sequence[str]) -> DataFrame:
     )
 
 
+def auto_changepoint(start: Column, head: Column, n: Column, rank: Column) -> Column:
+    """Day of the ``rank``-th of ``n`` change dates spread over the first ``head`` days."""
+    return F.date_add(start, F.bround(rank * (head - 1) / n).cast("int"))
+
+
 def auto_changepoints(
     dense: DataFrame, n: int = AUTO_CHANGEPOINTS, share: float = AUTO_CHANGEPOINT_SHARE
 ) -> DataFrame:
@@ -154,11 +159,10 @@ def auto_changepoints(
     span = dense.groupBy("nom_produit").agg(F.min("ds").alias("debut"), F.count("ds").alias("nb"))
     lead = F.floor(F.col("nb") * F.lit(share))
     count = F.least(F.lit(n), lead - 1).cast("int")
-    place = F.bround(F.col("rang") * (F.col("_tete") - 1) / F.col("_nb_cp")).cast("int")
     return (
         span.withColumns({"_tete": lead, "_nb_cp": count}).where(F.col("_nb_cp") > 0)
         .withColumn("rang", F.explode(F.sequence(F.lit(1), F.col("_nb_cp"))))
-        .select("nom_produit", "rang", F.date_add("debut", place).alias("changepoint"))
+        .select("nom_produit", "rang", auto_changepoint(F.col("debut"), F.col("_tete"), F.col("_nb_cp"), F.col("rang")).alias("changepoint"))
     )
 
 
@@ -214,7 +218,7 @@ def split_coverage(split: DataFrame) -> DataFrame:
 def future_frame(
     dense: DataFrame, periods: int = FORECAST_DAYS, fill: str = "mean", events: DataFrame | None = None
 ) -> DataFrame:
-    """History plus ``periods`` days whose regressors are filled in.
+    """History plus ``periods`` days whose regressors, if there are any, are filled in.
 
     Continuous regressors take the product's mean; ``fill="month"`` takes the
     mean of the same month of year for the temperature, where there is one. Flu
@@ -239,13 +243,13 @@ def future_frame(
         ahead |= {flag: F.coalesce(F.col(f"_{flag}"), F.lit(0)) for _, flag in HOLIDAY_FLAGS}
     future = F.col("futur")
     columns: dict[str, Column] = {}
-    for c in MEAN_REGRESSORS:
+    for c in (c for c in MEAN_REGRESSORS if c in dense.columns):
         known = F.when(~future, F.col(c))
         mean = F.avg(known).over(per_product())
         if fill == "month" and c == "temperature":
             mean = F.coalesce(F.avg(known).over(Window.partitionBy("nom_produit", "_mois")), mean)
         columns[c] = F.coalesce(known, mean)
-    for c in FLAG_REGRESSORS:
+    for c in (c for c in FLAG_REGRESSORS if c in dense.columns):
         columns[c] = F.when(future, ahead[c]).otherwise(F.col(c))
     return rows.select(
         "nom_produit", F.col("_jour").alias("ds"), F.when(~future, F.col("y")).alias("y"), "futur",

@@ -34,6 +34,22 @@ def test_recorded_report(spark):
     assert row["statut_stock"] == "suffisant" and row["actions"].count(";") == 3
 
 
+def test_unknown_stock_stays_unknown(spark):
+    forecast_days, stock = frames(spark, [10.0] * 28, None, 5.0)
+    row = replenish.replenishment(forecast_days, stock).first()
+    assert row["besoin"] == 50.0 and row["statut_stock"] == "inconnu"
+    for name in ("commande_suggeree", "commande_min", "commande_max", "duree_stock_jours", "risque_gaspillage", "pct_risque", "actions"):
+        assert row[name] is None
+    # A known stock without demand lasts 0 days in the document, an unknown one has no figure.
+    daily = spark.createDataFrame([("p", day("2025-01-01"), 1.0)], "nom_produit string, date date, quantite double")
+    for given, expected in ((None, None), (4.0, 0.4)):
+        forecast_days, stock = frames(spark, [10.0] * 28, given, 5.0)
+        document = report.nested_summary(report.product_summary(daily, forecast_days, stock), "natif").first()
+        assert document["recommandations"]["duree_stock_actuel_jours"] == expected
+    forecast_days, stock = frames(spark, [0.0] * 28, 4.0, 5.0)
+    assert report.nested_summary(report.product_summary(daily, forecast_days, stock), "natif").first()["recommandations"]["duree_stock_actuel_jours"] == 0.0
+
+
 def test_short_positive_stock(spark):
     row = replenish.replenishment(*frames(spark, [2.0] * 28, 5.0, 6.4)).first()
     assert (row["horizon"], row["besoin"], row["commande_suggeree"]) == (6, 12.0, 7.0)

@@ -83,10 +83,11 @@ def test_additive_solve_matches_a_plain_ridge():
     trend, season, outside = rng.normal(size=(300, 2)), rng.normal(size=(300, 4)), rng.normal(size=(300, 1))
     y = trend @ [1.0, 2.0] + season @ [0.5, 0, -1, 0.2] + outside @ [0.3] + rng.normal(0, 0.1, 300)
     priors = (np.full(2, 5.0), np.full(4, 10.0), np.full(1, 0.5))
-    b_trend, b_season, b_outside, sigma, _ = solver.solve(y, trend, season, outside, priors, False)
+    found = solver.solve(y, trend, season, outside, priors, False)
     X = np.hstack([trend, season, outside])
-    expected = np.linalg.solve(X.T @ X / sigma**2 + np.diag(1 / np.concatenate(priors) ** 2), X.T @ y / sigma**2)
-    np.testing.assert_allclose(np.concatenate([b_trend, b_season, b_outside]), expected, rtol=1e-4)
+    expected = np.linalg.solve(X.T @ X / found.variance + np.diag(1 / np.concatenate(priors) ** 2), X.T @ y / found.variance)
+    np.testing.assert_allclose(np.concatenate([found.trend, found.season, found.outside]), expected, rtol=1e-8)
+    assert found.converged and found.variance == pytest.approx(np.mean((y - X @ expected) ** 2), rel=1e-9)
 
 
 def test_multiplicative_season_is_recovered():
@@ -95,9 +96,59 @@ def test_multiplicative_season_is_recovered():
     trend = np.column_stack([np.ones_like(t), t])
     season = solver._waves(day, 3, 7.0)
     y = (1 + 0.5 * t) * (1 + season @ np.array([0.2, 0, 0, 0.1, 0, 0])) / 2
-    b_trend, b_season, *_ = solver.solve(y, trend, season, np.empty((1400, 0)), (np.full(2, 5.0), np.full(6, 10.0), np.empty(0)), True)
-    np.testing.assert_allclose(b_season, [0.2, 0, 0, 0.1, 0, 0], atol=1e-3)
-    np.testing.assert_allclose(b_trend, [0.5, 0.25], atol=1e-3)
+    found = solver.solve(y, trend, season, np.empty((1400, 0)), (np.full(2, 5.0), np.full(6, 10.0), np.empty(0)), True)
+    np.testing.assert_allclose(found.season, [0.2, 0, 0, 0.1, 0, 0], atol=1e-3)
+    np.testing.assert_allclose(found.trend, [0.5, 0.25], atol=1e-3)
+    assert found.converged
+
+
+def random_problem(seed, n=500):
+    rng = np.random.default_rng(seed)
+    t = np.linspace(0, 1, n)
+    trend = np.column_stack([np.ones(n), t, np.maximum(0, t - 0.4)])
+    season = np.hstack([solver._waves(np.arange(n), 8, 365.25), solver._waves(np.arange(n), 3, 7.0)])
+    outside = rng.normal(size=(n, 2))
+    y = (trend @ rng.normal(size=3)) * (1 + season @ rng.normal(0, 0.3, season.shape[1])) + outside @ rng.normal(size=2) + rng.normal(0, 0.5, n)
+    return y, trend, season, outside, (np.full(3, 5.0), np.full(season.shape[1], 10.0), np.full(2, 0.5))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_multiplicative_fit_is_at_its_optimum(seed):
+    y, trend, season, outside, priors = random_problem(seed)
+    found = solver.solve(y, trend, season, outside, priors, True)
+    assert found.converged
+    v = found.variance
+    level, rhythm = trend @ found.trend, 1 + season @ found.season
+    residual = y - level * rhythm - outside @ found.outside
+    slopes = np.hstack([trend * rhythm[:, None], season * level[:, None], outside])
+    b = np.concatenate([found.trend, found.season, found.outside])
+    gradient = b / np.concatenate(priors) ** 2 - slopes.T @ residual / v
+    assert np.abs(gradient / np.sqrt((slopes**2).sum(axis=0) / v + 1 / np.concatenate(priors) ** 2)).max() < 1e-5
+    assert v == pytest.approx(np.mean(residual**2), rel=1e-8)
+    again = solver.solve(y, trend, season, outside, priors, True, most_rounds=2 * solver.MOST_ROUNDS)
+    np.testing.assert_allclose(again.trend, found.trend, atol=1e-9)
+
+
+def test_a_fit_that_does_not_end_says_so():
+    assert not solver.solve(*random_problem(1), True, most_rounds=1).converged
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_twice_the_work_changes_no_forecast(spark, folder, monkeypatch):
+    from larder.plans import catalog
+
+    rows = ridge.backtest_rows(catalog._dense_regressors(spark, f"/root/testdata/{folder}"), catalog.CHANGEPOINTS).cache()
+
+    def forecasts():
+        found = ridge.components(ridge.fit_ridge(rows, ridge.CONFIGS["enrichi"], predict=~F.col("appris")))
+        return np.array([r["yhat"] for r in found.select("yhat", "nom_produit", "ds").orderBy("nom_produit", "ds").collect()])
+
+    once = forecasts()
+    monkeypatch.setattr(solver, "TOLERANCE", 0.0)
+    monkeypatch.setattr(solver.solve, "__defaults__", (300,))
+    twice = forecasts()
+    rows.unpersist()
+    assert np.abs(once - twice).max() < 1e-6
 
 
 def test_result_does_not_depend_on_partitions(spark):

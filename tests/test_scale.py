@@ -1,13 +1,14 @@
 """Hot groups, plans and exactness of the distributed building blocks."""
 
-import functools
+import datetime as dt
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from larder.functions.quantiles import exact_quantiles, quantile_ranges
+from larder.functions import quantiles
+from larder.functions.quantiles import exact_quantiles
 from larder.functions.running import running_total
 from larder.operators import demand, evaluate, forecast, ridge, series
 from larder.plans.catalog import QUERIES
@@ -20,8 +21,8 @@ def final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("hot_rows", [5, 60, 10_000])
-def test_running_total_of_a_hot_group(spark, hot_rows):
+@pytest.mark.parametrize("bits", [1, 8, 20])
+def test_running_total_of_a_hot_group(spark, bits):
     rng = np.random.default_rng(3)
     n = 3000
     pdf = pd.DataFrame({
@@ -29,7 +30,7 @@ def test_running_total_of_a_hot_group(spark, hot_rows):
         "k": rng.permutation(n), "v": rng.integers(-5, 9, n).astype(float),
     })
     df = running_total(
-        spark.createDataFrame(pdf), ["g"], "d", F.shiftright("k", 8), ["k"], "v", "total", hot_rows).toPandas()
+        spark.createDataFrame(pdf), ["g"], "d", F.shiftright("k", bits), ["k"], "v", "total").toPandas()
     pdf = pdf.sort_values(["g", "d", "k"])
     pdf["expected"] = pdf.groupby("g").v.cumsum()
     both = df.merge(pdf[["k", "expected"]], on="k")
@@ -45,32 +46,49 @@ def test_stock_of_hot_days_is_the_same(spark, sf, monkeypatch):
     columns = ["nom_produit", "date", "type_operation", "id_lot", "id_produit", "quantite", "stock_theorique"]
     usual = sorted(map(str, movements(spark, sf, *columns).collect()))
     monkeypatch.setattr(sample_tables, "LOT_BLOCK_BITS", 3)
-    monkeypatch.setattr(sample_tables, "running_total", functools.partial(running_total, hot_rows=1))
     assert sorted(map(str, movements(spark, sf, *columns).collect())) == usual
 
 
-@pytest.mark.parametrize("with_ranges", [False, True])
-def test_exact_quantiles(spark, with_ranges):
+def known_of(pdf):
+    return {c: (int(v.count()), float(v.min()), float(v.max())) if v.count() else (0, None, None) for c, v in pdf.items()}
+
+
+def test_exact_quantiles(spark):
     rng = np.random.default_rng(1)
     n = 30_000
     pdf = pd.DataFrame({
-        "colonne": ["normal"] * n + ["codes"] * n + ["hot"] * n + ["few"] * 7,
-        "valeur": np.r_[rng.normal(size=n), rng.integers(0, 3, n), np.where(rng.random(n) < 0.4, 5.0, rng.random(n) * 10), [1, 2, 3, 4, 5, 6, 100]],
+        "normal": rng.normal(size=n), "codes": rng.integers(0, 3, n).astype(float), "hot": np.where(rng.random(n) < 0.4, 5.0, rng.random(n) * 10),
+        "wide": rng.choice([-1e300, -1.0, 0.0, 5e-324, 1.0, 1e300], n), "tiny": 1.0 + rng.integers(0, 5, n) * 2.0**-52, "none": np.full(n, np.nan),
     })
-    probs = [0.25, 0.5, 0.75]
-    df = spark.createDataFrame(pdf)
-    ranges = quantile_ranges(df, probs, 0.01) if with_ranges else None
-    found = exact_quantiles(df, probs, ranges).toPandas().set_index("colonne").sort_index()
-    expected = pdf.groupby("colonne").valeur.quantile(probs).unstack()
-    np.testing.assert_allclose(found[["q0", "q1", "q2"]].to_numpy(), expected.to_numpy(), rtol=1e-12)
+    df = spark.createDataFrame(pdf).replace(float("nan"), None)
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    found = exact_quantiles(df, list(pdf), probs, known_of(pdf))
+    assert found.pop("none") == [None] * 5
+    for c, values in found.items():
+        np.testing.assert_allclose(values, pdf[c].quantile(probs).to_numpy(), rtol=1e-12)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7])
+def test_quantiles_of_few_values(spark, n):
+    pdf = pd.DataFrame({"x": [float(i * i) for i in range(n)]})
+    assert exact_quantiles(spark.createDataFrame(pdf), ["x"], [0.25, 0.5], known_of(pdf))["x"] == pdf.x.quantile([0.25, 0.5]).tolist()
+
+
+def test_quantiles_take_few_passes(spark, monkeypatch):
+    passes = []
+    counted = quantiles._counts
+    monkeypatch.setattr(quantiles, "_counts", lambda df, ranges: passes.append(len(ranges)) or counted(df, ranges))
+    df = spark.range(200_000).select((F.col("id") * 1.0).alias("x"))
+    assert exact_quantiles(df, ["x"], [0.5], {"x": (200_000, 0.0, 199_999.0)})["x"] == [99_999.5]
+    assert len(passes) <= 3 and max(passes) <= 2
 
 
-def test_ranges_leave_little_to_rank(spark):
-    df = spark.range(200_000).select(F.lit("x").alias("colonne"), (F.col("id") * 1.0).alias("valeur"))
-    ranges = quantile_ranges(df, [0.5])
-    low, high = ranges.first()["bornes"]
-    assert high - low < 1000
-    assert exact_quantiles(df, [0.5], ranges).first()["q0"] == 99_999.5
+@pytest.mark.parametrize("name, exchanges, sorts", [("profile_shape", 1, 0), ("operation_shares", 2, 1), ("schema_check", 0, 0)])
+def test_exchanges_and_sorts(spark, sf, name, exchanges, sorts):
+    plan = final_plan(QUERIES[name](spark, sf))
+    plan = plan.split("Subqueries")[0]
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition") <= exchanges
+    assert plan.count("Sort [") <= sorts
 
 
 def test_hot_product_and_hot_day(spark, make):
@@ -121,3 +139,31 @@ def test_model_rows_blind_zeroes_only_test_days(spark, sf):
     rows = ridge.backtest_rows(dense, [], blind=True)
     assert rows.where(~F.col("appris") & (F.get("regresseurs", F.lit(0)) != 0)).count() == 0
     assert rows.where(F.col("appris") & (F.get("regresseurs", F.lit(0)) != 0)).count() > 0
+    # Flu of the test days is that of the months, not the real one.
+    assert rows.where(~F.col("appris") & (F.get("regresseurs", F.lit(3)) != F.month("ds").isin(1, 2, 3).cast("double"))).count() == 0
+
+
+@pytest.mark.parametrize("days", [2, 3, 5, 17, 28, 40])
+def test_breaks_of_short_histories(spark, days):
+    rows = [("p", dt.date(2024, 1, 1) + dt.timedelta(days=i), float(i % 3)) for i in range(days)]
+    dense = spark.createDataFrame(rows, "nom_produit string, ds date, y double")
+    expected = {r["changepoint"] for r in series.auto_changepoints(dense).collect()}
+    last = ridge.forecast_rows(dense, None, 1).where("futur").first()
+    breaks = last["ruptures"]
+    assert len(breaks) == 25
+    inside = {d for d in expected if dt.date(2024, 1, 1) < d < dt.date(2024, 1, 1) + dt.timedelta(days=days - 1)}
+    assert sum(b > 0 for b in breaks) == len(inside)
+
+
+def test_training_days_do_not_see_the_test_days(spark):
+    """A temperature of the test days changes neither the gap filling of training days nor a blind forecast."""
+    def blind(test_temperature):
+        rows = [("p", dt.date(2022, 1, 1) + dt.timedelta(days=i), float(i % 7), 10.0 if i < 335 else test_temperature, 50.0, 5.0, 0, 0, 0, 0)
+                for i in range(700) if i % 11]
+        daily = spark.createDataFrame(rows, "nom_produit string, date date, quantite double, temperature double, taux_occupation double, nb_patients double, "
+                                            "epidemie_grippe int, vacances_scolaires int, jour_ferie int, covid_impact int")
+        dense = series.dense_daily_regressors(daily, train_days=365)
+        found = ridge.backtest_ridge(dense, [], ridge.CONFIGS["enrichi"], blind=True)
+        return [round(r["yhat"], 6) for r in found.orderBy("ds").collect()]
+
+    assert blind(10.0) == blind(35.0)
