@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,11 +98,23 @@ def scan_movements_csv(spark, d):
     return rounded(readers.read_movements(spark, path))
 
 
+@query
+def scan_movements_base(spark, d):
+    """The first-generation layout, written as CSV and read back under the current names."""
+    path = scratch_path(spark, "movements_base")
+    source = movements(spark, d).withColumn("numero_lot", F.concat(F.lit("L"), F.col("id_lot")))
+    base = source.drop("temperature").withColumnRenamed("temperature_stockage", "temperature")
+    base.select(*[f.name for f in readers.BASE_SCHEMA]).write.option("header", True).csv(path)
+    return rounded(readers.read_movements(spark, path, layout="base"))
+
+
 @query
 def parse_dates(spark, d):
-    days = ["date", "date_expiration"]
-    texts = movements(spark, d, *days).select(*[F.col(c).cast("string").alias(c) for c in days])
-    return readers.date_parse_report(texts, days)
+    """Dates as text, some in another notation or cut short, which are counted as rejects."""
+    texts = movements(spark, d, "date", "date_expiration", "id_lot").select(
+        F.when(F.col("id_lot") % 97 == 0, F.date_format("date", "dd/MM/yyyy")).otherwise(F.col("date").cast("string")).alias("date"),
+        F.when(F.col("id_lot") % 89 == 0, F.substring(F.col("date_expiration").cast("string"), 1, 7)).otherwise(F.col("date_expiration").cast("string")).alias("date_expiration"))
+    return readers.date_parse_report(texts, ["date", "date_expiration"])
 
 
 @query
@@ -114,7 +127,7 @@ def schema_check(spark, d):
 
 @query
 def profile_shape(spark, d):
-    return quality.shape(movements(spark, d))
+    return quality.shape(movements(spark, d, "quantite"), len(MOVEMENT_SCHEMA))
 
 
 @query
@@ -518,6 +531,15 @@ def model_comparison(spark, d):
     return rounded(evaluate.ranked(scores))
 
 
+@query
+def model_comparison_enriched(spark, d):
+    """The regression among the models compared, on the same test days, blind to them."""
+    dense = series.dense_daily_regressors(_daily_regressors(spark, d), train_days=TEST_DAYS)
+    pairs = forecast.backtest_both(_split(spark, d)).unionByName(
+        ridge.backtest_ridge(dense, CHANGEPOINTS, ENRICHED, blind=True).select("nom_produit", "ds", "y", "modele", "yhat"))
+    return rounded(evaluate.ranked(evaluate.metrics(pairs, ["nom_produit", "modele"])))
+
+
 ENRICHED = ridge.CONFIGS["enrichi"]
 PRESETS = [ridge.CONFIGS[n] for n in ("enrichi", "contre_sous_apprentissage", "contre_sur_apprentissage")]
 
@@ -535,13 +557,27 @@ def forecast_ridge(spark, d):
 @query
 def forecast_ridge_blind(spark, d):
     """The same with only what is known in advance about the test days."""
-    return rounded(ridge.backtest_ridge(_dense_regressors(spark, d), CHANGEPOINTS, ENRICHED, blind=True))
+    dense = series.dense_daily_regressors(_daily_regressors(spark, d), train_days=TEST_DAYS)
+    return rounded(ridge.backtest_ridge(dense, CHANGEPOINTS, ENRICHED, blind=True))
 
 
 @query
 def forecast_base(spark, d):
     """Additive model without regressors, trend breaks spread automatically."""
-    return rounded(ridge.forecast_ridge(_dense_regressors(spark, d), None, ridge.CONFIGS["base"]))
+    return rounded(ridge.forecast_ridge(_dense(spark, d), None, ridge.CONFIGS["base"]))
+
+
+@query
+def fit_optimality(spark, d):
+    """Whether each fit is at its optimum, checked from features and coefficients: per product and configuration."""
+    rich = materialize(ridge.forecast_rows(_dense_regressors(spark, d), CHANGEPOINTS), "model_rows")
+    plain = materialize(ridge.forecast_rows(_dense(spark, d), None), "model_rows")
+    checks = []
+    for rows, configs in ((rich, PRESETS), (plain, [ridge.CONFIGS["base"]])):
+        fitted = materialize(ridge.fit_ridge(rows, *configs), "fits")
+        settled = fitted.select("nom_produit", "modele", "converge")
+        checks += [ridge.optimality(rows, fitted, c).join(settled, ["nom_produit", "modele"]) for c in configs]
+    return functools.reduce(DataFrame.unionByName, checks)
 
 
 @query
@@ -604,6 +640,25 @@ def order_recommendation_native(spark, d):
     return rounded(replenish.order_recommendation(forecast.forecast_native(_daily(spark, d)), _stock(spark, d)))
 
 
+def _enriched(spark, d):
+    return ridge.forecast_ridge(_dense_regressors(spark, d), CHANGEPOINTS)
+
+
+@query
+def order_recommendation_enriched(spark, d):
+    return rounded(replenish.order_recommendation(_enriched(spark, d), _stock(spark, d)))
+
+
+@query
+def stock_unknown(spark, d):
+    """Order figures where some products' stock was never written down (here those of the fresh parts): it stays unknown."""
+    written = F.when(~F.col("nom_produit").endswith("ring"), F.col("stock_theorique"))
+    stock = replenish.stock_and_life(demand.outgoing(movements(spark, d, *STOCK).withColumn("stock_theorique", written)))
+    found = replenish.replenishment(forecast.forecast_moving_average(_dense(spark, d)), stock)
+    return rounded(found.select(
+        "nom_produit", "stock_actuel", "besoin", "commande_suggeree", "duree_stock_jours", "risque_gaspillage", "pct_risque", "statut_stock", "actions"))
+
+
 @query
 def stock_cover(spark, d):
     return rounded(replenish.stock_cover(forecast.forecast_moving_average(_dense(spark, d)), _stock(spark, d)))
@@ -651,29 +706,53 @@ def forecast_export(spark, d):
 
 
 @query
-def summary_export(spark, d):
-    """Nested summary documents, written as JSON and read back."""
+def forecast_export_enriched(spark, d):
+    """The regression's forecast, unrounded, written as CSV and read back."""
+    base = scratch_path(spark, "runs")
+    units = sinks.product_units(movements(spark, d, "nom_produit", "unite"))
+    run_store.write_run(sinks.forecast_export(_enriched(spark, d), units, rounded=False), base, "predictions", FIRST_RUN, "csv")
+    return rounded(run_store.read_table(spark, base, "predictions", "csv", sinks.FORECAST_CSV_SCHEMA))
+
+
+def _documents(spark, documents):
     base = scratch_path(spark, "runs")
-    every_row = movements(spark, d, "date").agg(
-        F.count("*").alias("nb_lignes"), F.min("date").alias("debut"), F.max("date").alias("fin"))
-    documents = report.nested_summary(
-        _summary(spark, d), "natif", changepoints=CHANGEPOINTS, dataset=every_row,
-        events=series.holidays(_dense_regressors(spark, d)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
     run_store.write_run(documents, base, "resumes", FIRST_RUN, "json")
     back = run_store.read_table(spark, base, "resumes", "json", schema)
     return back.select(
-        "produit", "dataset.*", "periode_historique.*", "statistiques.*",
-        "performance_modele.MAE", "performance_modele.MAPE", "performance_modele.RMSE",
-        "performance_modele.verdict",
-        F.col("configuration_modele.nb_changepoints").alias("nb_changepoints"),
+        "produit", F.to_timestamp("date_analyse").isNotNull().alias("date_analyse_lisible"),
+        "dataset.*", "periode_historique.*", "statistiques.*", "performance_modele.*",
+        F.concat_ws(",", "configuration_modele.holidays").alias("holidays"),
         F.col("configuration_modele.nb_holidays").alias("nb_holidays"),
-        F.col("predictions.periode").alias("periode"), F.col("predictions.total_prevu").alias("total_prevu"),
-        F.col("predictions.minimum").alias("minimum"), F.col("predictions.maximum").alias("maximum"),
-        "recommandations.*",
+        F.concat_ws(",", "configuration_modele.changepoints").alias("changepoints"),
+        F.col("configuration_modele.nb_changepoints").alias("nb_changepoints"),
+        F.concat_ws(",", "configuration_modele.regresseurs").alias("regresseurs"),
+        "configuration_modele.seasonality.*", "predictions.*", "recommandations.*",
     )
 
 
+def _every_row(spark, d):
+    return movements(spark, d, "date").agg(
+        F.count("*").alias("nb_lignes"), F.min("date").alias("debut"), F.max("date").alias("fin"))
+
+
+@query
+def summary_export(spark, d):
+    """Nested summary documents of the native model, written as JSON and read back."""
+    return _documents(spark, report.nested_summary(_summary(spark, d), "natif", dataset=_every_row(spark, d)))
+
+
+@query
+def summary_export_enriched(spark, d):
+    """The same of the regression, with its configuration."""
+    dense = _dense_regressors(spark, d)
+    blind = series.dense_daily_regressors(_daily_regressors(spark, d), train_days=TEST_DAYS)
+    scores = evaluate.metrics(ridge.backtest_ridge(blind, CHANGEPOINTS, ENRICHED, blind=True))
+    summary = report.product_summary(_daily(spark, d), ridge.forecast_ridge(dense, CHANGEPOINTS), _stock(spark, d), scores)
+    return _documents(spark, report.nested_summary(
+        summary, "enrichi", changepoints=CHANGEPOINTS, dataset=_every_row(spark, d), events=series.holidays(dense), model=ENRICHED))
+
+
 def _two_runs(spark, d):
     base = scratch_path(spark, "runs")
     average = forecast.forecast_moving_average(_dense(spark, d))
@@ -702,14 +781,25 @@ def runs(spark, d):
 def run_summary(spark, d):
     """Key/value lines of a run's forecast totals."""
     average = forecast.forecast_moving_average(_dense(spark, d))
-    return run_store.summary_lines(evaluate.forecast_summary(average).drop("ecart_type").transform(rounded))
+    return run_store.summary_lines(evaluate.forecast_summary(average).transform(rounded))
 
 
 @query
 def run_files(spark, d):
-    """Tables of each run with the kind of their files."""
-    return run_store.run_files(spark, _two_runs(spark, d)).groupBy("run_id", "table", "type").agg(
-        F.count("*").alias("nb_fichiers"), F.sum("taille_ko").alias("taille_ko"))
+    """Tables of each run and the kind of their files."""
+    # Part files and their sizes depend on the cluster.
+    return run_store.run_files(spark, _two_runs(spark, d)).select("run_id", "table", "type").distinct()
+
+
+@query
+def run_text(spark, d):
+    """The key/value text of a run, read back and split again."""
+    lines = spark.read.text(f"{_two_runs(spark, d)}/resume").select("run_id", "value")
+    pair = F.regexp_extract_all("value", F.lit(r"^(.*) \| (\w+): (.*)$"), F.lit(0))
+    return lines.where(F.size(pair) == 1).groupBy("run_id").agg(
+        F.count("*").alias("nb_lignes"),
+        F.count_distinct(F.regexp_extract("value", r"^(.*) \| \w+: ", 1)).alias("nb_produits"),
+        F.count_distinct(F.regexp_extract("value", r" \| (\w+): ", 1)).alias("nb_cles"))
 
 
 @query

@@ -58,7 +58,7 @@ STEPS["raw"] = """
              + CASE WHEN l_linenumber = 7 THEN -5 ELSE l_linenumber % 3 - 1 END AS INTEGER) AS date_expiration,
     CASE WHEN regexp_matches(p_name, '(gear|gizmo|widget)$') THEN NULL ELSE p_size / 10e0 END AS temperature_stockage,
     l_extendedprice
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey"""
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey"""
 
 STEPS["mv"] = f"""
   SELECT raw.date, {", ".join(c for c in BASE_COLUMNS[1:] if c != "stock_theorique")},
@@ -169,7 +169,7 @@ STEPS["stock"] = """
     ON v.nom_produit = s.nom_produit"""
 
 
-def _orders(suffix: str, forecast: str) -> dict[str, str]:
+def _orders(suffix: str, forecast: str, stock: str = "stock") -> dict[str, str]:
     return {
         f"besoins{suffix}": f"""
   SELECT nom_produit, stock_actuel, duree_vie_moyenne, horizon,
@@ -177,18 +177,19 @@ def _orders(suffix: str, forecast: str) -> dict[str, str]:
     coalesce(sum(yhat_lower) FILTER (WHERE rang <= horizon), 0e0) AS besoin_min,
     coalesce(sum(yhat_upper) FILTER (WHERE rang <= horizon), 0e0) AS besoin_max,
     sum(yhat) AS total_prevu, avg(yhat) AS moyenne_jour, min(yhat) AS minimum, max(yhat) AS maximum, max(yhat_upper) AS haut
-  FROM (SELECT *, row_number() OVER (PARTITION BY nom_produit ORDER BY ds) AS rang FROM {forecast}) JOIN stock USING (nom_produit)
+  FROM (SELECT *, row_number() OVER (PARTITION BY nom_produit ORDER BY ds) AS rang FROM {forecast}) JOIN {stock} USING (nom_produit)
   GROUP BY ALL""",
         f"ordres{suffix}": f"""
-  SELECT *, greatest(0e0, besoin - stock_actuel) AS commande_suggeree,
-    greatest(0e0, besoin_min - stock_actuel) AS commande_min, greatest(0e0, besoin_max - stock_actuel) AS commande_max,
+  SELECT *, CASE WHEN stock_actuel IS NOT NULL THEN greatest(0e0, besoin - stock_actuel) END AS commande_suggeree,
+    CASE WHEN stock_actuel IS NOT NULL THEN greatest(0e0, besoin_min - stock_actuel) END AS commande_min,
+    CASE WHEN stock_actuel IS NOT NULL THEN greatest(0e0, besoin_max - stock_actuel) END AS commande_max,
     CASE WHEN moyenne_jour > 0 THEN stock_actuel / moyenne_jour END AS duree_stock_jours,
     duree_vie_moyenne * moyenne_jour AS capacite_consommation,
-    greatest(0e0, stock_actuel - duree_vie_moyenne * moyenne_jour) AS risque_gaspillage,
+    CASE WHEN stock_actuel IS NOT NULL THEN greatest(0e0, stock_actuel - duree_vie_moyenne * moyenne_jour) END AS risque_gaspillage,
     moyenne_jour * 7 AS commande_hebdomadaire, haut * 1.2e0 AS stock_securite
   FROM besoins{suffix}""",
         f"conseil{suffix}": f"""
-  SELECT *, CASE WHEN duree_stock_jours < 1 THEN 'critique' WHEN duree_stock_jours < 2 THEN 'faible'
+  SELECT *, CASE WHEN stock_actuel IS NULL THEN 'inconnu' WHEN duree_stock_jours < 1 THEN 'critique' WHEN duree_stock_jours < 2 THEN 'faible'
                  WHEN duree_stock_jours IS NOT NULL THEN 'suffisant' END AS statut_stock,
     CASE WHEN risque_gaspillage > 0 THEN risque_gaspillage * 100e0 / stock_actuel END AS pct_risque,
     CASE WHEN risque_gaspillage > 0 THEN '{";".join(WASTE_ACTIONS)}' END AS actions
@@ -198,6 +199,9 @@ def _orders(suffix: str, forecast: str) -> dict[str, str]:
 
 STEPS |= _orders("_m", "moyenne")
 STEPS |= _orders("_n", "natif")
+STEPS["stock_lacunaire"] = """
+  SELECT * REPLACE (CASE WHEN nom_produit NOT LIKE '%ring' THEN stock_actuel END AS stock_actuel) FROM stock"""
+STEPS |= _orders("_u", "moyenne", "stock_lacunaire")
 
 STEPS["resume"] = """
   SELECT nom_produit, j.debut, j.fin, j.nb_jours, j.ecart_type, stock_actuel, duree_vie_moyenne, horizon,
@@ -244,13 +248,17 @@ _all_doubles = "quantite stock_theorique temperature_stockage temperature taux_o
 oracle("scan_movements", f"SELECT {', '.join(MOVEMENT_COLUMNS)} FROM mv", _all_doubles)
 oracle("scan_movements_csv", f"SELECT {', '.join(MOVEMENT_COLUMNS)} FROM mv", _all_doubles)
 
+_base_columns = [c for c in MOVEMENT_COLUMNS if c not in ("type_sortie", *REGRESSOR_COLUMNS)]
+oracle("scan_movements_base", f"SELECT {', '.join(_base_columns)}, 'L' || id_lot AS numero_lot FROM mv", "quantite stock_theorique temperature_stockage")
+
 oracle("parse_dates", " UNION ALL ".join(
-    f"SELECT '{c}' AS colonne, count({c}) AS nb_valeurs, count({c}) AS nb_dates, CAST(0 AS BIGINT) AS nb_rejets, "
-    f"min({c}) AS premiere_date, max({c}) AS derniere_date FROM mv" for c in ("date", "date_expiration")))
+    f"SELECT '{c}' AS colonne, count({c}) AS nb_valeurs, count({c}) FILTER (WHERE id_lot % {n} <> 0) AS nb_dates, "
+    f"count({c}) FILTER (WHERE id_lot % {n} = 0) AS nb_rejets, min({c}) FILTER (WHERE id_lot % {n} <> 0) AS premiere_date, "
+    f"max({c}) FILTER (WHERE id_lot % {n} <> 0) AS derniere_date FROM mv" for c, n in (("date", 97), ("date_expiration", 89))))
 
 oracle("schema_check", " UNION ALL ".join(
     f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS colonne, '{'base' if c in BASE_COLUMNS else 'regresseur'}' AS groupe, "
-    f"true AS presente, count({c}) AS nb_renseignes FROM mv" for i, c in enumerate(MOVEMENT_COLUMNS, 1)))
+    f"true AS presente" for i, c in enumerate(MOVEMENT_COLUMNS, 1)))
 
 oracle("profile_shape", "SELECT count(*) AS nb_lignes, CAST(22 AS INTEGER) AS nb_colonnes FROM mv")
 
@@ -546,6 +554,12 @@ _order_columns = "nom_produit, stock_actuel, duree_vie_moyenne, horizon, besoin,
 _order_doubles = "duree_vie_moyenne besoin besoin_min besoin_max commande_suggeree commande_min commande_max"
 oracle("order_recommendation", f"SELECT {_order_columns} FROM conseil_m", _order_doubles)
 oracle("order_recommendation_native", f"SELECT {_order_columns} FROM conseil_n", _order_doubles)
+oracle("stock_unknown", """
+  SELECT nom_produit, stock_actuel, besoin, commande_suggeree, duree_stock_jours, risque_gaspillage, pct_risque, statut_stock, actions
+  FROM conseil_u""", "besoin commande_suggeree duree_stock_jours risque_gaspillage pct_risque")
+oracle("fit_optimality", """
+  SELECT nom_produit, modele, true AS optimal, true AS converge FROM etendue,
+    (VALUES ('enrichi'), ('contre_sous_apprentissage'), ('contre_sur_apprentissage'), ('base')) AS m(modele)""")
 oracle("stock_cover", "SELECT nom_produit, stock_actuel, moyenne_jour, duree_stock_jours, statut_stock FROM conseil_m",
        "moyenne_jour duree_stock_jours")
 oracle("waste_risk", """
@@ -569,15 +583,17 @@ _two = ", ".join(f"round_even({c}, 2) AS {c}" for c in (
     "commande_suggeree", "commande_min", "commande_max", "commande_hebdomadaire", "stock_securite"))
 oracle("summary_export", f"""
   SELECT nom_produit AS produit, strftime(debut, '%Y-%m-%d') AS debut, strftime(fin, '%Y-%m-%d') AS fin, nb_jours,
-    round_even(mae, 2) AS "MAE", round_even(mape, 2) AS "MAPE", round_even(rmse, 2) AS "RMSE", verdict,
-    CAST({len(CHANGEPOINTS)} AS INTEGER) AS nb_changepoints,
-    coalesce((SELECT count(*) FROM fetes f WHERE f.nom_produit = resume.nom_produit), 0) AS nb_holidays,
+    round_even(mae, 2) AS "MAE", round_even(mape, 2) AS "MAPE", round_even(rmse, 2) AS "RMSE", verdict, 'natif' AS methode,
+    true AS date_analyse_lisible, '3.0' AS version, '28 jours' AS "horizon", '85%' AS intervalle_confiance,
+    round_even(moyenne_jour, 2) AS moyenne_jour, '' AS holidays, CAST(NULL AS BIGINT) AS nb_holidays, '' AS changepoints,
+    CAST(0 AS INTEGER) AS nb_changepoints, '' AS regresseurs,
+    CAST(NULL AS INTEGER) AS yearly, CAST(NULL AS INTEGER) AS weekly, CAST(NULL AS VARCHAR) AS mode,
     (SELECT count(*) FROM mv) AS nb_lignes_total,
     (SELECT strftime(min(date), '%Y-%m-%d') || ' → ' || strftime(max(date), '%Y-%m-%d') FROM mv) AS periode_donnees,
     '{SEASON_ADVICE}' AS attention,
     strftime(CAST(fin + 1 AS DATE), '%Y-%m-%d') || ' → ' || strftime(CAST(fin + 28 AS DATE), '%Y-%m-%d') AS periode,
     {_two}, horizon AS horizon_commande_jours,
-    coalesce(round_even(duree_stock_jours, 1), 0e0) AS duree_stock_actuel_jours,
+    CASE WHEN moyenne_jour <= 0 THEN 0e0 ELSE round_even(duree_stock_jours, 1) END AS duree_stock_actuel_jours,
     round_even(risque_gaspillage, 2) AS risque_gaspillage_kg
   FROM resume""")
 oracle("runs", """
@@ -586,9 +602,16 @@ oracle("runs", """
 
 oracle("run_summary", f"""
   SELECT produit, cle, CAST(valeur AS VARCHAR) AS valeur FROM (
-    UNPIVOT (SELECT nom_produit AS produit, {", ".join(f"round({c}, 4) + 0e0 AS {c}" for c in _total_columns.split() if c != "ecart_type")}
+    UNPIVOT (SELECT nom_produit AS produit, {", ".join(f"round({c}, 4) + 0e0 AS {c}" for c in _total_columns.split())}
              FROM ({_totals} FROM moyenne GROUP BY 1))
-    ON {", ".join(c for c in _total_columns.split() if c != "ecart_type")} INTO NAME cle VALUE valeur)""")
+    ON {", ".join(_total_columns.split())} INTO NAME cle VALUE valeur)""")
+
+oracle("run_files", """
+  SELECT * FROM (VALUES ('20250101_080000', 'predictions', 'csv'), ('20250102_080000', 'predictions', 'csv'),
+    ('20250102_080000', 'totaux', 'json'), ('20250102_080000', 'resume', 'txt')) AS f(run_id, "table", type)""")
+oracle("run_text", """
+  SELECT '20250102_080000' AS run_id, count(DISTINCT nom_produit) * 7 AS nb_lignes, count(DISTINCT nom_produit) AS nb_produits,
+    CAST(7 AS BIGINT) AS nb_cles FROM moyenne""")
 
 oracle("run_history", """
   SELECT run_id, CAST(0 AS BIGINT) AS nb_graphs, CAST(1 AS BIGINT) AS nb_csv, CAST(n AS BIGINT) AS nb_json, CAST(n AS BIGINT) AS nb_txt,

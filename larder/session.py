@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -32,20 +35,22 @@ def build_session(app: str = "larder", master: str | None = None, partitions: in
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Where it is unset a local master gets a temporary folder, as driver and
-    executors are one machine there; a cluster must name one.
+    Where it is unset a local master gets a temporary folder, removed at exit, as
+    driver and executors are one process there; a cluster must name one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_dir(spark.sparkContext.applicationId)
 
 
 @functools.cache
 def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"larder-{application_id}-")
+    folder = tempfile.mkdtemp(prefix=f"larder-{application_id}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

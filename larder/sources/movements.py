@@ -28,7 +28,8 @@ _TYPES = {
     "covid_impact": T.IntegerType(),
 }
 
-# The first-generation file: storage temperature sits in `temperature`, lots
+# --- Fixed values: column order of the first-generation file ------------------
+# Storage temperature sits in `temperature`, lots
 # carry a printed number, and outgoing rows are not told apart.
 _BASE_LAYOUT = [
     "date", "type_operation", "id_lot", "numero_lot", "id_produit", "nom_produit",
@@ -101,19 +102,7 @@ def date_parse_report(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def schema_report(df: DataFrame) -> DataFrame:
-    """Expected columns: present or not, and how many rows fill them."""
-    from larder.functions.columns import unpivot_aggregates
-
+    """Expected columns and whether they are there. The schema tells, so nothing is read; counts are in ``quality.info``."""
     present = set(df.columns)
-
-    def row(position, name, group):
-        filled = F.count(name) if name in present else F.lit(0).cast("long")
-        return {
-            "position": F.lit(position),
-            "colonne": F.lit(name),
-            "groupe": F.lit(group),
-            "presente": F.lit(name in present),
-            "nb_renseignes": filled,
-        }
-
-    return unpivot_aggregates(df, [row(i, n, g) for i, (n, g) in enumerate(EXPECTED_COLUMNS, 1)])
+    lines = [(i, name, group, name in present) for i, (name, group) in enumerate(EXPECTED_COLUMNS, 1)]
+    return df.sparkSession.createDataFrame(lines, "position int, colonne string, groupe string, presente boolean")

@@ -80,7 +80,11 @@ def run_history(spark: SparkSession, base: str, products: DataFrame, limit: int
     result table with ``run_id`` and ``produit``.
     """
     kinds = {"nb_graphs": "png", "nb_csv": "csv", "nb_json": "json", "nb_txt": "txt"}
-    tables = run_files(spark, base).groupBy("run_id", "table", "type").agg(
+    found = run_files(spark, base)
+    # The newest runs come first: the others' files and rows are left out before anything is counted.
+    newest = [r["run_id"] for r in found.select("run_id").distinct().orderBy(F.desc("run_id")).limit(limit).collect()]
+    found, products = (df.where(F.col("run_id").isin(newest)) for df in (found, products))
+    tables = found.groupBy("run_id", "table", "type").agg(
         F.count("*").alias("nb_fichiers"), F.sum("taille_ko").alias("taille_ko"))
     files = tables.groupBy("run_id").agg(
         *[F.count_if(F.col("type") == ext).alias(name) for name, ext in kinds.items()],
@@ -88,4 +92,4 @@ def run_history(spark: SparkSession, base: str, products: DataFrame, limit: int
         F.sum("taille_ko").alias("taille_ko"),
     )
     covered = products.groupBy("run_id").agg(F.count_distinct("produit").alias("nb_produits"))
-    return files.join(covered, "run_id", "left").orderBy(F.desc("run_id")).limit(limit)
+    return files.join(covered, "run_id", "left").orderBy(F.desc("run_id"))

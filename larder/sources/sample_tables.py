@@ -24,8 +24,8 @@ COVID_FROM, COVID_TO = "1998-03-15", "1998-06-15"
 CHANGEPOINTS = ["1996-06-01", "1997-03-15", "1998-03-15", "1999-01-01", "2000-06-01"]
 FOCUS_PRODUCT = "small ring"
 
-# Movement columns that need `part`. Every line has its part and supplier, so a
-# join that gives no column is left out.
+# Movement columns that need `part`. Parts and suppliers are joined to the left, so the rows
+# are the same whichever columns are asked for, and a join that gives no column is left out.
 PART_COLUMNS = {
     "nom_produit", "type_produit", "unite", "date_expiration", "temperature_stockage", "stock_theorique",
 }
@@ -86,7 +86,7 @@ def movements(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
     df = table(spark, folder, "lineitem")
     if needs & PART_COLUMNS:
-        df = df.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        df = df.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
 
     derived = {
         "date": day,
@@ -125,7 +125,7 @@ def movements(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     if "nom_fournisseur" in needs:
         suppliers = table(spark, folder, "supplier").select(
             F.col("s_suppkey").alias("id_fournisseur"), F.col("s_name").alias("nom_fournisseur"))
-        df = df.join(suppliers, "id_fournisseur")
+        df = df.join(suppliers, "id_fournisseur", "left")
     if needs & set(REGRESSOR_COLUMNS):
         # One row per calendar day, whatever the number of movements: safe to broadcast.
         df = df.join(F.broadcast(daily_regressors(spark, folder)), "date", "left")
