@@ -211,7 +211,9 @@ def test_near_duplicates_equal_brute_force(spark, sf):
     check_near(spark, [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()])
 
 
-def test_near_duplicates_at_the_edges(spark):
+@pytest.mark.parametrize("block", [512, 6])
+def test_near_duplicates_at_the_edges(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     rng = random.Random(5)
     base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
     rows = [(0, None), (1, ""), (2, " \t\n"), (3, "One two"), (4, "one\x0btwo"), (5, "one two"), (None, "one two"), (8, "long " * 50_000), (9, "LONG " * 60_000)]
