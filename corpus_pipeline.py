@@ -27,8 +27,8 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest document of each group of near-duplicates."""
-    return near_dedup.keep_one(docs)
+    """Keeps the smallest document of each group of near-duplicates, four fifths of whose shingles are common."""
+    return near_dedup.keep_one(docs, similarity=80)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ and largest one only, which merges true groups of copies, however large. Buckets
 then compared block by block inside tasks, pairs of one component excepted, first by signatures, then, for members with a
 candidate left, on their sets; what leaves a task is no more than the links that join its components.
 
-Chance of missing a link at the threshold itself: (1 - 0.85^5)^25 < 1e-6 by the bands and ``MISS`` per batch by pruning.
+Chance of missing a link at the threshold itself: (1 - 0.85^5)^25 < 1e-6 by the bands and ``MISS`` per batch by pruning; at a
+threshold of 0.8 the bands miss 5e-5 of the links that are not above it.
 
 Defined results: texts without words and rows without identifier are linked with nothing and kept; rows that repeat an
 identifier are one document; an empty table gives an empty result. Texts are read whole.
@@ -126,12 +127,12 @@ def survivors(left: np.ndarray, right: np.ndarray, limits: list[tuple[int, int]]
     return alive, matches
 
 
-def similar(x: np.ndarray, y: np.ndarray) -> bool:
+def similar(x: np.ndarray, y: np.ndarray, similarity: int = SIMILARITY) -> bool:
     """Whether two sorted sets are similar enough."""
-    if 100 * min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
+    if 100 * min(len(x), len(y)) < similarity * max(len(x), len(y)):
         return False
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= SIMILARITY * (len(x) + len(y) - both)
+    return 100 * both >= similarity * (len(x) + len(y) - both)
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
@@ -177,8 +178,8 @@ def _with(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
     return pairs.join(one, "a").join(other, "b")
 
 
-def _bayes(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    limits = least_matches()
+def _bayes(pairs: DataFrame, signatures: DataFrame, similarity: int) -> DataFrame:
+    limits = least_matches(similarity / 100)
 
     def run(batches):
         for batch in batches:
@@ -189,7 +190,7 @@ def _bayes(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return _with(pairs, signatures, "sig").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
     """The pairs whose full sets are similar enough. Sets are made of the texts that occur in a pair."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     involved = materialize(ends, "ends")
@@ -197,7 +198,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            keep = [similar(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(batch.column("left"), batch.column("right"))]
+            keep = [similar(x.values.to_numpy(), y.values.to_numpy(), similarity) for x, y in zip(batch.column("left"), batch.column("right"))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return _with(pairs, whole, "shingles").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
@@ -241,9 +242,9 @@ def _candidates(batch: pa.RecordBatch, at: int, limits: list[tuple[int, int]]):
     return sides, ids, labels, *(np.concatenate(c) for c in zip(*found))
 
 
-def _open_ends(members: DataFrame) -> DataFrame:
+def _open_ends(members: DataFrame, similarity: int) -> DataFrame:
     """Identifiers of members with a surviving candidate in another component of their bucket."""
-    limits = least_matches()
+    limits = least_matches(similarity / 100)
 
     def run(batches):
         for batch in batches:
@@ -256,13 +257,13 @@ def _open_ends(members: DataFrame) -> DataFrame:
     return _block_pairs(members).mapInArrow(run, "id long").distinct()
 
 
-def _across(members: DataFrame) -> DataFrame:
+def _across(members: DataFrame, similarity: int) -> DataFrame:
     """Links between different components of a bucket, confirmed inside the task on the members' sets.
 
     The most similar candidates come first; two components that a link of these blocks has joined need no second one, so
     a pair of blocks gives no more links than it has members.
     """
-    limits = least_matches()
+    limits = least_matches(similarity / 100)
 
     def run(batches):
         for batch in batches:
@@ -279,7 +280,7 @@ def _across(members: DataFrame) -> DataFrame:
 
                 for k in np.argsort(-matches, kind="stable"):
                     p, q = root(labels[0][i[k]]), root(labels[1][j[k]])
-                    if p != q and similar(sets_of[0][i[k]].values.to_numpy(), sets_of[1][j[k]].values.to_numpy()):
+                    if p != q and similar(sets_of[0][i[k]].values.to_numpy(), sets_of[1][j[k]].values.to_numpy(), similarity):
                         joined[p] = q
                         out[0].append(ids[0][i[k]])
                         out[1].append(ids[1][j[k]])
@@ -288,8 +289,8 @@ def _across(members: DataFrame) -> DataFrame:
     return _block_pairs(members).mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY) -> DataFrame:
+    """One row per document: id, n_shingles, component_id, kept. ``similarity``: least share of common shingles, in per cent."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     found = materialize(texts.select("id", features(F.col("text")).alias("f")).select("id", "f.*"), "features")
     known = found.where(F.col("id").isNotNull() & F.col("key").isNotNull())
@@ -304,7 +305,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     stars = members.select("key", F.col("id").alias("b"), F.explode(F.array("first", "last")).alias("a")).where("a <> b")
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = materialize(_confirmed(materialize(_bayes(stars, signatures), "pairs"), texts), "links")
+    links = materialize(_confirmed(materialize(_bayes(stars, signatures, similarity), "pairs"), texts, similarity), "links")
     labels = components(links).withColumnRenamed("component", "label")
 
     labelled = members.select("key", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -314,9 +315,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marks = reps.select("id", "sig", "bands", "n")
     open_members = labelled.join(mixed, "key", "left_semi").join(marks, "id").select("key", "id", "label", "sig", "bands", "n")
     # Sets are needed of those members only that have a candidate left.
-    ends = materialize(_open_ends(open_members), "ends")
+    ends = materialize(_open_ends(open_members, similarity), "ends")
     whole = materialize(texts.join(ends, "id", "left_semi").select("id", sets(F.col("text")).alias("shingles")), "sets")
-    rest = _across(open_members.join(whole, "id"))
+    rest = _across(open_members.join(whole, "id"), similarity)
     links = links.unionByName(materialize(rest, "links"))
     groups = components(links)
 
@@ -328,9 +329,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY) -> DataFrame:
     """The documents of smallest identifier of each group, with their columns."""
-    dropped = near_duplicates(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("dropped_id")).distinct()
+    dropped = near_duplicates(docs, id_col, text_col, similarity).where(~F.col("kept")).select(F.col(id_col).alias("dropped_id")).distinct()
     rows = packed(docs, id_col).withColumnRenamed(id_col, "kept_id")
     return unpacked(rows.join(dropped, F.col("kept_id") == F.col("dropped_id"), "left_anti"), docs.columns)
 

@@ -230,6 +230,14 @@ def test_near_duplicates_at_the_edges(spark, monkeypatch, block):
     assert near_dedup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).isEmpty()
 
 
+def test_similarity_is_a_parameter(spark):
+    words = [f"q{i}" for i in range(98)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:-10] + [f"y{i}" for i in range(10)]))], "doc_id long, text string")
+    # 84 of 104 shingles are common: more than four fifths, less than 85 per cent.
+    assert near_dedup.keep_one(docs).count() == 2
+    assert near_dedup.keep_one(docs, similarity=80).count() == 1
+
+
 def test_pruning_limits_keep_the_chosen_miss_probability():
     for n, least in near_dedup.least_matches():
         below = sum(math.comb(n + 1, k) * 0.85**k * 0.15 ** (n + 1 - k) for k in range(least))
