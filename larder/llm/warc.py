@@ -2,8 +2,9 @@
 
 Writing. A record is one line of a text file whose line separator is the record's end, two line breaks. Payloads are
 sent in chunked transfer framing; HTTP messages longer than ``SEGMENT`` bytes are cut into a first record and
-continuation records. Chunks end in the middle of every ``WARC/1.1`` line of a payload, so that line, ``VERSION``, stands
-at the start of records only.
+continuation records. Chunks end in the middle of every ``WARC/1.1`` of a payload, whatever follows it there (line breaks of
+the framing or a record's end could), and an address that ends so has its last dot escaped, so ``VERSION`` stands at the
+start of records only.
 
 Reading. Archives are split at ``VERSION``, which can't overlap itself (the line reader would miss a separator that does,
 where its buffer ends inside one), so one task need not read a whole archive (compressed ones: one task per
@@ -47,8 +48,8 @@ HEADERS = {
 
 
 def chunked(payload: bytes) -> bytes:
-    """Chunked transfer framing. A chunk ends after ``CHUNK`` bytes and inside each version line."""
-    cuts = sorted({*range(0, len(payload), CHUNK), *(m.start() + 4 for m in re.finditer(VERSION.encode(), payload))})
+    """Chunked transfer framing. A chunk ends after ``CHUNK`` bytes and inside each version, so no message holds one."""
+    cuts = sorted({*range(0, len(payload), CHUNK), *(m.start() + 4 for m in re.finditer(re.escape(VERSION.strip().encode()), payload))})
     parts = []
     for start, stop in zip(cuts, [*cuts[1:], len(payload)]):
         parts += [b"%x\r\n" % (stop - start), payload[start:stop], b"\r\n"]
@@ -119,6 +120,8 @@ def write_pages(pages: DataFrame, path: str, compression: str = "gzip", id_col:
     joined = rows.join(leaders, "digest", "left")
     leads = F.col("leader").isNull() | (F.col("leader.page").eqNullSafe(F.col("page")) & F.col("leader.url").eqNullSafe(F.col("url")))
     uri = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20\x7F]", "%20")
+    # A header's line break would make a version of it.
+    uri = F.regexp_replace(uri, r"WARC/1\.1\z", "WARC/1%2E1")
     inputs = joined.select(
         _record_id(F.col("page"), F.col("url"), F.col("digest")).alias("record_id"), uri.alias("uri"), "digest",
         F.when(~leads, _record_id(F.col("leader.page"), F.col("leader.url"), F.col("digest"))).alias("refers_to"),

@@ -108,6 +108,21 @@ def test_records_across_the_line_reader_s_buffer(spark):
     assert sorted((r.page, bytes(r.payload).decode()) for r in responses.select(warc.page_of(F.col("record_id")).alias("page"), "payload").collect()) == [(i, h) for i, _, h in rows]
 
 
+def test_versions_before_line_breaks_of_the_framing(spark):
+    version = "WARC/1.1"
+    # A payload and an address that end in it; one where it ends with a chunk; it ending at each place around a segment's end.
+    pages = ["foo " + version, version, "x" * (warc.CHUNK - 8) + version, "x" * (warc.CHUNK - 8) + version + "\r\nmore", version * 900 + "\r\n"]
+    pages += ["x" * (warc.SEGMENT - n) + version + "y" * 500 for n in range(60, 240)]
+    rows = [(i, "http://a/" + version, html) for i, html in enumerate(pages)]
+    assert all(version.encode() not in warc.chunked(html.encode()) and warc.unchunked(b"\r\n\r\n" + warc.chunked(html.encode())) == html.encode() for html in pages)
+    path = scratch_path(spark, "warc_test")
+    warc.write_pages(spark.createDataFrame([*rows, (999, "http://a/" + version, pages[2])], "page_id long, url string, html string"), path)
+    responses, revisits = warc.read_pages(spark, path)
+    found = responses.select(warc.page_of(F.col("record_id")).alias("page"), "uri", "payload").collect()
+    assert sorted((r.page, r.uri, bytes(r.payload).decode()) for r in found) == [(i, "http://a/WARC/1%2E1", html) for i, _, html in rows]
+    assert [r.uri for r in revisits.collect()] == ["http://a/WARC/1%2E1"]
+
+
 def test_a_cut_record_stops_the_job(spark):
     path = scratch_path(spark, "warc_test")
     line = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x>\r\nContent-Length: 50\r\n\r\nshort".decode()
