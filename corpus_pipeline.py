@@ -22,7 +22,7 @@ def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes lines that repeat an earlier line, exactly or within two edits. Keeps every document."""
+    """Removes lines that repeat an earlier line, exactly or within two edits (one for short lines). Keeps every document."""
     return line_dedup.without_duplicates(docs).withColumn("n_chars", F.char_length("text").cast("long"))
 
 

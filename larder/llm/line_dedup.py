@@ -1,7 +1,8 @@
 """Near-duplicate lines by a segment-partition edit join.
 
-Two lines are linked when at most ``EDITS`` insertions, deletions and substitutions of characters turn one into the other.
-A line is cut into EDITS + 1 segments, so a line linked with it holds one of them unchanged, near its old place. The index
+Two lines are linked when few insertions, deletions and substitutions of characters turn one into the other: at most
+``EDITS``, or one where the shorter line has less than ``LEAST_CHARS`` characters.
+A line is cut into one segment more than its edits, so a line linked with it holds one of them unchanged, near its old place. The index
 has the hash of each segment with the line's length and the segment's number. A line probes, for its own and each smaller
 length within reach, the substrings at the places where a segment can have gone (the multi-match-aware selection), so each
 link is found from its longer line. Candidates are verified by bit-parallel edit distance on the band of 2 EDITS + 1
@@ -11,8 +12,8 @@ A bucket (all lines that hold one segment) is never paired row by row: all membe
 one first, then, where it still holds several classes, block by block inside tasks, pairs of one class excepted. Repeated
 lines are sent once per task, not once per copy.
 
-Defined results: blank lines are always kept and have no class; lines under ``LEAST_CHARS`` characters are duplicates only of equal
-lines, as two edits make another line of them; null and empty texts have no lines; documents without identifier come
+Defined results: blank lines are always kept and have no class; lines under ``SHORT_CHARS`` characters are duplicates only of equal
+lines, as an edit makes another line of them; null and empty texts have no lines; documents without identifier come
 last in order; rows that repeat an identifier and text are one document; an empty table gives an empty result. Lines of any
 length are compared whole.
 """
@@ -33,6 +34,7 @@ from larder.session import materialize
 
 EDITS = 2
 LEAST_CHARS = 24
+SHORT_EDITS, SHORT_CHARS = 1, 12
 BLOCK = 256
 SEEN = 500_000
 # The largest filter of line hashes that tasks get: 8 MB.
@@ -50,17 +52,23 @@ def partition(length: int, parts: int) -> list[tuple[int, int]]:
     return out
 
 
-def index_keys(line: str, edits: int = EDITS) -> list[tuple[int, int, str]]:
+def edits_of(length: int) -> int:
+    """The edits that link a line of that length with one at least as long."""
+    return EDITS if length >= LEAST_CHARS else SHORT_EDITS if length >= SHORT_CHARS else 0
+
+
+def index_keys(line: str) -> list[tuple[int, int, str]]:
     """(length, segment number, segment) of a line."""
-    return [(len(line), i, line[p : p + w]) for i, (p, w) in enumerate(partition(len(line), edits + 1))]
+    return [(len(line), i, line[p : p + w]) for i, (p, w) in enumerate(partition(len(line), edits_of(len(line)) + 1))]
 
 
-def probe_keys(line: str, edits: int = EDITS) -> list[tuple[int, int, str]]:
-    """The index keys that a line at most as long and within ``edits`` edits can share with ``line``."""
+def probe_keys(line: str) -> list[tuple[int, int, str]]:
+    """The index keys that a line at most as long and within its edits can share with ``line``."""
     out = []
-    for shorter in range(edits + 1):
+    for shorter in range(EDITS + 1):
         length = len(line) - shorter
-        if length < LEAST_CHARS:
+        edits = edits_of(length)
+        if length < SHORT_CHARS or shorter > edits:
             break
         for i, (p, w) in enumerate(partition(length, edits + 1)):
             # At most i edits lie before segment i (from 0), at most edits - i behind it.
@@ -112,6 +120,12 @@ def within(a: str, b: str, edits: int = EDITS) -> bool:
     return bool(alive[k] >> k + len(a) - len(b) & 1)
 
 
+def linked(a: str, b: str) -> bool:
+    """Whether two different lines are near enough for the length of the shorter one."""
+    edits = edits_of(min(len(a), len(b)))
+    return edits > 0 and within(a, b, edits)
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(id, text_key, line_no, key, line) of all lines that are not blank. key is the MD5 of the line."""
     split = docs.select("id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -129,7 +143,7 @@ def _keys(docs: DataFrame, keys_of) -> DataFrame:
             hashes, ids = [], []
             for text in strings(batch.column("text")):
                 for line in text.split("\n"):
-                    if len(line) < LEAST_CHARS or not line.strip(" "):
+                    if len(line) < SHORT_CHARS or not line.strip(" "):
                         continue
                     number = xxhash.xxh3_64_intdigest(line.encode("utf-8", "replace"))
                     if number in seen:
@@ -169,7 +183,7 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
             out = ([], [], [])
             for text in strings(batch.column("text")):
                 for line in text.split("\n"):
-                    if len(line) < LEAST_CHARS or not line.strip(" "):
+                    if len(line) < SHORT_CHARS or not line.strip(" "):
                         continue
                     raw = line.encode("utf-8", "replace")
                     number = xxhash.xxh3_64_intdigest(raw)
@@ -192,7 +206,7 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            keep = [within(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            keep = [linked(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     one = lines.select(F.col("id").alias("left"), F.col("key").alias("a"), F.col("line").alias("x"))
@@ -227,7 +241,7 @@ def _across(members: DataFrame) -> DataFrame:
                             continue
                         # Classes that a link of these blocks has joined need no second one.
                         p, q = root(x["label"]), root(y["label"])
-                        if p != q and within(x["line"], y["line"]):
+                        if p != q and linked(x["line"], y["line"]):
                             merged[p] = q
                             out[0].append(x["key"])
                             out[1].append(y["key"])

@@ -508,6 +508,27 @@ def test_duplicate_lines_at_the_edges(spark, monkeypatch):
     assert line_dedup.duplicate_lines(spark.createDataFrame([], "doc_id long, text string")).isEmpty()
 
 
+def test_short_lines_equal_brute_force(spark):
+    rng, lines = random.Random(13), ["The thertion.", "The, thertion.", "tiny line a", "tiny line b", "x" * 24, "x" * 23 + "y", "x" * 22 + "y", "x" * 20 + "zz"]
+    for length in range(9, 27):
+        base = "".join(rng.choice("abc ") for _ in range(length - 1)) + "."
+        lines += [base, *(edited(rng, base, times, "abc") + "." for times in (0, 1, 1, 2, 2))]
+    lines = [line for line in dict.fromkeys(lines) if line.strip(" ")]
+    rng.shuffle(lines)
+
+    def near(a, b):
+        shorter = min(len(a), len(b))
+        return edits(a, b) <= (2 if shorter >= 24 else 1 if shorter >= 12 else 0)
+
+    group = closed([(p, q) for p, a in enumerate(lines) for q in range(p) if near(a, lines[q])], range(len(lines)))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in line_dedup.duplicate_lines(docs).collect()} == group
+    assert group[lines.index("The thertion.")] == group[lines.index("The, thertion.")]
+    assert group[lines.index("tiny line a")] != group[lines.index("tiny line b")]
+    links = [(a, b) for a in lines for b in lines if a != b and len(a) <= len(b) and near(a, b)]
+    assert all(set(line_dedup.index_keys(a)) & set(line_dedup.probe_keys(b)) for a, b in links)
+
+
 def test_documents_without_duplicate_lines(spark):
     rows = [(1, "first line of some length here\nsecond\n\nsecond", "x"), (2, "first line of some length herE\nthird", None), (3, None, "z"), (None, "second", "w"), (4, "", "v")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, row string").withColumn("gone", F.lit(1))
