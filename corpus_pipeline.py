@@ -37,12 +37,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece identifiers of every text: doc_id, lang, source, n_pieces, pieces."""
+    """Piece identifiers of every text, and whether they decode to it: doc_id, lang, source, n_pieces, pieces, round_trip."""
     import public_tokenizers
 
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    found = docs.select("doc_id", "lang", "source", pieces.encoded(F.col("text"), model, spark).alias("pieces"))
-    return found.select("doc_id", "lang", "source", F.size("pieces").alias("n_pieces"), "pieces")
+    found = docs.select("doc_id", "lang", "source", pieces.encoded_and_decoded(F.col("text"), model, spark).alias("found"))
+    return found.select("doc_id", "lang", "source", F.size("found.pieces").alias("n_pieces"), "found.pieces", "found.round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

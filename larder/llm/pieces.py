@@ -229,6 +229,27 @@ def decoded(ids: Column, model: dict, spark: SparkSession) -> Column:
     return text_udf(start, "string")(ids)
 
 
+def encoded_and_decoded(text: Column, model: dict, spark: SparkSession) -> Column:
+    """Struct of a text column: its pieces, and round_trip: whether decoding them gives the text back."""
+    sent = spark.sparkContext.broadcast(model)
+
+    def start():
+        encoder, decoder = Encoder(sent.value), Decoder(sent.value)
+
+        def step(batch: list[str]) -> pa.Array:
+            flat, ends, same = array("i"), [0], []
+            for t in batch:
+                encoder.text(t, flat)
+                same.append(decoder.ids(flat[ends[-1] :]) == t)
+                ends.append(len(flat))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
+            return pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], ["pieces", "round_trip"])
+
+        return step
+
+    return text_udf(start, "pieces array<int>, round_trip boolean")(text)
+
+
 def checked(text: Column, model: dict, spark: SparkSession) -> Column:
     """Struct of a text column: n_pieces, n_distinct, pieces_sha256 (of the identifiers as 32-bit numbers) and round_trip.
 

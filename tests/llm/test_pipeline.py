@@ -49,6 +49,14 @@ def test_run(spark, sf):
     assert found and all(r.n_pieces == len(r.pieces) for r in found)
 
 
+def test_the_last_stage_decodes(spark, sf):
+    rows = [(1, "en", "s", "plain words é😀"), (2, "en", "s", "a▁b"), (3, None, None, None), (4, "en", "s", "")]
+    found = corpus_pipeline.encoded(spark, spark.createDataFrame(rows, "doc_id long, lang string, source string, text string"), sf).collect()
+    # A marker in a text decodes to a space.
+    assert {r.doc_id: r.round_trip for r in found} == {1: True, 2: False, 3: True, 4: True}
+    assert {r.doc_id: len(r.pieces) == r.n_pieces for r in found} == dict.fromkeys([1, 2, 3, 4], True)
+
+
 def test_entry_works_without_the_package(tmp_path):
     copy = tmp_path / "repo"
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
