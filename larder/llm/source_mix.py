@@ -12,9 +12,10 @@ text; rows that repeat an identifier get the same count each; an empty table giv
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import packed, table
@@ -23,6 +24,8 @@ from larder.session import materialize
 WEIGHTS = {"src0": 2.0, "src1": 3.0, "src2": 0.5}
 OTHER = 1.0
 SEED = 17
+# Above this rate the distribution is built as rows.
+HIGH_RATE = 1000.0
 
 
 def hashed(*parts: Column) -> Column:
@@ -44,11 +47,27 @@ def poisson_cdf(rate: Column) -> Column:
     return F.when(rate > 0, cdf).otherwise(F.array(F.lit(1.0)))
 
 
+def high_cdf(rates: DataFrame) -> DataFrame:
+    """(mix_source, rate, least, cdf) of sources with high rates: cdf begins at ``least`` copies.
+
+    Counts farther than 10 standard deviations from the mean are below the hash's resolution. The logarithm of a term is
+    written with distances from the mean, by Stirling's series, as its parts are much larger than itself. One row per
+    count and a running sum per source: linear in the width.
+    """
+    rate, k = F.col("rate"), F.col("k").cast("double")
+    span = 10 * F.sqrt(rate) + 30
+    rows = rates.withColumn("least", F.floor(rate - span).cast("long")).withColumn("k", F.explode(F.sequence("least", F.ceil(rate + span).cast("long"))))
+    log = (k - rate) - k * F.log1p((k - rate) / rate) - F.ln(F.lit(2 * math.pi) * k) / 2 - 1 / (12 * k) + 1 / (360 * k * k * k)
+    summed = rows.withColumn("total", F.sum(F.exp(log)).over(Window.partitionBy("mix_source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
+    # Sums never fall, so their order is that of the counts.
+    return summed.groupBy("mix_source", "rate", "least").agg(F.sort_array(F.collect_list("total")).alias("cdf"))
+
+
 def source_rates(
     docs: DataFrame, weights: Mapping[str, float], other: float = OTHER, total_bytes: int | None = None,
     source_col: str = "source", text_col: str = "text",
 ) -> DataFrame:
-    """One row per source: its repetition rate and the distribution of counts at that rate. Written to the shared folder."""
+    """One row per source: its repetition rate and the distribution of counts (from ``least`` on) at that rate. Written to the shared folder."""
     sizes = docs.groupBy(F.col(f"`{source_col}`").alias("mix_source")).agg(
         F.sum(F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("long")).alias("bytes"))
     weight = F.lit(float(other))
@@ -60,7 +79,9 @@ def source_rates(
     wanted = (sums["bytes"] or 0) if total_bytes is None else total_bytes
     rate = F.when(F.col("bytes") == 0, F.when(F.col("weight") > 0, 1.0).otherwise(0.0)).otherwise(
         F.col("weight") * F.lit(wanted) / (F.lit(sums["weight"] or 0.0) * F.col("bytes")))
-    return materialize(sizes.select("mix_source", rate.alias("rate")).withColumn("cdf", poisson_cdf(F.col("rate"))), "mix_rates")
+    rates = sizes.select("mix_source", rate.alias("rate"))
+    low = rates.where(F.col("rate") <= HIGH_RATE).select("mix_source", "rate", F.lit(0).cast("long").alias("least"), poisson_cdf(F.least("rate", F.lit(HIGH_RATE))).alias("cdf"))
+    return materialize(low.unionByName(high_cdf(rates.where(F.col("rate") > HIGH_RATE))), "mix_rates")
 
 
 def replicate(
@@ -74,7 +95,7 @@ def replicate(
     drawn = packed(docs, id_col, text_col, source_col).withColumn("mix_source", F.col(source_col)).withColumn("mix_name", name)
     drawn = drawn.select("row", "mix_name", F.col("mix_source").alias("mix_of")).join(rates, F.col("mix_of").eqNullSafe(F.col("mix_source")))
     place = hashed(F.lit(str(seed)), F.col("mix_name")) / F.lit(float(2**52))
-    counted = drawn.withColumn("n_copies", F.size(F.filter("cdf", lambda c: c <= place)))
+    counted = drawn.withColumn("n_copies", (F.col("least") + F.size(F.filter("cdf", lambda c: c <= place))).cast("int"))
     copies = counted.where("n_copies > 0").select(
         "row", "mix_name", "n_copies", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy"))
     keyed = copies.withColumn("shuffle_key", hashed(F.lit(f"{seed}-order"), F.col("mix_name"), F.col("copy").cast("string")))

@@ -287,6 +287,26 @@ def test_poisson_distribution(spark, rate):
     assert cdf[-1] == pytest.approx(1.0, abs=1e-9)
 
 
+def test_high_rates_have_short_distributions(spark):
+    rates = [(None, 1500.0), ("a", 1e6), ("b", 3e8)]
+    found = {r.mix_source: r for r in source_mix.high_cdf(spark.createDataFrame(rates, "mix_source string, rate double")).collect()}
+    for name, rate in rates:
+        least, cdf = found[name].least, np.array(found[name].cdf)
+        assert len(cdf) <= 20 * math.sqrt(rate) + 63 and cdf[0] < 1e-16 and cdf[-1] == pytest.approx(1.0, abs=1e-9)
+        places = np.arange(least, least + len(cdf))
+        terms = np.diff(cdf, prepend=0.0)
+        mean = float(terms @ (places - rate))
+        assert abs(mean) < 1e-3 * math.sqrt(rate) and float(terms @ (places - rate - mean) ** 2) == pytest.approx(rate, rel=1e-3)
+    at = found[None]
+    exact = np.cumsum([math.exp(-1500.0 + k * math.log(1500.0) - math.lgamma(k + 1)) for k in range(at.least, at.least + len(at.cdf))])
+    assert np.abs(exact - np.array(at.cdf)).max() < 1e-9
+    docs = spark.createDataFrame([(1, "x", "tiny"), (2, "y" * 3_000_000, "large")], "doc_id long, text string, source string")
+    rate = source_mix.source_rates(docs, {}).where("mix_source = 'tiny'").first()
+    assert rate.rate > 1e6 and rate.least > 1e6 and len(rate.cdf) < 30_000
+    copies = source_mix.replicate(docs, {}).where("row.doc_id = 1").agg(F.count("*").alias("n"), F.max("n_copies").alias("m")).first()
+    assert copies.n == copies.m == pytest.approx(rate.rate, rel=0.01)
+
+
 def test_sources_reach_their_weights(spark):
     rows = [(i, "x" * 10, "a" if i < 6000 else "b" if i < 7500 else None) for i in range(8000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("row", F.lit("clash")).withColumn("rate", F.lit(9))
