@@ -12,7 +12,7 @@ with a third of all codes is many pairs of blocks, and distances are computed fo
 
 Defined results: rows without vector or identifier are neither found nor searched for; missing components have bit 0, NaN
 bit 1; a query doesn't find its own identifier; ties go to the smaller identifier; repeated rows count once; with fewer
-than k others all are returned; an empty table gives an empty result.
+than k others all are returned; codes are as long as the longest vector; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -132,13 +132,23 @@ def _best(found: DataFrame, most: int) -> DataFrame:
 
 
 def search(
-    vectors: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "vec_id", vector_col: str = "embedding", bits: int = 64, width: int | None = None,
+    vectors: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "vec_id", vector_col: str = "embedding", bits: int | None = None, width: int | None = None,
 ) -> DataFrame:
-    """The k nearest other rows of ``vectors`` by sign code, per row of ``queries``: id, neighbour_id, distance, rank."""
-    words, most = -(-bits // 64), k + 1
+    """The k nearest other rows of ``vectors`` by sign code, per row of ``queries``: id, neighbour_id, distance, rank.
+
+    Codes are as long as the longest vector, or have the given number of ``bits``, which no vector may exceed.
+    """
+
+    def usable_of(df: DataFrame) -> DataFrame:
+        return df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull())
+
+    longest = max(usable_of(df).agg(F.max(F.size(vector_col))).first()[0] or 0 for df in (vectors, queries))
+    if bits is not None and longest > bits:
+        raise ValueError(f"a vector has {longest} components, codes have {bits} bits")
+    words, most = max(1, -(-(bits or longest) // 64)), k + 1
 
     def coded(df: DataFrame) -> DataFrame:
-        usable = df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull())
+        usable = usable_of(df)
         return usable.select(F.col(id_col).cast("long").alias("id"), sign_code(F.col(vector_col), words).alias("code")).distinct()
 
     # At most k + 1 identifiers of a code are kept, task by task before they meet.

@@ -157,6 +157,15 @@ def test_search_of_few_rows_and_none(spark):
     assert hamming_search.search(df.limit(0), df, 3).isEmpty()
 
 
+def test_components_behind_the_64th_count(spark):
+    rows = [(0, [1.0] * 70), (1, [1.0] * 64 + [-1.0] * 6), (2, [-1.0] + [1.0] * 69)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = hamming_search.search(df, df.where("vec_id = 0"), 2).orderBy("rank").collect()
+    assert [tuple(r) for r in found] == [(0, 2, 1, 1), (0, 1, 6, 2)]
+    with pytest.raises(ValueError, match="70 components"):
+        hamming_search.search(df, df, 2, bits=64)
+
+
 def test_blocks_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(hamming_search, "INDEX_BLOCK", 16)
     df = spark.range(500).select(F.lit(0).alias("segment"), F.lit(1).alias("value"), "id")
