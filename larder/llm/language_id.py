@@ -2,12 +2,12 @@
 
 Subwords are the character 1- to 3-grams of a lower-cased word with its borders, hashed into ``BUCKETS`` embeddings. A
 document is the mean of the embeddings of all its subwords; a linear softmax gives one probability per language. Both are
-trained by stochastic gradient descent in NumPy on a bounded sample of the labelled rows: at most ``SAMPLE`` per language,
-the smallest by hash. A fifth of it is set aside to calibrate: it gives the temperature of the softmax and the
+trained by stochastic gradient descent in NumPy on a bounded sample of the labelled rows: at most ``SAMPLE`` per language and
+``TOTAL`` of all, shared evenly, the smallest by hash. More than ``MOST_LANGUAGES`` languages stop the job. A fifth of it is set aside to calibrate: it gives the temperature of the softmax and the
 confidence below which a prediction is rejected.
 
 Scoring is one pass over the documents. As the softmax is linear, mean(E[h]) @ W equals mean((E @ W)[h]): tasks get the
-product, one row per bucket and one column per language, of bounded size.
+product, one row per bucket and one column per language, while that is no larger than E; else both factors.
 
 Defined results: a null, empty or letterless text is ``und`` with score 0 and rejected; documents with null language are
 scored but never learnt from; without any labelled row all are ``und``; ties go to the first language by name; an empty
@@ -16,8 +16,6 @@ table gives an empty result. Texts are read whole, in blocks of ``BLOCK`` charac
 
 from __future__ import annotations
 
-import functools
-import operator
 import sys
 from dataclasses import dataclass
 
@@ -26,12 +24,15 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from larder.llm.common import crc_mod, packed, table, text_udf, unpacked
 
 BUCKETS, DIM, ORDERS = 1 << 15, 16, (1, 2, 3)
-# The most training documents per language, and the most languages: both bound what reaches the driver.
-SAMPLE, MOST_LANGUAGES = 400, 400
+# The most training documents per language and in total, and the most languages: they bound what reaches the driver.
+SAMPLE, TOTAL, MOST_LANGUAGES = 400, 160_000, 8000
+# The most logits that calibration holds at once.
+AT_ONCE = 4_000_000
 EPOCHS, RATE, SEED = 6, 0.5, 5
 CALIBRATION_SHARE = 0.2
 # The share of calibration documents that rejection may cost, and the confidence above which nothing is rejected.
@@ -87,7 +88,8 @@ class Subwords:
 @dataclass
 class Model:
     languages: list[str]
-    weights: np.ndarray  # one row per bucket, one column per language
+    weights: np.ndarray  # one row per bucket, one column per language or, with heads, per dimension
+    heads: np.ndarray | None  # one row per dimension, one column per language
     temperature: float
     threshold: float
 
@@ -97,8 +99,8 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, classes: int) -> np.ndarray:
-    """Stochastic gradient descent over documents (buckets, shares); returns embeddings times softmax weights."""
+def train(bags: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray | None]:
+    """Stochastic gradient descent over documents (buckets, shares); returns embeddings times softmax weights, or both of many languages."""
     rng = np.random.default_rng(SEED)
     E = rng.uniform(-1.0 / DIM, 1.0 / DIM, (BUCKETS, DIM)).astype(np.float32)
     W = np.zeros((DIM, classes), np.float32)
@@ -118,34 +120,48 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, classes
             W -= rate * np.outer(mean, slope)
             # The step of an embedding is divided by the largest share, not by the count of subwords.
             E[buckets] = rows - rate * (share / share.max())[:, None] * back
-    return E @ W
+    return (E @ W, None) if classes <= DIM else (E, W)
 
 
-def calibrate(logits: np.ndarray, target: np.ndarray) -> tuple[float, float]:
-    """The temperature of least log loss, and the confidence below which a prediction is rejected."""
-    if not len(logits):
+def calibrate(inputs: np.ndarray, heads: np.ndarray | None, target: np.ndarray) -> tuple[float, float]:
+    """The temperature of least log loss, and the confidence below which a prediction is rejected. Without heads, inputs are logits."""
+    if not len(inputs):
         return 1.0, 0.0
-    rows = np.arange(len(target))
+    step = max(1, AT_ONCE // (inputs if heads is None else heads).shape[1])
+    parts = [slice(at, at + step) for at in range(0, len(inputs), step)]
+
+    def logits(part: slice) -> np.ndarray:
+        return inputs[part] if heads is None else inputs[part] @ heads
+
     grid = np.exp(np.linspace(np.log(0.05), np.log(20.0), 120))
-    loss = [-np.log(_softmax(logits / t)[rows, target] + 1e-12).mean() for t in grid]
+    loss = np.zeros(len(grid))
+    for part in parts:
+        some, wanted = logits(part), target[part]
+        loss += [-np.log(_softmax(some / t)[np.arange(len(wanted)), wanted] + 1e-12).sum() for t in grid]
     temperature = float(grid[int(np.argmin(loss))])
-    confidence = _softmax(logits / temperature).max(axis=1)
+    confidence = np.concatenate([_softmax(logits(part) / temperature).max(axis=1) for part in parts])
     return temperature, float(min(np.quantile(confidence, REJECTED_SHARE), SURE))
 
 
 def _sample(docs: DataFrame, usable: Column, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """At most ``SAMPLE`` usable rows per language: those of smallest hash, thinned out before they meet."""
+    """At most ``SAMPLE`` usable rows per language, ``TOTAL`` in all: those of smallest hash, thinned out before they meet."""
     known = docs.where(usable & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     order = F.xxhash64(F.lit(SEED), F.col(id_col))
-    sizes = known.groupBy(F.col(label_col).alias("language")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "language").limit(MOST_LANGUAGES).collect()
+    sizes = known.groupBy(F.col(label_col).alias("language")).agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
     if not sizes:
         return known.select(F.lit("").alias("language"), F.col(text_col).alias("text"), order.alias("order"), F.lit(1).alias("place")).limit(0)
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"{label_col} has more than {MOST_LANGUAGES} languages")
+    most = min(SAMPLE, TOTAL // len(sizes))
     # Twice the rows wanted of each language, by hash, so that the ranking below gets few.
-    some = known.where(functools.reduce(operator.or_, (
-        (F.col(label_col) == r["language"]) & (F.pmod(order, F.lit(max(1, r["n"] // (2 * SAMPLE)))) == 0) for r in sizes)))
+    every = [(r["language"], max(1, r["n"] // (2 * most))) for r in sizes]
+    kind = StructType([StructField("sized", known.select(label_col).schema[0].dataType), StructField("every", LongType())])
+    # One row per language.
+    thinned = F.broadcast(docs.sparkSession.createDataFrame(every, kind))
+    rows = known.select(F.col(label_col).alias("language"), F.col(text_col).alias("text"), order.alias("order"))
+    some = rows.join(thinned, F.col("language") == F.col("sized")).where(F.pmod("order", "every") == 0)
     first = Window.partitionBy("language").orderBy("order", "text")
-    return (some.select(F.col(label_col).alias("language"), F.col(text_col).alias("text"), order.alias("order"))
-            .withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE))
+    return some.select("language", "text", "order").withColumn("place", F.row_number().over(first)).where(F.col("place") <= most)
 
 
 def _bags(sample: DataFrame) -> DataFrame:
@@ -173,17 +189,18 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
     rows = [r for r in rows if r["buckets"]]
     languages = sorted({r["language"] for r in rows})
     if not languages:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), 1.0, 0.0)
+        return Model([], np.zeros((BUCKETS, 0), np.float32), None, 1.0, 0.0)
     bags = []
     for r in rows:
         counts = np.array(r["counts"], np.float32)
         bags.append((np.array(r["buckets"]), counts / counts.sum()))
-    target = np.array([languages.index(r["language"]) for r in rows])
+    number = {language: i for i, language in enumerate(languages)}
+    target = np.array([number[r["language"]] for r in rows])
     held = np.array([r["place"] % round(1 / CALIBRATION_SHARE) == 0 for r in rows])
     train_on = np.flatnonzero(~held)
-    weights = train([bags[i] for i in train_on], target[train_on], len(languages))
-    logits = np.array([share @ weights[b] for (b, share), h in zip(bags, held) if h]).reshape(-1, len(languages))
-    return Model(languages, weights, *calibrate(logits, target[held]))
+    weights, heads = train([bags[i] for i in train_on], target[train_on], len(languages))
+    inputs = np.array([share @ weights[b] for (b, share), h in zip(bags, held) if h]).reshape(-1, weights.shape[1])
+    return Model(languages, weights, heads, *calibrate(inputs, heads, target[held]))
 
 
 def predicted(text: Column, model: Model, spark: SparkSession) -> Column:
@@ -198,10 +215,12 @@ def predicted(text: Column, model: Model, spark: SparkSession) -> Column:
             codes, letters = subwords.codes(text)
             if not letters or not m.languages:
                 return {"lang_pred": UNKNOWN, "score": 0.0, "rejected": True}
-            logits, n = np.zeros(len(m.languages)), 0
+            logits, n = np.zeros(m.weights.shape[1]), 0
             for h in subwords.blocks(codes):
                 logits += m.weights[h].sum(axis=0, dtype=np.float64)
                 n += len(h)
+            if m.heads is not None:
+                logits = logits @ m.heads
             p = _softmax(logits / n / m.temperature)
             best = int(p.argmax())
             return {"lang_pred": m.languages[best], "score": float(p[best]), "rejected": bool(p[best] < m.threshold)}

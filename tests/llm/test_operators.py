@@ -196,6 +196,21 @@ def test_odd_texts_of_unknown_language(spark):
     assert language_id.keep_known(docs.withColumn("lang", F.lit(None).cast("string"))).isEmpty()
 
 
+def test_many_languages_are_all_learnt(spark, monkeypatch):
+    docs = spark.range(450 * 6).selectExpr("id AS doc_id", "concat('l', id % 450) AS lang", "concat('word', id) AS text")
+    model = language_id.fit(docs, F.lit(True))
+    assert len(model.languages) == 450
+    # The total is shared.
+    monkeypatch.setattr(language_id, "TOTAL", 900)
+    sample = language_id._sample(docs, F.lit(True), "doc_id", "text", "lang").groupBy("language").count().collect()
+    assert len(sample) == 450 and max(r["count"] for r in sample) == 2
+    found = docs.limit(5).select(language_id.predicted(F.col("text"), model, spark).alias("p")).collect()
+    assert all(r.p.lang_pred in model.languages for r in found)
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 449)
+    with pytest.raises(ValueError, match="more than 449"):
+        language_id.fit(docs, F.lit(True))
+
+
 def test_subwords_do_not_depend_on_the_block(monkeypatch):
     subwords = language_id.Subwords()
     codes, _ = subwords.codes("Straße, naïve façade 12 ещё слово")
