@@ -1,7 +1,8 @@
 """Exact deduplication by a tree of merged digest runs. DataFrame operations only.
 
 Every input partition is a run of digests. In each round, ``fan_in`` neighbouring runs are exchanged and merged into
-one: the lines of a digest meet, the wanted identifier and the count survive. A merged run is cut by digest into
+one by aggregation: the lines of a digest meet, the wanted identifier and the count survive. Runs are not sorted, as an
+exchange keeps no order: the native form is a tree of partial aggregations, not a multiway merge of sorted runs. A merged run is cut by digest into
 slices, so no task ever holds a whole run, and a digest has at most one line per run: a text that makes up a third of
 all rows is one line per partition before the first exchange.
 
@@ -33,7 +34,7 @@ def _verified(value: Column) -> Column:
 def merge_runs(lines: DataFrame, keep: str = "smallest", runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
     """Merges lines (run, digest, id, n, _len_lo, _len_hi, _sum_lo, _sum_hi) to one line per digest.
 
-    The first round builds the local runs too: its map-side aggregation is one sorted run per input partition.
+    The first round builds the local runs too: its map-side aggregation is one run per input partition.
     """
     pick = F.min if keep == "smallest" else F.max
     while True:
@@ -45,8 +46,6 @@ def merge_runs(lines: DataFrame, keep: str = "smallest", runs: int = RUNS, fan_i
                  F.min("_len_lo").alias("_len_lo"), F.max("_len_hi").alias("_len_hi"),
                  F.min("_sum_lo").alias("_sum_lo"), F.max("_sum_hi").alias("_sum_hi"))
             .withColumn("n", _verified(F.col("n")))
-            # A run is sorted: what follows merges sorted runs.
-            .sortWithinPartitions("run", "slice", "digest")
         )
         if runs == 1:
             return lines

@@ -372,6 +372,13 @@ def test_exact_duplicates(spark, keep):
     assert exact_dedup.exact_dedup(docs.limit(0)).isEmpty()
 
 
+def test_runs_are_merged_without_a_sort(spark):
+    lines = spark.createDataFrame([], "run long, slice long, digest binary, id long, n long, _len_lo int, _len_hi int, _sum_lo long, _sum_hi long")
+    plan = exact_dedup.merge_runs(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plan
+    assert not re.search("run is sorted|merges sorted runs|one sorted run", open(exact_dedup.__file__).read())
+
+
 def test_a_digest_of_two_texts_stops_the_job(spark):
     lines = spark.createDataFrame([(0, 1, b"d", 1, 1, 5, 5, 7, 7), (1, 1, b"d", 2, 1, 5, 5, 8, 8)],
                                   "run long, slice long, digest binary, id long, n long, _len_lo int, _len_hi int, _sum_lo long, _sum_hi long")
