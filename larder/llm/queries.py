@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larder.llm import exact_dedup, hamming_search, language_id, line_dedup, near_dedup, pieces, quality_vote, source_mix, token_count, vector_codes, warc
+from larder.llm import exact_dedup, filter_audit, hamming_search, language_id, line_dedup, near_dedup, pieces, quality_vote, source_mix, token_count, vector_codes, warc
 
 QUERIES = {
     "op1_token_counts": token_count.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_quality_vote": quality_vote.query,
     "op10_line_dedup": line_dedup.query,
     "op11_vector_codes": vector_codes.query,
+    "op12_filter_audit": filter_audit.query,
 }
 ORACLE = {
     "op2_warc": warc.SQL,
@@ -23,4 +24,5 @@ ORACLE = {
     "op6_source_mix": source_mix.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
     "op11_vector_codes": vector_codes.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
