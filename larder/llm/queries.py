@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larder.llm import exact_dedup, filter_audit, hamming_search, language_id, line_dedup, near_dedup, pieces, quality_vote, source_mix, token_count, vector_codes, warc
+from larder.llm import exact_dedup, filter_audit, hamming_search, language_id, line_dedup, near_dedup, pieces, quality_vote, repeat_removal, source_mix, token_count, vector_codes, warc
 
 QUERIES = {
     "op1_token_counts": token_count.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_line_dedup": line_dedup.query,
     "op11_vector_codes": vector_codes.query,
     "op12_filter_audit": filter_audit.query,
+    "op13_repeat_removal": repeat_removal.query,
 }
 ORACLE = {
     "op2_warc": warc.SQL,
@@ -25,4 +26,5 @@ ORACLE = {
     "op7_exact_dedup": exact_dedup.SQL,
     "op11_vector_codes": vector_codes.SQL,
     "op12_filter_audit": filter_audit.SQL,
+    "op13_repeat_removal": repeat_removal.SQL,
 }
