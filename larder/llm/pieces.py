@@ -3,8 +3,10 @@
 Encoding: a space is put before the text and spaces become the marker U+2581; at each character the trie gives every piece that
 starts there; the best path is the one of highest total score, ties going to the one found first. A character without
 piece costs ``UNKNOWN_PENALTY`` less than the lowest score and is written as its UTF-8 bytes' pieces (or as the unknown
-piece where the model has none). Where no piece holds a marker behind another character, the best path never crosses
-such a place: the text is cut there, and a worker remembers the paths of short cuts (bounded).
+piece where the model has none). The best path never crosses a place that no piece crosses. So the text is cut before markers,
+where no piece holds one behind another character; and between characters that no piece holds together, directly or through
+others: letters and full stops, say, or letters and line breaks. A worker remembers the paths of short cuts in two generations: when the young one is full it becomes the old
+one, whose cuts move back when they are met again, so that frequent cuts stay and memory is bounded.
 
 Decoding: pieces are joined, runs of byte pieces become characters (replacement marks where they are no UTF-8), markers
 become spaces and the first space goes.
@@ -82,6 +84,20 @@ def double_array(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return base, check, value
 
 
+def joined_characters(pieces: list[str]) -> list[str]:
+    """Classes of characters, markers left out: those that some piece holds together, directly or through others. The largest first."""
+    of: dict[str, set[str]] = {}
+    for piece in pieces:
+        chars = set(piece) - {MARK}
+        if len(chars) > 1:
+            joined = set().union(chars, *(of[c] for c in chars if c in of))
+            if any(of.get(c) is not of.get(piece[-1]) or c not in of for c in chars):
+                of |= dict.fromkeys(joined, joined)
+        elif chars and len(piece) > 1:
+            of.setdefault(*chars, chars)
+    return ["".join(sorted(c)) for c in sorted({id(c): c for c in of.values()}.values(), key=len, reverse=True)]
+
+
 def read_model(path: str) -> dict:
     """Pieces, scores and trie of a model file as plain values, read on the driver. Its size is checked, so that it may be sent to all tasks."""
     from sentencepiece import sentencepiece_model_pb2 as formats
@@ -105,6 +121,7 @@ def read_model(path: str) -> dict:
         "bytes": {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == kinds.BYTE},
         "unknown": next((i for i, p in enumerate(proto.pieces) if p.type == kinds.UNKNOWN), 0),
         "cuts": not any(re.search(f"[^{MARK}]{MARK}", w) for _, w, _ in words),
+        "classes": joined_characters([w for _, w, _ in words]),
         "known": {},
     }
 
@@ -114,7 +131,12 @@ class Encoder:
         self.m = model
         self.base, self.check, self.value = model["base"], model["check"], model["value"]
         self.lowest = min(model["scores"], default=0.0) - UNKNOWN_PENALTY
-        self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if model["cuts"] else re.compile("(?s).+")
+        # A marker starts a cut; where pieces hold one elsewhere, texts stay whole.
+        self.cut = re.compile("(?s).+")
+        if model["cuts"]:
+            classes = [f"[{re.escape(c)}]+" for c in model["classes"]]
+            others = f"[^{re.escape(''.join(model['classes']))}{MARK}]+"
+            self.cut = re.compile(f"{MARK}*(?:{'|'.join([*classes, others])})|{MARK}+")
 
     def best(self, text: str) -> bytes:
         """Identifiers of the best path through ``text`` (markers in place), as 32-bit numbers."""
@@ -161,16 +183,20 @@ class Encoder:
         """Appends the identifiers of ``text`` to ``out``."""
         if not text:
             return
+        # The two generations of remembered paths.
         known = self.m["known"]
-        for found in self.cut.finditer(MARK + text.replace(" ", MARK)):
-            cut = found.group()
-            ids = known.get(cut)
+        young, old = known.setdefault("young", {}), known.setdefault("old", {})
+        for cut in self.cut.findall(MARK + text.replace(" ", MARK)):
+            ids = young.get(cut)
             if ids is None:
-                ids = self.best(cut)
+                ids = old.get(cut)
+                if ids is None:
+                    ids = self.best(cut)
                 if len(cut) <= CACHE_CHARS:
-                    if len(known) >= CACHE_CUTS:
-                        known.clear()
-                    known[cut] = ids
+                    if len(young) >= CACHE_CUTS:
+                        young, old = {}, young
+                        known.update(young=young, old=old)
+                    young[cut] = ids
             out.frombytes(ids)
 
 
