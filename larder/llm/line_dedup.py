@@ -295,8 +295,12 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.select(F.col("id").alias(id_col), "line_no", "n_chars", F.col("first.id").alias("class_id"), F.col("first.line_no").alias("class_line"), "kept")
 
 
-def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, without the lines that repeat an earlier one. No document goes, though its text may become empty."""
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: float = 1.0) -> DataFrame:
+    """The documents, with all their columns, without the lines that repeat an earlier one. No document goes.
+
+    A document of whose characters (those of lines that are not blank) more than the share ``most`` would go is handed on
+    unchanged: it is a copy, about which a stage that compares documents decides. With 1 none is, and texts may become empty.
+    """
     marked = _marked(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     gone = marked.where(~F.col("kept")).groupBy("id", "text_key").agg(F.collect_set("line_no").alias("gone"))
 
@@ -305,8 +309,10 @@ def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         out = []
         for text, numbers in zip(texts.to_pylist(), gone.to_pylist()):
             if text is not None and numbers:
-                numbers = set(numbers)
-                text = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in numbers)
+                numbers, lines = set(numbers), text.split("\n")
+                size = sum(len(line) for line in lines if line.strip(" "))
+                if sum(len(lines[i]) for i in numbers) <= most * size:
+                    text = "\n".join(line for i, line in enumerate(lines) if i not in numbers)
             out.append(text)
         return pa.array(out, pa.string())
 

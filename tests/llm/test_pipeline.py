@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
-from larder.llm import queries
+from larder.llm import exact_dedup, line_dedup, queries
 from larder.llm.common import table
+from larder.session import materialize
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -19,7 +20,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 def test_stages_are_those_asked_for():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "lines", "near_duplicates", "mix", "pieces"]
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_point.queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
 
 
 def test_stages_keep_the_columns_of_documents(spark, sf):
@@ -35,15 +36,33 @@ def test_stages_keep_the_columns_of_documents(spark, sf):
 
 def test_lines_and_groups_are_unique_after_their_stages(spark, sf):
     docs = table(spark, sf, "documents")
-    lines = corpus_pipeline.fresh_lines(spark, docs, sf)
-    assert lines.count() == docs.count()
-    seen = [line for r in lines.select("text").collect() for line in (r.text or "").split("\n") if line.strip(" ")]
+    before = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    lines = corpus_pipeline.fresh_lines(spark, docs, sf).collect()
+    assert len(lines) == docs.count()
+    every = line_dedup.without_duplicates(docs).select("doc_id", "text").collect()
+    seen = [line for r in every for line in (r.text or "").split("\n") if line.strip(" ")]
     assert len(seen) == len(set(seen))
+    # Only documents that would lose most of their text are handed on whole; none that had text is empty.
+    strict = {r.doc_id: r.text for r in every}
+    for r in lines:
+        whole, left = (sum(len(x) for x in (t or "").split("\n") if x.strip(" ")) for t in (before[r.doc_id], strict[r.doc_id]))
+        assert r.text == (before[r.doc_id] if whole - left > 0.5 * whole else strict[r.doc_id])
+        assert not (before[r.doc_id] or "").strip() or r.text.strip()
     once = corpus_pipeline.one_of_each(spark, docs, sf)
     texts = [r.text for r in once.select("text").collect()]
     assert len(texts) == len(set(texts)) < docs.count()
 
 
+def test_copies_are_dropped_and_not_emptied(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents")
+    direct = {r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, sf).select("doc_id").collect()}
+    after = {r.doc_id for r in corpus_pipeline.one_of_each(spark, materialize(corpus_pipeline.fresh_lines(spark, docs, sf), "fresh"), sf).select("doc_id").collect()}
+    copies = {r.doc_id for r in exact_dedup.exact_dedup(docs).where("NOT kept").select("doc_id").collect()}
+    # Texts without words are linked with nothing; all other copies are dropped, with or without the stage before.
+    assert len(copies - after) > 20 and copies & after == copies & direct
+
+
 def test_run(spark, sf):
     found = entry_point.queries()["pipeline"](spark, sf).collect()
     assert found and all(r.n_pieces == len(r.pieces) for r in found)
