@@ -25,6 +25,7 @@ touched. Texts are read whole, and a long text's passages are dealt piece by pie
 from __future__ import annotations
 
 import hashlib
+import itertools
 import sys
 from collections.abc import Iterable, Iterator
 
@@ -39,8 +40,9 @@ from larder.session import materialize
 
 WINDOW, GRAM = 20, 8
 # Words of a shard, anchors of a slice, about; and the words after which a document's passages may go to another shard.
-SHARD_WORDS, SLICE_ANCHORS, PIECE_BITS = 1 << 16, 1 << 13, 12
-CACHE_WORDS = 300_000
+SHARD_WORDS, SLICE_ANCHORS, PIECE_BITS = 1 << 16, 1 << 16, 12
+# Words whose anchors are sought at once, and remembered hashes.
+AT_ONCE, CACHE_WORDS = 1 << 18, 300_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -48,44 +50,62 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").split()
 
 
-class Anchors:
-    """Anchors of a text's windows."""
+class _Known(dict):
+    """Hashes of words, a bounded number of them remembered."""
 
-    def __init__(self, window: int = WINDOW, gram: int = GRAM):
+    def __init__(self):
         import xxhash
 
-        self.window, self.gram = window, min(gram, window)
-        self.hash, self.known = xxhash.xxh3_64_intdigest, {}
+        super().__init__()
+        self.hash = xxhash.xxh3_64_intdigest
 
-    def find(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash and place of each anchor, and the first window that has it; windows follow one another."""
-        windows = len(words) - self.window + 1
-        if windows < 1:
-            return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
-        known, hashes = self.known, []
-        for word in words:
-            h = known.get(word)
-            if h is None:
-                h = self.hash(word)
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                known[word] = h
-            hashes.append(h)
-        single = np.array(hashes, np.uint64)
-        grams = len(words) - self.gram + 1
-        h = np.full(grams, self.gram, np.uint64)
-        for i in range(self.gram):
-            h = (h ^ single[i : grams + i]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-            h *= np.uint64(0xBF58476D1CE4E5B9)
-            h ^= h >> np.uint64(32)
-        least, place = h[:windows].copy(), np.arange(windows)
-        for i in range(1, self.window - self.gram + 1):
-            smaller = h[i : i + windows] < least
-            least[smaller] = h[i : i + windows][smaller]
-            place[smaller] = np.flatnonzero(smaller) + i
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = h = self.hash(word)
+        return h
+
+
+def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
+    """Smallest of each ``width`` neighbours, in doubling steps."""
+    size = 1
+    while 2 * size <= width:
+        keys, size = np.minimum(keys[:-size], keys[size:]), 2 * size
+    return np.minimum(keys[: len(keys) - (width - size)], keys[width - size :])
+
+
+class Anchors:
+    """Anchors of the windows of texts."""
+
+    def __init__(self, window: int = WINDOW, gram: int = GRAM):
+        self.window, self.gram, self.known = window, min(gram, window), _Known()
+
+    def find(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per anchor: its text, hash, the first window that has it, and how many have it; windows of a text follow one another."""
+        lengths = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        if total < self.window:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        single = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(texts)), np.uint64, total)
+        grams = total - self.gram + 1
+        h = single[:grams].copy()
+        for i in range(1, self.gram):
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h += single[i : grams + i]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+        # The upper half of the hash, then the place: the leftmost of the smallest.
+        keys = h & np.uint64(0xFFFFFFFF00000000) | np.arange(grams, dtype=np.uint64)
+        place = (sliding_least(keys, self.window - self.gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        windows = np.arange(len(place))
+        text = np.searchsorted(ends, windows, side="right")
+        inside = windows + self.window <= ends[text]
+        windows, place, text = windows[inside], place[inside], text[inside]
         first = np.flatnonzero(np.diff(place, prepend=-1))
-        return least[first].view(np.int64), place[first].astype(np.int32), first
+        low = windows[first] - (ends - lengths)[text[first]]
+        return text[first], h[place[first]].view(np.int64), low.astype(np.int32), np.diff(np.append(first, len(place))).astype(np.int32)
 
 
 class Automaton:
@@ -163,71 +183,81 @@ class Automaton:
 
 
 def anchors_of(text: Column, window: int) -> Column:
-    """Array of (h, pos): the anchors of a text column."""
-    kind = pa.struct([("h", pa.int64()), ("pos", pa.int32())])
+    """Array of (h, low, n): the anchors of a text column, with the windows that have them."""
+    kind = pa.struct([("h", pa.int64()), ("low", pa.int32()), ("n", pa.int32())])
 
     def start():
         anchors = Anchors(window)
 
         def step(batch: list[str]) -> pa.Array:
-            hashes, places, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [0]
-            for text in batch:
-                h, place, _ = anchors.find(words_of(text))
-                hashes.append(h)
-                places.append(place)
-                ends.append(ends[-1] + len(h))
-            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(places))], fields=list(kind))
+            found, counts, some, size = [anchors.find([])[1:]], [], [], 0
+            for place, text in enumerate(batch, 1):
+                some.append(words_of(text))
+                size += len(some[-1])
+                if size >= AT_ONCE or place == len(batch):
+                    of, *columns = anchors.find(some)
+                    found.append(columns)
+                    counts.append(np.bincount(of, minlength=len(some)))
+                    some, size = [], 0
+            ends = np.concatenate([[0], *counts]).cumsum().astype(np.int32)
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], fields=list(kind))
             return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
 
         return step
 
-    return text_udf(start, "array<struct<h:long,pos:int>>")(text)
+    return text_udf(start, "array<struct<h:long,low:int,n:int>>")(text)
 
 
 def routed_anchors(named: DataFrame, window: int) -> DataFrame:
-    """Per document its repeated anchors: place, hash, whether it is the first one, shard, slices of the shard and own slice."""
-    found = materialize(named.where("doc IS NOT NULL").select("doc", F.inline(anchors_of(F.col("text"), window))), "anchors")
-    repeated = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    # Anchors that many documents share are skewed keys on the left, which AQE splits; both sums combine before their exchange.
-    hits = materialize(found.join(repeated, "h"), "repeated_anchors")
-    firsts = materialize(hits.groupBy("h").agg(F.min(F.struct("doc", "pos")).alias("first")), "first_anchors")
+    """Per text its repeated anchors: their windows, whether it is the first one, shard, slices of the shard and own slice."""
+    found = materialize(named.where("doc IS NOT NULL").select("doc", "tie", F.inline(anchors_of(F.col("text"), window))), "anchors")
+    firsts = materialize(
+        found.groupBy("h").agg(F.count("*").alias("times"), F.min(F.struct("doc", "low")).alias("first")).where("times > 1").select("h", "first"), "first_anchors")
     shards = max(1, -(-firsts.count() * GRAM // SHARD_WORDS))
-    shard = F.pmod(F.xxhash64("first.doc", F.shiftright("first.pos", PIECE_BITS)), F.lit(shards)).cast("int")
-    located = hits.join(firsts, "h").withColumn("shard", shard)
-    asked = located.groupBy("shard").agg(F.count("*").alias("n")).select("shard", F.ceil(F.col("n") / SLICE_ANCHORS).cast("int").alias("slices")).where("slices > 1")
+    shard = F.pmod(F.xxhash64("first.doc", F.shiftright("first.low", PIECE_BITS)), F.lit(shards)).cast("int")
+    # Anchors that many documents share are skewed keys on the left, which AQE splits: the other side is a plain table.
+    is_first = (F.col("doc") == F.col("first.doc")) & (F.col("low") == F.col("first.low"))
+    located = materialize(found.join(firsts, "h").select("doc", "tie", "low", "n", is_first.alias("is_first"), shard.alias("shard")), "repeated_anchors")
+    asked = located.groupBy("shard").agg(F.count("*").alias("anchors")).select("shard", F.ceil(F.col("anchors") / SLICE_ANCHORS).cast("int").alias("slices")).where("slices > 1")
     dealt = located.join(asked, "shard", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
-    own = F.pmod(F.xxhash64("doc", F.shiftright("pos", PIECE_BITS)), F.col("slices")).cast("int")
-    is_first = (F.col("doc") == F.col("first.doc")) & (F.col("pos") == F.col("first.pos"))
-    return dealt.groupBy("doc").agg(F.collect_list(F.struct("pos", "h", is_first.alias("is_first"), "shard", "slices", own.alias("slice"))).alias("anchors"))
+    own = F.pmod(F.xxhash64("doc", F.shiftright("low", PIECE_BITS)), F.col("slices")).cast("int")
+    # References go to all slices of their shard, so their own one says nothing.
+    slice_ = F.when(F.col("is_first"), 0).otherwise(own)
+    return dealt.groupBy("doc", "tie").agg(F.collect_list(F.struct("low", "n", "is_first", "shard", "slices", slice_.alias("slice"))).alias("anchors"))
 
 
 def passages(named: DataFrame, anchors: DataFrame, window: int) -> DataFrame:
     """(shard, slice, is_first, doc, tie, start, words): references, once for each slice, and passages to be streamed against them."""
-    joined = named.join(anchors, "doc")
-    kind = pa.struct([("shard", pa.int32()), ("slices", pa.int32()), ("slice", pa.int32()), ("is_first", pa.bool_()), ("start", pa.int32()), ("words", pa.binary())])
+    joined = named.join(anchors, ["doc", "tie"])
+    names = ["shard", "slices", "slice", "is_first"]
 
     @F.arrow_udf("array<struct<shard:int,slices:int,slice:int,is_first:boolean,start:int,words:binary>>")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        finder = Anchors(window)
         for texts, lists in batches:
-            yield pa.array([list(spans(finder, words_of(t), a)) for t, a in zip(strings(texts), lists.to_pylist())], pa.list_(kind))
-
-    def spans(finder: Anchors, words: list[bytes], known: list[dict]) -> Iterator[dict]:
-        of = {(a["pos"], a["h"]): a for a in known}
-        hashes, places, first = finder.find(words)
-        after = np.append(first[1:], len(words) - window + 1)
-        open_span, begin, end = None, 0, 0
-        for h, place, low, high in zip(hashes.tolist(), places.tolist(), first.tolist(), after.tolist()):
-            a = of.get((place, h))
-            # References go to all slices of their shard, so their own one says nothing.
-            key = a and (a["shard"], a["slices"], 0 if a["is_first"] else a["slice"], a["is_first"])
-            if key != open_span:
-                if open_span:
-                    yield dict(zip(("shard", "slices", "slice", "is_first"), open_span), start=begin, words=b" ".join(words[begin : end + window - 1]))
-                open_span, begin = key, low
-            end = high
-        if open_span:
-            yield dict(zip(("shard", "slices", "slice", "is_first"), open_span), start=begin, words=b" ".join(words[begin : end + window - 1]))
+            flat = lists.flatten()
+            low, n, *keys = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("low", "n", *names))
+            borders = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+            columns, starts, words, ends = [[] for _ in names], [], [], [0]
+            for text, a, b in zip(strings(texts), borders[:-1].tolist(), borders[1:].tolist()):
+                # A row that repeats another one has its anchors twice.
+                begin, order = np.unique(low[a:b], return_index=True)
+                order += a
+                end = begin + n[order]
+                new = begin[1:] != end[:-1]
+                for key in keys:
+                    new |= key[order][1:] != key[order][:-1]
+                heads = np.flatnonzero(np.concatenate([[True], new]))
+                tails = np.append(heads[1:], len(order)) - 1
+                all_words = words_of(text)
+                starts.append(begin[heads])
+                words += [b" ".join(all_words[i : j + window - 1]) for i, j in zip(begin[heads].tolist(), end[tails].tolist())]
+                for column, key in zip(columns, keys):
+                    column.append(key[order[heads]])
+                ends.append(len(words))
+            shard, slices, slice_, is_first = (np.concatenate([np.zeros(0, np.int64), *c]) for c in columns)
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([
+                *[pa.array(x, pa.int32()) for x in (shard, slices, slice_)], pa.array(is_first.astype(bool)),
+                pa.array(np.concatenate([np.zeros(0, np.int64), *starts]), pa.int32()), pa.array(words, pa.binary())], [*names, "start", "words"]))
 
     found = joined.select("doc", "tie", F.inline(cut("text", "anchors")))
     slices = F.when(F.col("is_first"), F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(F.array("slice"))
@@ -306,7 +336,7 @@ def kept_words(text: Column, ranges: Column, window: int) -> Column:
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row per document: identifier, n_words, n_removed, kept text and spans of removed words."""
-    named = docs.select(F.col(f"`{id_col}`").alias("doc"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    named = docs.select(F.col(f"`{id_col}`").alias("doc"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn("tie", F.hash("text"))
     found = repeats(named, window).select(F.col("doc").alias("_doc"), F.col("tie").alias("_tie"), "ranges")
     joined = named.join(found, (F.col("doc") == F.col("_doc")) & (F.col("tie") == F.col("_tie")), "left")
     return joined.select(F.col("doc").alias(id_col), kept_words(F.col("text"), F.col("ranges"), window).alias("found")).select(id_col, "found.*")
