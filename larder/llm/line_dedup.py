@@ -295,12 +295,8 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.select(F.col("id").alias(id_col), "line_no", "n_chars", F.col("first.id").alias("class_id"), F.col("first.line_no").alias("class_line"), "kept")
 
 
-def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: float = 1.0) -> DataFrame:
-    """The documents, with all their columns, without the lines that repeat an earlier one. No document goes.
-
-    A document of whose characters (those of lines that are not blank) more than the share ``most`` would go is handed on
-    unchanged: it is a copy, about which a stage that compares documents decides. With 1 none is, and texts may become empty.
-    """
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, without the lines that repeat an earlier one. No document goes, though its text may become empty."""
     marked = _marked(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     gone = marked.where(~F.col("kept")).groupBy("id", "text_key").agg(F.collect_set("line_no").alias("gone"))
 
@@ -309,10 +305,8 @@ def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         out = []
         for text, numbers in zip(texts.to_pylist(), gone.to_pylist()):
             if text is not None and numbers:
-                numbers, lines = set(numbers), text.split("\n")
-                size = sum(len(line) for line in lines if line.strip(" "))
-                if sum(len(lines[i]) for i in numbers) <= most * size:
-                    text = "\n".join(line for i, line in enumerate(lines) if i not in numbers)
+                numbers = set(numbers)
+                text = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in numbers)
             out.append(text)
         return pa.array(out, pa.string())
 
@@ -322,6 +316,39 @@ def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return unpacked(shorter.withColumn("row", F.col("row").withField(f"`{text_col}`", F.col("shorter"))), docs.columns)
 
 
+def with_copies_whole(docs: DataFrame, most: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, without the lines that repeat an earlier one, but copies are not emptied.
+
+    For a stage before one that compares documents. Documents with equal texts lose the same lines: those that the first of them
+    loses. A text of whose characters (those of lines that are not blank) more than the share ``most`` would go keeps the lines
+    that the document it shares most with has first, so that it is left like that one. No text with lines becomes empty.
+    """
+    marked = _marked(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    lost = marked.groupBy("text_key", "line_no").agg(F.max("kept").alias("kept"), F.min("first").alias("first"), F.max("n_chars").alias("n_chars")).where(~F.col("kept"))
+    by_owner = lost.groupBy("text_key", "first.id").agg(F.collect_list("line_no").alias("lines"), F.sum("n_chars").alias("n_chars"))
+    gone = by_owner.groupBy("text_key").agg(F.collect_list(F.struct("n_chars", "lines")).alias("gone"))
+
+    @F.arrow_udf("string")
+    def left(texts: pa.Array, gone: pa.Array) -> pa.Array:
+        out = []
+        for text, owners in zip(texts.to_pylist(), gone.to_pylist()):
+            if text is not None and owners:
+                lines = text.split("\n")
+                size = sum(len(line) for line in lines if line.strip(" "))
+                if sum(o["n_chars"] for o in owners) > most * size:
+                    owners.remove(max(owners, key=lambda o: (o["n_chars"], -min(o["lines"]))))
+                numbers = {i for o in owners for i in o["lines"]}
+                text = "\n".join(line for i, line in enumerate(lines) if i not in numbers)
+            out.append(text)
+        return pa.array(out, pa.string())
+
+    # A text that very many documents have is a skewed join, which AQE splits.
+    rows = packed(docs, text_col).toDF("row", "own_text").withColumn("own_key", F.xxhash64("own_text"))
+    joined = rows.join(gone, F.col("own_key") == F.col("text_key"), "left")
+    shorter = joined.select("row", left("own_text", "gone").alias("shorter"))
+    return unpacked(shorter.withColumn("row", F.col("row").withField(f"`{text_col}`", F.col("shorter"))), docs.columns)
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
     return duplicate_lines(table(spark, folder, "documents"))
 

@@ -218,8 +218,9 @@ def routed_anchors(named: DataFrame, window: int) -> DataFrame:
     # Anchors that many documents share are skewed keys on the left, which AQE splits: the other side is a plain table.
     is_first = (F.col("doc") == F.col("first.doc")) & (F.col("low") == F.col("first.low"))
     located = materialize(found.join(firsts, "h").select("doc", "tie", "low", "n", is_first.alias("is_first"), shard.alias("shard")), "repeated_anchors")
+    # A plain table of the few crowded shards, so that the anchors need not be dealt by shard to meet it.
     asked = located.groupBy("shard").agg(F.count("*").alias("anchors")).select("shard", F.ceil(F.col("anchors") / SLICE_ANCHORS).cast("int").alias("slices")).where("slices > 1")
-    dealt = located.join(asked, "shard", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+    dealt = located.join(materialize(asked, "crowded_shards"), "shard", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
     own = F.pmod(F.xxhash64("doc", F.shiftright("low", PIECE_BITS)), F.col("slices")).cast("int")
     # References go to all slices of their shard, so their own one says nothing.
     slice_ = F.when(F.col("is_first"), 0).otherwise(own)
