@@ -21,17 +21,18 @@ def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language_id.keep_known(docs)
 
 
-# A document that would lose a larger share of its characters is a copy: it is left whole to the stage that compares documents.
+# A document that would lose a larger share of its characters is a copy: it is left like its original to the stage that compares documents.
 MOST_REMOVED = 0.5
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes lines that repeat an earlier line, exactly or within two edits (one for short lines). Keeps every document.
 
-    No document that had text becomes empty: one that would lose more than ``MOST_REMOVED`` of its characters is handed on
-    unchanged. Null and empty texts, and repeated rows, stay as they are.
+    Copies are not emptied: equal texts lose the same lines, and a document that would lose more than ``MOST_REMOVED`` of its
+    characters keeps those of the document it shares most with. No document that had text becomes empty. Null and empty texts
+    stay as they are, and repeated rows stay alike.
     """
-    return line_dedup.without_duplicates(docs, most=MOST_REMOVED).withColumn("n_chars", F.char_length("text").cast("long"))
+    return line_dedup.with_copies_whole(docs, MOST_REMOVED).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
