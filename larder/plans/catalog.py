@@ -16,9 +16,10 @@ from larder.fixed_values import (
     TEST_DAYS,
 )
 from larder.functions import columns as C
-from larder.operators import demand, evaluate, forecast, quality, replenish, report, ridge, series
+from larder.operators import demand, evaluate, fifo, forecast, quality, replenish, report, ridge, series
 from larder.session import materialize, scratch_path
 from larder.sources import movements as readers
+from larder.sources import rejects
 from larder.sources import runs as run_store
 from larder.sources import sinks
 from larder.sources.movements import MOVEMENT_SCHEMA
@@ -108,6 +109,43 @@ def scan_movements_base(spark, d):
     return rounded(readers.read_movements(spark, path, layout="base"))
 
 
+def _broken_files(spark, d):
+    """Files of the first-generation layout, without header, some of whose rows are broken; a folder per operation."""
+    source = movements(spark, d).withColumn("numero_lot", F.concat(F.lit("L"), F.col("id_lot")))
+    base = source.drop("temperature").withColumnRenamed("temperature_stockage", "temperature")
+    names = [f.name for f in readers.BASE_SCHEMA]
+    lot = F.col("id_lot")
+    broken = {
+        "date": F.when(lot % 97 == 0, F.date_format("date", "dd/MM/yyyy")).when(lot % 89 != 0, F.col("date").cast("string")),
+        "quantite": F.when(lot % 83 == 0, "douze").otherwise(F.col("quantite").cast("string")),
+        "id_fournisseur": F.when(lot % 79 == 0, F.concat(F.lit("F"), F.col("id_fournisseur"))).otherwise(F.col("id_fournisseur").cast("string")),
+    }
+    line = F.to_csv(F.struct(*[broken.get(c, F.col(c)).alias(c) for c in names]))
+    line = F.when(lot % 73 == 0, F.substring_index(line, ",", 9)).when(lot % 71 == 0, F.concat(line, F.lit(",surplus"))).otherwise(line)
+    path = scratch_path(spark, "movements_broken")
+    base.select(F.col("type_operation").alias("dossier"), line.alias("value")).write.partitionBy("dossier").text(path)
+    return path
+
+
+@query
+def scan_movements_rejects(spark, d):
+    """The good rows of files with broken ones."""
+    return rounded(rejects.split_movements(spark, _broken_files(spark, d), "base", header=False)[0])
+
+
+@query
+def movement_rejects(spark, d):
+    """The broken rows: folder of the file, raw line, reason, columns and values at fault."""
+    _, found = rejects.split_movements(spark, _broken_files(spark, d), "base", header=False)
+    return found.withColumn("fichier", F.regexp_extract("fichier", "dossier=([^/]*)/", 1))
+
+
+@query
+def movement_reject_counts(spark, d):
+    _, found = rejects.split_movements(spark, _broken_files(spark, d), "base", header=False)
+    return rejects.reject_counts(found.withColumn("fichier", F.regexp_extract("fichier", "dossier=([^/]*)/", 1)))
+
+
 @query
 def parse_dates(spark, d):
     """Dates as text, some in another notation or cut short, which are counted as rejects."""
@@ -169,6 +207,20 @@ def expired_rows(spark, d):
         spark, d, "nom_produit", "date", "date_expiration", "id_lot", "id_produit", "quantite"))
 
 
+LOTS = ["nom_produit", "date", "type_operation", "id_lot", "id_produit", "quantite", "date_expiration"]
+
+
+@query
+def fifo_allocation(spark, d):
+    """The lot that each issue should have drawn on, and how much."""
+    return rounded(fifo.allocate(movements(spark, d, *LOTS)))
+
+
+@query
+def fifo_violations(spark, d):
+    return rounded(fifo.violations(fifo.allocate(movements(spark, d, *LOTS))))
+
+
 @query
 def value_counts_operation(spark, d):
     return quality.value_counts(movements(spark, d, "type_operation"), "type_operation")

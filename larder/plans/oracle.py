@@ -251,6 +251,57 @@ oracle("scan_movements_csv", f"SELECT {', '.join(MOVEMENT_COLUMNS)} FROM mv", _a
 _base_columns = [c for c in MOVEMENT_COLUMNS if c not in ("type_sortie", *REGRESSOR_COLUMNS)]
 oracle("scan_movements_base", f"SELECT {', '.join(_base_columns)}, 'L' || id_lot AS numero_lot FROM mv", "quantite stock_theorique temperature_stockage")
 
+# The broken files: lots divisible by 97 have a date in another notation, by 89 none, by 83 a quantity in words, by 79 a
+# supplier number with a letter; lines of lots divisible by 73 are cut short, by 71 have a column too many.
+STEPS["lignes"] = """
+  SELECT *, concat_ws(',',
+      CASE WHEN id_lot % 97 = 0 THEN strftime(date, '%d/%m/%Y') WHEN id_lot % 89 <> 0 THEN CAST(date AS VARCHAR) ELSE '' END,
+      type_operation, id_lot, 'L' || id_lot, id_produit, nom_produit, type_produit, unite,
+      CASE WHEN id_lot % 83 = 0 THEN 'douze' ELSE CAST(quantite AS VARCHAR) END) AS debut_ligne,
+    concat_ws(',', CAST(stock_theorique AS VARCHAR), coalesce(CAST(temperature_stockage AS VARCHAR), ''), CAST(date_expiration AS VARCHAR),
+      CASE WHEN id_lot % 79 = 0 THEN 'F' ELSE '' END || id_fournisseur, nom_fournisseur, id_arrivage) AS fin_ligne,
+    id_lot % 73 = 0 AS courte, id_lot % 73 <> 0 AND id_lot % 71 = 0 AS longue,
+    id_lot % 97 = 0 AS f1, id_lot % 83 = 0 AS f2, id_lot % 79 = 0 AND id_lot % 73 <> 0 AS f3, id_lot % 97 <> 0 AND id_lot % 89 = 0 AS vide
+  FROM mv"""
+STEPS["rebuts"] = """
+  SELECT type_operation AS fichier, debut_ligne || CASE WHEN courte THEN '' ELSE ',' || fin_ligne END || CASE WHEN longue THEN ',surplus' ELSE '' END AS ligne,
+    CASE WHEN f1 OR f2 OR f3 THEN 'valeur illisible' WHEN courte OR longue THEN 'nombre de colonnes' ELSE 'valeur obligatoire absente' END AS motif,
+    CASE WHEN f1 OR f2 OR f3 THEN concat_ws('; ', CASE WHEN f1 THEN 'date' END, CASE WHEN f2 THEN 'quantite' END, CASE WHEN f3 THEN 'id_fournisseur' END)
+         WHEN courte OR longue THEN '' ELSE 'date' END AS colonnes,
+    CASE WHEN f1 OR f2 OR f3 THEN concat_ws('; ', CASE WHEN f1 THEN strftime(date, '%d/%m/%Y') END, CASE WHEN f2 THEN 'douze' END, CASE WHEN f3 THEN 'F' || id_fournisseur END)
+         ELSE '' END AS valeurs
+  FROM lignes WHERE courte OR longue OR f1 OR f2 OR f3 OR vide"""
+oracle("scan_movements_rejects", f"SELECT {', '.join(_base_columns)}, 'L' || id_lot AS numero_lot FROM lignes WHERE NOT (courte OR longue OR f1 OR f2 OR f3 OR vide)",
+       "quantite stock_theorique temperature_stockage")
+oracle("movement_rejects", "SELECT * FROM rebuts")
+oracle("movement_reject_counts", "SELECT motif, colonnes, count(*) AS nb_lignes, count(DISTINCT fichier) AS nb_fichiers FROM rebuts GROUP BY ALL")
+
+# First in, first out as a range join of running totals.
+for _name, _test in (("recus", "="), ("tires", "<>")):
+    STEPS[_name] = f"""
+  SELECT nom_produit, date, id_lot, date_expiration, fin - quantite AS debut, fin FROM (
+    SELECT *, sum(quantite) OVER (PARTITION BY nom_produit ORDER BY raw.date, id_lot, id_produit, quantite, date_expiration ROWS UNBOUNDED PRECEDING) AS fin
+    FROM raw WHERE type_operation {_test} 'ENTREE' AND quantite > 0)"""
+STEPS["tirages"] = """
+  SELECT t.nom_produit, t.fin AS rang_sortie, t.date AS date_sortie, t.id_lot AS lot_sortie, t.date_expiration AS expiration_sortie,
+    r.fin AS rang_entree, r.date AS date_entree, r.id_lot AS lot_entree, r.date_expiration AS expiration_entree,
+    least(t.fin, r.fin) - greatest(t.debut, r.debut) AS quantite
+  FROM tires t JOIN recus r ON t.nom_produit = r.nom_produit AND r.debut < t.fin AND t.debut < r.fin
+  UNION ALL
+  SELECT nom_produit, fin, date, id_lot, date_expiration, NULL, NULL, NULL, NULL, fin - greatest(debut, recu)
+  FROM tires JOIN (SELECT p.nom_produit, coalesce(max(r.fin), 0) AS recu FROM (SELECT DISTINCT nom_produit FROM tires) p LEFT JOIN recus r ON p.nom_produit = r.nom_produit GROUP BY 1)
+    USING (nom_produit) WHERE fin > recu"""
+STEPS["constats"] = """
+  SELECT *, CASE WHEN rang_entree IS NULL THEN 'sans_lot' WHEN date_entree > date_sortie THEN 'avant_arrivage'
+    WHEN expiration_entree < date_sortie THEN 'lot_perime' WHEN expiration_sortie > expiration_entree THEN 'lot_plus_recent' ELSE 'conforme' END AS constat
+  FROM tirages"""
+oracle("fifo_allocation", "SELECT * FROM tirages", "rang_sortie rang_entree quantite")
+oracle("fifo_violations", """
+  SELECT nom_produit, constat, nb_affectations, nb_sorties, quantite, quantite * 100 / total AS pct_quantite FROM (
+    SELECT nom_produit, constat, count(*) AS nb_affectations, count(DISTINCT rang_sortie) AS nb_sorties, sum(quantite) AS quantite,
+      sum(sum(quantite)) OVER (PARTITION BY nom_produit) AS total FROM constats GROUP BY nom_produit, constat) WHERE constat <> 'conforme'""",
+       "quantite pct_quantite")
+
 oracle("parse_dates", " UNION ALL ".join(
     f"SELECT '{c}' AS colonne, count({c}) AS nb_valeurs, count({c}) FILTER (WHERE id_lot % {n} <> 0) AS nb_dates, "
     f"count({c}) FILTER (WHERE id_lot % {n} = 0) AS nb_rejets, min({c}) FILTER (WHERE id_lot % {n} <> 0) AS premiere_date, "
