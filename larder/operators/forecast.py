@@ -1,60 +1,85 @@
-"""Forecasts made of window aggregates only: trend with weekday and month effects, and a moving average."""
+"""Forecasts made of aggregates only: trend with weekday and month effects, and a moving average."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.fixed_values import FALLBACK_BAND, FORECAST_DAYS, RECENT_DAYS, Z_85
-from larder.operators.series import dense_daily, last_days, per_product
+from larder.functions.columns import total
+from larder.operators.series import EPOCH, dense_daily, last_days, per_product
 
 FORECAST_COLUMNS = ["nom_produit", "ds", "yhat", "yhat_lower", "yhat_upper"]
 
 
-def fitted_native(rows: DataFrame, train: Column, z: float = Z_85) -> DataFrame:
-    """Additive model of each product, fitted on ``train`` rows and evaluated on all rows.
+def native_model(days: DataFrame, train: Column | None = None, carried: Sequence[str] = (), z: float = Z_85) -> DataFrame:
+    """Additive model of each product, fitted on its days ``(nom_produit, ds, y)`` or those meeting ``train``: one row per product.
+
+    Linear trend by least squares, then the mean residual of each weekday, then of each month. All of it follows in closed form
+    from the sums n, t, t*t, y, t*y and y*y of the product's days by weekday and month: one hash aggregation to 84 cells a
+    product at most, which needs no sort and keeps the clustering by product that ``days`` has; all else works on the cells.
 
-    Linear trend by least squares, then the mean residual of each weekday, then
-    of each month. The interval has the width of the training residuals, whose
-    deviation is kept in ``ecart_residus``. All windows use the clustering by product that ``rows`` already has.
+    ``debut`` and ``fin`` are the first and last day, ``effet_semaine`` (Monday first) and ``effet_mois`` are lists, with 0 where there was no such day; ``demi`` is half the
+    width of the interval, ``z`` times the deviation of the residuals. The days that are not for training come along in
+    ``jours`` with the columns ``carried``, so that no join has to bring them back: the calendar bounds their number. All but
+    these is null for products without training days.
     """
-    y = F.when(train, F.col("y"))
-    t = F.col("_t")
-    known_t = F.when(train, t).cast("double")
-    slope = F.regr_slope(y, known_t).over(per_product())
-    intercept = F.regr_intercept(y, known_t).over(per_product())
-    trend = F.coalesce(intercept + slope * t, F.avg(y).over(per_product()))
-    residual = F.when(train, F.col("y") - F.col("tendance"))
-
-    def mean_by(part: str, values: Column, first: int, last: int) -> Column:
-        """Mean of ``values`` over the product's rows of the same weekday or month; the rows are sorted once for all of them."""
-        means = [F.avg(F.when(F.col(part) == k, values)).over(per_product()) for k in range(first, last + 1)]
-        return F.coalesce(F.get(F.array(*means), F.col(part) - first), F.lit(0.0))
+    train = F.lit(True) if train is None else train
+    t = F.datediff("ds", F.lit(EPOCH).cast("date")).cast("double")
+    cells = days.groupBy("nom_produit", F.weekday("ds").alias("j"), F.month("ds").alias("m")).agg(
+        F.count_if(train).cast("double").alias("n"),
+        *[total(F.when(train, value)).alias(name) for name, value in {"t": t, "tt": t * t, "y": F.col("y"), "ty": t * F.col("y"), "yy": F.col("y") * F.col("y")}.items()],
+        F.min(F.when(train, F.col("ds"))).alias("debut"), F.max(F.when(train, F.col("ds"))).alias("fin"),
+        *([F.collect_list(F.when(~train, F.struct("ds", *carried))).alias("jours")] if carried else []))
+    product = Window.partitionBy("nom_produit")
+    # Days count from the product's first one: sums over dates far from 0 would cancel.
+    moved = cells.withColumn("debut", F.min("debut").over(product)).withColumn("d", F.datediff("debut", F.lit(EPOCH).cast("date")).cast("double")).select(
+        "nom_produit", "j", "m", "n", "y", "yy", "debut", "fin", *(["jours"] if carried else []), (F.col("t") - F.col("n") * F.col("d")).alias("t"),
+        (F.col("tt") - 2 * F.col("d") * F.col("t") + F.col("n") * F.col("d") * F.col("d")).alias("tt"), (F.col("ty") - F.col("d") * F.col("y")).alias("ty"))
+    n, st, stt, sy, sty = (F.sum(c).over(product) for c in ("n", "t", "tt", "y", "ty"))
+    spread = n * stt - st * st
+    trend = moved.withColumn("b", F.when(n > 1, F.coalesce(F.try_divide(n * sty - st * sy, spread), F.lit(0.0))).otherwise(0.0))
+    trend = trend.withColumn("a", F.try_divide(F.sum("y").over(product) - F.col("b") * F.sum("t").over(product), F.sum("n").over(product)))
+    left = trend.withColumn("r", F.col("y") - F.col("a") * F.col("n") - F.col("b") * F.col("t"))
+    weekday = Window.partitionBy("nom_produit", "j")
+    week = left.withColumn("w", F.coalesce(F.try_divide(F.sum("r").over(weekday), F.sum("n").over(weekday)), F.lit(0.0)))
+    month = Window.partitionBy("nom_produit", "m")
+    full = week.withColumn("e", F.coalesce(F.try_divide(F.sum(F.col("r") - F.col("w") * F.col("n")).over(month), F.sum("n").over(month)), F.lit(0.0)))
+    # Residuals of a cell are y - c - b t with one constant c.
+    c, b = F.col("a") + F.col("w") + F.col("e"), F.col("b")
+    summed = full.groupBy("nom_produit").agg(
+        F.first("debut").alias("debut"), F.max("fin").alias("fin"), F.first("a").alias("a"), F.first("b").alias("b"), F.sum("n").alias("n"),
+        F.sum(F.col("y") - c * F.col("n") - b * F.col("t")).alias("r"),
+        F.sum(F.col("yy") + c * c * F.col("n") + b * b * F.col("tt") - 2 * c * F.col("y") - 2 * b * F.col("ty") + 2 * c * b * F.col("t")).alias("rr"),
+        *[F.coalesce(F.max(F.when(F.col("j") == k, F.col("w"))), F.lit(0.0)).alias(f"w{k}") for k in range(7)],
+        *[F.coalesce(F.max(F.when(F.col("m") == k, F.col("e"))), F.lit(0.0)).alias(f"e{k}") for k in range(1, 13)],
+        *([F.flatten(F.collect_list("jours")).alias("jours")] if carried else []))
+    variance = F.try_divide(F.col("rr") - F.try_divide(F.col("r") * F.col("r"), F.col("n")), F.col("n") - 1)
+    return summed.select(
+        "nom_produit", "debut", "fin", "a", "b", F.array(*[f"w{k}" for k in range(7)]).alias("effet_semaine"), F.array(*[f"e{k}" for k in range(1, 13)]).alias("effet_mois"),
+        (F.lit(z) * F.sqrt(F.greatest(F.coalesce(variance, F.lit(0.0)), F.lit(0.0)))).alias("demi"), *(["jours"] if carried else []))
+
+
+def with_forecast(rows: DataFrame) -> DataFrame:
+    """Rows that hold a day and a product's model, with the model's value and interval for that day."""
+    centre = (
+        F.col("a") + F.col("b") * F.datediff("ds", "debut") + F.get("effet_semaine", F.weekday("ds")) + F.get("effet_mois", F.month("ds") - 1))
+    return rows.withColumn("yhat", centre).withColumns({
+        "yhat_lower": F.col("yhat") - F.col("demi"), "yhat_upper": F.col("yhat") + F.col("demi")}).drop("debut", "fin", "a", "b", "effet_semaine", "effet_mois", "demi")
 
-    return (
-        rows.withColumns({
-            "_t": F.datediff("ds", F.min("ds").over(per_product())),
-            "_jour": F.weekday("ds"),
-            "_mois": F.month("ds"),
-        })
-        .withColumn("tendance", trend)
-        .withColumn("effet_semaine", mean_by("_jour", residual, 0, 6))
-        .withColumn("effet_mois", mean_by("_mois", residual - F.col("effet_semaine"), 1, 12))
-        .withColumn("yhat", F.col("tendance") + F.col("effet_semaine") + F.col("effet_mois"))
-        .withColumn("_sigma", F.coalesce(F.stddev_samp(F.when(train, F.col("y") - F.col("yhat"))).over(per_product()), F.lit(0.0)))
-        .withColumn("yhat_lower", F.col("yhat") - F.lit(z) * F.col("_sigma"))
-        .withColumn("yhat_upper", F.col("yhat") + F.lit(z) * F.col("_sigma"))
-        .drop("_t", "_jour", "_mois", "_sigma")
-    )
+
+def forecast_native(daily: DataFrame, periods: int = FORECAST_DAYS) -> DataFrame:
+    """The days after each product's last one."""
+    coming = F.explode(F.sequence(F.date_add("fin", 1), F.date_add("fin", periods)))
+    return with_forecast(native_model(dense_daily(daily)).withColumn("ds", coming)).select(FORECAST_COLUMNS)
 
 
 def fit_and_extend(daily: DataFrame, periods: int = FORECAST_DAYS) -> DataFrame:
     """History and future days of each product with the native fit; ``futur`` tells them apart."""
-    return fitted_native(dense_daily(daily, periods), ~F.col("futur"))
-
-
-def forecast_native(daily: DataFrame, periods: int = FORECAST_DAYS) -> DataFrame:
-    return fit_and_extend(daily, periods).where("futur").select(FORECAST_COLUMNS)
+    rows = dense_daily(daily, periods)
+    return with_forecast(rows.join(native_model(rows.where(~F.col("futur"))), "nom_produit"))
 
 
 def forecast_moving_average(
@@ -70,12 +95,15 @@ def forecast_moving_average(
     )
 
 
+def _fitted_tests(split: DataFrame, *columns: str) -> DataFrame:
+    """Test days of a split series with the forecast of a fit on its training days; products with no such days have none."""
+    model = native_model(split, F.col("apprentissage"), ["y", *columns])
+    return with_forecast(model.select(*[c for c in model.columns if c != "jours"], F.inline("jours")))
+
+
 def backtest_native(split: DataFrame) -> DataFrame:
     """Test days of a split series with the forecast of a fit on its training days."""
-    return (
-        fitted_native(split, F.col("apprentissage")).where(~F.col("apprentissage"))
-        .select("nom_produit", "ds", "y", "yhat", "yhat_lower", "yhat_upper")
-    )
+    return _fitted_tests(split).select("nom_produit", "ds", "y", "yhat", "yhat_lower", "yhat_upper")
 
 
 def backtest_both(split: DataFrame, window: int = RECENT_DAYS) -> DataFrame:
@@ -86,10 +114,7 @@ def backtest_both(split: DataFrame, window: int = RECENT_DAYS) -> DataFrame:
         F.struct(F.lit("natif").alias("modele"), F.col("yhat").alias("yhat")),
         F.struct(F.lit("moyenne_mobile").alias("modele"), F.col("_recent").alias("yhat")),
     )
-    return (
-        fitted_native(with_mean, F.col("apprentissage")).where(~F.col("apprentissage"))
-        .select("nom_produit", "ds", "y", F.inline(both))
-    )
+    return _fitted_tests(with_mean, "_recent").select("nom_produit", "ds", "y", F.inline(both))
 
 
 def history_and_forecast(fitted: DataFrame, days: int = RECENT_DAYS) -> DataFrame:
