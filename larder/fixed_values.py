@@ -82,6 +82,8 @@ MODEL_REGRESSORS = [
 AUTO_CHANGEPOINTS = 25
 AUTO_CHANGEPOINT_SHARE = 0.8
 GUIDE_CHANGEPOINT_SHARE = 0.9
+# A year with fewer days than this has no slope of its own.
+BREAK_YEAR_DAYS = 180
 
 # --- Fixed values: regressors by product category ---------------------------
 REGRESSORS_BY_CATEGORY = {
@@ -104,4 +106,9 @@ MODEL_CONFIGS = [
     ("contre_sur_apprentissage", True, 5, 5, 0.001, 0.1, 10.0, True),
     ("base", False, 10, 3, 0.05, 10.0, 10.0, False),
 ]
+# The same two with the reports' own kind of prior on trend breaks, a Laplace distribution.
+SPARSE_CONFIGS = [
+    ("enrichi_creux", True, 20, 5, 0.5, 10.0, 10.0, True, True),
+    ("base_creux", False, 10, 3, 0.05, 10.0, 10.0, False, True),
+]
 TREND_PRIOR = 5.0

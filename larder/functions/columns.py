@@ -89,3 +89,14 @@ def unpivot_aggregates(df: DataFrame, rows: Sequence[dict[str, Column]]) -> Data
         F.struct(*[value.alias(name) for name, value in row.items()]) for row in rows
     ])
     return df.agg(lines.alias("lignes")).select(F.inline("lignes"))
+
+
+def drift_variance(rate: Column, size: Column, ahead: Column) -> Column:
+    """Variance that future breaks give a trend ``ahead`` days after the last one known.
+
+    Breaks come ``rate`` times a day and change the daily slope by a Laplace distributed step of mean size ``size``, whose
+    variance is twice its square; one that comes s days ahead of the day asked for moves the trend there by s steps. So the
+    variance is rate * 2 size^2 * (the sum of s^2, which is ahead^3 / 3).
+    """
+    h = F.greatest(ahead, F.lit(0)).cast("double")
+    return rate * 2 * size * size * h * h * h / 3

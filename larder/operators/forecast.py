@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.fixed_values import FALLBACK_BAND, FORECAST_DAYS, RECENT_DAYS, Z_85
-from larder.functions.columns import total
+from larder.fixed_values import BREAK_YEAR_DAYS, FALLBACK_BAND, FORECAST_DAYS, RECENT_DAYS, Z_85
+from larder.functions.columns import drift_variance, total
 from larder.operators.series import EPOCH, dense_daily, last_days, per_product
 
 FORECAST_COLUMNS = ["nom_produit", "ds", "yhat", "yhat_lower", "yhat_upper"]
@@ -76,6 +76,30 @@ def forecast_native(daily: DataFrame, periods: int = FORECAST_DAYS) -> DataFrame
     return with_forecast(native_model(dense_daily(daily)).withColumn("ds", coming)).select(FORECAST_COLUMNS)
 
 
+def yearly_breaks(days: DataFrame, least_days: int = BREAK_YEAR_DAYS) -> DataFrame:
+    """Per product how its trend has changed so far: breaks a day (``rythme``) and the mean change of the daily slope (``taille``).
+
+    A break is what lies between the least-squares slopes of two successive years that have ``least_days`` days or more.
+    Whatever a year's seasons do to its slope is alike in both. Products with fewer than two such years have none.
+    """
+    t = F.datediff("ds", F.trunc("ds", "year")).cast("double")
+    years = days.groupBy("nom_produit", F.year("ds").alias("an")).agg(F.regr_slope("y", t).alias("pente"), F.count("*").alias("nb"))
+    steps = years.where(F.col("nb") >= least_days).withColumn(
+        "pas", F.col("pente") - F.lag("pente").over(Window.partitionBy("nom_produit").orderBy("an")))
+    return steps.groupBy("nom_produit").agg(
+        (F.count("pas") / F.sum("nb")).alias("rythme"), F.coalesce(F.avg(F.abs("pas")), F.lit(0.0)).alias("taille"))
+
+
+def forecast_native_widening(daily: DataFrame, periods: int = FORECAST_DAYS, z: float = Z_85) -> DataFrame:
+    """The native forecast with an interval that widens with the days ahead, by the trend breaks to be expected."""
+    days = dense_daily(daily)
+    model = native_model(days, z=z).join(yearly_breaks(days), "nom_produit", "left")
+    coming = model.withColumn("ds", F.explode(F.sequence(F.date_add("fin", 1), F.date_add("fin", periods))))
+    drift = drift_variance(F.coalesce("rythme", F.lit(0.0)), F.coalesce("taille", F.lit(0.0)), F.datediff("ds", "fin"))
+    wider = coming.withColumn("demi", F.sqrt(F.col("demi") * F.col("demi") + F.lit(z * z) * drift))
+    return with_forecast(wider).select(FORECAST_COLUMNS)
+
+
 def fit_and_extend(daily: DataFrame, periods: int = FORECAST_DAYS) -> DataFrame:
     """History and future days of each product with the native fit; ``futur`` tells them apart."""
     rows = dense_daily(daily, periods)

@@ -25,6 +25,7 @@ from larder.fixed_values import (
     HOLIDAY_FLAGS,
     MODEL_CONFIGS,
     MODEL_REGRESSORS,
+    SPARSE_CONFIGS,
     TEST_DAYS,
     TREND_PRIOR,
     WEEK_PERIOD,
@@ -32,6 +33,7 @@ from larder.fixed_values import (
     Z_85,
 )
 from larder.functions import solver
+from larder.functions.columns import drift_variance
 from larder.functions.solver import Config
 from larder.operators.series import auto_changepoint, day_number, future_frame, per_product, regressor_scales, with_split
 
@@ -40,7 +42,7 @@ cloudpickle.register_pickle_by_value(solver)
 
 EVENTS = [label for label, _ in HOLIDAY_FLAGS]
 REGRESSORS = [name for name, _, _ in MODEL_REGRESSORS]
-CONFIGS = {row[0]: Config(*row) for row in MODEL_CONFIGS}
+CONFIGS = {row[0]: Config(*row) for row in [*MODEL_CONFIGS, *SPARSE_CONFIGS]}
 
 
 # --- features -------------------------------------------------------------------
@@ -148,26 +150,37 @@ def fit_ridge(rows: DataFrame, *configs: Config, predict: Column | None = None)
     return inputs.groupBy("nom_produit").applyInArrow(solver.fit_group(configs), FIT_COLUMNS)
 
 
-def components(fitted: DataFrame, z: float = Z_85) -> DataFrame:
-    """Forecast of the evaluated days with its parts: trend, yearly, weekly, events, regressors."""
+def components(fitted: DataFrame, z: float = Z_85, widening: bool = False) -> DataFrame:
+    """Forecast of the evaluated days with its parts: trend, yearly, weekly, events, regressors.
+
+    The interval has the width of the residuals. With ``widening`` it grows after the last training day by what the trend may
+    do, if breaks go on as frequent and as large as those in the fit.
+    """
     season = F.col("annuel") + F.col("hebdo") + F.col("feries")
     centre = F.when(F.col("multiplicatif"), F.col("tendance") * (1 + season)).otherwise(F.col("tendance") + season)
+    breaks = F.slice("tendance", 3, F.greatest(F.size("tendance") - 2, F.lit(0)))
+    size = F.try_divide(F.aggregate(breaks, F.lit(0.0), lambda total, b: total + F.abs(b)), F.size(breaks) * F.col("duree"))
+    per_fit = fitted.select(
+        "nom_produit", "modele", "multiplicatif", "sigma", (F.size(breaks) / F.col("duree")).alias("_rythme"),
+        F.coalesce(size, F.lit(0.0)).alias("_taille"), F.date_add("debut", F.col("duree")).alias("_fin"), F.inline("jours"))
+    level = F.when(F.col("multiplicatif"), 1 + season).otherwise(1.0)
+    drift = drift_variance(F.col("_rythme"), F.col("_taille"), F.datediff("ds", "_fin")) * level * level
+    spread = F.sqrt(F.col("sigma") * F.col("sigma") + drift) if widening else F.col("sigma")
     return (
-        fitted.select("nom_produit", "modele", "multiplicatif", "sigma", F.inline("jours"))
-        .withColumn("yhat", centre + F.col("effet_regresseurs"))
-        .withColumn("yhat_lower", F.col("yhat") - F.lit(z) * F.col("sigma"))
-        .withColumn("yhat_upper", F.col("yhat") + F.lit(z) * F.col("sigma"))
-        .drop("sigma")
+        per_fit.withColumn("yhat", centre + F.col("effet_regresseurs"))
+        .withColumn("yhat_lower", F.col("yhat") - F.lit(z) * spread)
+        .withColumn("yhat_upper", F.col("yhat") + F.lit(z) * spread)
+        .drop("sigma", "_rythme", "_taille", "_fin")
     )
 
 
 def forecast_ridge(
     dense: DataFrame, dates: Sequence[str] | None, config: Config = CONFIGS["enrichi"],
-    periods: int = FORECAST_DAYS, fill: str = "mean", events: DataFrame | None = None,
+    periods: int = FORECAST_DAYS, fill: str = "mean", events: DataFrame | None = None, widening: bool = False,
 ) -> DataFrame:
     """Fit on the whole history, forecast of the days after it."""
     fitted = fit_ridge(forecast_rows(dense, dates, periods, fill, events), config, predict=F.col("futur"))
-    return components(fitted).select("nom_produit", "ds", "yhat", "yhat_lower", "yhat_upper")
+    return components(fitted, widening=widening).select("nom_produit", "ds", "yhat", "yhat_lower", "yhat_upper")
 
 
 def backtest_ridge(
@@ -195,6 +208,16 @@ def regressor_coefficients(fitted: DataFrame, z: float = Z_85) -> DataFrame:
     )
 
 
+def trend_breaks(fitted: DataFrame, share: float = AUTO_CHANGEPOINT_SHARE) -> DataFrame:
+    """Breaks that a fit with automatic dates keeps away from 0: when, and the change of the daily slope."""
+    head = F.floor((F.col("duree") + 1) * F.lit(share))
+    n = F.least(F.lit(AUTO_CHANGEPOINTS), head - 1)
+    kept = fitted.select("nom_produit", "modele", "debut", "duree", head.alias("_tete"), n.alias("_nb"), F.posexplode(F.slice("tendance", 3, AUTO_CHANGEPOINTS)).alias("place", "b"))
+    return kept.where("b <> 0").select(
+        "nom_produit", "modele", auto_changepoint(F.col("debut"), F.col("_tete"), F.col("_nb"), F.col("place") + 1).alias("changepoint"),
+        (F.col("b") / F.col("duree")).alias("delta"))
+
+
 def changepoint_effects(fitted: DataFrame, dates: Sequence[str]) -> DataFrame:
     """Change of the daily trend slope at each known date inside the training days."""
     lines = F.arrays_zip(
@@ -212,7 +235,8 @@ def optimality(rows: DataFrame, fitted: DataFrame, config: Config, tolerance: fl
     """Per product: whether the slope of the penalised squares is 0 in every coefficient, worked out anew from the features.
 
     A coefficient is at its optimum when its slope, over the square root of its curvature, is below ``tolerance``: it is
-    then within that share of its own standard deviation. The variance must be that of the residuals.
+    then within that share of its own standard deviation. The variance must be that of the residuals. With Laplace priors
+    a break at 0 is at its optimum when the squares pull it no harder than the prior holds it.
     """
     def waves(order: int, period: float) -> list[Column]:
         angles = [F.lit(2.0 * k) * F.pi() * F.col("jour") / F.lit(period) for k in range(1, order + 1)]
@@ -251,14 +275,19 @@ def optimality(rows: DataFrame, fitted: DataFrame, config: Config, tolerance: fl
         F.array_repeat(F.lit(config.seasonality_prior), 2 * (config.yearly + config.weekly)),
         F.array_repeat(F.lit(config.holidays_prior), len(EVENTS) if outside else 0),
         _doubles([F.lit(float(prior)) for _, prior, _ in MODEL_REGRESSORS] if outside else []))
-    lines = valued.select("nom_produit", "variance", "reste", F.inline(F.arrays_zip(
+    lines = valued.select("nom_produit", "variance", "reste", F.size("tendance").alias("nb_tendance"), F.inline(F.arrays_zip(
         slopes.alias("pente"), F.concat("b_tendance", "b_saison", "b_dehors").alias("b"), priors.alias("ecart"),
         F.sequence(F.lit(1), F.size(slopes)).alias("rang"))))
     per_coefficient = lines.groupBy("nom_produit", "rang").agg(
-        F.first("b").alias("b"), F.first("ecart").alias("ecart"),
+        F.first("b").alias("b"), F.first("ecart").alias("ecart"), F.first("nb_tendance").alias("nb_tendance"),
         (F.sum(F.col("pente") * F.col("reste")) / F.first("variance")).alias("poussee"),
         (F.sum(F.col("pente") * F.col("pente")) / F.first("variance")).alias("courbure"),
         (F.avg(F.col("reste") * F.col("reste")) / F.first("variance")).alias("bruit"))
     weight = 1 / (F.col("ecart") * F.col("ecart"))
     off = F.abs(weight * F.col("b") - F.col("poussee")) / F.sqrt(F.col("courbure") + weight)
+    if config.sparse:
+        hold, unit = 1 / F.col("ecart"), F.sqrt(F.greatest("courbure", F.lit(1.0)))
+        held = F.greatest(F.abs("poussee") - hold, F.lit(0.0)) / unit
+        is_break = (F.col("rang") > 2) & (F.col("rang") <= F.col("nb_tendance"))
+        off = F.when(is_break & (F.col("b") == 0), held).when(is_break, F.abs(F.col("poussee") - hold * F.signum("b")) / unit).otherwise(off)
     return per_coefficient.groupBy("nom_produit").agg(((F.max(off) < tolerance) & (F.abs(F.max("bruit") - 1) < tolerance)).alias("optimal")).withColumn("modele", F.lit(config.name))

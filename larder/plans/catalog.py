@@ -236,6 +236,17 @@ def distinct_counts(spark, d):
     return quality.distinct_counts(movements(spark, d, "id_produit", "id_lot", "id_fournisseur", "id_arrivage"))
 
 
+@query
+def distinct_counts_sketch(spark, d):
+    """Whether the counts merged from sketches by month, written and read again, are within 2 % of the exact ones."""
+    ids = ["id_produit", "id_lot", "id_fournisseur", "id_arrivage"]
+    kept = materialize(quality.distinct_sketches(movements(spark, d, "date", *ids)), "sketches")
+    exact = quality.distinct_counts(movements(spark, d, *ids)).select(F.lit(1).alias("cle"), "*")
+    merged = quality.merged_counts(kept).select(F.lit(1).alias("cle"), *[F.col(c).alias(f"{c}_estime") for c in quality.DISTINCT_COLUMNS])
+    return exact.join(merged, "cle").select(*[
+        x for c in quality.DISTINCT_COLUMNS for x in (F.col(c), (F.abs(F.col(f"{c}_estime") - F.col(c)) <= 0.02 * F.col(c)).alias(f"{c}_proche"))])
+
+
 @query
 def regressor_stats(spark, d):
     return rounded(quality.regressor_stats(movements(spark, d, *REGRESSOR_COLUMNS)))
@@ -276,6 +287,12 @@ def waste_rate_by_product(spark, d):
     return rounded(quality.waste_rate(movements(spark, d, "nom_produit", "type_sortie", "quantite"), ["nom_produit"]))
 
 
+@query
+def waste_rate_levels(spark, d):
+    """Total, by product type and by product, from one scan."""
+    return rounded(quality.waste_rate_levels(movements(spark, d, "type_produit", "nom_produit", "type_sortie", "quantite")))
+
+
 # --- projections and filters ----------------------------------------------------
 
 
@@ -541,6 +558,12 @@ def forecast_native(spark, d):
     return rounded(forecast.forecast_native(_daily(spark, d)))
 
 
+@query
+def forecast_native_widening(spark, d):
+    """The native forecast with an interval that grows with the days ahead."""
+    return rounded(forecast.forecast_native_widening(_daily(spark, d)))
+
+
 @query
 def forecast_moving_average(spark, d):
     return rounded(forecast.forecast_moving_average(_dense(spark, d)))
@@ -632,11 +655,43 @@ def fit_optimality(spark, d):
     return functools.reduce(DataFrame.unionByName, checks)
 
 
+SPARSE = [ridge.CONFIGS["enrichi_creux"], ridge.CONFIGS["base_creux"]]
+
+
+@query
+def fit_optimality_sparse(spark, d):
+    """The same for fits with Laplace priors on the trend's breaks, zeros included: the subgradient of each coefficient."""
+    checks = []
+    for dense, dates, config in ((_dense_regressors(spark, d), CHANGEPOINTS, SPARSE[0]), (_dense(spark, d), None, SPARSE[1])):
+        rows = materialize(ridge.forecast_rows(dense, dates), "model_rows")
+        fitted = materialize(ridge.fit_ridge(rows, config), "fits")
+        checks.append(ridge.optimality(rows, fitted, config).join(fitted.select("nom_produit", "modele", "converge"), ["nom_produit", "modele"]))
+    return functools.reduce(DataFrame.unionByName, checks)
+
+
+@query
+def forecast_sparse(spark, d):
+    """Additive model without regressors, whose automatic trend breaks are mostly 0."""
+    return rounded(ridge.forecast_ridge(_dense(spark, d), None, SPARSE[1]))
+
+
+@query
+def trend_breaks(spark, d):
+    """The breaks that are not 0, and the change of the daily slope at each."""
+    return ridge.trend_breaks(ridge.fit_ridge(ridge.forecast_rows(_dense(spark, d), None), SPARSE[1]))
+
+
 @query
 def forecast_28d(spark, d):
     return rounded(ridge.forecast_ridge(_dense_regressors(spark, d), CHANGEPOINTS))
 
 
+@query
+def forecast_28d_widening(spark, d):
+    """The same with an interval that grows with the days ahead."""
+    return rounded(ridge.forecast_ridge(_dense_regressors(spark, d), CHANGEPOINTS, widening=True))
+
+
 @query
 def forecast_28d_known_events(spark, d):
     """The same with the coming events given, here those of the year before moved on."""

@@ -608,9 +608,31 @@ oracle("order_recommendation_native", f"SELECT {_order_columns} FROM conseil_n",
 oracle("stock_unknown", """
   SELECT nom_produit, stock_actuel, besoin, commande_suggeree, duree_stock_jours, risque_gaspillage, pct_risque, statut_stock, actions
   FROM conseil_u""", "besoin commande_suggeree duree_stock_jours risque_gaspillage pct_risque")
+STEPS["pentes"] = """
+  SELECT nom_produit, year(ds) AS an, regr_slope(y, dayofyear(ds) - 1) AS pente, count(*) AS nb FROM dense GROUP BY ALL HAVING count(*) >= 180"""
+STEPS["elan"] = """
+  SELECT nom_produit, count(pas) / sum(nb) AS rythme, coalesce(avg(abs(pas)), 0) AS taille
+  FROM (SELECT *, pente - lag(pente) OVER (PARTITION BY nom_produit ORDER BY an) AS pas FROM pentes) GROUP BY nom_produit"""
+oracle("forecast_native_widening", f"""
+  SELECT nom_produit, ds, yhat, yhat - demi AS yhat_lower, yhat + demi AS yhat_upper FROM (
+    SELECT n.nom_produit, ds, yhat, sqrt(power((yhat_upper - yhat_lower) / 2, 2)
+      + {Z_85 * Z_85}e0 * coalesce(rythme, 0) * 2 * coalesce(taille * taille, 0) * power(date_diff('day', fin, ds), 3) / 3) AS demi
+    FROM natif n JOIN etendue e ON n.nom_produit = e.nom_produit LEFT JOIN elan l ON n.nom_produit = l.nom_produit)""", "yhat yhat_lower yhat_upper")
+oracle("distinct_counts_sketch", """
+  SELECT count(DISTINCT id_produit) AS nb_produits, true AS nb_produits_proche, count(DISTINCT id_lot) AS nb_lots, true AS nb_lots_proche,
+    count(DISTINCT id_fournisseur) AS nb_fournisseurs, true AS nb_fournisseurs_proche,
+    count(DISTINCT id_arrivage) AS nb_arrivages, true AS nb_arrivages_proche FROM mv""")
+oracle("waste_rate_levels", """
+  SELECT *, quantite_detruite * 100 / (quantite_detruite + quantite_consommee) AS taux_gaspillage FROM (
+    SELECT CASE WHEN GROUPING(nom_produit) = 0 THEN 'nom_produit' WHEN GROUPING(type_produit) = 0 THEN 'type_produit' ELSE 'total' END AS niveau,
+      type_produit, nom_produit, coalesce(sum(quantite) FILTER (WHERE type_sortie = 'DESTRUCTION'), 0) AS quantite_detruite,
+      coalesce(sum(quantite) FILTER (WHERE type_sortie = 'CONSOMMATION'), 0) AS quantite_consommee
+    FROM mv GROUP BY ROLLUP (type_produit, nom_produit))""", "quantite_detruite quantite_consommee taux_gaspillage")
 oracle("fit_optimality", """
   SELECT nom_produit, modele, true AS optimal, true AS converge FROM etendue,
     (VALUES ('enrichi'), ('contre_sous_apprentissage'), ('contre_sur_apprentissage'), ('base')) AS m(modele)""")
+oracle("fit_optimality_sparse", """
+  SELECT nom_produit, modele, true AS optimal, true AS converge FROM etendue, (VALUES ('enrichi_creux'), ('base_creux')) AS m(modele)""")
 oracle("stock_cover", "SELECT nom_produit, stock_actuel, moyenne_jour, duree_stock_jours, statut_stock FROM conseil_m",
        "moyenne_jour duree_stock_jours")
 oracle("waste_risk", """
