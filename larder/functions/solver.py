@@ -65,6 +65,8 @@ class Solution:
     outside_spread: np.ndarray
     converged: bool
     rounds: int
+    # Joint covariance of all coefficients, trend, season and outside in this order.
+    covariance: np.ndarray
 
 
 def solve(y: np.ndarray, trend: np.ndarray, season: np.ndarray, outside: np.ndarray,
@@ -120,9 +122,10 @@ def solve(y: np.ndarray, trend: np.ndarray, season: np.ndarray, outside: np.ndar
                 break
             damping = max(4.0 * damping, 1e-3)
     residual, slopes, _ = state(b, variance)
-    spread = np.sqrt(np.diag(np.linalg.inv(slopes.T @ slopes / variance + np.diag(penalty))))[sum(sizes[:2]):]
+    covariance = np.linalg.inv(slopes.T @ slopes / variance + np.diag(penalty))
+    spread = np.sqrt(np.diag(covariance))[sum(sizes[:2]):]
     b_trend, b_season, b_outside = np.split(b, np.cumsum(sizes)[:-1])
-    return Solution(b_trend, b_season, b_outside, float(np.std(residual)), variance, spread, converged, rounds)
+    return Solution(b_trend, b_season, b_outside, float(np.std(residual)), variance, spread, converged, rounds, covariance)
 
 
 def lasso(S: np.ndarray, c: np.ndarray, weight: np.ndarray, z: np.ndarray) -> np.ndarray:
@@ -242,9 +245,11 @@ def solve_sparse(y: np.ndarray, trend: np.ndarray, season: np.ndarray, outside:
     # Breaks at 0 take no part in the uncertainty of the others.
     used = np.concatenate([rest, breaks[b[breaks] != 0]])
     held = slopes[:, used]
-    spread = np.sqrt(np.diag(np.linalg.inv(held.T @ held / variance + np.diag(penalty[used] + floor))))
+    covariance = np.zeros((len(b), len(b)))
+    covariance[np.ix_(used, used)] = np.linalg.inv(held.T @ held / variance + np.diag(penalty[used] + floor))
+    spread = np.sqrt(np.diag(covariance))[sum(sizes[:2]):]
     b_trend, b_season, b_outside = np.split(b, np.cumsum(sizes)[:-1])
-    return Solution(b_trend, b_season, b_outside, float(np.std(residual)), variance, spread[2 + sizes[1] : 2 + sizes[1] + sizes[2]], converged, rounds)
+    return Solution(b_trend, b_season, b_outside, float(np.std(residual)), variance, spread, converged, rounds, covariance)
 
 
 def _padded(values: np.ndarray, length: int) -> list[float]:
@@ -252,7 +257,8 @@ def _padded(values: np.ndarray, length: int) -> list[float]:
 
 
 PARTS = ["tendance", "annuel", "hebdo", "feries", "effet_regresseurs"]
-PART_TYPE = pa.struct([("ds", pa.date32()), ("y", pa.float64()), *[(p, pa.float64()) for p in PARTS]])
+# Each part's value, and the deviation that the coefficients' joint uncertainty gives it.
+PART_TYPE = pa.struct([("ds", pa.date32()), ("y", pa.float64()), *[(p, pa.float64()) for p in PARTS], *[(f"{p}_ecart", pa.float64()) for p in PARTS]])
 FIT_SCHEMA = pa.schema([
     ("nom_produit", pa.string()),
     ("modele", pa.string()),
@@ -312,8 +318,14 @@ def fit_group(configs: Sequence[Config]):
             b_season = found.season if c.multiplicative else found.season * scale
             b_groups = np.split(b_season, np.cumsum([g.shape[1] for g in groups])[:-1])
             parts = [trend @ b_trend, *[g @ b for g, b in zip(groups, b_groups)], outside @ b_outside]
+            unit = 1.0 if c.multiplicative else scale
+            spreads, at = [], 0
+            for columns, size in zip([trend, *groups, outside], [scale, unit, unit, unit, scale]):
+                own = slice(at, at + columns.shape[1])
+                days_in, at = columns[shown], own.stop
+                spreads.append(size * np.sqrt(np.maximum(np.sum(days_in @ found.covariance[own, own] * days_in, axis=1), 0.0)))
             shown_parts = pa.StructArray.from_arrays(
-                [*[col.combine_chunks() for col in shown_days.columns], *[pa.array(p[shown]) for p in parts]],
+                [*[col.combine_chunks() for col in shown_days.columns], *[pa.array(p[shown]) for p in parts], *[pa.array(s) for s in spreads]],
                 fields=list(PART_TYPE),
             )
             yearly, weekly, event = b_groups

@@ -153,7 +153,8 @@ def fit_ridge(rows: DataFrame, *configs: Config, predict: Column | None = None)
 def components(fitted: DataFrame, z: float = Z_85, widening: bool = False) -> DataFrame:
     """Forecast of the evaluated days with its parts: trend, yearly, weekly, events, regressors.
 
-    The interval has the width of the residuals. With ``widening`` it grows after the last training day by what the trend may
+    Each part has the interval that the joint covariance of its coefficients gives it (``tendance_lower``, ``tendance_upper``
+    and so on). That of the forecast has the width of the residuals. With ``widening`` it grows after the last training day by what the trend may
     do, if breaks go on as frequent and as large as those in the fit.
     """
     season = F.col("annuel") + F.col("hebdo") + F.col("feries")
@@ -161,7 +162,7 @@ def components(fitted: DataFrame, z: float = Z_85, widening: bool = False) -> Da
     breaks = F.slice("tendance", 3, F.greatest(F.size("tendance") - 2, F.lit(0)))
     size = F.try_divide(F.aggregate(breaks, F.lit(0.0), lambda total, b: total + F.abs(b)), F.size(breaks) * F.col("duree"))
     per_fit = fitted.select(
-        "nom_produit", "modele", "multiplicatif", "sigma", (F.size(breaks) / F.col("duree")).alias("_rythme"),
+        "nom_produit", "modele", "multiplicatif", "converge", "sigma", (F.size(breaks) / F.col("duree")).alias("_rythme"),
         F.coalesce(size, F.lit(0.0)).alias("_taille"), F.date_add("debut", F.col("duree")).alias("_fin"), F.inline("jours"))
     level = F.when(F.col("multiplicatif"), 1 + season).otherwise(1.0)
     drift = drift_variance(F.col("_rythme"), F.col("_taille"), F.datediff("ds", "_fin")) * level * level
@@ -170,7 +171,9 @@ def components(fitted: DataFrame, z: float = Z_85, widening: bool = False) -> Da
         per_fit.withColumn("yhat", centre + F.col("effet_regresseurs"))
         .withColumn("yhat_lower", F.col("yhat") - F.lit(z) * spread)
         .withColumn("yhat_upper", F.col("yhat") + F.lit(z) * spread)
-        .drop("sigma", "_rythme", "_taille", "_fin")
+        .withColumns({f"{p}_lower": F.col(p) - F.lit(z) * F.col(f"{p}_ecart") for p in solver.PARTS})
+        .withColumns({f"{p}_upper": F.col(p) + F.lit(z) * F.col(f"{p}_ecart") for p in solver.PARTS})
+        .drop("sigma", "_rythme", "_taille", "_fin", *[f"{p}_ecart" for p in solver.PARTS])
     )
 
 
@@ -180,7 +183,7 @@ def forecast_ridge(
 ) -> DataFrame:
     """Fit on the whole history, forecast of the days after it."""
     fitted = fit_ridge(forecast_rows(dense, dates, periods, fill, events), config, predict=F.col("futur"))
-    return components(fitted, widening=widening).select("nom_produit", "ds", "yhat", "yhat_lower", "yhat_upper")
+    return components(fitted, widening=widening).select("nom_produit", "ds", "yhat", "yhat_lower", "yhat_upper", "converge")
 
 
 def backtest_ridge(
@@ -188,7 +191,7 @@ def backtest_ridge(
 ) -> DataFrame:
     """Test days with the forecast of a fit on the days before, per configuration."""
     fitted = fit_ridge(backtest_rows(dense, dates, days, blind), *configs, predict=~F.col("appris"))
-    return components(fitted).select("nom_produit", "modele", "ds", "y", "yhat", "yhat_lower", "yhat_upper")
+    return components(fitted).select("nom_produit", "modele", "ds", "y", "yhat", "yhat_lower", "yhat_upper", "converge")
 
 
 def regressor_coefficients(fitted: DataFrame, z: float = Z_85) -> DataFrame:
@@ -197,14 +200,14 @@ def regressor_coefficients(fitted: DataFrame, z: float = Z_85) -> DataFrame:
         F.array(*[F.lit(r) for r in REGRESSORS]).alias("regresseur"), F.col("centres").alias("centre"),
         F.col("regresseurs").alias("b"), F.col("regresseurs_ecart").alias("e"), F.col("echelles").alias("s"),
     )
-    per_unit = fitted.select("nom_produit", "modele", F.inline(lines)).withColumns({
+    per_unit = fitted.select("nom_produit", "modele", "converge", F.inline(lines)).withColumns({
         "coef": F.col("b") / F.col("s"), "_demi": F.lit(z) * F.col("e") / F.col("s"),
     })
     return per_unit.select(
         "nom_produit", "modele", "regresseur", "centre", "coef",
         (F.col("coef") - F.col("_demi")).alias("coef_lower"),
         (F.col("coef") + F.col("_demi")).alias("coef_upper"),
-        F.when(F.col("coef") > 0, "positif").otherwise("negatif").alias("effet"),
+        F.when(F.col("coef") > 0, "positif").otherwise("negatif").alias("effet"), "converge",
     )
 
 
@@ -212,10 +215,10 @@ def trend_breaks(fitted: DataFrame, share: float = AUTO_CHANGEPOINT_SHARE) -> Da
     """Breaks that a fit with automatic dates keeps away from 0: when, and the change of the daily slope."""
     head = F.floor((F.col("duree") + 1) * F.lit(share))
     n = F.least(F.lit(AUTO_CHANGEPOINTS), head - 1)
-    kept = fitted.select("nom_produit", "modele", "debut", "duree", head.alias("_tete"), n.alias("_nb"), F.posexplode(F.slice("tendance", 3, AUTO_CHANGEPOINTS)).alias("place", "b"))
+    kept = fitted.select("nom_produit", "modele", "converge", "debut", "duree", head.alias("_tete"), n.alias("_nb"), F.posexplode(F.slice("tendance", 3, AUTO_CHANGEPOINTS)).alias("place", "b"))
     return kept.where("b <> 0").select(
         "nom_produit", "modele", auto_changepoint(F.col("debut"), F.col("_tete"), F.col("_nb"), F.col("place") + 1).alias("changepoint"),
-        (F.col("b") / F.col("duree")).alias("delta"))
+        (F.col("b") / F.col("duree")).alias("delta"), "converge")
 
 
 def changepoint_effects(fitted: DataFrame, dates: Sequence[str]) -> DataFrame:
@@ -226,8 +229,8 @@ def changepoint_effects(fitted: DataFrame, dates: Sequence[str]) -> DataFrame:
     )
     inside = (F.col("changepoint") > F.col("debut")) & (F.col("changepoint") < F.date_add("debut", F.col("duree")))
     return (
-        fitted.select("nom_produit", "modele", "debut", "duree", F.inline(lines)).where(inside)
-        .select("nom_produit", "modele", "changepoint", (F.col("b") / F.col("duree")).alias("delta"))
+        fitted.select("nom_produit", "modele", "converge", "debut", "duree", F.inline(lines)).where(inside)
+        .select("nom_produit", "modele", "changepoint", (F.col("b") / F.col("duree")).alias("delta"), "converge")
     )
 
 

@@ -309,7 +309,8 @@ oracle("parse_dates", " UNION ALL ".join(
 
 oracle("schema_check", " UNION ALL ".join(
     f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS colonne, '{'base' if c in BASE_COLUMNS else 'regresseur'}' AS groupe, "
-    f"true AS presente" for i, c in enumerate(MOVEMENT_COLUMNS, 1)))
+    f"{'false' if c in ('temperature_stockage', 'covid_impact') else 'true'} AS presente" for i, c in enumerate(MOVEMENT_COLUMNS, 1))
+    + " UNION ALL SELECT CAST(23 AS INTEGER), 'commentaire', 'inattendue', true")
 
 oracle("profile_shape", "SELECT count(*) AS nb_lignes, CAST(22 AS INTEGER) AS nb_colonnes FROM mv")
 
@@ -688,5 +689,5 @@ oracle("run_text", """
 
 oracle("run_history", """
   SELECT run_id, CAST(0 AS BIGINT) AS nb_graphs, CAST(1 AS BIGINT) AS nb_csv, CAST(n AS BIGINT) AS nb_json, CAST(n AS BIGINT) AS nb_txt,
-    count(DISTINCT nom_produit) AS nb_produits
+    CAST(1 + 2 * n AS BIGINT) AS nb_fichiers, count(DISTINCT nom_produit) AS nb_produits
   FROM futurs, (VALUES ('20250101_080000', 0), ('20250102_080000', 1)) AS r(run_id, n) GROUP BY run_id, n""")

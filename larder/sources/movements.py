@@ -102,7 +102,8 @@ def date_parse_report(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def schema_report(df: DataFrame) -> DataFrame:
-    """Expected columns and whether they are there. The schema tells, so nothing is read; counts are in ``quality.info``."""
-    present = set(df.columns)
-    lines = [(i, name, group, name in present) for i, (name, group) in enumerate(EXPECTED_COLUMNS, 1)]
+    """Expected columns and whether they are there, then columns that nobody expects. The schema tells; counts are in ``quality.info``."""
+    known = dict(EXPECTED_COLUMNS)
+    names = [*EXPECTED_COLUMNS, *[(c, "inattendue") for c in df.columns if c not in known]]
+    lines = [(i, name, group, name in df.columns) for i, (name, group) in enumerate(names, 1)]
     return df.sparkSession.createDataFrame(lines, "position int, colonne string, groupe string, presente boolean")

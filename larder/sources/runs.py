@@ -19,9 +19,13 @@ def new_run_id(now: dt.datetime | None = None) -> str:
     return (now or dt.datetime.now()).strftime(RUN_ID_FORMAT)
 
 
-def write_run(df: DataFrame, base: str, table: str, run_id: str, fmt: str) -> str:
-    """Writes one result table of a run and returns the table's path."""
+def write_run(df: DataFrame, base: str, table: str, run_id: str, fmt: str, files: int | None = None) -> str:
+    """Writes one result table of a run and returns the table's path.
+
+    ``files`` is the number of files, for results of a few rows a product; others have one per task.
+    """
     path = f"{base}/{table}"
+    df = df if files is None else df.coalesce(files)
     writer = (
         df.withColumn("run_id", F.lit(run_id)).write.partitionBy("run_id")
         .mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt)

@@ -124,3 +124,31 @@ def test_widening_forecasts(spark, sf):
             # Both ends are rounded to four digits.
             assert all(b[1] > a[1] - 3e-4 for v in map(sorted, width.values()) for a, b in zip(v, v[1:]))
             assert any(v[-1][1] > v[0][1] for v in map(sorted, width.values()))
+
+
+def test_intervals_of_parts_come_from_the_joint_covariance(spark):
+    n = 400
+    rng = np.random.default_rng(5)
+    y = 10 + 0.01 * np.arange(n) + np.sin(2 * np.pi * np.arange(n) / 7) + rng.normal(0, 0.3, n)
+    rows = [("riz", START + dt.timedelta(days=i), float(v)) for i, v in enumerate(y)]
+    config = ridge.CONFIGS["base"]
+    input_rows = ridge.forecast_rows(spark.createDataFrame(rows, "nom_produit string, ds date, y double"), None)
+    found = ridge.components(ridge.fit_ridge(input_rows, config, predict=F.lit(True))).orderBy("ds").toPandas()
+    days = input_rows.orderBy("ds").toPandas()
+    day, t = days.jour.to_numpy(float), days.t.to_numpy()
+    trend = np.column_stack([np.ones(len(t)), t, np.stack(days.ruptures)])
+    parts = {"tendance": trend, "annuel": solver._waves(day, config.yearly, 365.25), "hebdo": solver._waves(day, config.weekly, 7.0)}
+    X, scale = np.hstack(list(parts.values())), np.abs(y).max()
+    priors = np.concatenate([[5.0, 5.0], np.full(trend.shape[1] - 2, 0.05), np.full(X.shape[1] - trend.shape[1], 10.0)])
+    residual = (y - found.yhat.to_numpy()[:n]) / scale
+    sigma = np.linalg.inv(X[:n].T @ X[:n] / np.mean(residual**2) + np.diag(priors**-2.0))
+    at = 0
+    for name, columns in parts.items():
+        own = slice(at, at + columns.shape[1])
+        at = own.stop
+        half = 1.4395314709384563 * scale * np.sqrt(np.einsum("ij,jk,ik->i", columns, sigma[own, own], columns))
+        np.testing.assert_allclose((found[f"{name}_upper"] - found[f"{name}_lower"]).to_numpy() / 2, half, rtol=1e-5)
+        np.testing.assert_allclose(((found[f"{name}_upper"] + found[f"{name}_lower"]) / 2).to_numpy(), found[name].to_numpy(), atol=1e-9)
+    # What lies ahead of the data is less certain.
+    width = (found.tendance_upper - found.tendance_lower).to_numpy()
+    assert width[-1] > width[n - 100]
