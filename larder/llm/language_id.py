@@ -146,20 +146,22 @@ def calibrate(inputs: np.ndarray, heads: np.ndarray | None, target: np.ndarray)
 def _sample(docs: DataFrame, usable: Column, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """At most ``SAMPLE`` usable rows per language, ``TOTAL`` in all: those of smallest hash, thinned out before they meet."""
     known = docs.where(usable & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    order = F.xxhash64(F.lit(SEED), F.col(id_col))
-    sizes = known.groupBy(F.col(label_col).alias("language")).agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    # Of identifier and text, as identifiers may repeat.
+    order = F.xxhash64(F.lit(SEED), F.col(id_col), F.col(text_col))
+    sizes = known.groupBy(F.col(label_col).alias("language")).agg(F.count("*").alias("n"), F.min(order).alias("least")).limit(MOST_LANGUAGES + 1).collect()
     if not sizes:
         return known.select(F.lit("").alias("language"), F.col(text_col).alias("text"), order.alias("order"), F.lit(1).alias("place")).limit(0)
     if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"{label_col} has more than {MOST_LANGUAGES} languages")
     most = min(SAMPLE, TOTAL // len(sizes))
-    # Twice the rows wanted of each language, by hash, so that the ranking below gets few.
-    every = [(r["language"], max(1, r["n"] // (2 * most))) for r in sizes]
-    kind = StructType([StructField("sized", known.select(label_col).schema[0].dataType), StructField("every", LongType())])
+    # Twice the rows wanted of each language, by hash, so that the ranking below gets few; the smallest hash of a language always
+    # passes, so that none is lost whose rows are all alike.
+    every = [(r["language"], max(1, r["n"] // (2 * most)), r["least"]) for r in sizes]
+    kind = StructType([StructField("sized", known.select(label_col).schema[0].dataType), StructField("every", LongType()), StructField("least", LongType())])
     # One row per language.
     thinned = F.broadcast(docs.sparkSession.createDataFrame(every, kind))
     rows = known.select(F.col(label_col).alias("language"), F.col(text_col).alias("text"), order.alias("order"))
-    some = rows.join(thinned, F.col("language") == F.col("sized")).where(F.pmod("order", "every") == 0)
+    some = rows.join(thinned, F.col("language") == F.col("sized")).where((F.pmod("order", "every") == 0) | (F.col("order") == F.col("least")))
     first = Window.partitionBy("language").orderBy("order", "text")
     return some.select("language", "text", "order").withColumn("place", F.row_number().over(first)).where(F.col("place") <= most)
 

@@ -98,7 +98,8 @@ def latent_space(X: np.ndarray, rank: int = RANK) -> np.ndarray:
 def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """At most ``SAMPLE`` labelled documents (order, label, text)."""
     known = labels.where(usable & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("double").alias("label"))
-    known = known.withColumn("order", F.xxhash64(F.lit(SEED), F.col(id_col)))
+    # Labels of documents that don't exist take no places.
+    known = known.join(docs.select(id_col), id_col, "left_semi").withColumn("order", F.xxhash64(F.lit(SEED), F.col(id_col)))
     n = known.count()
     some = known.where(F.pmod("order", F.lit(max(1, n // (2 * SAMPLE)))) == 0).orderBy("order").limit(SAMPLE)
     return docs.select(F.col(id_col), F.col(text_col).alias("text")).join(some, id_col).groupBy("order", "label").agg(F.max("text").alias("text"))
