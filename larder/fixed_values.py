@@ -45,6 +45,9 @@ HOLIDAY_FLAGS = [
     ("covid_19", "covid_impact"),
 ]
 
+# Days before and after an event that have effects of their own: label, first offset, last offset.
+EVENT_WINDOWS = [("jour_ferie", -2, 1), ("vacances_scolaires", -1, 1), ("covid_19", 0, 0)]
+
 # --- Fixed values: thresholds -----------------------------------------------
 CRITICAL_LIFE_DAYS = 3
 PERISHABLE_LIFE_DAYS = 7

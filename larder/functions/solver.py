@@ -274,6 +274,7 @@ FIT_SCHEMA = pa.schema([
     ("annuel", pa.list_(pa.float64())),
     ("hebdo", pa.list_(pa.float64())),
     ("evenements", pa.list_(pa.float64())),
+    ("evenements_ecart", pa.list_(pa.float64())),
     ("regresseurs", pa.list_(pa.float64())),
     ("regresseurs_ecart", pa.list_(pa.float64())),
     ("centres", pa.list_(pa.float64())),
@@ -329,6 +330,8 @@ def fit_group(configs: Sequence[Config]):
                 fields=list(PART_TYPE),
             )
             yearly, weekly, event = b_groups
+            event_at = trend.shape[1] + season.shape[1] - events.shape[1]
+            event_spread = unit * np.sqrt(np.diag(found.covariance)[event_at : event_at + events.shape[1]])
             lines.append({
                 "nom_produit": [key[0].as_py()],
                 "modele": [c.name],
@@ -344,6 +347,7 @@ def fit_group(configs: Sequence[Config]):
                 "annuel": [_padded(yearly, 2 * YEARLY_ORDER)],
                 "hebdo": [_padded(weekly, 2 * WEEKLY_ORDER)],
                 "evenements": [_padded(event, len(HOLIDAY_FLAGS))],
+                "evenements_ecart": [_padded(event_spread, len(HOLIDAY_FLAGS))],
                 "regresseurs": [_padded(b_outside, len(MODEL_REGRESSORS))],
                 "regresseurs_ecart": [_padded(spread, len(MODEL_REGRESSORS))],
                 "centres": [days["centres"][0].as_py()],

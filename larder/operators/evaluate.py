@@ -37,6 +37,21 @@ def ranked(scores: DataFrame, model: str = "modele", by: str = "mae", digits: in
     return scores.withColumn("rang", F.row_number().over(best_first))
 
 
+def over_origins(scores: DataFrame, by: str = "mae", digits: int = 6) -> DataFrame:
+    """Scores at several cut dates (``date_coupure``) with each model's rank at its cut and its mean rank and error over all cuts.
+
+    Models rank within a product and cut; a model without score at a cut ranks last there.
+    """
+    at_cut = Window.partitionBy("nom_produit", "date_coupure").orderBy(F.round(by, digits).asc_nulls_last(), "modele")
+    over_cuts = Window.partitionBy("nom_produit", "modele")
+    return scores.withColumn("rang", F.row_number().over(at_cut)).withColumns({
+        "nb_coupures": F.count("*").over(over_cuts),
+        "rang_moyen": F.avg("rang").over(over_cuts),
+        f"{by}_moyenne": F.avg(by).over(over_cuts),
+        f"{by}_pire": F.max(by).over(over_cuts),
+    })
+
+
 def forecast_summary(forecast: DataFrame) -> DataFrame:
     return forecast.groupBy("nom_produit").agg(
         F.sum("yhat").alias("total_prevu"),

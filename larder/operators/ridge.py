@@ -10,7 +10,8 @@ runs in Python.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Callable, Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -35,12 +36,22 @@ from larder.fixed_values import (
 from larder.functions import solver
 from larder.functions.columns import drift_variance
 from larder.functions.solver import Config
-from larder.operators.series import auto_changepoint, day_number, future_frame, per_product, regressor_scales, with_split
+from larder.operators.series import (
+    NO_WINDOWS,
+    EventWindows,
+    auto_changepoint,
+    day_number,
+    event_offset,
+    event_terms,
+    future_frame,
+    per_product,
+    regressor_scales,
+    with_split,
+)
 
 # Executors get the solver with the task and need no installed copy of it.
 cloudpickle.register_pickle_by_value(solver)
 
-EVENTS = [label for label, _ in HOLIDAY_FLAGS]
 REGRESSORS = [name for name, _, _ in MODEL_REGRESSORS]
 CONFIGS = {row[0]: Config(*row) for row in [*MODEL_CONFIGS, *SPARSE_CONFIGS]}
 
@@ -74,12 +85,29 @@ def _doubles(values: Sequence[Column]) -> Column:
     return F.array(*values).cast("array<double>")
 
 
-def model_rows(rows: DataFrame, train: Column, dates: Sequence[str] | None, blind: bool = False) -> DataFrame:
+def _event_columns(known: Callable[[Column], Column], windows: EventWindows) -> list[Column]:
+    """1.0 on the days of each effect of ``event_terms``, else 0.0. Events that are not known have no days around them."""
+    terms, columns = event_terms(windows), []
+    for label, flag in HOLIDAY_FLAGS:
+        offsets = [offset for name, offset in terms if name == label]
+        seen = known(F.col(flag).cast("double"))
+        if offsets == [0]:
+            columns.append(seen)
+        else:
+            place = event_offset(seen, offsets)
+            columns += [F.when(place == offset, 1.0).otherwise(0.0) for offset in offsets]
+    return columns
+
+
+def model_rows(
+    rows: DataFrame, train: Column, dates: Sequence[str] | None, blind: bool = False, windows: EventWindows = NO_WINDOWS
+) -> DataFrame:
     """Model input for every row of ``rows``: time, breaks, events and scaled regressors.
 
     ``dates`` are the trend breaks, spread evenly when None. With ``blind`` the
     rows outside the training days get what would be known of them in advance:
-    mean regressors, no events, and flu by the months of ``future_frame``.
+    mean regressors, no events, and flu by the months of ``future_frame``. With
+    ``windows`` the days around an event have effects of their own, one per offset.
     """
     end = F.max(F.when(train, F.col("ds"))).over(per_product())
     based = rows.withColumns({
@@ -97,7 +125,7 @@ def model_rows(rows: DataFrame, train: Column, dates: Sequence[str] | None, blin
     def known(value: Column) -> Column:
         return F.when(F.col("appris"), value).otherwise(0.0) if blind else value
 
-    events = [known(F.col(flag).cast("double")) for _, flag in HOLIDAY_FLAGS if with_outside]
+    events = _event_columns(known, windows) if with_outside else []
     outside = []
     for i, (name, _, scaled) in enumerate(MODEL_REGRESSORS if with_outside else []):
         value = (F.col(name) - F.get("centres", F.lit(i))) / F.get("echelles", F.lit(i))
@@ -118,17 +146,17 @@ def model_rows(rows: DataFrame, train: Column, dates: Sequence[str] | None, blin
 
 def forecast_rows(
     dense: DataFrame, dates: Sequence[str] | None, periods: int = FORECAST_DAYS, fill: str = "mean",
-    events: DataFrame | None = None,
+    events: DataFrame | None = None, windows: EventWindows = NO_WINDOWS,
 ) -> DataFrame:
     """All history for training, then the future days."""
-    return model_rows(future_frame(dense, periods, fill, events), ~F.col("futur"), dates)
+    return model_rows(future_frame(dense, periods, fill, events), ~F.col("futur"), dates, windows=windows)
 
 
 def backtest_rows(
-    dense: DataFrame, dates: Sequence[str] | None, days: int = TEST_DAYS, blind: bool = False
+    dense: DataFrame, dates: Sequence[str] | None, days: int = TEST_DAYS, blind: bool = False, windows: EventWindows = NO_WINDOWS
 ) -> DataFrame:
     """All but the last days for training, those for testing."""
-    return model_rows(with_split(dense, days=days), F.col("apprentissage"), dates, blind)
+    return model_rows(with_split(dense, days=days), F.col("apprentissage"), dates, blind, windows)
 
 
 # --- fit: one product's days at a time ------------------------------------------
@@ -180,20 +208,56 @@ def components(fitted: DataFrame, z: float = Z_85, widening: bool = False) -> Da
 def forecast_ridge(
     dense: DataFrame, dates: Sequence[str] | None, config: Config = CONFIGS["enrichi"],
     periods: int = FORECAST_DAYS, fill: str = "mean", events: DataFrame | None = None, widening: bool = False,
+    windows: EventWindows = NO_WINDOWS,
 ) -> DataFrame:
     """Fit on the whole history, forecast of the days after it."""
-    fitted = fit_ridge(forecast_rows(dense, dates, periods, fill, events), config, predict=F.col("futur"))
+    fitted = fit_ridge(forecast_rows(dense, dates, periods, fill, events, windows), config, predict=F.col("futur"))
     return components(fitted, widening=widening).select("nom_produit", "ds", "yhat", "yhat_lower", "yhat_upper", "converge")
 
 
 def backtest_ridge(
-    dense: DataFrame, dates: Sequence[str] | None, *configs: Config, days: int = TEST_DAYS, blind: bool = False
+    dense: DataFrame, dates: Sequence[str] | None, *configs: Config, days: int = TEST_DAYS, blind: bool = False,
+    windows: EventWindows = NO_WINDOWS,
 ) -> DataFrame:
     """Test days with the forecast of a fit on the days before, per configuration."""
-    fitted = fit_ridge(backtest_rows(dense, dates, days, blind), *configs, predict=~F.col("appris"))
+    fitted = fit_ridge(backtest_rows(dense, dates, days, blind, windows), *configs, predict=~F.col("appris"))
     return components(fitted).select("nom_produit", "modele", "ds", "y", "yhat", "yhat_lower", "yhat_upper", "converge")
 
 
+def backtest_origins(
+    dense: DataFrame, dates: Sequence[str] | None, *configs: Config, origins: int = 3, days: int = TEST_DAYS, blind: bool = False
+) -> DataFrame:
+    """``backtest_ridge`` at several cut dates, ``days`` apart, the latest ``days`` before the end; ``date_coupure`` names the cut.
+
+    The fits of a cut see no day after it. The series is read once per cut: write it first. A product has no rows for cuts
+    that leave it no training day.
+    """
+    last = F.max("ds").over(per_product())
+    ended = dense.withColumn("_fin", last)
+    parts = []
+    for step in range(origins):
+        known = ended.where(F.col("ds") <= F.date_sub("_fin", step * days))
+        cuts = known.groupBy("nom_produit").agg(F.date_sub(F.max("ds"), days).alias("date_coupure"))
+        pairs = backtest_ridge(known.drop("_fin"), dates, *configs, days=days, blind=blind)
+        parts.append(pairs.join(cuts, "nom_produit"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def event_effects(fitted: DataFrame, windows: EventWindows = NO_WINDOWS, z: float = Z_85) -> DataFrame:
+    """Effect of each event on its own day and on those around it, with its interval.
+
+    A share of the trend in multiplicative models, a quantity in additive ones. Effects of offsets that no training day has are 0
+    with the interval of their prior.
+    """
+    lines = F.arrays_zip(
+        F.array(*[F.struct(F.lit(label).alias("holiday"), F.lit(offset).alias("offset")) for label, offset in event_terms(windows)]).alias("terme"),
+        F.col("evenements").alias("effet"), F.col("evenements_ecart").alias("ecart"))
+    return fitted.select("nom_produit", "modele", "converge", F.inline(lines)).select(
+        "nom_produit", "modele", "terme.holiday", "terme.offset", "effet",
+        (F.col("effet") - F.lit(z) * F.col("ecart")).alias("effet_lower"), (F.col("effet") + F.lit(z) * F.col("ecart")).alias("effet_upper"),
+        "converge")
+
+
 def regressor_coefficients(fitted: DataFrame, z: float = Z_85) -> DataFrame:
     """Effect of one unit of each regressor, with its interval and direction."""
     lines = F.arrays_zip(
@@ -234,7 +298,9 @@ def changepoint_effects(fitted: DataFrame, dates: Sequence[str]) -> DataFrame:
     )
 
 
-def optimality(rows: DataFrame, fitted: DataFrame, config: Config, tolerance: float = 1e-4) -> DataFrame:
+def optimality(
+    rows: DataFrame, fitted: DataFrame, config: Config, tolerance: float = 1e-4, windows: EventWindows = NO_WINDOWS
+) -> DataFrame:
     """Per product: whether the slope of the penalised squares is 0 in every coefficient, worked out anew from the features.
 
     A coefficient is at its optimum when its slope, over the square root of its curvature, is below ``tolerance``: it is
@@ -251,10 +317,10 @@ def optimality(rows: DataFrame, fitted: DataFrame, config: Config, tolerance: fl
     def leading(name: str, n: int) -> Column:
         return F.slice(F.col(name), 1, n)
 
-    outside = config.outside
+    outside, n_events = config.outside, len(event_terms(windows)) if config.outside else 0
     model = fitted.where(F.col("modele") == config.name).select(
         "nom_produit", "variance", "echelle_y", F.col("tendance").alias("b_tendance"),
-        F.concat(leading("annuel", 2 * config.yearly), leading("hebdo", 2 * config.weekly), leading("evenements", len(EVENTS) if outside else 0)).alias("b_saison"),
+        F.concat(leading("annuel", 2 * config.yearly), leading("hebdo", 2 * config.weekly), leading("evenements", n_events)).alias("b_saison"),
         leading("regresseurs", len(REGRESSORS) if outside else 0).alias("b_dehors"))
     days = rows.where("appris").join(model, "nom_produit")
     scale = F.col("echelle_y")
@@ -276,7 +342,7 @@ def optimality(rows: DataFrame, fitted: DataFrame, config: Config, tolerance: fl
     priors = F.concat(
         F.transform("tendance", lambda _, i: F.when(i < 2, F.lit(TREND_PRIOR)).otherwise(F.lit(config.changepoint_prior))),
         F.array_repeat(F.lit(config.seasonality_prior), 2 * (config.yearly + config.weekly)),
-        F.array_repeat(F.lit(config.holidays_prior), len(EVENTS) if outside else 0),
+        F.array_repeat(F.lit(config.holidays_prior), n_events),
         _doubles([F.lit(float(prior)) for _, prior, _ in MODEL_REGRESSORS] if outside else []))
     lines = valued.select("nom_produit", "variance", "reste", F.size("tendance").alias("nb_tendance"), F.inline(F.arrays_zip(
         slopes.alias("pente"), F.concat("b_tendance", "b_saison", "b_dehors").alias("b"), priors.alias("ecart"),

@@ -109,16 +109,53 @@ def last_days(dense: DataFrame, n: int = 30) -> DataFrame:
 # --- events -------------------------------------------------------------------
 
 
-def _event_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    labels = F.array_compact(F.array(*[F.when(F.col(flag) == 1, label) for label, flag in HOLIDAY_FLAGS]))
-    return rows.select(*keys, F.explode(labels).alias("holiday")).select(
-        *keys, "holiday", F.lit(0).alias("lower_window"), F.lit(0).alias("upper_window")
-    )
+EventWindows = Sequence[tuple[str, int, int]]
+NO_WINDOWS: EventWindows = [(label, 0, 0) for label, _ in HOLIDAY_FLAGS]
+
+
+def _event_rows(rows: DataFrame, keys: Sequence[str], windows: EventWindows = NO_WINDOWS) -> DataFrame:
+    reach = {label: (first, last) for label, first, last in windows}
+    labels = F.array_compact(F.array(*[
+        F.when(F.col(flag) == 1, F.struct(F.lit(label).alias("holiday"), *[F.lit(d).alias(c) for c, d in zip(("lower_window", "upper_window"), reach.get(label, (0, 0)))]))
+        for label, flag in HOLIDAY_FLAGS
+    ]))
+    return rows.select(*keys, F.inline(labels))
 
 
-def holidays(dense: DataFrame) -> DataFrame:
+def holidays(dense: DataFrame, windows: EventWindows = NO_WINDOWS) -> DataFrame:
     """Event days of each product, one row per label. A day may carry several labels."""
-    return _event_rows(dense, ["nom_produit", "ds"])
+    return _event_rows(dense, ["nom_produit", "ds"], windows)
+
+
+def event_terms(windows: EventWindows = NO_WINDOWS) -> list[tuple[str, int]]:
+    """(label, offset) of each effect that events with these windows have, labels in their fixed order."""
+    reach = {label: (first, last) for label, first, last in windows}
+    unknown = set(reach) - {label for label, _ in HOLIDAY_FLAGS}
+    if unknown or any(first > 0 or last < 0 for first, last in reach.values()):
+        raise ValueError(f"windows name unknown events or leave out the day itself: {windows}")
+    return [(label, offset) for label, _ in HOLIDAY_FLAGS for offset in range(reach.get(label, (0, 0))[0], reach.get(label, (0, 0))[1] + 1)]
+
+
+def event_offset(flag: Column, offsets: Sequence[int]) -> Column:
+    """Days since the event that a day of a dense series belongs to, negative before it; null beyond the window.
+
+    A day within reach of several events belongs to the nearest, of two equally near ones to the earlier, so runs of event
+    days have offsets at their ends only.
+    """
+    order = per_product().orderBy("ds")
+    nearest = sorted(offsets, key=lambda o: (abs(o), -o))
+    return F.coalesce(*[F.when((F.lag(flag, o).over(order) if o else flag) == 1, F.lit(o)) for o in nearest])
+
+
+def holiday_offsets(dense: DataFrame, windows: EventWindows) -> DataFrame:
+    """Days of each product that lie in the window of an event, with their offset: one row per day and label."""
+    terms = event_terms(windows)
+    found = F.array_compact(F.array(*[
+        F.when(F.col(f"_{flag}").isNotNull(), F.struct(F.lit(label).alias("holiday"), F.col(f"_{flag}").alias("offset")))
+        for label, flag in HOLIDAY_FLAGS
+    ]))
+    placed = dense.withColumns({f"_{flag}": event_offset(F.col(flag), [o for name, o in terms if name == label]) for label, flag in HOLIDAY_FLAGS})
+    return placed.select("nom_produit", "ds", F.inline(found))
 
 
 def holiday_calendar(mv: DataFrame) -> DataFrame:

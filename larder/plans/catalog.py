@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.fixed_values import (
+    EVENT_WINDOWS,
     GUIDE_CHANGEPOINT_SHARE,
     REGRESSOR_COLUMNS,
     REGRESSORS_BY_CATEGORY,
@@ -497,6 +498,12 @@ def holiday_calendar(spark, d):
     return series.holiday_calendar(movements(spark, d, "date", *REGRESSOR_COLUMNS))
 
 
+@query
+def holiday_offsets(spark, d):
+    """Days around events, each with its distance from the nearest one."""
+    return series.holiday_offsets(_dense_regressors(spark, d), EVENT_WINDOWS)
+
+
 @query
 def holiday_counts(spark, d):
     return series.holiday_counts(series.holidays(_dense_regressors(spark, d)))
@@ -704,6 +711,30 @@ def forecast_28d_known_events(spark, d):
     return rounded(ridge.forecast_ridge(dense, CHANGEPOINTS, events=coming))
 
 
+def _windowed(spark, d):
+    return ridge.forecast_rows(_dense_regressors(spark, d), CHANGEPOINTS, windows=EVENT_WINDOWS)
+
+
+@query
+def forecast_28d_event_windows(spark, d):
+    """The same with effects of their own for the days around events."""
+    return rounded(ridge.forecast_ridge(_dense_regressors(spark, d), CHANGEPOINTS, windows=EVENT_WINDOWS))
+
+
+@query
+def event_effects(spark, d):
+    """Effect of each event by days before and after it."""
+    return rounded(ridge.event_effects(ridge.fit_ridge(_windowed(spark, d), ENRICHED), EVENT_WINDOWS))
+
+
+@query
+def fit_optimality_event_windows(spark, d):
+    """Whether the fits with effects around events are at their optimum."""
+    rows = materialize(_windowed(spark, d), "model_rows")
+    fitted = materialize(ridge.fit_ridge(rows, ENRICHED), "fits")
+    return ridge.optimality(rows, fitted, ENRICHED, windows=EVENT_WINDOWS).join(fitted.select("nom_produit", "modele", "converge"), ["nom_produit", "modele"])
+
+
 @query
 def regressor_coefficients(spark, d):
     return rounded(ridge.regressor_coefficients(_fitted(spark, d)))
@@ -725,6 +756,14 @@ def model_presets(spark, d):
     return rounded(evaluate.ranked(evaluate.metrics(pairs, ["nom_produit", "modele", "converge"])))
 
 
+@query
+def model_presets_origins(spark, d):
+    """The configurations scored at three cut dates a year apart, and their mean rank over them."""
+    dense = materialize(_dense_regressors(spark, d), "dense_days")
+    scores = evaluate.metrics(ridge.backtest_origins(dense, CHANGEPOINTS, *PRESETS), ["nom_produit", "date_coupure", "modele", "converge"])
+    return rounded(evaluate.over_origins(scores))
+
+
 # --- replenishment --------------------------------------------------------------
 
 

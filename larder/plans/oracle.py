@@ -10,6 +10,7 @@ import re
 
 from larder.fixed_values import (
     BASE_COLUMNS,
+    EVENT_WINDOWS,
     FLAG_REGRESSORS,
     MEAN_REGRESSORS,
     MONTHS,
@@ -506,6 +507,14 @@ oracle("holiday_calendar", """
     SELECT DISTINCT date AS ds, 'jour_ferie' AS holiday FROM mv WHERE jour_ferie = 1
     UNION ALL SELECT DISTINCT date, 'vacances_scolaires' FROM mv WHERE vacances_scolaires = 1
     UNION ALL SELECT DISTINCT date, 'covid_19' FROM mv WHERE covid_impact = 1)""")
+_windows = ", ".join(f"('{label}', {first}, {last})" for label, first, last in EVENT_WINDOWS)
+oracle("holiday_offsets", f"""
+  SELECT nom_produit, ds, holiday, CAST(ecart AS INTEGER) AS "offset" FROM (
+    SELECT f.nom_produit, CAST(f.ds + CAST(k AS INTEGER) AS DATE) AS ds, f.holiday, k AS ecart,
+      row_number() OVER (PARTITION BY f.nom_produit, f.ds + CAST(k AS INTEGER), f.holiday ORDER BY abs(k), k DESC) AS rang
+    FROM fetes f JOIN (VALUES {_windows}) AS w(holiday, premier, dernier) USING (holiday), generate_series(-9, 9) AS g(k)
+    WHERE k BETWEEN premier AND dernier) JOIN etendue USING (nom_produit)
+  WHERE rang = 1 AND ds BETWEEN debut AND fin""")
 oracle("holiday_counts", "SELECT nom_produit, holiday, count(*) AS nb_jours FROM fetes GROUP BY 1, 2")
 
 _known = f"(VALUES {', '.join(f'(DATE {chr(39)}{d}{chr(39)})' for d in CHANGEPOINTS)}) AS c(changepoint)"
@@ -634,6 +643,7 @@ oracle("fit_optimality", """
     (VALUES ('enrichi'), ('contre_sous_apprentissage'), ('contre_sur_apprentissage'), ('base')) AS m(modele)""")
 oracle("fit_optimality_sparse", """
   SELECT nom_produit, modele, true AS optimal, true AS converge FROM etendue, (VALUES ('enrichi_creux'), ('base_creux')) AS m(modele)""")
+oracle("fit_optimality_event_windows", "SELECT nom_produit, 'enrichi' AS modele, true AS optimal, true AS converge FROM etendue")
 oracle("stock_cover", "SELECT nom_produit, stock_actuel, moyenne_jour, duree_stock_jours, statut_stock FROM conseil_m",
        "moyenne_jour duree_stock_jours")
 oracle("waste_risk", """
