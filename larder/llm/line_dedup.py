@@ -9,8 +9,11 @@ link is found from its longer line. Candidates are verified by bit-parallel edit
 diagonals. Links are closed to classes; the first line of a class by (document, line number) is kept.
 
 A bucket (all lines that hold one segment) is never paired row by row: all members are verified against its smallest
-one first, then, where it still holds several classes, block by block inside tasks, pairs of one class excepted. Repeated
-lines are sent once per task, not once per copy.
+one first. Where it still holds several classes, a bucket of at most ``BLOCK`` lines is compared inside a task, pairs of one
+class excepted. A larger one is split by the same partition of what its lines hold beside the segment: two lines within reach
+share a segment of that too, at the places where the edits allow it, so lines that have only a common start or end never
+meet. This goes on until buckets are small or nothing is left to cut; only lines that agree in all but ``EDITS`` characters
+are then still compared block by block. Repeated lines are sent once per task, not once per copy.
 
 Defined results: blank lines are always kept and have no class; lines under ``SHORT_CHARS`` characters are duplicates only of equal
 lines, as an edit makes another line of them; null and empty texts have no lines; documents without identifier come
@@ -20,6 +23,7 @@ length are compared whole.
 
 from __future__ import annotations
 
+import functools
 import sys
 
 import numpy as np
@@ -52,6 +56,26 @@ def partition(length: int, parts: int) -> list[tuple[int, int]]:
     return out
 
 
+# Places by lengths and edits, so that they are worked out once per task.
+_PLACES: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
+
+
+def places(size: int, length: int, edits: int) -> list[tuple[int, int, int]]:
+    """(segment number, place, width) where a text of ``size`` characters can hold the segments of one of ``length``."""
+    known = _PLACES.get((size, length, edits))
+    if known is None:
+        if len(_PLACES) >= 50_000:
+            _PLACES.clear()
+        known = _PLACES[size, length, edits] = []
+        more = size - length
+        for i, (p, w) in enumerate(partition(length, edits + 1)):
+            # At most i edits lie before segment i (from 0), at most edits - i behind it.
+            first = max(p - i, p + more - (edits - i), 0)
+            last = min(p + i, p + more + (edits - i), size - w)
+            known += [(i, q, w) for q in range(first, last + 1)]
+    return known
+
+
 def edits_of(length: int) -> int:
     """The edits that link a line of that length with one at least as long."""
     return EDITS if length >= LEAST_CHARS else SHORT_EDITS if length >= SHORT_CHARS else 0
@@ -70,11 +94,7 @@ def probe_keys(line: str) -> list[tuple[int, int, str]]:
         edits = edits_of(length)
         if length < SHORT_CHARS or shorter > edits:
             break
-        for i, (p, w) in enumerate(partition(length, edits + 1)):
-            # At most i edits lie before segment i (from 0), at most edits - i behind it.
-            first = max(p - i, p + shorter - (edits - i), 0)
-            last = min(p + i, p + shorter + (edits - i), len(line) - w)
-            out += [(length, i, line[q : q + w]) for q in range(first, last + 1)]
+        out += [(length, i, line[q : q + w]) for i, q, w in places(len(line), length, edits)]
     return out
 
 
@@ -204,14 +224,9 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Links (a, b) between the keys of the lines of (left, right) whose edit distance is small enough."""
 
-    def run(batches):
-        for batch in batches:
-            keep = [linked(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
     one = lines.select(F.col("id").alias("left"), F.col("key").alias("a"), F.col("line").alias("x"))
     other = lines.select(F.col("id").alias("right"), F.col("key").alias("b"), F.col("line").alias("y"))
-    return pairs.join(one, "left").join(other, "right").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    return _checked(pairs.join(one, "left").join(other, "right").select("a", "b", "x", "y"))
 
 
 def _across(members: DataFrame) -> DataFrame:
@@ -250,6 +265,103 @@ def _across(members: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
+def _cut(rows: DataFrame) -> DataFrame:
+    """The buckets of the next level: the segments of each remainder, and what is left without them.
+
+    Rows are (h, key, label, line, rest, length, edits, indexed): the bucket's hash, the line, its remainder and the length of
+    the remainders on the indexed side of the bucket, which hold their own segments; others probe.
+    """
+
+    def run(batches):
+        import xxhash
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                out = tuple([] for _ in batch.schema)
+                for row in batch.slice(start, 1024).to_pylist():
+                    rest, length, edits = row["rest"], row["length"], row["edits"]
+                    if row["indexed"]:
+                        found = [(i, p, w) for i, (p, w) in enumerate(partition(length, edits + 1))]
+                    else:
+                        found = places(len(rest), length, edits)
+                    # Equal segments at neighbouring places of one text leave the same remainder.
+                    for i, part, left, w in dict.fromkeys((i, rest[q : q + w], rest[:q] + rest[q + w :], w) for i, q, w in found):
+                        number = xxhash.xxh3_64_intdigest(part.encode("utf-8", "replace"), row["h"] * 8 + i & (1 << 64) - 1)
+                        line = (number - (number >> 63 << 64), row["key"], row["label"], row["line"], left, length - w, edits, row["indexed"])
+                        for column, value in zip(out, line):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, batch.schema)], schema=batch.schema)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _uncut(lines: DataFrame) -> DataFrame:
+    """Each line of (key, label, line) as its own remainder: indexed, and probing for each length within reach.
+
+    Their first ``_cut`` gives the hashes of ``_keys``.
+    """
+    size = F.char_length("line")
+
+    def edits(length):
+        return F.when(length >= LEAST_CHARS, EDITS).when(length >= SHORT_CHARS, SHORT_EDITS).otherwise(0)
+
+    def side(shorter, indexed):
+        length = size - shorter
+        row = F.struct(length.cast("long").alias("h"), F.col("line").alias("rest"), length.alias("length"), edits(length).alias("edits"), F.lit(indexed).alias("indexed"))
+        return F.when((edits(length) > 0) & (edits(length) >= shorter), row)
+
+    sides = F.array_compact(F.array(side(0, True), *[side(n, False) for n in range(EDITS + 1)]))
+    found = lines.select("key", "label", "line", F.inline(sides))
+    return found.select("h", "key", "label", "line", "rest", "length", "edits", "indexed")
+
+
+def _checked(pairs: DataFrame) -> DataFrame:
+    """The links (a, b) among (a, b, x, y), lines x and y of keys a and b."""
+
+    def run(batches):
+        for batch in batches:
+            keep = [linked(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(run, "a binary, b binary")
+
+
+def _crowded(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Links between different classes of buckets that hold more than ``BLOCK`` lines, by splitting them."""
+    lines = members.join(buckets, "h", "left_semi").select("key", "label", "line").distinct()
+    rows = materialize(_cut(_uncut(lines)).join(buckets, "h", "left_semi"), "crowded_lines")
+    links = []
+    while not rows.isEmpty():
+        # Nothing can be cut from remainders that have no more characters than edits.
+        uncut = rows.where("length <= edits").select("h", "key", "label", "line").distinct()
+        if not uncut.isEmpty():
+            links.append(_across(uncut))
+        rows = materialize(_cut(rows.where("length > edits")), "crowded_lines")
+        lead = F.min(F.when(F.col("indexed"), F.struct("key", "label", "line")))
+        leads = rows.groupBy("h").agg(lead.alias("lead"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("indexed").alias("all_indexed"))
+        leads = leads.where("low <> high AND lead IS NOT NULL AND NOT all_indexed").select("h", "lead")
+        met = materialize(rows.join(leads, "h"), "crowded_lines")
+        stars = met.where("label <> lead.label").select(F.col("key").alias("a"), F.col("lead.key").alias("b"), F.col("line").alias("x"), F.col("lead.line").alias("y"), "label", F.col("lead.label").alias("other"))
+        stars = stars.dropDuplicates(["a", "b"])
+        found = materialize(_checked(stars.select("a", "b", "x", "y")).join(stars.select("a", "b", "label", "other"), ["a", "b"]), "line_links")
+        links.append(found.select("a", "b"))
+        rows = met.drop("lead")
+        if not found.isEmpty():
+            joined = components(found.select(F.col("label").alias("a"), F.col("other").alias("b")))
+            rows = rows.join(joined.withColumnRenamed("id", "label"), "label", "left").withColumn("label", F.coalesce("component", "label"))
+            rows = materialize(rows.select(*met.drop("lead").columns), "crowded_lines")
+        mixed = materialize(_mixed(rows), "line_buckets")
+        links.append(_across(rows.join(mixed.where(F.col("size") <= BLOCK), "h", "left_semi").select("h", "key", "label", "line").distinct()))
+        rows = rows.join(mixed.where(F.col("size") > BLOCK), "h", "left_semi")
+    return functools.reduce(DataFrame.unionByName, [materialize(found, "line_links") for found in links])
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(h, size) of the buckets that hold lines of several classes. Two rows have met already: one of them is the smallest."""
+    sizes = rows.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    return sizes.where("low <> high AND size > 2").select("h", "size")
+
+
 def line_links(docs: DataFrame) -> DataFrame:
     """Links (a, b) between keys of different lines, enough to connect every class."""
     leads = _keys(docs, index_keys).groupBy("h").agg(F.min("id").alias("lead"), F.max("id").alias("last"))
@@ -266,9 +378,10 @@ def line_links(docs: DataFrame) -> DataFrame:
     labels = components(links).select(F.col("id").alias("key"), F.col("component").alias("label"))
     members = met.where("several").select("h", "id").distinct().join(lines, "id").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     members = materialize(members.select("h", "key", "label", "line"), "line_members")
-    mixed = members.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low <> high AND size > 2").select("h")
-    rest = _across(members.join(mixed, "h", "left_semi"))
-    return links.unionByName(materialize(rest, "line_links"))
+    mixed = materialize(_mixed(members), "line_buckets")
+    links = links.unionByName(materialize(_across(members.join(mixed.where(F.col("size") <= BLOCK), "h", "left_semi")), "line_links"))
+    crowded = mixed.where(F.col("size") > BLOCK)
+    return links if crowded.isEmpty() else links.unionByName(_crowded(members, crowded))
 
 
 def _marked(texts: DataFrame) -> DataFrame:
