@@ -372,11 +372,23 @@ def test_exact_duplicates(spark, keep):
     assert exact_dedup.exact_dedup(docs.limit(0)).isEmpty()
 
 
-def test_runs_are_merged_without_a_sort(spark):
-    lines = spark.createDataFrame([], "run long, slice long, digest binary, id long, n long, _len_lo int, _len_hi int, _sum_lo long, _sum_hi long")
-    plan = exact_dedup.merge_runs(lines)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Sort" not in plan
-    assert not re.search("run is sorted|merges sorted runs|one sorted run", open(exact_dedup.__file__).read())
+@pytest.mark.parametrize("runs,fan_in,rounds", [(64, 2, 6), (64, 4, 3), (5, 2, 3), (1, 2, 0)])
+def test_every_round_sorts_its_runs_and_merges_them(spark, runs, fan_in, rounds):
+    schema = "run long, slice long, digest binary, id long, n long, _len_lo int, _len_hi int, _sum_lo long, _sum_hi long"
+    plan = exact_dedup.merge_runs(spark.createDataFrame([], schema), runs=runs, fan_in=fan_in)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Window [") == rounds and "Aggregate" not in plan and "Python" not in plan
+    rng = random.Random(runs + fan_in)
+    lines = [(run, d % 3, bytes([d]), rng.choice([None, rng.randrange(1000)]), rng.randint(1, 5), d, d, d, d) for run in range(runs) for d in range(40) if rng.random() < 0.6]
+    for keep, pick in (("smallest", min), ("largest", max)):
+        merged = exact_dedup.merge_runs(spark.createDataFrame(lines, schema).repartition(7), keep, runs, fan_in)
+        sorts = merged._jdf.queryExecution().executedPlan().toString()
+        assert sorts.count("Sort [run#") == rounds
+        found = {bytes(r.digest): (r.id, r.n) for r in merged.collect()}
+        expected = {}
+        for _, _, d, i, n, *_ in lines:
+            ids, total = expected.get(d, ([], 0))
+            expected[d] = (ids + [i] * (i is not None), total + n)
+        assert found == {d: (pick(ids) if ids else None, n) for d, (ids, n) in expected.items()}
 
 
 def test_a_digest_of_two_texts_stops_the_job(spark):
