@@ -9,8 +9,8 @@ link is found from its longer line. Candidates are verified by bit-parallel edit
 diagonals. Links are closed to classes; the first line of a class by (document, line number) is kept.
 
 A bucket (all lines that hold one segment) is never paired row by row: all members are verified against its smallest
-one first. Where it still holds several classes, a bucket of at most ``BLOCK`` lines is compared inside a task, pairs of one
-class excepted. A larger one is split by the same partition of what its lines hold beside the segment: two lines within reach
+one first. Where it still holds several classes, a bucket of at most ``CROWDED`` lines is compared in blocks of ``BLOCK``, each pair
+of blocks inside a task, pairs of one class excepted. A larger one is split by the same partition of what its lines hold beside the segment: two lines within reach
 share a segment of that too, at the places where the edits allow it, so lines that have only a common start or end never
 meet. This goes on until buckets are small or nothing is left to cut; only lines that agree in all but ``EDITS`` characters
 are then still compared block by block. Repeated lines are sent once per task, not once per copy.
@@ -40,6 +40,8 @@ EDITS = 2
 LEAST_CHARS = 24
 SHORT_EDITS, SHORT_CHARS = 1, 12
 BLOCK = 256
+# Buckets beyond this are split; up to it, comparing all pairs is less work than another round of jobs.
+CROWDED = 1024
 SEEN = 500_000
 # The largest filter of line hashes that tasks get: 8 MB.
 FILTER_BITS = 1 << 26
@@ -236,7 +238,10 @@ def _across(members: DataFrame) -> DataFrame:
     blocks = members.join(sizes, "h").groupBy("h", block.alias("block")).agg(F.collect_list(F.struct("key", "label", "line")).alias("members"))
     blocks = materialize(blocks, "line_blocks")
     pairs = blocks.withColumnRenamed("members", "left").join(
-        blocks.withColumnsRenamed({"members": "right", "block": "other"}), "h").where("block <= other").select("left", "right")
+        blocks.withColumnsRenamed({"members": "right", "block": "other"}), "h").where("block <= other")
+    # Few bytes may be much work: pairs of blocks are dealt to a fixed number of tasks, which are not put together by their size.
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(tasks, "h", "block", "other").select("left", "right")
 
     def run(batches):
         for batch in batches:
@@ -327,7 +332,7 @@ def _checked(pairs: DataFrame) -> DataFrame:
 
 
 def _crowded(members: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Links between different classes of buckets that hold more than ``BLOCK`` lines, by splitting them."""
+    """Links between different classes of buckets that hold more than ``CROWDED`` lines, by splitting them."""
     lines = members.join(buckets, "h", "left_semi").select("key", "label", "line").distinct()
     rows = materialize(_cut(_uncut(lines)).join(buckets, "h", "left_semi"), "crowded_lines")
     links = []
@@ -351,8 +356,8 @@ def _crowded(members: DataFrame, buckets: DataFrame) -> DataFrame:
             rows = rows.join(joined.withColumnRenamed("id", "label"), "label", "left").withColumn("label", F.coalesce("component", "label"))
             rows = materialize(rows.select(*met.drop("lead").columns), "crowded_lines")
         mixed = materialize(_mixed(rows), "line_buckets")
-        links.append(_across(rows.join(mixed.where(F.col("size") <= BLOCK), "h", "left_semi").select("h", "key", "label", "line").distinct()))
-        rows = rows.join(mixed.where(F.col("size") > BLOCK), "h", "left_semi")
+        links.append(_across(rows.join(mixed.where(F.col("size") <= CROWDED), "h", "left_semi").select("h", "key", "label", "line").distinct()))
+        rows = rows.join(mixed.where(F.col("size") > CROWDED), "h", "left_semi")
     return functools.reduce(DataFrame.unionByName, [materialize(found, "line_links") for found in links])
 
 
@@ -379,8 +384,8 @@ def line_links(docs: DataFrame) -> DataFrame:
     members = met.where("several").select("h", "id").distinct().join(lines, "id").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     members = materialize(members.select("h", "key", "label", "line"), "line_members")
     mixed = materialize(_mixed(members), "line_buckets")
-    links = links.unionByName(materialize(_across(members.join(mixed.where(F.col("size") <= BLOCK), "h", "left_semi")), "line_links"))
-    crowded = mixed.where(F.col("size") > BLOCK)
+    links = links.unionByName(materialize(_across(members.join(mixed.where(F.col("size") <= CROWDED), "h", "left_semi")), "line_links"))
+    crowded = mixed.where(F.col("size") > CROWDED)
     return links if crowded.isEmpty() else links.unionByName(_crowded(members, crowded))
 
 

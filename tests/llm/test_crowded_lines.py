@@ -27,7 +27,8 @@ def near(a, b):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_split_buckets_equal_brute_force(spark, monkeypatch, seed):
-    monkeypatch.setattr(line_dedup, "BLOCK", 6)
+    monkeypatch.setattr(line_dedup, "BLOCK", 4)
+    monkeypatch.setattr(line_dedup, "CROWDED", 6)
     rng = random.Random(seed)
     start, end = words(rng, 20), words(rng, 9)
     lines = []
@@ -84,7 +85,7 @@ def test_lines_with_a_common_start_do_not_all_meet(spark, monkeypatch):
 
 
 def test_lines_that_differ_in_their_last_characters(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "BLOCK", 4)
+    monkeypatch.setattr(line_dedup, "CROWDED", 4)
     start = "an order of the same customer, number "
     lines = [f"{start}{i:03d}" for i in range(60)] + [f"{start}{c}" for c in ("", "1", "abcd", "abcde")]
     expected = closed([(p, q) for p, a in enumerate(lines) for q in range(p) if near(a, lines[q])], range(len(lines)))
