@@ -10,12 +10,20 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def whole_numbers(df: DataFrame, id_col: str) -> None:
+    """Refuses identifiers that are no whole numbers, before anything runs."""
+    kind = df.schema[id_col].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise ValueError(f"{id_col} must hold whole numbers, not {kind.simpleString()}: number other identifiers first")
+
+
 def map_batches(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], Any]], schema: str) -> DataFrame:
     """``mapInArrow`` with state: ``start`` runs once per task and returns the function of one batch.
 

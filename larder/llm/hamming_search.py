@@ -6,17 +6,23 @@ differs in exactly r bits. What it finds is verified over the whole code. A code
 differs in more than r bits in every segment, so its distance is at least m(r + 1): once the k-th verified distance is
 below that, the query is closed. Nothing is capped: rounds go on until every query is closed or radii reach the width.
 
+Wide segments have far more masks of r bits than a plan or a sparse index can use. Where a segment has more masks than
+buckets, open queries meet the buckets' values instead and keep those in exactly r bits; beyond ``LISTED`` masks those are a
+table. Both joins are dealt into parts of bounded size.
+
 Segments are about log2(n) - 8 bits wide, so buckets keep some 256 codes as the data grow. Equal codes are one entry with
 its smallest k + 1 identifiers. Buckets and probes are packed into blocks of bounded size before they meet, so a bucket
 with a third of all codes is many pairs of blocks, and distances are computed for a pair of blocks at a time.
 
 Defined results: rows without vector or identifier are neither found nor searched for; missing components have bit 0, NaN
 bit 1; a query doesn't find its own identifier; ties go to the smaller identifier; repeated rows count once; with fewer
-than k others all are returned; codes are as long as the longest vector; an empty table gives an empty result.
+than k others all are returned; codes are as long as the longest vector; an empty table gives an empty result. Identifiers
+are whole numbers: others raise an error before anything runs.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import sys
@@ -27,7 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import table
+from larder.llm.common import table, whole_numbers
 from larder.session import materialize
 
 TOP_K = 10
@@ -35,6 +41,11 @@ EVERY = 20
 INDEX_BLOCK, QUERY_BLOCK = 4096, 1024
 AT_ONCE = 64
 FAR = 1 << 20
+# The most masks of a segment that are written into the plan, and about how many partners and queries one key of a join holds.
+LISTED = 2048
+PARTNERS, ASKING = 4096, 65536
+# Segments by place: word, shift and width of each.
+Places = dict[int, tuple[int, int, int]]
 
 
 def sign_code(vector: Column, words: int) -> Column:
@@ -52,28 +63,68 @@ def segment_width(codes: int) -> int:
     return min(32, max(8, round(math.log2(max(codes, 2))) - 8))
 
 
-def _segments(words: int, width: int) -> list[tuple[int, int, int]]:
+def _segments(words: int, width: int) -> Places:
     """(word, shift, width) of each segment; none crosses a word."""
-    return [(w, at, min(width, 64 - at)) for w in range(words) for at in range(0, 64, width)]
+    return dict(enumerate((w, at, min(width, 64 - at)) for w in range(words) for at in range(0, 64, width)))
+
+
+def _value(code: str, segment: tuple[int, int, int]) -> Column:
+    word, shift, width = segment
+    return F.shiftrightunsigned(F.get(code, F.lit(word)), shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
 
 
-def _exploded(df: DataFrame, code: str, segments: list[tuple[int, int, int]], radius: int) -> DataFrame:
+def _exploded(df: DataFrame, code: str, segments: Places, radius: int) -> DataFrame:
     """One row per segment and value within exactly ``radius`` bits: columns segment and value are added."""
     parts = []
-    for place, (word, shift, width) in enumerate(segments):
-        masks = [sum(1 << b for b in bits) for bits in itertools.combinations(range(width), radius)]
-        if not masks:
-            continue
-        value = F.shiftrightunsigned(F.get(code, F.lit(word)), shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+    for place, segment in segments.items():
+        value = _value(code, segment)
+        masks = [sum(1 << b for b in bits) for bits in itertools.combinations(range(segment[2]), radius)]
         values = F.array(value) if radius == 0 else F.transform(
             F.split(F.lit(",".join(map(str, masks))), ","), lambda m: value.bitwiseXOR(m.cast("long")))
         parts.append(F.struct(F.lit(place).alias("segment"), values.alias("values")))
-    if not parts:
-        return df.withColumns({"segment": F.lit(0), "value": F.lit(0).cast("long")}).limit(0)
     spread = df.withColumn("part", F.explode(F.array(*parts)))
     return spread.select(*df.columns, F.col("part.segment").alias("segment"), F.explode("part.values").alias("value"))
 
 
+def _beside(queries: DataFrame, n_queries: int, segments: Places, partners: DataFrame, most: int) -> DataFrame:
+    """Every query's own value of each segment beside all ``other`` of that segment's partners, at most ``most`` of them.
+
+    Both sides are dealt into parts, so one key of the join holds some ``PARTNERS`` x ``ASKING`` pairs however many there are.
+    """
+    parts, groups = -(-max(1, most) // PARTNERS), -(-max(1, n_queries) // ASKING)
+    own = F.explode(F.array(*[F.struct(F.lit(place).alias("segment"), _value("query", s).alias("own")) for place, s in segments.items()]))
+    left = queries.select("*", own.alias("o")).select(*queries.columns, "o.segment", "o.own", F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int").alias("group"))
+    left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    right = partners.withColumn("part", F.pmod(F.xxhash64("other"), F.lit(parts)).cast("int"))
+    return left.join(right.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))), ["segment", "part", "group"])
+
+
+def _probes(queries: DataFrame, n_queries: int, index: DataFrame, buckets: dict[int, int], segments: Places, radius: int) -> DataFrame:
+    """The buckets in exactly ``radius`` bits from each query, per segment: columns query, bound, segment, value.
+
+    Where fewer buckets than masks exist, queries meet the buckets' values; else the masks, a table where they are many.
+    """
+    masks = {place: math.comb(s[2], radius) for place, s in segments.items() if radius <= s[2]}
+    met = {place: segments[place] for place, n in masks.items() if n > buckets.get(place, 0)}
+    listed = {place: segments[place] for place, n in masks.items() if place not in met and n <= LISTED}
+    tabled = {place: segments[place] for place in masks if place not in met and place not in listed}
+    spark, columns = queries.sparkSession, [*queries.columns, "segment", "value"]
+    found = []
+    if listed:
+        found.append(_exploded(queries, "query", listed, radius).select(columns))
+    if met:
+        values = index.where(F.col("segment").isin(list(met))).select("segment", F.col("value").alias("other")).distinct()
+        beside = _beside(queries, n_queries, met, values, max(buckets.get(place, 0) for place in met))
+        found.append(beside.where(F.bit_count(F.col("own").bitwiseXOR(F.col("other"))) == radius).withColumnRenamed("other", "value").select(columns))
+    for width in {s[2] for s in tabled.values()}:
+        places = {place: s for place, s in tabled.items() if s[2] == width}
+        every = spark.range(1 << width).where(F.bit_count("id") == radius)
+        every = every.select(F.explode(F.array(*map(F.lit, places))).alias("segment"), F.col("id").alias("other"))
+        beside = _beside(queries, n_queries, places, every, math.comb(width, radius))
+        found.append(beside.withColumn("value", F.col("own").bitwiseXOR(F.col("other"))).select(columns))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 def _packed(rows: DataFrame, line: Column, block: int, name: str) -> DataFrame:
     """Lists of ``line`` per (segment, value), each of about ``block`` entries at most."""
     sizes = rows.groupBy("segment", "value").agg(F.count("*").alias("n")).where(F.col("n") > block)
@@ -139,6 +190,9 @@ def search(
     Codes are as long as the longest vector, or have the given number of ``bits``, which no vector may exceed.
     """
 
+    whole_numbers(vectors, id_col)
+    whole_numbers(queries, id_col)
+
     def usable_of(df: DataFrame) -> DataFrame:
         return df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull())
 
@@ -164,9 +218,13 @@ def search(
     index = materialize(_packed(_exploded(entries, "code", segments, 0), F.struct("code", "first_id"), INDEX_BLOCK, "codes"), "buckets")
 
     best = None
+    # One line per segment.
+    buckets = {r["segment"]: r["n"] for r in index.groupBy("segment").agg(F.count_distinct("value").alias("n")).collect()}
     still = materialize(wanted.withColumn("bound", F.lit(FAR)), "open")
-    for radius in range(max(s[2] for s in segments) + 1):
-        probes = _packed(_exploded(still, "query", segments, radius), F.struct("query", "bound"), QUERY_BLOCK, "queries")
+    n_open = still.count()
+    for radius in range(max(s[2] for s in segments.values()) + 1):
+        probes = _probes(still, n_open, index, buckets, segments, radius)
+        probes = _packed(probes, F.struct("query", "bound"), QUERY_BLOCK, "queries")
         found = _verified(probes.join(index, ["segment", "value"]), words, most)
         found = found.groupBy("query", "code").agg(F.min("distance").alias("distance"), F.min("first_id").alias("first_id"))
         if best is not None:
@@ -179,7 +237,8 @@ def search(
         unseen = len(segments) * (radius + 1)
         still = still.select("query").join(kth, "query", "left").select("query", F.coalesce(bound, F.lit(FAR)).alias("bound")).where(F.col("bound") >= unseen)
         still = materialize(still, "open")
-        if still.isEmpty():
+        n_open = still.count()
+        if not n_open:
             break
     near = asked.join(best.withColumnRenamed("code", "near"), asked["code"] == best["query"]).join(codes.select(F.col("code").alias("near"), "ids"), "near")
     lines = near.select("id", "distance", F.explode("ids").alias("neighbour_id")).where(F.col("neighbour_id") != F.col("id"))

@@ -14,7 +14,8 @@ Chance of missing a link at the threshold itself: (1 - 0.85^5)^25 < 1e-6 by the
 threshold of 0.8 the bands miss 5e-5 of the links that are not above it.
 
 Defined results: texts without words and rows without identifier are linked with nothing and kept; rows that repeat an
-identifier are one document; an empty table gives an empty result. Texts are read whole.
+identifier are one document; an empty table gives an empty result. Texts are read whole. Identifiers are whole numbers:
+others raise an error before anything runs.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import packed, table, text_udf, unpacked
+from larder.llm.common import packed, table, text_udf, unpacked, whole_numbers
 from larder.llm.components import components
 from larder.session import materialize
 
@@ -291,6 +292,7 @@ def _across(members: DataFrame, similarity: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept. ``similarity``: least share of common shingles, in per cent."""
+    whole_numbers(docs, id_col)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     found = materialize(texts.select("id", features(F.col("text")).alias("f")).select("id", "f.*"), "features")
     known = found.where(F.col("id").isNotNull() & F.col("key").isNotNull())

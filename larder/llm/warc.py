@@ -17,7 +17,7 @@ response and the others are revisits of it, without payload.
 
 Defined results: null html is an empty payload; null addresses and line breaks in them are escaped; rows that repeat an
 identifier, address and payload are the same record written several times and come back as often; an empty table gives
-an archive without records. A payload passes through one task, a group of equal ones never does.
+an archive without records. Page identifiers are whole numbers: others raise an error before anything runs. A payload passes through one task, a group of equal ones never does.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import map_batches, table
+from larder.llm.common import map_batches, table, whole_numbers
 from larder.session import materialize, scratch_path
 
 END = "\r\n\r\n"
@@ -108,6 +108,7 @@ def _record_id(page: Column, url: Column, digest: Column) -> Column:
 
 def write_pages(pages: DataFrame, path: str, compression: str = "gzip", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """Writes one record per page, with continuations, as text files with record ends as line ends."""
+    whole_numbers(pages, id_col)
     rows = pages.select(
         F.col(id_col).alias("page"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col).cast("binary"), F.lit("").cast("binary")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
