@@ -21,27 +21,48 @@ class _Range:
     ranks: list[int]
 
 
+def _counted(df: DataFrame, ranges: list[_Range]) -> DataFrame:
+    """Count, smallest and largest value of each bin that holds any. A task counts its own rows and hands on bins only."""
+    columns = list(dict.fromkeys(r.column for r in ranges))
+    # In halves where the width of the range would overflow.
+    bounds = [(i, columns.index(r.column), r.low, r.high, 1.0 if math.isfinite(r.high - r.low) else 0.5) for i, r in enumerate(ranges)]
+    bins = BINS
+
+    def count(batches):
+        """A task's bins that are not empty. Defined here, so that it travels with the job."""
+        import numpy as np
+        import pyarrow as pa
+
+        nb = np.zeros((len(bounds), bins), "int64")
+        bas, haut = np.full(nb.shape, np.inf), np.full(nb.shape, -np.inf)
+        for batch in batches:
+            values = [column.drop_null().to_numpy(zero_copy_only=False) for column in batch.columns]
+            for i, at, low, high, part in bounds:
+                inside = values[at][(values[at] >= low) & (values[at] <= high)]
+                if np.isinf([low, high]).any():
+                    # Infinite values first get bins of their own.
+                    case = np.where(np.isinf(inside), np.sign(inside), 0).astype("int64") + 1
+                else:
+                    share = (inside * part - low * part) / (high * part - low * part)
+                    case = np.minimum((share * bins).astype("int64"), bins - 1)
+                nb[i] += np.bincount(case, minlength=bins)
+                np.minimum.at(bas[i], case, inside)
+                np.maximum.at(haut[i], case, inside)
+        plage, case = (found.astype("int32") for found in nb.nonzero())
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (plage, case, nb[plage, case], bas[plage, case], haut[plage, case])], ["plage", "case", "nb", "bas", "haut"])
+
+    return (
+        df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+        .mapInArrow(count, "plage int, case int, nb long, bas double, haut double")
+        .groupBy("plage", "case").agg(F.sum("nb").alias("nb"), F.min("bas").alias("bas"), F.max("haut").alias("haut"))
+    )
+
+
 def _counts(df: DataFrame, ranges: list[_Range]) -> dict[int, list[tuple[int, float, float]]]:
     """Per range its bins in order: count, smallest and largest value. One pass; ranges of a column don't overlap."""
-    parts = []
-    for column in dict.fromkeys(r.column for r in ranges):
-        value, number, share = F.col(f"`{column}`").cast("double"), F.lit(None).cast("int"), F.lit(None).cast("double")
-        for i, r in enumerate(ranges):
-            if r.column == column:
-                inside = value.between(r.low, r.high)
-                number = F.when(inside, F.lit(i)).otherwise(number)
-                # In halves where the width of the range would overflow.
-                part = 1.0 if math.isfinite(r.high - r.low) else 0.5
-                share = F.when(inside, (value * part - r.low * part) / (r.high * part - r.low * part)).otherwise(share)
-        case = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
-        parts.append(F.struct(number.alias("plage"), case.alias("case"), value.alias("valeur")))
-    counted = (
-        df.select(F.inline(F.filter(F.array(*parts), lambda x: x["plage"].isNotNull())))
-        .groupBy("plage", "case").agg(F.count("*").alias("nb"), F.min("valeur").alias("bas"), F.max("valeur").alias("haut"))
-    )
     # At most BINS lines per range, and a column has at most two ranges per quantile.
     out: dict[int, list] = {i: [] for i in range(len(ranges))}
-    for row in sorted(counted.collect(), key=lambda r: (r["plage"], r["case"])):
+    for row in sorted(_counted(df, ranges).collect(), key=lambda r: (r["plage"], r["case"])):
         out[row["plage"]].append((row["nb"], row["bas"], row["haut"]))
     return out
 

@@ -61,8 +61,11 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     columns = list(columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)])
     numbers = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
     measures = {"nb": F.count, "moyenne": F.avg, "ecart_type": F.stddev_samp, "minimum": F.min, "maximum": F.max}
-    row = numbers.agg(*[f(f"`{c}`").alias(f"{m}_{i}") for i, c in enumerate(columns) for m, f in measures.items()]).first()
-    moments = {c: {m: row[f"{m}_{i}"] for m in measures} for i, c in enumerate(columns)}
+    # A line per value and one group per column: as many aggregates as columns times measures would outgrow the compiled code.
+    numbered = numbers.select(F.posexplode(F.array(*[f"`{c}`" for c in columns])).alias("place", "valeur"))
+    found = {r["place"]: r for r in numbered.groupBy("place").agg(*[f("valeur").alias(m) for m, f in measures.items()]).collect()}
+    nothing = dict.fromkeys(measures) | {"nb": 0}
+    moments = {c: {m: found[i][m] for m in measures} if i in found else nothing for i, c in enumerate(columns)}
     quartiles = exact_quantiles(numbers, columns, QUARTILES, {c: (m["nb"], m["minimum"], m["maximum"]) for c, m in moments.items()})
     lines = [
         (c, m["nb"], m["moyenne"], m["ecart_type"], m["minimum"], *quartiles[c], m["maximum"])

@@ -5,12 +5,13 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import quantiles
 from larder.functions.quantiles import exact_quantiles
 from larder.functions.running import running_total
-from larder.operators import demand, evaluate, forecast, ridge, series
+from larder.operators import demand, evaluate, forecast, quality, ridge, series
 from larder.plans.catalog import QUERIES
 from larder.sources import sample_tables
 from larder.sources.sample_tables import movements
@@ -83,6 +84,53 @@ def test_quantiles_take_few_passes(spark, monkeypatch):
     assert len(passes) <= 3 and max(passes) <= 2
 
 
+def test_quantiles_of_infinite_values(spark):
+    df = spark.createDataFrame([(float(x),) for x in ["-inf", "-inf", *range(9), "inf", "inf"]] + [(None,)], "x double")
+    assert exact_quantiles(df, ["x"], [0.25, 0.5, 0.75], {"x": (13, float("-inf"), float("inf"))})["x"] == [1.0, 4.0, 7.0]
+
+
+def test_quantile_passes_shuffle_bins_not_values(spark):
+    df = spark.range(0, 100_000, 1, 2).select((F.col("id") * 1.0).alias("x"), (F.col("id") % 3).alias("y"))
+    counted = quantiles._counted(df, [quantiles._Range("x", 0.0, 99_999.0, 0, [5]), quantiles._Range("y", 0.0, 2.0, 0, [5])])
+    found = counted.collect()
+    assert len(found) == 1024 + 3 and {sum(r.nb for r in found if r.plage == i) for i in (0, 1)} == {100_000}
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+
+
+def test_describe_equals_pandas(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({f"c{i}": rng.integers(-50, 50, 900) / (i + 1) for i in range(14)})
+    pdf.loc[::7, "c3"] = np.nan
+    pdf["vide"] = np.nan
+    found = {r["colonne"]: r for r in quality.describe(spark.createDataFrame(pdf).withColumn("entier", F.lit(2))).collect()}
+    assert list(found) == [*pdf, "entier"] and found["vide"][1:] == (0, *[None] * 7) and found["entier"][1:] == (900, 2.0, 0.0, *[2.0] * 5)
+    for c in pdf.drop(columns="vide"):
+        np.testing.assert_allclose(found[c][1:], pdf[c].describe().to_numpy(), rtol=1e-12, atol=1e-12)
+
+
+def test_described_moments_stay_in_compiled_code(spark, make):
+    """One aggregate per measure, whatever the number of columns."""
+    plans = []
+    listened = DataFrame.collect
+
+    def collect(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return listened(df)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.range(1)), "collect", collect)
+        quality.describe(make({}, {"quantite": 2.0}))
+    assert plans[0].count("stddev_samp(") == 1
+
+
+def test_stock_shuffles_plain_columns(spark, sf):
+    """Columns that derive from others are worked out above the shuffle of the running stock."""
+    plan = movements(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    for name in ("type_produit", "type_sortie", "unite", "date_expiration"):
+        assert plan.index(f" AS {name}") < plan.index("Exchange hashpartitioning")
+
+
 @pytest.mark.parametrize("name, exchanges, sorts", [("profile_shape", 1, 0), ("operation_shares", 2, 1), ("schema_check", 0, 0)])
 def test_exchanges_and_sorts(spark, sf, name, exchanges, sorts):
     plan = final_plan(QUERIES[name](spark, sf))
