@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import re
 import shutil
@@ -58,6 +59,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Text is written compressed, and a compressed file is read by one task: a file ends after so many rows.
+TEXT_OPTIONS = {"compression": "lz4", "maxRecordsPerFile": 1_000_000}
+
+
+@contextlib.contextmanager
+def open_folders(spark: SparkSession, most: int):
+    """Partitioned writes inside keep the files of up to ``most`` folders open per task; rows are sorted by folder only beyond that."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Runs ``df`` now, writes it to the shared folder and reads it back.
 

@@ -6,6 +6,8 @@ import random
 import pytest
 
 from larder.operators import fifo
+from larder.plans import catalog
+from larder.session import TEXT_OPTIONS, open_folders
 from larder.sources import rejects
 from larder.sources.movements import BASE_SCHEMA, read_movements
 
@@ -44,6 +46,46 @@ def test_broken_rows_are_set_apart(spark, tmp_path):
     assert counts["nombre de colonnes", ""] == (2, 1) and sum(n for n, _ in counts.values()) == bad.count() == 6
 
 
+def test_good_rows_are_written_without_reject_columns(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rejects, "scratch_path", lambda spark, name: str(tmp_path / "out"))
+    (tmp_path / "a.csv").write_text(lines(GOOD, GOOD.replace("2024-01-02", ""), GOOD + ",surplus"))
+    rejects.split_movements(spark, str(tmp_path / "a.csv"), "base")
+    good = spark.read.parquet(str(tmp_path / "out/rejete=false")).select(rejects.REJECT_COLUMNS).collect()
+    assert [tuple(r) for r in good] == [(None,) * 5]
+    bad = spark.read.parquet(str(tmp_path / "out/rejete=true")).select("ligne", "motif", "fichier").collect()
+    assert len(bad) == 2 and all(None not in tuple(r) for r in bad)
+
+
+def test_rows_are_not_sorted_to_be_set_apart(spark, tmp_path):
+    """Rows of both folders in turn are written as they come, in one file per folder."""
+    usual = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    rows = spark.range(0, 100, 1, 1).selectExpr("id % 2 AS side", "id")
+    with open_folders(spark, 2):
+        rows.write.partitionBy("side").parquet(str(tmp_path / "out"))
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "2"
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == usual
+    assert [len(list((tmp_path / f"out/side={i}").glob("*.parquet"))) for i in (0, 1)] == [1, 1]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 100
+
+
+@pytest.mark.parametrize("name, folder, ending", [
+    ("scan_movements_csv", "movements_csv", ".csv.lz4"), ("scan_movements_base", "movements_base", ".csv.lz4"),
+    ("schema_check", "movements_header", ".csv.lz4"), ("movement_rejects", "movements_broken", ".txt.lz4")])
+def test_text_is_written_compressed(spark, sf, tmp_path, monkeypatch, name, folder, ending):
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: str(tmp_path / name))
+    assert catalog.QUERIES[name](spark, sf).count()
+    files = [p for p in (tmp_path / folder).rglob("part-*")]
+    assert files and all(p.name.endswith(ending) for p in files)
+
+
+def test_compressed_files_are_cut_by_rows(spark, tmp_path):
+    assert TEXT_OPTIONS["maxRecordsPerFile"] <= 1_000_000
+    df = spark.range(0, 95, 1, 1)
+    df.write.options(**TEXT_OPTIONS | {"maxRecordsPerFile": 10}).option("header", True).csv(str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("part-*"))) == 10
+    assert spark.read.schema("id long").option("header", True).csv(str(tmp_path / "out")).count() == 95
+
+
 def test_good_files_read_as_before(spark, tmp_path):
     (tmp_path / "a.csv").write_text(lines(GOOD, GOOD))
     good, bad = rejects.split_movements(spark, str(tmp_path), "base")
