@@ -18,7 +18,7 @@ from larder.fixed_values import (
 )
 from larder.functions import columns as C
 from larder.operators import demand, evaluate, fifo, forecast, quality, replenish, report, ridge, series
-from larder.session import materialize, scratch_path
+from larder.session import TEXT_OPTIONS, materialize, open_folders, scratch_path
 from larder.sources import movements as readers
 from larder.sources import rejects
 from larder.sources import runs as run_store
@@ -124,7 +124,8 @@ def _broken_files(spark, d):
     line = F.to_csv(F.struct(*[broken.get(c, F.col(c)).alias(c) for c in names]))
     line = F.when(lot % 73 == 0, F.substring_index(line, ",", 9)).when(lot % 71 == 0, F.concat(line, F.lit(",surplus"))).otherwise(line)
     path = scratch_path(spark, "movements_broken")
-    base.select(F.col("type_operation").alias("dossier"), line.alias("value")).write.partitionBy("dossier").text(path)
+    with open_folders(spark, 2):
+        base.select(F.col("type_operation").alias("dossier"), line.alias("value")).write.options(**TEXT_OPTIONS).partitionBy("dossier").text(path)
     return path
 
 
