@@ -14,8 +14,8 @@ def running_total(
     group: Sequence[str],
     day: str,
     block: Column,
-    order: Sequence[str],
-    value: str,
+    order: Sequence[Column | str],
+    value: Column | str,
     out: str,
 ) -> DataFrame:
     """Running sum of ``value`` per ``group``, rows ordered by day, then ``order``.
@@ -23,7 +23,8 @@ def running_total(
     Only daily sums are ordered over a whole group, block sums within a day, and
     rows within one ``block`` of a day: a day with very many rows is many blocks.
     ``block`` is any whole number that never falls along ``order``. Rows without a
-    group or day get null.
+    group or day get null. ``value`` and ``order`` may be expressions, worked out
+    after the shuffle.
     """
     per_day = [*group, day]
     per_block = [*per_day, "_bloc"]

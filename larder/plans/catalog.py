@@ -96,7 +96,7 @@ def scan_movements(spark, d):
 def scan_movements_csv(spark, d):
     """The same rows, written as CSV and read back with the explicit schema."""
     path = scratch_path(spark, "movements_csv")
-    movements(spark, d).write.option("header", True).csv(path)
+    movements(spark, d).write.options(**TEXT_OPTIONS).option("header", True).csv(path)
     return rounded(readers.read_movements(spark, path))
 
 

@@ -82,14 +82,13 @@ def movements(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     incoming = (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")
     destroyed = (F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "N")
     cleaning = word.isin(CLEANING_WORDS)
-    day = F.col("l_shipdate").cast("date")
 
-    df = table(spark, folder, "lineitem")
+    df = table(spark, folder, "lineitem").withColumn("date", F.col("l_shipdate").cast("date"))
     if needs & PART_COLUMNS:
         df = df.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
 
     derived = {
-        "date": day,
+        "date": F.col("date"),
         "id_produit": F.col("l_partkey"),
         "nom_produit": F.col("p_name"),
         "type_produit": F.when(cleaning, CLEANING).otherwise(FOOD),
@@ -100,28 +99,25 @@ def movements(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
         "id_lot": F.col("l_orderkey") * 8 + F.col("l_linenumber"),
         "id_arrivage": F.col("l_orderkey"),
         "id_fournisseur": F.col("l_suppkey"),
-        "date_expiration": F.date_add(day, _life_days(word)),
+        "date_expiration": F.date_add("date", _life_days(word)),
         "temperature_stockage": F.when(~cleaning, F.col("p_size") / F.lit(10.0)),
+        "stock_theorique": F.col("stock_theorique"),
     }
-    ordering = ["date", "nom_produit", "type_operation", "id_lot", "id_produit", "quantite"]
+    if "stock_theorique" in needs:
+        # Before the other columns are derived, so that the shuffle moves the few plain ones they come from.
+        lots = F.shiftright(derived["id_lot"], LOT_BLOCK_BITS)
+        df = running_total(
+            df, group=["p_name"], day="date",
+            block=F.when(incoming, lots).otherwise(lots + OUTGOING_BLOCKS),
+            order=[*[derived[c] for c in ("type_operation", "id_lot", "id_produit")], F.col("l_extendedprice"), derived["quantite"]],
+            value=F.when(incoming, derived["quantite"]).otherwise(-derived["quantite"]), out="stock_theorique",
+        )
     if "nom_fournisseur" in needs:
         needs.add("id_fournisseur")
     if needs & set(REGRESSOR_COLUMNS):
         needs.add("date")
-    keep = [c for c in derived if c in needs or ("stock_theorique" in needs and c in ordering)]
-    extra = [F.col("l_extendedprice")] if "stock_theorique" in needs else []
-    df = df.select(*[derived[c].alias(c) for c in keep], *extra)
+    df = df.select(*[column.alias(c) for c, column in derived.items() if c in needs])
 
-    if "stock_theorique" in needs:
-        signed = F.when(F.col("type_operation") == INCOMING, F.col("quantite")).otherwise(-F.col("quantite"))
-        lots = F.shiftright("id_lot", LOT_BLOCK_BITS)
-        df = running_total(
-            df.withColumn("_signe", signed),
-            group=["nom_produit"], day="date",
-            block=F.when(F.col("type_operation") == INCOMING, lots).otherwise(lots + OUTGOING_BLOCKS),
-            order=["type_operation", "id_lot", "id_produit", "l_extendedprice", "quantite"],
-            value="_signe", out="stock_theorique",
-        )
     if "nom_fournisseur" in needs:
         suppliers = table(spark, folder, "supplier").select(
             F.col("s_suppkey").alias("id_fournisseur"), F.col("s_name").alias("nom_fournisseur"))
