@@ -106,7 +106,7 @@ def scan_movements_base(spark, d):
     path = scratch_path(spark, "movements_base")
     source = movements(spark, d).withColumn("numero_lot", F.concat(F.lit("L"), F.col("id_lot")))
     base = source.drop("temperature").withColumnRenamed("temperature_stockage", "temperature")
-    base.select(*[f.name for f in readers.BASE_SCHEMA]).write.option("header", True).csv(path)
+    base.select(*[f.name for f in readers.BASE_SCHEMA]).write.options(**TEXT_OPTIONS).option("header", True).csv(path)
     return rounded(readers.read_movements(spark, path, layout="base"))
 
 
