@@ -161,7 +161,8 @@ def parse_dates(spark, d):
 def schema_check(spark, d):
     """The header of files that lack two columns and have one too many, read back without a schema."""
     path = scratch_path(spark, "movements_header")
-    movements(spark, d).drop("temperature_stockage", "covid_impact").withColumn("commentaire", F.lit("x")).write.option("header", True).csv(path)
+    source = movements(spark, d).drop("temperature_stockage", "covid_impact").withColumn("commentaire", F.lit("x"))
+    source.write.options(**TEXT_OPTIONS).option("header", True).csv(path)
     return readers.schema_report(spark.read.option("header", True).csv(path))
 
 
