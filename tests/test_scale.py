@@ -108,7 +108,7 @@ def test_describe_equals_pandas(spark):
         np.testing.assert_allclose(found[c][1:], pdf[c].describe().to_numpy(), rtol=1e-12, atol=1e-12)
 
 
-def test_described_moments_stay_in_compiled_code(spark, make):
+def test_describe_takes_one_aggregate_per_measure(spark, make):
     """One aggregate per measure, whatever the number of columns."""
     plans = []
     listened = type(spark.range(1)).collect
