@@ -13,6 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The most bytes of rows that Spark sends to Python at once, to the row: its own limits of 10,000 rows and 64 MB let whole files of
+# texts meet in one batch, and each task holds that batch as vectors in the JVM, as Arrow data and as Python strings and results.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Limits the session's Arrow batches to ``BATCH_BYTES``, unless the session sets a limit of its own.
+
+    It stays set, as plans that are returned run later. Results do not depend on it.
+    """
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -56,6 +70,7 @@ def strings(column: pa.Array) -> list[str]:
 
 def text_udf(start: Callable[[], Callable[[list[str]], Any]], returns: str):
     """Arrow UDF of one text column. ``start`` runs once per task and returns the function of a batch of texts."""
+    small_batches(SparkSession.active())
 
     @F.arrow_udf(returns)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

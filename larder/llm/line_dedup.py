@@ -32,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import packed, strings, table, unpacked
+from larder.llm.common import packed, small_batches, strings, table, unpacked
 from larder.llm.components import components
 from larder.session import materialize
 
@@ -156,6 +156,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _keys(docs: DataFrame, keys_of) -> DataFrame:
     """(h, id): hashed keys of each line, once per task."""
+    small_batches(docs.sparkSession)
 
     def run(batches):
         import xxhash
